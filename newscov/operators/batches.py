@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import newscov
 from newscov.functions.answers import first_block, parse_json
 from newscov.operators.prompts import with_previous_answer
 from newscov.scale import checkpointed
 
+# Executors receive the code itself and need no installed copy of the package.
+cloudpickle.register_pickle_by_value(newscov)
+
 Classifier = Callable[[list[str]], list[str | None]]
 
 

@@ -18,13 +18,19 @@ def _term_key(term: str) -> str:
     return " ".join(re.findall(r"[^\W_]+", normalise_word(term)))
 
 
-def _phrases(tokens: Column, length: int) -> Column:
-    """Runs of ``length`` neighbouring words."""
+def _phrases(tokens: Column, length: int, terms: list[str]) -> Column:
+    """Runs of ``length`` neighbouring words that begin like a term of that length.
+
+    Zipped from shifted lists, linear in the text. The last runs are shorter, which is
+    harmless: they are phrases of the text as well.
+    """
     if length == 1:
         return tokens
-    starts = F.when(F.size(tokens) >= length, F.sequence(F.lit(1), F.size(tokens) - (length - 1)))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, length), " "))
-    return F.coalesce(runs, F.array().cast("array<string>"))
+    openings = sorted({t.split()[0] for t in terms if len(t.split()) == length})
+    n = F.greatest(F.size(tokens), F.lit(0))
+    shifted = [F.slice(tokens, 1 + i, n).alias(f"w{i}") for i in range(length)]
+    runs = F.filter(F.arrays_zip(*shifted), lambda run: run["w0"].isin(openings))
+    return F.transform(runs, lambda run: F.concat_ws(" ", *[run[f"w{i}"] for i in range(length)]))
 
 
 def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text", top: int = 3) -> DataFrame:
@@ -40,7 +46,7 @@ def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text
     lengths = sorted({len(t.split()) for t in terms})
 
     tokens = F.col("_tokens")
-    phrases = F.concat(*[_phrases(tokens, n) for n in lengths])
+    phrases = F.concat(*[_phrases(tokens, n, terms) for n in lengths])
     found = F.array_intersect(phrases, F.lit(terms))
 
     def score(theme: str, subtheme: str, own: set[str]) -> Column:
@@ -55,7 +61,6 @@ def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text
     return (
         texts.select(*keep, words(F.col(text)).alias("_tokens"))
         .select(*keep, found.alias("_found"))
-        .where(F.size("_found") > 0)
         .select(*keep, F.posexplode(best).alias("_rank", "_best"))
         .select(
             *keep,

@@ -6,28 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def _schema(**fields: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields.items()))
+_STRING, _INT, _LONG, _DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
 
-ARTICLES = _schema(date="STRING", media="STRING", label="INT", confidence="DOUBLE", description="STRING")
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-TRAINING_TEXTS = _schema(text="STRING", label="INT")
+
+ARTICLES = _schema(date=_STRING, media=_STRING, label=_INT, confidence=_DOUBLE, description=_STRING)
+
+TRAINING_TEXTS = _schema(text=_STRING, label=_INT)
 
 ANNOTATION_COLUMNS = ("label_1", "label_2", "label_3")
 PREDICTION_COLUMNS = ("prediction_label_1", "prediction_label_2", "prediction_label_3")
 EVALUATION_COLUMNS = ("description", *ANNOTATION_COLUMNS, *PREDICTION_COLUMNS)
 
 METRICS = _schema(
-    source="STRING", precision="DOUBLE", recall="DOUBLE", f1="DOUBLE",
-    top1="DOUBLE", top3="DOUBLE", unsure="DOUBLE",
+    source=_STRING, precision=_DOUBLE, recall=_DOUBLE, f1=_DOUBLE,
+    top1=_DOUBLE, top3=_DOUBLE, unsure=_DOUBLE,
 )
 
 RUN_PARAMETERS = _schema(
-    lr="DOUBLE", batch_size="INT", epoch="INT", max_len="INT", weights="ARRAY<DOUBLE>", len_dataset="BIGINT"
+    lr=_DOUBLE, batch_size=_INT, epoch=_INT, max_len=_INT, weights=T.ArrayType(_DOUBLE), len_dataset=_LONG
 )
 
-LEXICON = _schema(theme="STRING", subtheme="STRING", term="STRING")
+LEXICON = _schema(theme=_STRING, subtheme=_STRING, term=_STRING)
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
