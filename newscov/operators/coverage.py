@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newscov.functions.dates import month_name, parse_mixed, period_start
 from newscov.functions.labels import lookup
-from newscov.scale import attach_totals, rolling_rows
+from newscov.scale import attach_totals, key_totals, rolling_rows
 from newscov.schemas import require_columns
 from newscov.taxonomy import OUTLET_COLOURS
 
@@ -156,7 +156,7 @@ def filter_values(articles: DataFrame) -> DataFrame:
 def per_date_counts(articles: DataFrame, row_id: str) -> DataFrame:
     """Add the articles and on-topic articles of its exact date to every row."""
     counts = {"number_articles": F.count("*"), "number_climate": F.sum("label")}
-    return attach_totals(articles, "date", counts, spread_by=row_id)
+    return attach_totals(articles, "date", key_totals(articles, "date", counts), spread_by=row_id)
 
 
 def outlet_date_share(articles: DataFrame) -> DataFrame:

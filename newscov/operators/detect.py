@@ -19,7 +19,8 @@ from newscov.operators.topics import salient_words, top_words
 from newscov.scale import small_side
 from newscov.schemas import require_columns
 
-CANDIDATE_PENALTIES = (0.001, 0.01, 0.1)
+CANDIDATE_PENALTIES = (0.01, 0.1)
+MAX_ITER = 10
 
 
 @dataclass
@@ -57,7 +58,7 @@ def fit_detector(
     language: str = "french",
     penalties=CANDIDATE_PENALTIES,
     n_features: int = 1 << 18,
-    max_iter: int = 20,
+    max_iter: int = MAX_ITER,
 ) -> Detector:
     """Fit class-weighted classifiers and keep the one with the lowest validation loss."""
     weights = class_weights(train, label)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens, normalise_word, words
-from newscov.scale import attach_totals, checkpointed
+from newscov.scale import attach_totals, key_totals
 
 Lexicon = list[tuple[str, str, str]]  # theme, subtheme, term
 
@@ -72,6 +72,32 @@ def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text
     )
 
 
+def word_counts(texts: DataFrame, row_id: str, text: str = "text", language: str = "french") -> DataFrame:
+    """Words of each text and how often it has them (``tf``).
+
+    Counted within the row, as the lengths of runs in the sorted word list, so that the
+    words need no shuffle.
+    """
+    ordered = texts.select(row_id, F.sort_array(clean_tokens(F.col(text), language)).alias("_words"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_words"))
+    marked = F.transform(
+        F.arrays_zip(F.col("_words").alias("word"), before.alias("before")),
+        lambda pair, at: F.struct(pair["word"], pair["before"], at.alias("at")),
+    )
+    # A run starts where the word changes; the null past the last word marks the end.
+    starts = F.filter(
+        marked, lambda m: m["word"].isNull() | m["before"].isNull() | (m["word"] != m["before"])
+    )
+    runs = F.zip_with(
+        F.col("_starts"),
+        F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(0))),
+        lambda this, following: F.struct(this["word"].alias("word"), (following["at"] - this["at"]).alias("tf")),
+    )
+    return ordered.select(row_id, starts.alias("_starts")).select(
+        row_id, F.inline(F.filter(runs, lambda run: run["word"].isNotNull()))
+    )
+
+
 def salient_words(
     texts: DataFrame, row_id: str, text: str = "text", language: str = "french", top: int = 3
 ) -> DataFrame:
@@ -79,12 +105,14 @@ def salient_words(
 
     Weights are rounded to six decimals before ranking; ties go alphabetically.
     """
-    tokens = texts.select(row_id, F.explode(clean_tokens(F.col(text), language)).alias("word"))
-    # Read three times below (rows, totals, size), so the tokens are cut only once.
-    counts = checkpointed(tokens.groupBy(row_id, "word").agg(F.count("*").alias("tf")))
-    weighted = attach_totals(counts, "word", {"df": F.count("*")}, spread_by=row_id)
+    words = texts.select(row_id, F.explode(F.array_distinct(clean_tokens(F.col(text), language))).alias("word"))
+    spread = key_totals(words, "word", {"df": F.count("*")})
+    # Words of a single text, most of any vocabulary, need no entry: absent means 1.
+    weighted = attach_totals(
+        word_counts(texts, row_id, text, language), "word", spread.where("df > 1"), spread_by=row_id
+    )
     n_texts = texts.agg(F.count("*")).scalar()
-    weight = F.round(F.col("tf") * F.log((n_texts + 1) / (F.col("df") + 1)), 6)
+    weight = F.round(F.col("tf") * F.log((n_texts + 1) / (F.coalesce("df", F.lit(1)) + 1)), 6)
     best_first = Window.partitionBy(row_id).orderBy(F.desc("weight"), "word")
     return (
         weighted.select(row_id, "word", weight.alias("weight"))

@@ -282,7 +282,7 @@ def tail_share(spark, sf_dir):
 
 
 def clean_tokens_query(spark, sf_dir):
-    rows = V.documents(spark, sf_dir).select("doc_id", clean_tokens(F.col("text")).alias("words"))
+    rows = V.spread_documents(spark, sf_dir).select("doc_id", clean_tokens(F.col("text")).alias("words"))
     return rows.select(
         "doc_id", F.size("words").cast("bigint").alias("n_words"), F.array_join("words", " ").alias("words")
     )
@@ -293,22 +293,22 @@ def chunk_text(spark, sf_dir):
 
 
 def topic_tags(spark, sf_dir):
-    return topics.topic_tags(V.documents(spark, sf_dir), LEXICON, "doc_id")
+    return topics.topic_tags(V.spread_documents(spark, sf_dir), LEXICON, "doc_id")
 
 
 def salient_words(spark, sf_dir):
-    return topics.salient_words(V.documents(spark, sf_dir), "doc_id")
+    return topics.salient_words(V.spread_documents(spark, sf_dir), "doc_id")
 
 
 def _fitted(spark, sf_dir):
     texts = splits.stratified_split(V.labelled_texts(spark, sf_dir), "doc_id")
     parts = {name: texts.where(F.col("split") == name) for name in splits.SPLITS}
-    return detect.fit_detector(parts["train"], parts["val"]), parts["test"]
+    return detect.fit_detector(parts["train"], parts["val"], n_features=1 << 16), parts["test"]
 
 
 def detector_scores(spark, sf_dir):
     detector, _ = _fitted(spark, sf_dir)
-    scored = detect.predict(detector, V.documents(spark, sf_dir), row_id="doc_id")
+    scored = detect.predict(detector, V.spread_documents(spark, sf_dir), row_id="doc_id")
     return scored.select("doc_id", "climate_related", "confidence", F.array_join("top_words", " ").alias("top_words"))
 
 

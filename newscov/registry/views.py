@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.functions.answers import ANSWER_MARKER, MISSING_KEY_MICRO
+from newscov.scale import spread_scan
 from newscov.taxonomy import CATEGORIES, DISPLAY_NAMES
 
 CODES = tuple(code for _, code, _ in CATEGORIES)
@@ -98,10 +99,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("media"))
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_scan(documents(spark, sf_dir), "doc_id")
+
+
 def gappy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).withColumn("text", F.when(F.col("doc_id") % 17 != 0, F.col("text")))
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return documents(spark, sf_dir).join(labels, "doc_id")
+    return spread_documents(spark, sf_dir).join(labels, "doc_id")

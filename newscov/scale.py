@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 HOT_SHARE = 0.001
 HOT_SALTS = 512
 
+# Largest measured table of per-key totals that is broadcast whole.
+BROADCAST_BYTES = 64 << 20
+
 # Rows per window task in rolling_rows.
 WINDOW_CHUNK = 200_000
 
@@ -89,40 +92,51 @@ def rolling_rows(
     return spread.where(F.col("_home") == F.col("_chunk")).drop("_home", "_chunk", "_pos")
 
 
+def key_totals(df: DataFrame, key: str, aggregates: dict[str, Column]) -> DataFrame:
+    """Pre-aggregated values per non-null key, with the rows behind each, held in the checkpoint folder."""
+    kept = df.where(F.col(key).isNotNull()).groupBy(key)
+    return checkpointed(kept.agg(F.count("*").alias("_rows"), *[a.alias(n) for n, a in aggregates.items()]))
+
+
 def attach_totals(
-    df: DataFrame, key: str, aggregates: dict[str, Column], spread_by: str, salts: int = HOT_SALTS
+    df: DataFrame, key: str, totals: DataFrame, spread_by: str, max_bytes: int = BROADCAST_BYTES, salts: int = HOT_SALTS
 ) -> DataFrame:
-    """Add per-key aggregates to every row; rows with a null key get nulls.
+    """Left-join ``key_totals`` to every row of ``df``; rows with a null key get nulls.
 
-    Totals come from one pre-aggregated pass. Hot keys (at most 1 / HOT_SHARE of
-    them) are looked up through a broadcast, so their rows do not gather in one
-    task; the others meet their totals in an ordinary join. ``spread_by`` names a
+    A table of totals measured to fit ``max_bytes`` is broadcast whole. Beyond that only
+    hot keys (at most 1 / HOT_SHARE of them) are, so that their rows need not gather in
+    one task, and all others meet their totals in an ordinary join. ``spread_by`` names a
     column that differs between the rows of one key.
     """
-    names = list(aggregates)
-    totals = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("_rows"), *[a.alias(n) for n, a in aggregates.items()])
-    )
-    limit = df.agg(F.count("*") * F.lit(HOT_SHARE)).scalar()
-    flagged = totals.withColumn("_hot", F.col("_rows") > limit)
-    hot = flagged.where("_hot").select(
-        F.col(key).alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in names]
-    )
-    cold = flagged.where("NOT _hot").select(F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), *names)
+    names = [c for c in totals.columns if c not in (key, "_rows")]
+    kept = [F.col(c) for c in df.columns]
+    width = F.octet_length(F.col(key).cast("string")) + 16 * (len(names) + 2)
+    size = totals.agg(F.sum(width).alias("bytes"), F.sum("_rows").alias("rows")).first()
+    if (size["bytes"] or 0) <= max_bytes:
+        return df.join(F.broadcast(totals.drop("_rows")), key, "left").select(*kept, *names)
+    is_hot = F.col("_rows") > size["rows"] * HOT_SHARE
+    hot = totals.where(is_hot).select(F.col(key).alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in names])
+    cold = totals.where(~is_hot).select(F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), *names)
     looked_up = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     settled = F.col("_hot_key").isNotNull() | F.col(key).isNull()
     # Settled rows carry a salt the cold side does not have: they only need an even spread.
     salt = F.when(settled, 1 + F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    salted = looked_up.withColumn("_salt", salt)
-    joined = salted.join(
+    joined = looked_up.withColumn("_salt", salt).join(
         cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
     )
-    kept = [F.col(c) for c in df.columns]
     return joined.select(*kept, *[F.coalesce(F.col(f"_hot_{n}"), F.col(n)).alias(n) for n in names])
 
 
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """Hash the rows of a plain scan over all cores when it comes in fewer pieces than there are cores.
+
+    For work that is heavy per row, such as cutting texts into words, on files with few
+    row groups. Large inputs already have more pieces and pass unchanged, unshuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the choice to Spark."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
