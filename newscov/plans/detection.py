@@ -22,10 +22,8 @@ def train_detector(
         weights = [row["weight"] for row in class_weights(train, label).orderBy(label).collect()]  # one per class
         total = split_total(splits.split_sizes(split, label)).first()["len_dataset"]
         write_splits(split, f"{folder}/splits")
-        write_run_parameters(
-            spark, f"{folder}/params", min(detector.losses, key=detector.losses.get), 0,
-            options.get("max_iter", detect.MAX_ITER), 0, weights, total,
-        )
+        epochs = options.get("max_iter", detect.MAX_ITER)
+        write_run_parameters(spark, f"{folder}/params", weights, total, epoch=epochs)
     return detector, detect.evaluate(detect.predict(detector, test, text), label)
 
 

@@ -116,11 +116,16 @@ def attach_totals(
         return df.join(F.broadcast(totals.drop("_rows")), key, "left").select(*kept, *names)
     is_hot = F.col("_rows") > size["rows"] * HOT_SHARE
     hot = totals.where(is_hot).select(F.col(key).alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in names])
-    cold = totals.where(~is_hot).select(F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), *names)
+
+    def salt_of(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(salts))
+
+    cold = totals.where(~is_hot).select(F.col(key).alias("_cold_key"), salt_of(key).alias("_cold_salt"), *names)
     looked_up = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
     settled = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    # Settled rows carry a salt the cold side does not have: they only need an even spread.
-    salt = F.when(settled, 1 + F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0)
+    # Settled rows carry salts the cold side does not have: they only need an even spread.
+    # The cold salt depends on the key because a constant would be optimised out of the join.
+    salt = F.when(settled, salts + salt_of(spread_by)).otherwise(salt_of(key))
     joined = looked_up.withColumn("_salt", salt).join(
         cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
     )

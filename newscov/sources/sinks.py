@@ -59,9 +59,9 @@ def write_splits(split: DataFrame, path: str) -> None:
 
 
 def write_run_parameters(
-    spark: SparkSession, path: str, lr: float, batch_size: int, epoch: int, max_len: int,
-    weights: list[float], len_dataset: int,
+    spark: SparkSession, path: str, weights: list[float], len_dataset: int, lr: float | None = None,
+    batch_size: int | None = None, epoch: int | None = None, max_len: int | None = None,
 ) -> None:
-    """Store the parameters of a training run as one JSON row."""
+    """Store the parameters of a training run as one JSON row; those a model does not have are left out."""
     row = (lr, batch_size, epoch, max_len, weights, len_dataset)
     spark.createDataFrame([row], RUN_PARAMETERS).coalesce(1).write.mode("overwrite").json(path)
