@@ -1,0 +1,121 @@
+from datetime import date
+
+import pytest
+
+from newscov.operators import explore as X
+from newscov.plans.explorer import explorer
+from newscov.taxonomy import MACRO_CODES
+
+SCHEMA = (
+    "id INT, date DATE, media STRING, url STRING, "
+    "prediction_label_1 STRING, prediction_label_2 STRING, prediction_label_3 STRING"
+)
+ROWS = [
+    (1, date(2024, 1, 3), "TF1", "u", "Pollution", "Sécheresse", None),
+    (2, date(2024, 1, 9), "TF1", "u", "secheresse", "Déforestation", "Inconnu"),
+    (3, date(2024, 2, 1), "France2", "u", "Pollution plastique", None, None),
+    (4, None, "France2", "u", "Reforestation", "reforestation", "Pollution"),
+]
+
+
+@pytest.fixture
+def predictions(spark):
+    return X.coded_predictions(spark.createDataFrame(ROWS, SCHEMA))
+
+
+def ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_labels_become_codes(predictions):
+    assert [tuple(r)[4:] for r in predictions.orderBy("id").collect()] == [
+        ("pollution", "secheresse", None), ("secheresse", "deforestation", None),
+        ("pollution", None, None), ("reforestation", "reforestation", "pollution"),
+    ]
+
+
+def test_filters(predictions):
+    assert ids(X.explorer_rows(predictions, month="Janvier")) == [1, 2]
+    assert ids(X.explorer_rows(predictions, media="France2")) == [3, 4]
+    assert ids(X.explorer_rows(predictions, selection=["secheresse"])) == [1, 2]
+    assert ids(X.explorer_rows(predictions, selection=[])) == [1, 2, 3, 4]
+    assert ids(X.explorer_rows(predictions, categories=["pollution", "secheresse"])) == [1, 3]
+
+
+def test_hidden_columns_go(predictions):
+    assert "url" not in X.explorer_rows(predictions).columns
+    macro = X.explorer_rows(predictions, macro=True)
+    assert "prediction_label_1" in macro.columns and "prediction_label_2" not in macro.columns
+    with pytest.raises(KeyError):
+        X.drop_required(predictions, "nothing")
+
+
+@pytest.mark.parametrize("top_n", [0, 50_000])
+def test_pages(spark, monkeypatch, top_n):
+    monkeypatch.setattr(X, "TOP_N_ROWS", top_n)
+    rows = spark.range(250).withColumnRenamed("id", "n")
+    assert [r.n for r in X.page(rows, 2, ["n"]).orderBy("n").collect()] == list(range(100, 200))
+    assert X.page(rows, 3, ["n"]).count() == 50
+    assert X.page(rows, 4, ["n"]).count() == 0
+    assert tuple(X.page_info(rows).first()) == (250, 3)
+    assert tuple(X.page_info(rows.limit(0)).first()) == (0, 1)
+
+
+def test_counts_keep_absent_categories(predictions):
+    counts = {r.category: r.n for r in X.category_counts(predictions).collect()}
+    assert len(counts) == 24 and sum(counts.values()) == 8
+    assert (counts["pollution"], counts["secheresse"], counts["reforestation"], counts["eau_potable"]) == (3, 2, 2, 0)
+
+
+def test_legacy_counts_list_the_shared_code_twice(predictions):
+    counts = X.category_counts(predictions, legacy=True)
+    rows = [tuple(r) for r in counts.collect()]
+    assert len(rows) == 25 and rows[:2] == [("pollution", 3), ("pollution", 3)]
+    share = {r.category: r.percent for r in X.category_share(counts).collect()}
+    assert share["pollution"] == 27.3  # 3 of 11, the double entry counts in the total
+
+
+def test_duplicate_spine(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "prediction_label_1 STRING")
+    rows = X.category_counts(df, ["a", "a", "b", "c"], macro=True).collect()
+    assert [tuple(r) for r in rows] == [("a", 2), ("a", 2), ("b", 1), ("c", 0)]
+
+
+def test_share_of_nothing(spark):
+    df = spark.createDataFrame([], "prediction_label_1 STRING")
+    rows = X.category_share(X.category_counts(df, ["a"], macro=True)).collect()
+    assert [tuple(r) for r in rows] == [("a", 0, None)]
+
+
+def test_category_by_month(predictions):
+    rows = sorted(tuple(r) for r in X.category_by_month(predictions).collect())
+    # the first three names are deforestation, pollution and reforestation; no date means no month
+    assert rows == [("Feb 2024", "pollution", 1), ("Jan 2024", "deforestation", 1), ("Jan 2024", "pollution", 1)]
+    rows = X.category_by_month(predictions, ["secheresse"]).collect()
+    assert [tuple(r) for r in rows] == [("Jan 2024", "secheresse", 2)]
+
+
+def test_themes_by_month(predictions):
+    def table(**options):
+        return sorted(tuple(r) for r in X.themes_by_month(predictions, **options).collect())
+
+    dated = [("2024-01", "cause", 1), ("2024-01", "conséquence", 2), ("2024-02", "conséquence", 1)]
+    assert table() == dated
+    assert table(legacy=True) == [*dated, ("NaT", "conséquence", 1), ("NaT", "solution", 1)]
+    assert table(selection=["cause"]) == dated[:1]
+
+
+def test_melt_keeps_nulls(predictions):
+    long = X.long_predictions(predictions)
+    assert long.columns == ["date", "prediction_rank", "category"]
+    assert long.count() == 12 and long.where("category IS NULL").count() == 4
+
+
+def test_explorer_plan(spark):
+    tables = explorer(spark.createDataFrame(ROWS, SCHEMA), ["id"])
+    assert ids(tables["page"]) == [1, 2, 3, 4]
+    assert tables["page_info"].first()["total_rows"] == 4
+    assert tables["category_share"].count() == 24
+    assert tables["themes_by_month"].count() == 3 and tables["category_by_month"].count() == 3
+    macro = explorer(spark.createDataFrame([(*ROWS[0][:4], "energie", "x", None)], SCHEMA), ["id"], macro=True, categories=MACRO_CODES)
+    assert ids(macro["page"]) == [1] and "themes_by_month" not in macro
