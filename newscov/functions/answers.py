@@ -41,18 +41,18 @@ def parse_repr(text: Column) -> Column:
     return F.from_json(F.regexp_replace(text, r"\bNone\b", "null"), _MAP, {"allowSingleQuotes": "true"})
 
 
-def class_names(answer: Column, placeholder: str | None = None, prefix: str = "prediction_label_") -> list[Column]:
-    """The three class columns of a parsed answer.
+def class_names(answer: Column, placeholder: str | None = None) -> list[Column]:
+    """The three class names of a parsed answer.
 
     Null for an unreadable answer or a null value. A missing key gives null, or
     ``placeholder`` where the caller wants such answers kept.
     """
     out = []
-    for rank, key in enumerate(CLASS_KEYS, start=1):
+    for key in CLASS_KEYS:
         value = F.try_element_at(answer, F.lit(key))
         if placeholder is not None:
             value = F.when(~F.map_contains_key(answer, key), F.lit(placeholder)).otherwise(value)
-        out.append(value.alias(f"{prefix}{rank}"))
+        out.append(value)
     return out
 
 

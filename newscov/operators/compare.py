@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newscov.sources.inline import literal_rows
 from newscov.taxonomy import MODEL_ENERGY
 
 COMPARED_METRICS = ("precision", "recall", "f1", "top1", "top3")
@@ -41,9 +42,7 @@ def metric_comparison(
 
 def model_energy(spark: SparkSession) -> DataFrame:
     """Published size and energy use of the compared models."""
-    return spark.createDataFrame(
-        list(MODEL_ENERGY), "model STRING, size_b DOUBLE, wh_per_1000 DOUBLE, open_source BOOLEAN"
-    )
+    return literal_rows(spark, MODEL_ENERGY, ["model", "size_b", "wh_per_1000", "open_source"])
 
 
 def size_energy(models: DataFrame) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newscov.functions.answers import run_name
 from newscov.functions.labels import code_of, coded_labels, indicators, present_labels
 from newscov.schemas import ANNOTATION_COLUMNS, EVALUATION_COLUMNS, METRICS, PREDICTION_COLUMNS, require_columns
+from newscov.sources.inline import literal_rows
 from newscov.taxonomy import METRIC_CODES, PUBLISHED_RUN
 
 METRIC_NAMES = ("precision", "recall", "f1", "top1", "top3", "unsure")
@@ -128,7 +129,7 @@ def metrics_by_run(
     """Metrics of every run at once, keyed by the run name in its file path, plus published rows."""
     runs = label_lists(predictions).withColumn("source", run_name(F.col(path_column), name_parts))
     measured = multilabel_metrics(runs, by=["source"])
-    return measured.unionByName(predictions.sparkSession.createDataFrame(list(published), METRICS))
+    return measured.unionByName(literal_rows(predictions.sparkSession, published, METRICS.names))
 
 
 def runs(predictions: DataFrame, path_column: str = "path", name_parts: int = 3) -> DataFrame:
@@ -166,34 +167,43 @@ def class_report(scored: DataFrame, actual: str = "label", predicted: str = "pre
     sums = pairs.select(F.inline(entries)).groupBy("class").agg(
         *[F.sum(c).alias(c) for c in ("hit", "guessed", "support")]
     )
+    scores = ("precision", "recall", "f1")
     per_class = sums.select(
         F.col("class").cast("string").alias("class"),
+        "hit",
+        F.col("support").cast("bigint").alias("support"),
         _ratio(F.col("hit"), F.col("guessed")).alias("precision"),
         _ratio(F.col("hit"), F.col("support")).alias("recall"),
         _ratio(2 * F.col("hit"), F.col("guessed") + F.col("support")).alias("f1"),
-        F.col("support").cast("bigint").alias("support"),
     )
-    scores = ("precision", "recall", "f1")
-    total = F.sum("support").alias("support")
-    macro = per_class.agg(F.lit("macro avg").alias("class"), *[F.avg(c).alias(c) for c in scores], total)
-    weighted = per_class.agg(
-        F.lit("weighted avg").alias("class"),
-        *[_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in scores],
-        total,
+    # One rollup gives the classes and, as its grand total, everything the averages need.
+    total = F.sum("support")
+    rolled = per_class.rollup("class").agg(
+        F.grouping_id().alias("_total"),
+        total.alias("support"),
+        _ratio(F.sum("hit"), total).alias("_accuracy"),
+        *[F.avg(c).alias(c) for c in scores],
+        *[_ratio(F.sum(F.col(c) * F.col("support")), total).alias(f"_weighted_{c}") for c in scores],
     )
-    accuracy = sums.agg(
-        F.lit("accuracy").alias("class"),
-        *[_ratio(F.sum("hit"), F.sum("support")).alias(c) for c in scores],
-        F.sum("support").cast("bigint").alias("support"),
+
+    def line(name: Column, values) -> Column:
+        return F.struct(name.alias("class"), *[F.col(v).alias(c) for c, v in zip(scores, values)], F.col("support"))
+
+    averages = F.array(
+        line(F.lit("accuracy"), ["_accuracy"] * 3),
+        line(F.lit("macro avg"), scores),
+        line(F.lit("weighted avg"), [f"_weighted_{c}" for c in scores]),
     )
-    return per_class.unionByName(accuracy).unionByName(macro).unionByName(weighted)
+    own = F.array(line(F.col("class"), scores))
+    return rolled.select(F.inline(F.when(F.col("_total") == 1, averages).otherwise(own)))
 
 
 def class_weights(labelled: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights n / (k * n_c) per class."""
     per_class = labelled.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    totals = per_class.agg(F.struct(F.sum("n").alias("n"), F.count("*").alias("k"))).scalar()
-    return per_class.select(label, "n", (totals["n"] / (totals["k"] * F.col("n"))).alias("weight"))
+    classes = Window.partitionBy()  # one row per class
+    weight = F.sum("n").over(classes) / (F.count("*").over(classes) * F.col("n"))
+    return per_class.select(label, "n", weight.alias("weight"))
 
 
 def accuracy_logloss(

@@ -13,6 +13,7 @@ from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
 from newscov.operators.coverage import EVERY, in_outlet
 from newscov.scale import with_position
 from newscov.schemas import PREDICTION_COLUMNS, require_columns
+from newscov.sources.inline import literal_rows
 from newscov.taxonomy import THEMES, explorer_codes
 
 # --- fixed values: columns the explorer does not show ----------------------------
@@ -100,9 +101,9 @@ def category_counts(
         .groupBy("category")
         .agg(F.count("*").alias("n"))
     )
-    spine = rows.sparkSession.createDataFrame([(c,) for c in spine_codes], "category STRING")
+    spine = literal_rows(rows.sparkSession, [(c,) for c in spine_codes], ["category"])
     return (
-        spine.join(counted, "category", "left")
+        spine.join(F.broadcast(counted), "category", "left")  # one row per spine category at most
         .select("category", F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy(F.desc("n"), "category")
     )

@@ -6,10 +6,12 @@ their own order key with the key at the border, so wide rows are never sorted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newscov.scale import small_side, with_position
+from newscov.scale import checkpointed, small_side, with_position
 
 SPLITS = ("train", "val", "test")
 MAX_BROADCAST_CLASSES = 10_000
@@ -20,24 +22,24 @@ def head_rows(df: DataFrame, order: list[str], n: int = 400) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _border(df: DataFrame, order: list[str], rank) -> DataFrame:
-    """One row: the order key of the row whose ascending rank is ``rank(n)``, null if there is none."""
+def _key(order: list[str]) -> Column:
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def _border(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> Column:
+    """Order key of the row whose ascending rank is ``rank(n)``, as a scalar; null if there is none."""
     keys = with_position(df.select(*order), *order)
-    n = keys.agg(F.count("*")).scalar()
-    return keys.where(F.col("position") == rank(n)).agg(F.max(F.struct(*order)))
+    return keys.where(F.col("position") == rank(keys.count())).agg(F.max(_key(order))).scalar()
 
 
 def head_share(df: DataFrame, order: list[str], share: float = 0.8) -> DataFrame:
-    """The leading ``floor(share * n)`` rows in ``order``."""
-    border = _border(df, order, lambda n: F.floor(F.lit(share) * n))
-    return df.where(F.struct(*order) <= border.scalar())
+    """The leading ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
+    return df.where(_key(order) <= _border(df, order, lambda n: int(share * n)))
 
 
 def tail_share(df: DataFrame, order: list[str], share: float = 0.2) -> DataFrame:
-    """The trailing ``floor(share * n)`` rows in ``order``."""
-    size = lambda n: F.floor(F.lit(share) * n)
-    border = _border(df, order, lambda n: n - size(n) + 1)
-    return df.where(F.struct(*order) >= border.scalar())
+    """The trailing ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
+    return df.where(_key(order) >= _border(df, order, lambda n: n - int(share * n) + 1))
 
 
 def stratified_split(
@@ -57,10 +59,9 @@ def stratified_split(
         (F.col("_first") - 1 + F.round(F.col("_n") * (1 - test_size))).cast("bigint").alias("_train_end"),
         (F.col("_first") - 1 + F.round(F.col("_n") * (1 - test_size / 2))).cast("bigint").alias("_val_end"),
     )
-    sizes = small_side(sizes, MAX_BROADCAST_CLASSES)
     key = F.struct("_draw", "_id")
     borders = (
-        placed.join(sizes, F.col("_label").eqNullSafe(F.col("_class")))
+        placed.join(small_side(sizes, MAX_BROADCAST_CLASSES), F.col("_label").eqNullSafe(F.col("_class")))
         .select(
             "_class",
             F.when(F.col("position") <= F.col("_train_end"), key).alias("_train"),
@@ -69,7 +70,7 @@ def stratified_split(
         .groupBy("_class")
         .agg(F.max("_train").alias("_train"), F.max("_val").alias("_val"))
     )
-    borders = small_side(borders, MAX_BROADCAST_CLASSES)
+    borders = small_side(checkpointed(borders), MAX_BROADCAST_CLASSES)
     own = F.struct(draw.alias("_draw"), F.col(row_id).alias("_id"))
     split = F.when(own <= F.col("_train"), SPLITS[0]).when(own <= F.col("_val"), SPLITS[1]).otherwise(SPLITS[2])
     return (

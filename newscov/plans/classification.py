@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newscov.functions import answers as A
 from newscov.operators import evaluate, prompts
 from newscov.operators.batches import Classifier, refined_scores, score_batches
 from newscov.operators.coverage import only_positive
+from newscov.operators.parse import with_classes
 from newscov.operators.splits import head_rows, tail_share
-from newscov.schemas import PREDICTION_COLUMNS
 from newscov.taxonomy import MACRO_CODES
 
 
-def _with_classes(answered: DataFrame, answer: Column, missing: str | None) -> DataFrame:
-    parsed = answered.withColumn("_parsed", answer)
-    classes = A.class_names(F.col("_parsed"), missing)
-    return parsed.select("*", F.to_json("_parsed").alias("prediction_label"), *classes).drop("_parsed")
-
-
 def classify_articles(
     articles: DataFrame, classify: Classifier, order: list[str], full: bool = True, macro: bool = False,
     text: str = "description",
@@ -36,9 +30,9 @@ def classify_articles(
         rows = only_positive(rows, overwrite=True)
     prompt = prompts.macro_prompt(F.col(text)) if macro else prompts.micro_prompt(F.col(text))
     missing = A.MISSING_KEY_MACRO if macro else A.MISSING_KEY_MICRO
-    answered = score_batches(rows, classify, prompt, "answer")
-    answer = A.parse_json(A.marked_block(F.col("answer")))
-    return _with_classes(answered, answer, missing).drop("answer").na.drop(subset=list(PREDICTION_COLUMNS))
+    answered = score_batches(rows, classify, prompt, "_text")
+    block = answered.withColumn("prediction_label", A.marked_block(F.col("_text"))).drop("_text")
+    return with_classes(block, A.parse_json(F.col("prediction_label")), missing, keep="complete")
 
 
 def classify_with_method(
@@ -50,8 +44,8 @@ def classify_with_method(
     message = F.lit(prompts.method_message(method, n_shots, examples))
     user = prompts.around_text(prompts.USER_PROMPT, F.col(text))
     answered = refined_scores(rows, classify, message, user, passes)
-    kept = answered.where(F.col("prediction_label").isNotNull())
-    return _with_classes(kept.withColumnRenamed("prediction_label", "_answer"), F.col("_answer"), None).drop("_answer")
+    classes = with_classes(answered, F.col("prediction_label"), keep="parsed")
+    return classes.withColumn("prediction_label", F.to_json("prediction_label"))
 
 
 def evaluate_runs(predictions: DataFrame, macro: bool = False, source: str = "source") -> DataFrame:

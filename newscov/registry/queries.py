@@ -16,9 +16,9 @@ from newscov.functions import answers as A
 from newscov.functions import dates as D
 from newscov.functions.text import chunks, clean_tokens
 from newscov.operators import batches, compare, coverage, detect, evaluate, explore, prompts, splits, topics
+from newscov.operators.parse import with_classes
 from newscov.registry import views as V
 from newscov.scale import with_position
-from newscov.schemas import PREDICTION_COLUMNS
 from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES
 
 # Words that occur in the test documents.
@@ -179,9 +179,9 @@ def parse_answers(spark, sf_dir):
 
 def answer_classes(spark, sf_dir):
     parsed = A.parse_json(A.marked_block(F.col("response")))
-    rows = V.responses(spark, sf_dir).select("conv_id", "turn", parsed.alias("answer"))
-    classes = rows.select("conv_id", "turn", *A.class_names(F.col("answer"), A.MISSING_KEY_MICRO))
-    return classes.na.drop(subset=list(PREDICTION_COLUMNS))
+    return with_classes(V.responses(spark, sf_dir), parsed, A.MISSING_KEY_MICRO, keep="complete").drop(
+        "response", "dictionary"
+    )
 
 
 def api_answers(spark, sf_dir):
@@ -190,9 +190,8 @@ def api_answers(spark, sf_dir):
 
 
 def repr_answers(spark, sf_dir):
-    rows = V.responses(spark, sf_dir).select("conv_id", "turn", A.parse_repr(F.col("dictionary")).alias("answer"))
-    kept = rows.where(F.col("answer").isNotNull())
-    return kept.select("conv_id", "turn", *A.class_names(F.col("answer")))
+    parsed = A.parse_repr(F.col("dictionary"))
+    return with_classes(V.responses(spark, sf_dir), parsed, keep="parsed").drop("response", "dictionary")
 
 
 def _label_lists(macro: bool):
@@ -340,13 +339,14 @@ def name_by_length(texts: list[str]) -> list[str]:
 
 def batch_scores(spark, sf_dir):
     scored = batches.score_batches(V.documents(spark, sf_dir), name_by_length, F.col("text"))
-    return scored.select("doc_id", *A.class_names(A.parse_json(A.first_block(F.col("answer"))))[:1])
+    classes = with_classes(scored, A.parse_json(A.first_block(F.col("answer"))))
+    return classes.select("doc_id", "prediction_label_1")
 
 
 def refined_scores(spark, sf_dir):
     rows = V.documents(spark, sf_dir)
     refined = batches.refined_scores(rows, name_by_length, F.lit(REFINE_MESSAGE), F.col("text"), passes=1)
-    return refined.select("doc_id", *A.class_names(F.col("prediction_label"))[:1])
+    return with_classes(refined, F.col("prediction_label")).select("doc_id", "prediction_label_1")
 
 
 def metric_comparison(spark, sf_dir):

@@ -8,6 +8,7 @@ from newscov.functions import answers as A
 from newscov.functions import dates as D
 from newscov.functions import labels as L
 from newscov.functions import text as T
+from newscov.operators.parse import KEEP, with_classes
 
 
 def values(spark, expression, rows, kind="STRING"):
@@ -147,14 +148,15 @@ def test_parse_repr(spark):
     assert values(spark, A.parse_repr, raw) == [{"Classe_1": "Couche d'ozone", "Classe_2": None}]
 
 
-def test_class_names_keep_placeholder(spark):
+def test_class_names_keep_placeholder(spark, plan):
     df = spark.createDataFrame([("{\"Classe_1\": \"a\"}",), ('{"Classe_1": "a", "Classe_2": null, "Classe_3": "c"}',), ("{bad}",)], "x STRING")
-    parsed = df.select(A.parse_json(F.col("x")).alias("answer"))
-    classes = parsed.select(*A.class_names(F.col("answer"), A.MISSING_KEY_MICRO))
-    assert [tuple(r) for r in classes.collect()] == [
-        ("a", "[None, None]", "[None, None]"), ("a", None, "c"), (None, None, None),
-    ]
-    assert [tuple(r) for r in classes.na.drop().collect()] == [("a", "[None, None]", "[None, None]")]
+    tables = {k: with_classes(df, A.parse_json(F.col("x")), A.MISSING_KEY_MICRO, k).drop("x") for k in KEEP}
+    rows = {k: [tuple(r) for r in table.collect()] for k, table in tables.items()}
+    assert rows["all"] == [("a", "[None, None]", "[None, None]"), ("a", None, "c"), (None, None, None)]
+    assert rows["parsed"] == rows["all"][:2]
+    assert rows["complete"] == rows["all"][:1]
+    assert tables["all"].columns == ["prediction_label_1", "prediction_label_2", "prediction_label_3"]
+    assert plan(tables["complete"]).count("from_json(") == 1
 
 
 def test_run_name(spark):

@@ -13,8 +13,8 @@ def test_head_and_tail(spark, n, head, tail):
 
 
 def test_head_over_two_columns(spark):
-    df = spark.createDataFrame([(1, 2), (1, 1), (None, 5), (2, 0)], "a INT, b INT")
-    assert sorted(tuple(r) for r in S.head_share(df, ["a", "b"], 0.75).na.fill(-1).collect()) == [(-1, 5), (1, 1), (1, 2)]
+    df = spark.createDataFrame([(1, 2), (1, 1), (0, 5), (2, 0)], "a INT, b INT")
+    assert sorted(tuple(r) for r in S.head_share(df, ["a", "b"], 0.75).collect()) == [(0, 5), (1, 1), (1, 2)]
 
 
 def test_rows_are_not_sorted_to_be_cut(spark, plan):
