@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newscov.functions.dates import month_number
 from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
 from newscov.operators.coverage import EVERY, in_outlet
-from newscov.scale import with_position
+from newscov.scale import keys_between, order_key, with_position
 from newscov.schemas import PREDICTION_COLUMNS, require_columns
 from newscov.sources.inline import literal_rows
 from newscov.taxonomy import THEMES, explorer_codes
@@ -66,12 +66,12 @@ def explorer_rows(
 
 
 def page(rows: DataFrame, number: int, order: list[str], size: int = PAGE_SIZE) -> DataFrame:
-    """Rows of page ``number`` (from 1) in ``order``, which must identify rows."""
+    """Rows of page ``number`` (from 1) in ``order``, whose columns identify rows and have no nulls."""
     first = size * (number - 1)
     if first + size <= TOP_N_ROWS:
         return rows.orderBy(*order).offset(first).limit(size)
-    placed = with_position(rows, *order, name="_position")
-    return placed.where(F.col("_position").between(first + 1, first + size)).drop("_position")
+    low, high = keys_between(with_position(rows.select(*order), *order), order, first + 1, first + size)
+    return rows.where(order_key(order).between(low, high))
 
 
 def page_info(rows: DataFrame, size: int = PAGE_SIZE) -> DataFrame:

@@ -124,6 +124,11 @@ def macro_prompt(text: Column, categories=MACRO_CODES) -> Column:
     return around_text(fill(MACRO_PROMPT, categories, answer='{ "Classe_1": "categorie"}'), text)
 
 
+def single_label_prompt(text: Column, categories=DISPLAY_NAMES) -> Column:
+    """Prompt asking for exactly one class, with a worked example."""
+    return F.concat(F.lit(fill(SINGLE_LABEL_PROMPT, categories) + "\n"), around_text(USER_PROMPT, text))
+
+
 def method_message(
     method: str, n_shots: int = 0, examples: dict[str, list[str]] | None = None, categories=DISPLAY_NAMES, k: int = 3
 ) -> str:

@@ -6,12 +6,10 @@ their own order key with the key at the border, so wide rows are never sorted.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscov.scale import checkpointed, small_side, with_position
+from newscov.scale import checkpointed, keys_between, order_key, small_side, with_position
 
 SPLITS = ("train", "val", "test")
 MAX_BROADCAST_CLASSES = 10_000
@@ -22,24 +20,23 @@ def head_rows(df: DataFrame, order: list[str], n: int = 400) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def _key(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
-
-
-def _border(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> Column:
-    """Order key of the row whose ascending rank is ``rank(n)``, as a scalar; null if there is none."""
-    keys = with_position(df.select(*order), *order)
-    return keys.where(F.col("position") == rank(keys.count())).agg(F.max(_key(order))).scalar()
+def _placed(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+    placed = with_position(df.select(*order), *order)
+    return placed, placed.count()
 
 
 def head_share(df: DataFrame, order: list[str], share: float = 0.8) -> DataFrame:
     """The leading ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
-    return df.where(_key(order) <= _border(df, order, lambda n: int(share * n)))
+    placed, n = _placed(df, order)
+    _, last = keys_between(placed, order, 1, int(share * n))
+    return df.where(order_key(order) <= last)
 
 
 def tail_share(df: DataFrame, order: list[str], share: float = 0.2) -> DataFrame:
     """The trailing ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
-    return df.where(_key(order) >= _border(df, order, lambda n: n - int(share * n) + 1))
+    placed, n = _placed(df, order)
+    first, _ = keys_between(placed, order, n - int(share * n) + 1, n)
+    return df.where(order_key(order) >= first)
 
 
 def stratified_split(

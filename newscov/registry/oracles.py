@@ -403,6 +403,7 @@ cuts AS (SELECT label, n, CAST(round(n * (1 - 0.3e0)) AS BIGINT) AS a, CAST(roun
 SELECT 'train' AS split, label, a AS n FROM cuts WHERE a > 0
 UNION ALL SELECT 'val', label, b - a FROM cuts WHERE b > a
 UNION ALL SELECT 'test', label, n - b FROM cuts WHERE n > b""",
+    "split_total": "SELECT count(*) AS len_dataset FROM documents d JOIN labels l ON l.doc_id = d.doc_id",
     "head_rows": "SELECT doc_id, source AS media FROM documents ORDER BY doc_id LIMIT 400",
     "head_share": """SELECT doc_id, source AS media FROM documents
 QUALIFY row_number() OVER (ORDER BY doc_id) <= floor(0.8e0 * count(*) OVER ())""",
@@ -435,7 +436,9 @@ SELECT doc_id, word, weight, rank FROM ranked WHERE rank <= 3""",
     "prompt_table": f"""SELECT doc_id, {_around(P.USER_PROMPT, "text")} AS user_message, model, prompt_method, n_shots, system_message
 FROM documents, {_values(_GRID, "model, prompt_method, n_shots, system_message")}""",
     "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES), "text")} AS micro,
-       {_around(P.fill(P.MACRO_PROMPT, MACRO_CODES, answer='{ "Classe_1": "categorie"}'), "text")} AS macro FROM documents""",
+       {_around(P.fill(P.MACRO_PROMPT, MACRO_CODES, answer='{ "Classe_1": "categorie"}'), "text")} AS macro,
+       concat({_q(P.fill(P.SINGLE_LABEL_PROMPT, DISPLAY_NAMES))}, chr(10), {_around(P.USER_PROMPT, "text")}) AS single
+FROM documents""",
     "training_table": f"""WITH {PREDICTIONS}
 SELECT doc_id, concat({_around(P.fill(P.TRAINING_PROMPT, DISPLAY_NAMES), "description")}, {_ANSWER}) AS training_text
 FROM predictions""",

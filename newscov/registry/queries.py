@@ -268,6 +268,10 @@ def split_sizes(spark, sf_dir):
     return splits.split_sizes(stratified_split(spark, sf_dir))
 
 
+def split_total(spark, sf_dir):
+    return evaluate.split_total(split_sizes(spark, sf_dir))
+
+
 def head_rows(spark, sf_dir):
     return splits.head_rows(V.predictions(spark, sf_dir).select("doc_id", "media"), ["doc_id"])
 
@@ -323,7 +327,10 @@ def prompt_table(spark, sf_dir):
 def task_prompts(spark, sf_dir):
     text = F.col("text")
     return V.documents(spark, sf_dir).select(
-        "doc_id", prompts.micro_prompt(text).alias("micro"), prompts.macro_prompt(text).alias("macro")
+        "doc_id",
+        prompts.micro_prompt(text).alias("micro"),
+        prompts.macro_prompt(text).alias("macro"),
+        prompts.single_label_prompt(text).alias("single"),
     )
 
 
@@ -422,6 +429,7 @@ QUERIES = {
     "accuracy_logloss": accuracy_logloss,
     "stratified_split": stratified_split,
     "split_sizes": split_sizes,
+    "split_total": split_total,
     "head_rows": head_rows,
     "head_share": head_share,
     "tail_share": tail_share,

@@ -62,6 +62,22 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
     )
 
 
+def order_key(order: list[str]) -> Column:
+    """The order columns as one comparable value."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def keys_between(placed: DataFrame, order: list[str], first: int, last: int) -> tuple[Column, Column]:
+    """Order keys at two positions of ``with_position`` output, as scalars; null past the ends.
+
+    Lets wide rows be cut by comparing their own key, so that only keys are ever sorted.
+    """
+    key = order_key(order)
+    found = placed.where(F.col("position").between(first, last)).agg(F.struct(F.min(key).alias("a"), F.max(key).alias("b")))
+    ends = found.scalar()
+    return ends["a"], ends["b"]
+
+
 def rolling_rows(
     df: DataFrame,
     order: list[str],
