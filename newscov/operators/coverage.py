@@ -22,6 +22,8 @@ EVERY = "Tous"  # filter value that means "no filter"
 def dated_articles(articles: DataFrame) -> DataFrame:
     """Check for ``date`` and ``label`` and parse textual dates; unreadable dates become null."""
     require_columns(articles, "date", "label")
+    if dict(articles.dtypes)["date"] != "string":
+        return articles
     return articles.withColumn("date", parse_mixed(F.col("date")))
 
 
@@ -155,7 +157,7 @@ def filter_values(articles: DataFrame) -> DataFrame:
 
 def per_date_counts(articles: DataFrame, row_id: str) -> DataFrame:
     """Add the articles and on-topic articles of its exact date to every row."""
-    counts = {"number_articles": F.count("*"), "number_climate": F.sum("label")}
+    counts = {"number_articles": F.count("*"), "number_climate": F.coalesce(F.sum("label"), F.lit(0))}
     return attach_totals(articles, "date", key_totals(articles, "date", counts), spread_by=row_id)
 
 
@@ -189,12 +191,12 @@ def confidence_stats(articles: DataFrame) -> DataFrame:
 
 
 def rolling_confidence(articles: DataFrame, order: list[str], size: int = 10, chunk: int | None = None) -> DataFrame:
-    """Mean and sample deviation over exactly ``size`` on-topic rows; null before that many exist."""
+    """Mean and sample deviation over ``size`` on-topic rows; null unless all of them have a confidence."""
     rolled = rolling_rows(
         only_positive(articles).select(*order, "confidence"),
         order,
         size,
-        {"_n": F.count("*"), "avg_proba": F.avg("confidence"), "std_proba": F.stddev_samp("confidence")},
+        {"_n": F.count("confidence"), "avg_proba": F.avg("confidence"), "std_proba": F.stddev_samp("confidence")},
         chunk=chunk,
     )
     full = F.col("_n") == size

@@ -96,10 +96,14 @@ USER_PROMPT = "Voici le texte à classifier:\n{text}"
 METHODS = tuple(METHOD_PROMPTS)
 
 
-def output_format(k: int = 3, literal: bool = False) -> str:
-    """Answer format for ``k`` classes. ``literal`` leaves the class number unfilled, as older prompts have it."""
-    value = "categorie_{i}"
-    return json.dumps({f"Classe_{i}": value if literal else value.format(i=i) for i in range(1, k + 1)})
+def output_format(k: int = 3, legacy: bool = False) -> str:
+    """Answer format for ``k`` classes as JSON.
+
+    ``legacy`` prints a Python dictionary whose values keep their unfilled number.
+    """
+    if legacy:
+        return str({f"Classe_{i}": "categorie_{i}" for i in range(1, k + 1)})
+    return json.dumps({f"Classe_{i}": f"categorie_{i}" for i in range(1, k + 1)})
 
 
 def fill(template: str, categories, k: int = 3, answer: str | None = None) -> str:
@@ -114,9 +118,13 @@ def around_text(template: str, text: Column) -> Column:
     return F.concat(F.lit(before), text, F.lit(after))
 
 
+def _spaced(k: int) -> str:
+    return "{ " + output_format(k)[1:-1] + " }"
+
+
 def micro_prompt(text: Column, categories=DISPLAY_NAMES, k: int = 3) -> Column:
     """Prompt asking for up to ``k`` ranked classes."""
-    return around_text(fill(MICRO_PROMPT, categories, k), text)
+    return around_text(fill(MICRO_PROMPT, categories, k, _spaced(k)), text)
 
 
 def macro_prompt(text: Column, categories=MACRO_CODES) -> Column:
@@ -130,20 +138,21 @@ def single_label_prompt(text: Column, categories=DISPLAY_NAMES) -> Column:
 
 
 def method_message(
-    method: str, n_shots: int = 0, examples: dict[str, list[str]] | None = None, categories=DISPLAY_NAMES, k: int = 3
-) -> str:
+    method: str, n_shots: int = 0, examples: dict[str, list[str]] | None = None, categories=DISPLAY_NAMES, k: int = 3,
+    legacy: bool = False,
+) -> str:
     """Instructions of a prompt method followed by its first ``n_shots`` examples."""
     if method not in METHOD_PROMPTS:
         raise ValueError(f"unknown prompt method: {method}; choose one of {METHODS}")
     shots = (examples or {}).get(method, [])[:n_shots]
-    return fill(METHOD_PROMPTS[method], categories, k) + "\n".join(shots)
+    return fill(METHOD_PROMPTS[method], categories, k, output_format(k, legacy)) + "\n".join(shots)
 
 
 def prompt_table(
     texts: DataFrame,
     *keep: str,
     text: str = "text",
-    models=("ministral8b",),
+    models=("model",),
     methods=METHODS,
     shots=(0, 1),
     examples: dict[str, list[str]] | None = None,
@@ -184,7 +193,7 @@ def training_text(
     answer = F.concat(
         F.lit('{"Classe_1": "'), one, F.lit('",\n"Classe_2": "'), two, F.lit('",\n"Classe_3": "'), three, F.lit('"}\n')
     )
-    return F.concat(around_text(fill(TRAINING_PROMPT, categories), text), answer)
+    return F.concat(around_text(fill(TRAINING_PROMPT, categories, answer=_spaced(3)), text), answer)
 
 
 def training_table(annotations: DataFrame, *keep: str, text: str = "description", categories=DISPLAY_NAMES) -> DataFrame:

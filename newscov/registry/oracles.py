@@ -236,9 +236,11 @@ def _around(template: str, text: str) -> str:
 
 
 _GRID = [
-    ("ministral8b", method, n, P.method_message(method, n, Q.EXAMPLES)) for method in P.METHODS for n in (0, 1)
+    ("model", method, n, P.method_message(method, n, Q.EXAMPLES)) for method in P.METHODS for n in (0, 1)
 ]
 
+_SPACED = '{ "Classe_1": "categorie_1", "Classe_2": "categorie_2", "Classe_3": "categorie_3" }'
+
 _ANSWER = (
     """concat('{"Classe_1": "', coalesce(label_1, 'None'), '",', chr(10), '"Classe_2": "', """
     """coalesce(label_2, 'None'), '",', chr(10), '"Classe_3": "', coalesce(label_3, 'None'), '"}', chr(10))"""
@@ -368,11 +370,11 @@ SELECT count(*) FILTER (WHERE (prediction_label_1 IS NOT NULL AND {_code("predic
 FROM predictions""",
     "hallucinations_legacy": f"""WITH {LISTS}
 SELECT count(*) FILTER (WHERE list_contains(predicted, 'N/A')) AS hallucinations FROM lists""",
-    "metrics_by_run": f"""WITH {LISTS}, runs AS (SELECT *, concat('ministral8b_', {_RUN}) AS source FROM lists)
+    "metrics_by_run": f"""WITH {LISTS}, runs AS (SELECT *, concat('modela_', {_RUN}) AS source FROM lists)
 SELECT k AS source, * EXCLUDE (k) FROM {_metrics("runs", "source")}
 UNION ALL SELECT * FROM {_values([PUBLISHED_RUN], "source, precision, recall, f1, top1, top3, unsure")}""",
-    "run_manifest": f"""SELECT DISTINCT concat('./runs/predictions_141articles_ministral8b_', {_RUN}, '.csv') AS path,
-       concat('ministral8b_', {_RUN}) AS source FROM documents""",
+    "run_manifest": f"""SELECT DISTINCT concat('./runs/articles_modela_', {_RUN}, '.csv') AS path,
+       concat('modela_', {_RUN}) AS source FROM documents""",
     "confusion": f"""WITH {SCORED}
 SELECT label AS actual, count(*) FILTER (WHERE predicted = 0) AS predicted_0,
        count(*) FILTER (WHERE predicted = 1) AS predicted_1 FROM scored GROUP BY 1""",
@@ -435,12 +437,12 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC
 SELECT doc_id, word, weight, rank FROM ranked WHERE rank <= 3""",
     "prompt_table": f"""SELECT doc_id, {_around(P.USER_PROMPT, "text")} AS user_message, model, prompt_method, n_shots, system_message
 FROM documents, {_values(_GRID, "model, prompt_method, n_shots, system_message")}""",
-    "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES), "text")} AS micro,
+    "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES, answer=_SPACED), "text")} AS micro,
        {_around(P.fill(P.MACRO_PROMPT, MACRO_CODES, answer='{ "Classe_1": "categorie"}'), "text")} AS macro,
        concat({_q(P.fill(P.SINGLE_LABEL_PROMPT, DISPLAY_NAMES))}, chr(10), {_around(P.USER_PROMPT, "text")}) AS single
 FROM documents""",
     "training_table": f"""WITH {PREDICTIONS}
-SELECT doc_id, concat({_around(P.fill(P.TRAINING_PROMPT, DISPLAY_NAMES), "description")}, {_ANSWER}) AS training_text
+SELECT doc_id, concat({_around(P.fill(P.TRAINING_PROMPT, DISPLAY_NAMES, answer=_SPACED), "description")}, {_ANSWER}) AS training_text
 FROM predictions""",
     "batch_scores": f"SELECT doc_id, {_name('length(text)')} AS prediction_label_1 FROM documents",
     "refined_scores": f"""WITH first AS (

@@ -229,7 +229,7 @@ def hallucinations_legacy(spark, sf_dir):
 
 def _run_predictions(spark, sf_dir) -> DataFrame:
     method = F.element_at(F.array(*map(F.lit, ("COT_0shots", "CARP_0shots", "COT_1shots"))), F.expr("CAST(doc_id % 3 + 1 AS INT)"))
-    path = F.concat(F.lit("./runs/predictions_141articles_ministral8b_"), method, F.lit(".csv"))
+    path = F.concat(F.lit("./runs/articles_modela_"), method, F.lit(".csv"))
     return V.predictions(spark, sf_dir).withColumn("path", path)
 
 

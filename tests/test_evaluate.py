@@ -57,8 +57,8 @@ def macro_run(spark):
 
 
 def test_published_macro_metrics(macro_run):
-    run = macro_run.withColumn("source", F.lit("Macro-lora-8B-1-cat"))
-    assert tuple(evaluate_runs(run, macro=True).first()) == ("Macro-lora-8B-1-cat", 74.44, 31.48, 36.65, 54.84, 54.84)
+    run = macro_run.withColumn("source", F.lit("macro run"))
+    assert tuple(evaluate_runs(run, macro=True).first()) == ("macro run", 74.44, 31.48, 36.65, 54.84, 54.84)
 
 
 def test_published_macro_counts(macro_run):
@@ -131,9 +131,9 @@ def test_hallucinations(spark):
 
 
 def test_metrics_by_run(macro_run):
-    runs = macro_run.withColumn("path", F.lit("a/predictions_141articles_ministral8b_COT_1shots.csv"))
+    runs = macro_run.withColumn("path", F.lit("a/articles_modela_COT_1shots.csv"))
     rows = {r.source: r for r in E.metrics_by_run(runs).collect()}
-    assert set(rows) == {"ministral8b_COT_1shots", "chatgpt_ancien"}
+    assert set(rows) == {"modela_COT_1shots", "chatgpt_ancien"}
     assert tuple(rows["chatgpt_ancien"])[1:] == (51.64, 54.25, 46.51, 63.04, 81.88, 1.45)
     assert E.runs(runs).count() == 1
 

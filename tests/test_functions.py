@@ -160,8 +160,8 @@ def test_class_names_keep_placeholder(spark, plan):
 
 
 def test_run_name(spark):
-    raw = ["a/b/predictions_2024_Micro-lora-8B.csv", "x.csv"]
-    assert values(spark, A.run_name, raw) == ["Micro-lora-8B", "x"]
-    assert values(spark, lambda x: A.run_name(x, 3), ["p/predictions_ministral8b_COT_1shots.csv", "a_b.csv"]) == [
-        "ministral8b_COT_1shots", "a_b",
+    raw = ["a/b/predictions_2024_Model-8B.csv", "x.csv"]
+    assert values(spark, A.run_name, raw) == ["Model-8B", "x"]
+    assert values(spark, lambda x: A.run_name(x, 3), ["p/predictions_modela_COT_1shots.csv", "a_b.csv"]) == [
+        "modela_COT_1shots", "a_b",
     ]

@@ -15,7 +15,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def test_output_format():
     assert prompts.output_format(2) == '{"Classe_1": "categorie_1", "Classe_2": "categorie_2"}'
-    assert prompts.output_format(1, literal=True) == '{"Classe_1": "categorie_{i}"}'
+    assert prompts.output_format(1, legacy=True) == "{'Classe_1': 'categorie_{i}'}"
 
 
 def test_prompts_hold_text_and_categories(spark):
