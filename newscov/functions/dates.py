@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from newscov.taxonomy import FRENCH_MONTHS
 
-_SLASHED = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
+_YEAR_LAST = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4})(.*)$"
+_YEAR_FIRST = r"^\s*(\d{4})/(\d{1,2})/(\d{1,2})(.*)$"
 
 
-def parse_mixed(text: Column) -> Column:
+def parse_mixed(text: Column, formats: tuple[str, ...] = ()) -> Column:
     """Timestamp from ISO or slashed text; slashes are month-first unless that is no date.
 
-    Anything else gives null. Casts are used instead of format strings: a failed
-    cast is a plain null, a failed format costs an exception per row.
+    Anything else is tried against ``formats`` and gives null if none fits. Casts come
+    before format strings: a failed cast is a plain null, a failed format costs an
+    exception per row.
     """
-    month_first = F.regexp_replace(text, _SLASHED, "$3-$1-$2$4")
-    day_first = F.regexp_replace(text, _SLASHED, "$3-$2-$1$4")
-    return F.coalesce(month_first.try_cast("timestamp_ntz"), day_first.try_cast("timestamp_ntz"))
+    rewrites = ((_YEAR_LAST, "$3-$1-$2$4"), (_YEAR_LAST, "$3-$2-$1$4"), (_YEAR_FIRST, "$1-$2-$3$4"))
+    read = [text] + [F.regexp_replace(text, pattern, iso) for pattern, iso in rewrites]
+    read += [F.try_to_timestamp(text, F.lit(f)) for f in formats]
+    return F.coalesce(*[value.try_cast("timestamp_ntz") for value in read])
 
 
 def parse_date_part(text: Column) -> Column:

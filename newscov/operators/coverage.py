@@ -19,12 +19,12 @@ from newscov.taxonomy import OUTLET_COLOURS
 EVERY = "Tous"  # filter value that means "no filter"
 
 
-def dated_articles(articles: DataFrame) -> DataFrame:
+def dated_articles(articles: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     """Check for ``date`` and ``label`` and parse textual dates; unreadable dates become null."""
     require_columns(articles, "date", "label")
     if dict(articles.dtypes)["date"] != "string":
         return articles
-    return articles.withColumn("date", parse_mixed(F.col("date")))
+    return articles.withColumn("date", parse_mixed(F.col("date"), formats))
 
 
 def with_date_parts(articles: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from newscov.operators import detect, splits
 from newscov.operators.evaluate import class_weights, split_total
 from newscov.sources.readers import read_any
-from newscov.sources.sinks import write_result, write_run_parameters, write_splits
+from newscov.sources.sinks import run_id, write_result, write_run_parameters, write_splits
 
 
 def train_detector(
@@ -24,13 +24,26 @@ def train_detector(
         write_splits(split, f"{folder}/splits")
         epochs = options.get("max_iter", detect.MAX_ITER)
         write_run_parameters(spark, f"{folder}/params", weights, total, epoch=epochs)
-    return detector, detect.evaluate(detect.predict(detector, test, text), label)
+    reports = detect.evaluate(detect.predict(detector, test, text), label)
+    if folder is not None:
+        write_reports(reports, folder)
+    return detector, reports
+
+
+def write_reports(reports: dict[str, DataFrame], folder: str) -> None:
+    """Store every evaluation table under its name."""
+    for name, report in reports.items():
+        write_result(report, f"{folder}/{name}")
 
 
 def detect_file(
-    spark: SparkSession, path: str, detector: detect.Detector, row_id: str, out: str, text: str = "text"
-) -> DataFrame:
-    """Score the texts of a file and store them with label, confidence and salient words."""
-    scored = detect.predict(detector, read_any(spark, path), text, row_id)
-    write_result(scored, out)
-    return spark.read.parquet(out)
+    spark: SparkSession, path: str, detector: detect.Detector, row_id: str, folder: str,
+    text: str = "text", label: str | None = None, run: str | None = None,
+) -> DataFrame:
+    """Score the texts of a file and store them under a run id, with reports when labels are given."""
+    target = f"{folder}/{run or run_id()}"
+    write_result(detect.predict(detector, read_any(spark, path), text, row_id), f"{target}/inference")
+    scored = spark.read.parquet(f"{target}/inference")
+    if label is not None:
+        write_reports(detect.evaluate(scored, label), target)
+    return scored

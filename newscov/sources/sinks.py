@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscov.functions.dates import period_start
 from newscov.schemas import RUN_PARAMETERS
@@ -27,7 +28,10 @@ def run_file_name(model: str, prompt_method: str, n_shots: int, recursive: bool
 
 
 def write_result(df: DataFrame, path: str, kind: str = "parquet") -> None:
-    """Replace the table at ``path``; ``csv`` writes a header and quotes like the readers expect."""
+    """Replace the table at ``path``; ``csv`` has a header, quotes like the readers expect and lists as JSON."""
+    if kind == "csv":
+        nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+        df = df.withColumns({name: F.to_json(name) for name in nested})
     writer = df.write.mode("overwrite")
     if kind == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')

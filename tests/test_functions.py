@@ -24,6 +24,13 @@ def test_mixed_dates(spark):
     ]
 
 
+def test_more_date_formats(spark):
+    raw = ["2024/05/06 07:00", "2024-05-06T07:00:00.5", "06.05.2024", "x"]
+    assert values(spark, lambda x: D.parse_mixed(x, ("dd.MM.yyyy",)), raw) == [
+        datetime(2024, 5, 6, 7), datetime(2024, 5, 6, 7, 0, 0, 500000), datetime(2024, 5, 6), None,
+    ]
+
+
 def test_date_part(spark):
     raw = ["2024-05-06 10:00:00", "2024-05-06", "juil-24", None]
     assert values(spark, D.parse_date_part, raw) == [date(2024, 5, 6), date(2024, 5, 6), None, None]

@@ -44,6 +44,12 @@ def test_round_trips(spark, tmp_path):
         assert sorted((int(r.id), r.text) for r in back.collect()) == [(1, 'a "b",\nc'), (2, None)]
 
 
+def test_lists_in_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, ["a", "b"], {"k": None})], "id INT, words ARRAY<STRING>, answer MAP<STRING,STRING>")
+    sinks.write_result(df, str(tmp_path / "out"), "csv")
+    assert readers.read_articles(spark, str(tmp_path / "out")).first()["words"] == '["a","b"]'
+
+
 def test_lexicon(tmp_path):
     path = tmp_path / "topics.toml"
     path.write_text('[solution]\nsolaire = ["panneau", "Soleil"]\n[cause]\ngaz = ["co2"]\n', encoding="utf-8")
@@ -106,6 +112,10 @@ def test_detection_from_file(spark, tmp_path):
     params = json.loads(next(Path(tmp_path / "run/params").glob("*.json")).read_text())
     assert params["len_dataset"] == 120 and params["weights"] == pytest.approx([0.75, 1.5])
     assert spark.read.parquet(str(tmp_path / "run/splits")).groupBy("split").count().count() == 3
+    assert spark.read.parquet(str(tmp_path / "run/report")).count() == 5
     texts.write.parquet(str(tmp_path / "in.parquet"))
-    scored = detect_file(spark, str(tmp_path / "in.parquet"), detector, "id", str(tmp_path / "scored"))
+    source, out = str(tmp_path / "in.parquet"), str(tmp_path / "out")
+    scored = detect_file(spark, source, detector, "id", out, label="label", run="r1")
     assert scored.count() == 120 and scored.where("climate_related <> label").count() == 0
+    assert spark.read.parquet(f"{out}/r1/inference").count() == 120
+    assert spark.read.parquet(f"{out}/r1/confusion").count() == 2
