@@ -45,13 +45,15 @@ def class_names(answer: Column, placeholder: str | None = None) -> list[Column]:
     """The three class names of a parsed answer.
 
     Null for an unreadable answer or a null value. A missing key gives null, or
-    ``placeholder`` where the caller wants such answers kept.
+    ``placeholder`` where the caller wants such answers kept. Of a repeated key the
+    last value counts; a plain map lookup would take the first.
     """
     out = []
     for key in CLASS_KEYS:
-        value = F.try_element_at(answer, F.lit(key))
+        entries = F.filter(F.map_entries(answer), lambda entry: entry["key"] == key)
+        value = F.try_element_at(entries, F.lit(-1))["value"]
         if placeholder is not None:
-            value = F.when(~F.map_contains_key(answer, key), F.lit(placeholder)).otherwise(value)
+            value = F.when(F.size(entries) == 0, F.lit(placeholder)).otherwise(value)
         out.append(value)
     return out
 

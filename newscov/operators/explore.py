@@ -123,18 +123,16 @@ def category_by_month(rows: DataFrame, selection: list[str] | None = None) -> Da
 
     Without a selection the first three categories by name are taken.
     """
+    month = F.date_format("date", "MMM yyyy").alias("month")
     long = long_predictions(rows).where(F.col("category").isNotNull())
-    if selection is None:
-        firsts = long.select("category").distinct().orderBy("category").limit(3)
-        long = long.join(F.broadcast(firsts), "category", "left_semi")
-    else:
+    if selection is not None:
         long = long.where(F.col("category").isin(list(selection)))
-    return (
-        long.withColumn("month", F.date_format("date", "MMM yyyy"))
-        .where(F.col("month").isNotNull())
-        .groupBy("month", "category")
-        .agg(F.count("*").alias("n"))
-    )
+    counts = long.groupBy(month, "category").agg(F.count("*").alias("n"))
+    if selection is None:
+        # Ranked after counting: the unpartitioned window holds one row per month and category.
+        counts = counts.withColumn("_rank", F.dense_rank().over(Window.orderBy("category")))
+        counts = counts.where(F.col("_rank") <= 3).drop("_rank")
+    return counts.where(F.col("month").isNotNull())
 
 
 def themes_by_month(rows: DataFrame, selection: list[str] | None = None, legacy: bool = False) -> DataFrame:

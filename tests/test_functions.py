@@ -166,6 +166,12 @@ def test_class_names_keep_placeholder(spark, plan):
     assert plan(tables["complete"]).count("from_json(") == 1
 
 
+def test_last_of_a_repeated_key_counts(spark):
+    df = spark.createDataFrame([('{"Classe_1": "a", "Classe_2": "b", "Classe_2": "c"}',)], "x STRING")
+    row = with_classes(df, A.parse_json(F.col("x"))).first()
+    assert tuple(row)[1:] == ("a", "c", None)
+
+
 def test_run_name(spark):
     raw = ["a/b/predictions_2024_Model-8B.csv", "x.csv"]
     assert values(spark, A.run_name, raw) == ["Model-8B", "x"]
