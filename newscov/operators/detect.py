@@ -68,7 +68,7 @@ def fit_detector(
         return _with_tokens(_with_weights(kept, weights, label), text, language).drop(text)
 
     counter = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features)
-    counted = counter.transform(prepared(train)).persist(StorageLevel.DISK_ONLY)
+    counted = counter.transform(prepared(train)).drop("_tokens").persist(StorageLevel.DISK_ONLY)
     idf = IDF(inputCol="_tf", outputCol="_features").fit(counted)
     train_features = idf.transform(counted).select(label, "_weight", "_features")
     val_features = idf.transform(counter.transform(prepared(val))).select(label, "_weight", "_features")
