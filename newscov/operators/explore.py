@@ -25,8 +25,9 @@ HIDDEN_COLUMNS = (
 # --- end of fixed values -----------------------------------------------------------
 
 PAGE_SIZE = 100
-# Up to this many leading rows a page is taken by a top-n pass; deeper ones by position.
-TOP_N_ROWS = 50_000
+# Up to this many leading rows, which pass through one task, a page is taken by a top-n
+# pass; deeper ones by position.
+TOP_N_ROWS = 5_000
 
 
 def coded_predictions(predictions: DataFrame, columns=PREDICTION_COLUMNS) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.functions import answers as A
@@ -11,6 +11,8 @@ from newscov.operators.batches import Classifier, refined_scores, score_batches
 from newscov.operators.coverage import only_positive
 from newscov.operators.parse import with_classes
 from newscov.operators.splits import head_rows, tail_share
+from newscov.sources.readers import read_articles
+from newscov.sources.sinks import append_metrics
 from newscov.taxonomy import MACRO_CODES
 
 
@@ -48,6 +50,17 @@ def classify_with_method(
     return classes.withColumn("prediction_label", F.to_json("prediction_label"))
 
 
+def evaluate_files(
+    spark: SparkSession, path: str, macro: bool = False, name_parts: int = 1, sep: str = ",", out: str | None = None
+) -> DataFrame:
+    """Metrics of saved prediction files, one row per file name; ``out`` also appends them to a table."""
+    rows = read_articles(spark, path, sep=sep, path_column="_path")
+    metrics = evaluate_runs(rows.withColumn("source", A.run_name(F.col("_path"), name_parts)), macro)
+    if out is not None:
+        append_metrics(metrics, out)
+    return metrics
+
+
 def evaluate_runs(predictions: DataFrame, macro: bool = False, source: str = "source") -> DataFrame:
     """Metrics per run of evaluation rows tagged with their run name."""
     lists = evaluate.label_lists(evaluate.evaluation_columns(predictions, source), macro)

@@ -6,25 +6,28 @@ import tomllib
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_articles(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",", multi_line: bool = True
-) -> DataFrame:
+    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",", multi_line: bool = True,
+    path_column: str | None = None,
+) -> DataFrame:
     """Delimited text with a header, doubled quotes and, by default, line breaks inside quotes.
 
     Files with such line breaks cannot be split among tasks: keep them small or store
     them once as Parquet (``store_articles``). Pass ``multi_line=False`` when the texts
     have none. Without a schema every column is text, which saves a pass over the files;
-    with one, columns are matched by name.
+    with one, columns are matched by name. ``path_column`` adds the file each row is from.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
     rows = reader.option("multiLine", multi_line).csv(path)
-    if schema is None:
-        return rows
-    kinds = {f.name: f.dataType for f in schema.fields}
-    return rows.select(*[rows[f"`{c}`"].try_cast(kinds[c]).alias(c) if c in kinds else rows[f"`{c}`"] for c in rows.columns])
+    kinds = {} if schema is None else {f.name: f.dataType for f in schema.fields}
+    columns = [F.col(f"`{c}`").try_cast(kinds.get(c, T.StringType())).alias(c) for c in rows.columns]
+    if path_column is not None:
+        columns.append(F.col("_metadata.file_path").alias(path_column))
+    return rows.select(*columns)
 
 
 def read_any(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newscov.operators import evaluate as E
-from newscov.plans.classification import evaluate_runs
+from newscov.plans.classification import evaluate_files, evaluate_runs
 from newscov.schemas import EVALUATION_COLUMNS
 from newscov.taxonomy import MACRO_CODES, METRIC_CODES
 
@@ -61,6 +61,16 @@ def test_published_macro_metrics(macro_run):
     assert tuple(evaluate_runs(run, macro=True).first()) == ("macro run", 74.44, 31.48, 36.65, 54.84, 54.84)
 
 
+def test_published_macro_metrics_from_files(spark, macro_run, tmp_path):
+    for name in ("predictions_Macro-first", "predictions_Macro-second"):
+        macro_run.toPandas().to_csv(tmp_path / f"{name}.csv", index=False)
+    out = str(tmp_path / "metrics")
+    metrics = evaluate_files(spark, str(tmp_path / "*.csv"), macro=True, out=out)
+    rows = sorted(tuple(r) for r in metrics.collect())
+    assert rows == [(f"Macro-{n}", 74.44, 31.48, 36.65, 54.84, 54.84) for n in ("first", "second")]
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == rows
+
+
 def test_published_macro_counts(macro_run):
     counts = E.label_counts(E.label_lists(macro_run, macro=True), MACRO_CODES)
     assert {r.label: (r.hit, r.predicted, r.actual) for r in counts.collect()} == {

@@ -50,7 +50,7 @@ def test_hidden_columns_go(predictions):
         X.drop_required(predictions, "nothing")
 
 
-@pytest.mark.parametrize("top_n", [0, 50_000])
+@pytest.mark.parametrize("top_n", [0, 5_000])
 def test_pages(spark, monkeypatch, top_n):
     monkeypatch.setattr(X, "TOP_N_ROWS", top_n)
     rows = spark.range(250).withColumnRenamed("id", "n")
