@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newscov.functions.dates import month_name, parse_mixed, period_start
 from newscov.functions.labels import lookup
 from newscov.scale import attach_totals, key_totals, rolling_rows
-from newscov.schemas import require_columns
+from newscov.schemas import STORED_MONTH, require_columns
 from newscov.taxonomy import OUTLET_COLOURS
 
 EVERY = "Tous"  # filter value that means "no filter"
@@ -55,9 +55,15 @@ def in_outlet(articles: DataFrame, media: str = EVERY) -> DataFrame:
 
 
 def in_dates(articles: DataFrame, start: Date, end: Date) -> DataFrame:
-    """Rows from midnight of ``start`` up to midnight of ``end``; later on the end day is out."""
+    """Rows from midnight of ``start`` up to midnight of ``end``; later on the end day is out.
+
+    Of articles stored by month only the months in between are read.
+    """
     if start > end:
         raise ValueError("the end date lies before the start date")
+    if STORED_MONTH in articles.columns:
+        months = [F.lit(d.replace(day=1)) for d in (start, end)]
+        articles = articles.where(F.col(STORED_MONTH).between(*months))
     bounds = [F.lit(d.isoformat()).cast("timestamp_ntz") for d in (start, end)]
     return articles.where(F.col("date").between(*bounds))
 

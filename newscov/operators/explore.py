@@ -12,7 +12,7 @@ from newscov.functions.dates import month_number
 from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
 from newscov.operators.coverage import EVERY, in_outlet
 from newscov.scale import keys_between, order_key, with_position
-from newscov.schemas import PREDICTION_COLUMNS, require_columns
+from newscov.schemas import PREDICTION_COLUMNS, STORED_MONTH, require_columns
 from newscov.sources.inline import literal_rows
 from newscov.taxonomy import THEMES, explorer_codes
 
@@ -36,8 +36,11 @@ def coded_predictions(predictions: DataFrame, columns=PREDICTION_COLUMNS) -> Dat
 
 
 def in_month(predictions: DataFrame, month: str = EVERY) -> DataFrame:
-    """Rows of one month, given by its French name."""
-    return predictions if month == EVERY else predictions.where(F.month("date") == month_number(month))
+    """Rows of one month, given by its French name; of rows stored by month only that one is read."""
+    if month == EVERY:
+        return predictions
+    source = STORED_MONTH if STORED_MONTH in predictions.columns else "date"
+    return predictions.where(F.month(source) == month_number(month))
 
 
 def drop_hidden(predictions: DataFrame, macro: bool = False) -> DataFrame:

@@ -21,6 +21,9 @@ ANNOTATION_COLUMNS = ("label_1", "label_2", "label_3")
 PREDICTION_COLUMNS = ("prediction_label_1", "prediction_label_2", "prediction_label_3")
 EVALUATION_COLUMNS = ("description", *ANNOTATION_COLUMNS, *PREDICTION_COLUMNS)
 
+# Partition column of stored articles: first day of the month of ``date``.
+STORED_MONTH = "month_start"
+
 METRICS = _schema(
     source=_STRING, precision=_DOUBLE, recall=_DOUBLE, f1=_DOUBLE,
     top1=_DOUBLE, top3=_DOUBLE, unsure=_DOUBLE,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newscov.functions.dates import period_start
-from newscov.schemas import RUN_PARAMETERS
+from newscov.schemas import RUN_PARAMETERS, STORED_MONTH
 
 
 def run_id(at: datetime | None = None) -> str:
@@ -43,8 +43,8 @@ def store_articles(articles: DataFrame, path: str) -> None:
 
     The rebalance hint lets Spark split a month that holds most rows and merge small ones.
     """
-    months = articles.withColumn("month_start", period_start(F.col("date"), "month"))
-    months.hint("rebalance", "month_start").write.mode("overwrite").partitionBy("month_start").parquet(path)
+    months = articles.withColumn(STORED_MONTH, period_start(F.col("date"), "month"))
+    months.hint("rebalance", STORED_MONTH).write.mode("overwrite").partitionBy(STORED_MONTH).parquet(path)
 
 
 def write_runs(predictions: DataFrame, path: str) -> None:

@@ -1,12 +1,14 @@
 import json
-from datetime import datetime
+import re
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from newscov import schemas
-from newscov.operators.coverage import dated_articles
+from newscov.operators.coverage import dated_articles, in_dates
+from newscov.operators.explore import in_month
 from newscov.plans.dashboard import dashboard
 from newscov.plans.detection import detect_file, train_detector
 from newscov.sources import readers, sinks
@@ -71,6 +73,10 @@ def test_articles_are_stored_by_month(spark, plan, tmp_path):
     january = spark.read.parquet(str(tmp_path / "a")).where("month_start = DATE'2024-01-01'")
     assert january.count() == 2
     assert "PartitionFilters: [isnotnull(month_start" in plan(january)
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    for part, n in ((in_dates(stored, date(2024, 1, 5), date(2024, 2, 1)), 2), (in_month(stored, "Février"), 1)):
+        assert part.count() == n
+        assert re.search(r"PartitionFilters: \[[^]]*month_start[^]]*(>=|month\()", plan(part))
 
 
 def test_runs_are_stored_by_parameters(spark, tmp_path):
