@@ -276,14 +276,14 @@ SELECT n AS total_articles, round(share, 6) AS share, share > 10 AS above_thresh
 SELECT round(avg(label) * 100, 6) AS share, avg(label) * 100 > 10 AS above_threshold FROM articles
 WHERE date BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' AND media = 'media1'""",
     "filter_values": f"""SELECT DISTINCT 'media' AS filter, source AS value, 0 AS rank FROM documents
-UNION ALL SELECT DISTINCT 'month', {_match(map(str, range(1, 13)), FRENCH_MONTHS, "CAST(month(d) AS STRING)")}, month(d)
+UNION ALL SELECT DISTINCT 'month', {_match(map(str, range(1, 13)), FRENCH_MONTHS, "CAST(month(d) AS STRING)")}, CAST(month(d) AS INT)
 FROM (SELECT DATE '2024-01-01' + CAST(doc_id % 366 AS INT) AS d FROM documents)""",
     "parse_mixed_dates": f"""WITH {ARTICLES}
 SELECT article_id, label,
        strftime(coalesce(try_cast(raw_date AS TIMESTAMP), try_strptime(raw_date, '%m/%d/%Y')), '%Y-%m-%d %H:%M:%S') AS date
 FROM articles""",
     "date_parts": f"""WITH {ARTICLES}
-SELECT article_id, year(date) AS year, month(date) AS month, day(date) AS day,
+SELECT article_id, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day,
        CAST(try_cast(split_part(raw_date, ' ', 1) AS DATE) AS STRING) AS date_part,
        CAST(CAST(date_trunc('month', date) AS DATE) AS STRING) AS month_start,
        strftime(date, '%b %Y') AS month_label, strftime(date, '%Y-%m') AS month_key,
@@ -416,7 +416,7 @@ SELECT doc_id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM
     "chunk_text": """WITH numbered AS (
 SELECT doc_id, text, unnest(range(CASE WHEN length(text) >= 4999 THEN length(text) // 4999 + 1 ELSE 1 END)) AS chunk_no
 FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, chunk_no, substr(text, chunk_no * 4999 + 1, 4999) AS chunk FROM numbered""",
+SELECT doc_id, CAST(chunk_no AS INT) AS chunk_no, substr(text, chunk_no * 4999 + 1, 4999) AS chunk FROM numbered""",
     "topic_tags": rf"""WITH found AS (
 SELECT doc_id, regexp_extract_all({_normalised("text")}, '[\p{{L}}\p{{N}}]+') AS words FROM documents),
 phrases AS (
@@ -427,14 +427,14 @@ SELECT doc_id, theme, subtheme, count(DISTINCT phrase) AS terms
 FROM phrases JOIN {_values([(a, b, T.normalise_word(c)) for a, b, c in Q.LEXICON], "theme, subtheme, term")} x ON phrase = x.term
 GROUP BY 1, 2, 3),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY terms DESC, subtheme, theme) AS rank FROM hits)
-SELECT doc_id, rank, theme, subtheme, terms FROM ranked WHERE rank <= 3""",
+SELECT doc_id, CAST(rank AS INT) AS rank, theme, subtheme, CAST(terms AS INT) AS terms FROM ranked WHERE rank <= 3""",
     "salient_words": f"""WITH {CLEAN}, counts AS (
 SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM clean) GROUP BY 1, 2),
 weighted AS (
 SELECT doc_id, word, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (count(*) OVER (PARTITION BY word) + 1)), 6) AS weight
 FROM counts),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, word) AS rank FROM weighted)
-SELECT doc_id, word, weight, rank FROM ranked WHERE rank <= 3""",
+SELECT doc_id, word, weight, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 3""",
     "prompt_table": f"""SELECT doc_id, {_around(P.USER_PROMPT, "text")} AS user_message, model, prompt_method, n_shots, system_message
 FROM documents, {_values(_GRID, "model, prompt_method, n_shots, system_message")}""",
     "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES, answer=_SPACED), "text")} AS micro,
