@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens
@@ -22,6 +22,8 @@ from newscov.schemas import require_columns
 CANDIDATE_PENALTIES = (0.01, 0.1)
 MAX_ITER = 10
 
+DETECTOR_RECORD = "language STRING, losses MAP<DOUBLE, DOUBLE>"
+
 
 @dataclass
 class Detector:
@@ -89,6 +91,19 @@ def fit_detector(
     return Detector(PipelineModel([counter, idf, fitted[best]]), language, losses)
 
 
+def save_detector(detector: Detector, spark: SparkSession, path: str) -> None:
+    """Store a detector, so that scoring can be a job of its own."""
+    detector.model.write().overwrite().save(f"{path}/model")
+    record = spark.createDataFrame([(detector.language, detector.losses)], DETECTOR_RECORD)
+    record.coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
+
+
+def load_detector(spark: SparkSession, path: str) -> Detector:
+    """A detector stored by ``save_detector``."""
+    record = spark.read.parquet(f"{path}/record").first()
+    return Detector(PipelineModel.load(f"{path}/model"), record["language"], record["losses"])
+
+
 def predict(detector: Detector, texts: DataFrame, text: str = "text", row_id: str | None = None) -> DataFrame:
     """Add ``climate_related`` and ``confidence``, and with ``row_id`` the three ``top_words``."""
     texts = drop_empty_text(texts, text)

@@ -13,7 +13,7 @@ from newscov.sources.sinks import run_id, write_result, write_run_parameters, wr
 def train_detector(
     texts: DataFrame, row_id: str, folder: str | None = None, text: str = "text", label: str = "label", **options
 ) -> tuple[detect.Detector, dict[str, DataFrame]]:
-    """Split, fit and evaluate on the test part; with ``folder`` also store splits and parameters."""
+    """Split, fit and evaluate on the test part; with ``folder`` also store splits, model, parameters and reports."""
     split = splits.stratified_split(detect.drop_empty_text(texts, text), row_id, label)
     train, val, test = (split.where(split["split"] == name) for name in splits.SPLITS)
     detector = detect.fit_detector(train, val, text, label, **options)
@@ -22,6 +22,7 @@ def train_detector(
         weights = [row["weight"] for row in class_weights(train, label).orderBy(label).collect()]  # one per class
         total = split_total(splits.split_sizes(split, label)).first()["len_dataset"]
         write_splits(split, f"{folder}/splits")
+        detect.save_detector(detector, spark, f"{folder}/detector")
         epochs = options.get("max_iter", detect.MAX_ITER)
         write_run_parameters(spark, f"{folder}/params", weights, total, epoch=epochs)
     reports = detect.evaluate(detect.predict(detector, test, text), label)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from newscov import schemas
 from newscov.operators.coverage import dated_articles, in_dates
+from newscov.operators.detect import load_detector
 from newscov.operators.explore import in_month
 from newscov.plans.dashboard import dashboard
 from newscov.plans.detection import detect_file, train_detector
@@ -120,6 +121,8 @@ def test_detection_from_file(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "run/splits")).groupBy("split").count().count() == 3
     assert spark.read.parquet(str(tmp_path / "run/report")).count() == 5
     texts.write.parquet(str(tmp_path / "in.parquet"))
+    detector = load_detector(spark, str(tmp_path / "run/detector"))
+    assert set(detector.losses) == {0.01, 0.1} and detector.language == "french"
     source, out = str(tmp_path / "in.parquet"), str(tmp_path / "out")
     scored = detect_file(spark, source, detector, "id", out, label="label", run="r1")
     assert scored.count() == 120 and scored.where("climate_related <> label").count() == 0
