@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,10 +56,13 @@ def indicators(labels: Column, codes: list[str]) -> list[Column]:
 
 
 def any_in(columns: list[str], selection: list[str]) -> Column:
-    """True if any of the columns holds a selected value; nulls never match."""
-    return F.exists(F.array(*columns), lambda c: F.coalesce(c.isin(list(selection)), F.lit(False)))
+    """Filter for rows where any of the columns holds a selected value; null alone is no match.
+
+    Plain comparisons, so that stored columns are filtered in the scan.
+    """
+    return reduce(or_, [F.col(c).isin(list(selection)) for c in columns])
 
 
 def all_in(columns: list[str], allowed: list[str]) -> Column:
-    """True if every non-null column value is allowed."""
-    return F.forall(F.array(*columns), lambda c: c.isNull() | c.isin(list(allowed)))
+    """Filter for rows where every non-null column value is allowed."""
+    return reduce(and_, [F.col(c).isNull() | F.col(c).isin(list(allowed)) for c in columns])

@@ -104,6 +104,8 @@ SELECT doc_id, DATE '2024-01-01' + CAST(doc_id % 366 AS INT) AS date, source AS
             ELSE {_name("doc_id * 17 + 4")} END AS prediction_label_3
 FROM documents)"""
 
+GAPPY = "gappy AS (SELECT doc_id, CASE WHEN n_chars >= 200 THEN text END AS text FROM documents)"
+
 EXPLORER = PREDICTIONS + f""", coded AS (
 SELECT doc_id, date, media, label_1, label_2, label_3,
        {_explorer_code("prediction_label_1")} AS prediction_label_1,
@@ -131,13 +133,14 @@ FROM predictions)"""
 RESPONSES = f"""responses AS (
 SELECT conv_id, turn, {_name("conv_id * 3 + turn")} AS one, {_name("conv_id * 5 + turn * 2")} AS two,
        (conv_id + turn) % 5 AS kind,
-       concat('{{x}} ', {_q(ANSWER_MARKER)}, substr(replace(replace(text, '{{', '('), '}}', ')'), 1, 40), ' ',
+       concat(replace(replace(text, '{{', '('), '}}', ')'), ' ',
          CASE kind
            WHEN 0 THEN concat('{{"Classe_1": "', one, '", "Classe_2": "', two, '", "Classe_3": "Pollution"}}')
            WHEN 1 THEN concat('{{"Classe_1": "', one, '"}} {{"Classe_1": "Pollution"}}')
            WHEN 2 THEN concat('{{"Classe_1": ', one, '}}')
            WHEN 3 THEN 'sans accolades'
-           ELSE concat('{{"Classe_1": "', one, '", "Classe_2": null}}') END) AS response
+           ELSE concat('{{"Classe_1": "', one, '", "Classe_2": null}}') END) AS bare,
+       concat('{{x}} ', {_q(ANSWER_MARKER)}, bare) AS response
 FROM conversations)"""
 
 BLOCKS = RESPONSES + f""", blocks AS (
@@ -289,9 +292,9 @@ SELECT article_id, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS
        strftime(date, '%b %Y') AS month_label, strftime(date, '%Y-%m') AS month_key,
        {_list(FRENCH_MONTHS)}[CAST(month(date) AS INT)] AS month_name
 FROM articles""",
-    "null_text_report": """SELECT count(*) AS rows, count(*) FILTER (WHERE doc_id % 17 = 0 OR text IS NULL) AS null_texts
-FROM documents""",
-    "drop_empty_text": "SELECT doc_id, text FROM documents WHERE doc_id % 17 <> 0 AND text IS NOT NULL",
+    "null_text_report": f"""WITH {GAPPY}
+SELECT count(*) AS rows, count(*) - count(text) AS null_texts FROM gappy""",
+    "drop_empty_text": f"WITH {GAPPY} SELECT doc_id, text FROM gappy WHERE text IS NOT NULL",
     "per_date_counts": f"""WITH {ARTICLES}
 SELECT article_id, CAST(CAST(date AS DATE) AS STRING) AS date, label,
        count(*) OVER (PARTITION BY CAST(date AS DATE)) AS number_articles,
@@ -345,8 +348,9 @@ SELECT conv_id, turn, block, readable,
     "answer_classes": f"""WITH {BLOCKS}, classes AS (SELECT conv_id, turn, {_PLACEHOLDER} FROM checked WHERE readable)
 SELECT * FROM classes
 WHERE prediction_label_1 IS NOT NULL AND prediction_label_2 IS NOT NULL AND prediction_label_3 IS NOT NULL""",
-    "api_answers": f"""WITH {RESPONSES}
-SELECT conv_id, turn, '{{x}}' AS block, FALSE AS readable FROM responses""",
+    "api_answers": f"""WITH {RESPONSES}, first AS (
+SELECT conv_id, turn, concat('{{', regexp_extract(bare, '\\{{([^}}]*)', 1), '}}') AS block FROM responses)
+SELECT conv_id, turn, block, json_valid(block) AS readable FROM first""",
     "repr_answers": f"""WITH {RESPONSES}
 SELECT conv_id, turn, one AS prediction_label_1, two AS prediction_label_2,
        CASE WHEN kind = 4 THEN NULL ELSE 'Pollution' END AS prediction_label_3 FROM responses""",

@@ -19,6 +19,7 @@ from newscov.operators import batches, compare, coverage, detect, evaluate, expl
 from newscov.operators.parse import with_classes
 from newscov.registry import views as V
 from newscov.scale import with_position
+from newscov.schemas import PREDICTION_COLUMNS
 from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES
 
 # Words that occur in the test documents.
@@ -179,19 +180,21 @@ def parse_answers(spark, sf_dir):
 
 def answer_classes(spark, sf_dir):
     parsed = A.parse_json(A.marked_block(F.col("response")))
-    return with_classes(V.responses(spark, sf_dir), parsed, A.MISSING_KEY_MICRO, keep="complete").drop(
-        "response", "dictionary"
+    return with_classes(V.responses(spark, sf_dir), parsed, A.MISSING_KEY_MICRO, keep="complete").select(
+        "conv_id", "turn", *PREDICTION_COLUMNS
     )
 
 
 def api_answers(spark, sf_dir):
-    rows = V.responses(spark, sf_dir).select("conv_id", "turn", A.first_block(F.col("response")).alias("block"))
+    rows = V.responses(spark, sf_dir).select("conv_id", "turn", A.first_block(F.col("bare")).alias("block"))
     return rows.withColumn("readable", A.parse_json(F.col("block")).isNotNull())
 
 
 def repr_answers(spark, sf_dir):
     parsed = A.parse_repr(F.col("dictionary"))
-    return with_classes(V.responses(spark, sf_dir), parsed, keep="parsed").drop("response", "dictionary")
+    return with_classes(V.responses(spark, sf_dir), parsed, keep="parsed").select(
+        "conv_id", "turn", *PREDICTION_COLUMNS
+    )
 
 
 def _label_lists(macro: bool):

@@ -77,8 +77,9 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.lit("sans accolades"))
         .otherwise(F.format_string('{"Classe_1": "%s", "Classe_2": null}', one))
     )
-    lead = F.substring(F.translate("text", "{}", "()"), 1, 40)
-    response = F.concat(F.lit("{x} " + ANSWER_MARKER), lead, F.lit(" "), body)
+    lead = F.translate("text", "{}", "()")
+    bare = F.concat(lead, F.lit(" "), body)
+    response = F.concat(F.lit("{x} " + ANSWER_MARKER), bare)
 
     def printed(name: Column) -> Column:
         return F.when(name.contains("'"), F.concat(F.lit('"'), name, F.lit('"'))).otherwise(
@@ -91,7 +92,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(", 'Classe_3': "), third, F.lit("}"),
     )
     return table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", response.alias("response"), dictionary.alias("dictionary")
+        "conv_id", "turn", response.alias("response"), bare.alias("bare"), dictionary.alias("dictionary")
     )
 
 
@@ -104,7 +105,8 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gappy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).withColumn("text", F.when(F.col("doc_id") % 17 != 0, F.col("text")))
+    """Documents whose shortest texts count as missing."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN n_chars >= 200 THEN text END AS text"))
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,14 @@ def test_filters(predictions):
     assert ids(X.explorer_rows(predictions, categories=["pollution", "secheresse"])) == [1, 3]
 
 
+def test_filters_reach_the_scan(spark, predictions, plan, tmp_path):
+    predictions.write.parquet(str(tmp_path / "p"))
+    rows = X.explorer_rows(spark.read.parquet(str(tmp_path / "p")), media="TF1", selection=["secheresse"])
+    assert ids(rows) == [1, 2]
+    pushed = plan(rows).split("PushedFilters: ")[1].split("], ")[0]
+    assert "EqualTo(media,TF1)" in pushed and "prediction_label_1" in pushed
+
+
 def test_hidden_columns_go(predictions):
     assert "url" not in X.explorer_rows(predictions).columns
     macro = X.explorer_rows(predictions, macro=True)
