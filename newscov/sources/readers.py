@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tomllib
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ def read_any(spark: SparkSession, path: str, **options) -> DataFrame:
     return read_articles(spark, path, **options)
 
 
-def read_lexicon(path: str) -> list[tuple[str, str, str]]:
-    """Theme, subtheme and term of a TOML keyword file. A configuration file, read on the driver."""
-    tree = tomllib.loads(Path(path).read_text(encoding="utf-8"))
+def read_lexicon(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """Theme, subtheme and term of one TOML keyword file: configuration, parsed on the driver."""
+    tree = tomllib.loads(spark.read.text(path, wholetext=True).first()["value"])
     return [(theme, sub, term) for theme, subs in tree.items() for sub, terms in subs.items() for term in terms]

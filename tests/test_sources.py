@@ -53,10 +53,10 @@ def test_lists_in_csv(spark, tmp_path):
     assert readers.read_articles(spark, str(tmp_path / "out")).first()["words"] == '["a","b"]'
 
 
-def test_lexicon(tmp_path):
+def test_lexicon(spark, tmp_path):
     path = tmp_path / "topics.toml"
     path.write_text('[solution]\nsolaire = ["panneau", "Soleil"]\n[cause]\ngaz = ["co2"]\n', encoding="utf-8")
-    assert readers.read_lexicon(str(path)) == [
+    assert readers.read_lexicon(spark, str(path)) == [
         ("solution", "solaire", "panneau"), ("solution", "solaire", "Soleil"), ("cause", "gaz", "co2"),
     ]
 
