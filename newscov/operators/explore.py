@@ -14,7 +14,7 @@ from newscov.operators.coverage import EVERY, in_outlet
 from newscov.scale import keys_between, order_key, with_position
 from newscov.schemas import PREDICTION_COLUMNS, STORED_MONTH, require_columns
 from newscov.sources.inline import literal_rows
-from newscov.taxonomy import THEMES, explorer_codes
+from newscov.taxonomy import MACRO_CODES, THEMES, explorer_codes
 
 # --- fixed values: columns the explorer does not show ----------------------------
 HIDDEN_COLUMNS = (
@@ -30,6 +30,10 @@ PAGE_SIZE = 100
 TOP_N_ROWS = 5_000
 
 
+def _default_codes(macro: bool, legacy: bool = False) -> tuple[str, ...]:
+    return tuple(sorted(MACRO_CODES)) if macro else explorer_codes(legacy)
+
+
 def coded_predictions(predictions: DataFrame, columns=PREDICTION_COLUMNS) -> DataFrame:
     """Replace display names by codes in the prediction columns; unknown labels become null."""
     return predictions.withColumns({c: explorer_code_of(F.col(c)) for c in columns})
@@ -66,7 +70,7 @@ def explorer_rows(
     rows = drop_hidden(in_month(in_outlet(predictions, media), month), macro)
     if selection:
         rows = rows.where(any_in(columns, selection))
-    return rows.where(all_in(columns, categories or explorer_codes()))
+    return rows.where(all_in(columns, categories or _default_codes(macro)))
 
 
 def page(rows: DataFrame, number: int, order: list[str], size: int = PAGE_SIZE) -> DataFrame:
@@ -97,7 +101,7 @@ def category_counts(
 
     ``legacy`` lists the code shared by two names twice.
     """
-    spine_codes = categories or explorer_codes(legacy)
+    spine_codes = categories or _default_codes(macro, legacy)
     columns = PREDICTION_COLUMNS[:1] if macro else PREDICTION_COLUMNS
     counted = (
         long_predictions(rows, columns, keep=[])

@@ -125,5 +125,6 @@ def test_explorer_plan(spark):
     assert tables["page_info"].first()["total_rows"] == 4
     assert tables["category_share"].count() == 24
     assert tables["themes_by_month"].count() == 3 and tables["category_by_month"].count() == 3
-    macro = explorer(spark.createDataFrame([(*ROWS[0][:4], "energie", "x", None)], SCHEMA), ["id"], macro=True, categories=MACRO_CODES)
+    macro = explorer(spark.createDataFrame([(*ROWS[0][:4], "energie", "x", None)], SCHEMA), ["id"], macro=True)
     assert ids(macro["page"]) == [1] and "themes_by_month" not in macro
+    assert {r.category for r in macro["category_share"].collect()} == set(MACRO_CODES)
