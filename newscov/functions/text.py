@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +11,34 @@ UNACCENTED = "aaaaaaceeeeiiiinoooooouuuuyy"
 COMBINING_MARKS = "\u0300\u0301\u0302\u0303\u0308\u0327"
 LIGATURES = (("œ", "oe"), ("æ", "ae"), ("ß", "ss"))
 
+#: Spark's own lists, as text so that neither a session nor its jars are needed.
+STOP_WORDS = {
+    "french": """
+        au aux avec ce ces dans de des du elle en et eux il je la le les leur lui ma mais me même mes moi
+        mon ne nos notre nous on ou par pas pour qu que qui sa se ses son sur ta te tes toi ton tu un une
+        vos votre vous c d j l à m n s t y été étée étées étés étant étante étants étantes suis es est
+        sommes êtes sont serai seras sera serons serez seront serais serait serions seriez seraient étais
+        était étions étiez étaient fus fut fûmes fûtes furent sois soit soyons soyez soient fusse fusses fût
+        fussions fussiez fussent ayant ayante ayantes ayants eu eue eues eus ai as avons avez ont aurai
+        auras aura aurons aurez auront aurais aurait aurions auriez auraient avais avait avions aviez
+        avaient eut eûmes eûtes eurent aie aies ait ayons ayez aient eusse eusses eût eussions eussiez
+        eussent
+    """.split(),
+    "english": """
+        i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+        hers herself it its itself they them their theirs themselves what which who whom this that these
+        those am is are was were be been being have has had having do does did doing a an the and but if or
+        because as until while of at by for with about against between into through during before after
+        above below to from up down in out on off over under again further then once here there when where
+        why how all any both each few more most other some such no nor not only own same so than too very s
+        t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+        they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+        weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+        couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+        would
+    """.split(),
+}
+
 EXTRA_STOP_WORDS = {
     "french": ("apres", "comme", "selon", "nbsp", "jamais", "journal", "sujets", "theme", "televise"),
     "english": (
@@ -51,10 +78,10 @@ def words(text: Column) -> Column:
 
 
 def stop_words(language: str) -> list[str]:
-    """Spark's stop words for the language without accents, plus the project's own."""
+    """The language's stop words without accents, plus the project's own."""
     if language not in EXTRA_STOP_WORDS:
         raise ValueError(f"language not available: {language}; choose french or english")
-    plain = {normalise_word(w) for w in StopWordsRemover.loadDefaultStopWords(language)}
+    plain = {normalise_word(w) for w in STOP_WORDS[language]}
     return sorted(plain | set(EXTRA_STOP_WORDS[language]))
 
 

@@ -2,12 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
-
 from newscov.functions import text as T
 from newscov.functions.answers import ANSWER_MARKER, MISSING_KEY_MICRO
 from newscov.operators import prompts as P
@@ -207,15 +201,6 @@ def _metrics(lists: str, key: str, top: int = 3) -> str:
 SELECT k, precision, recall, f1, top1, top3, unsure FROM weighted JOIN plain USING (k))"""
 
 
-def _stop_words(language: str) -> list[str]:
-    """Spark's own list, read from its jar so that no session is needed."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as archive:
-        lines = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split("\n")
-    plain = {T.normalise_word(line.strip()) for line in lines if line.strip()}
-    return sorted(plain | set(T.EXTRA_STOP_WORDS[language]))
-
-
 def _normalised(column: str) -> str:
     expression = f"lower({column})"
     for ligature, letters in T.LIGATURES:
@@ -225,7 +210,7 @@ def _normalised(column: str) -> str:
 
 CLEAN = rf"""clean AS (
 SELECT doc_id, [w for w in regexp_extract_all({_normalised("text")}, '\p{{L}}+')
-                if NOT list_contains({_list(_stop_words("french"))}, w)] AS words
+                if NOT list_contains({_list(T.stop_words("french"))}, w)] AS words
 FROM documents)"""
 
 _RUN = "['COT_0shots', 'CARP_0shots', 'COT_1shots'][CAST(doc_id % 3 + 1 AS INT)]"
