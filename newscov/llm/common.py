@@ -6,11 +6,17 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import newscov
 from newscov.scale import use_checkpoint_dir
 
+# Functions that run in tasks travel as code, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(newscov)
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder that all executors reach."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import mixing, url_filter
+from newscov.llm import embedding_dedup, mixing, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -17,11 +17,19 @@ URL_RULES = (
 )
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host STRING, path STRING, verdict STRING")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(*warc.write_archives(table(spark, sf_dir, "pages")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(stored(sized, "mix-input"), size_column="size")
@@ -29,7 +37,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op7_url_filters": op7_url_filters,
+    "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
 LLM_SQL = {}
