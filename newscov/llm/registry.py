@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, mixing, url_filter, warc
+from newscov.llm import embedding_dedup, mixing, ngram_join, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -36,10 +36,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_documents(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_ngram_join": op10_ngram_join,
 }
 LLM_SQL = {}
