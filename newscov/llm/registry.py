@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, mixing, ngram_join, url_filter, warc
+from newscov.llm import embedding_dedup, mixing, ngram_join, quality, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -21,6 +21,22 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    rated = labels.select(F.col("doc_id").alias("id"), quality.rating(F.col("quality"), F.col("toxic")).alias("grade"))
+    return quality.fit_grades(docs.select(F.col("doc_id").alias("id"), "text"), rated)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.grades(docs, quality_model(spark, docs, sf_dir))
+    tails = F.col("tails")
+    return scored.select(
+        "doc_id", F.col("grade").alias("expected_grade"), tails[0].alias("not_toxic"), tails[1].alias("good"),
+        quality.selected(tails).alias("kept"),
+    )
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host STRING, path STRING, verdict STRING")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -42,6 +58,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op5_quality": op5_quality,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
