@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, mixing, ngram_join, quality, url_filter, warc
+from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, quality, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -21,6 +21,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     rated = labels.select(F.col("doc_id").alias("id"), quality.rating(F.col("quality"), F.col("toxic")).alias("grade"))
@@ -58,6 +62,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op5_quality": op5_quality,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
