@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, quality, url_filter, warc
+from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, packing, quality, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -21,6 +22,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
     "op5_quality": op5_quality,
     "op7_url_filters": op7_url_filters,
