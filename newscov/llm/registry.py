@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, packing, quality, url_filter, warc
+from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, packing, quality, repeats, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -30,6 +30,13 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "repeats.n_bytes", "repeats.n_removed", "repeats.n_spans", F.sha2("repeats.kept", 256).alias("kept_sha256")
+    )
+
+
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     rated = labels.select(F.col("doc_id").alias("id"), quality.rating(F.col("quality"), F.col("toxic")).alias("grade"))
@@ -69,6 +76,7 @@ LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
