@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, fingerprints, mixing, ngram_join, packing, quality, repeats, url_filter, warc
+from newscov.llm import embedding_dedup, fingerprints, html_text, mixing, ngram_join, packing, quality, repeats, url_filter, warc
 from newscov.llm.common import stored, table
 
 #: host, path, verdict
@@ -53,6 +53,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host STRING, path STRING, verdict STRING")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -78,6 +82,7 @@ LLM_QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
+    "op6_html_text": op6_html_text,
     "op7_url_filters": op7_url_filters,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
