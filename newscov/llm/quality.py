@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newscov.llm.common import stored, working_columns
+from newscov.llm.common import stored
 
 #: Grades from worst to best: toxic, poor, good.
 GRADES = 3
@@ -167,52 +167,60 @@ def fit_grades(docs: DataFrame, rated: DataFrame, most: int = MOST_RATED) -> Dat
     return stored(rows.mapInArrow(_fitted, "buckets BINARY, weights BINARY, thresholds ARRAY<DOUBLE>"), "quality-model")
 
 
-def _scored(buckets: bytes, values: bytes, thresholds: list[float]):
+def _scored(text_column: str, buckets: bytes, values: bytes, thresholds: list[float]):
     """Adds the expected grade and the probabilities of at least each grade."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.zeros(BUCKETS, np.float32)
         weights[np.frombuffer(buckets, np.int32)] = np.frombuffer(values, np.float32)
         tokens, known = Tokens(), {}
+
+        def value(token: str) -> tuple[float, list | None]:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            found, *flags = tokens[token]
+            known[token] = kind = (float(sum(weights[b] for b in found)), flags if any(flags) else None)
+            return kind
+
         for batch in batches:
-            scores = np.empty(len(batch))
-            for i, text in enumerate(batch.column("text")):
+            rows = batch.column("row")
+            scores = np.empty(len(rows))
+            for i, text in enumerate(rows.field(text_column)):
                 text = text.as_py()
                 words = text.split() if text else []
                 total, decorated, capitals, symbols, types = 0.0, 0, 0, 0, set(words)
                 for token in types:
-                    kind = known.get(token)
-                    if kind is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        found, *flags = tokens[token]
-                        kind = known[token] = (float(sum(weights[b] for b in found)), flags if any(flags) else None)
-                    total += kind[0]
-                    if kind[1]:
-                        decorated += kind[1][0]
-                        capitals += kind[1][1]
-                        symbols += kind[1][2]
+                    weight, flags = known.get(token) or value(token)
+                    total += weight
+                    if flags:
+                        decorated += flags[0]
+                        capitals += flags[1]
+                        symbols += flags[2]
                 shape = _shape(words, decorated, capitals, symbols, len(types))
                 scores[i] = total + SHAPE_WEIGHT * sum(float(weights[b]) for b in shape)
             tails = 1 / (1 + np.exp(np.clip(np.array(thresholds)[None, :] - scores[:, None], -60, 60)))
-            yield batch.drop_columns(["text"]).append_column("grade", pa.array(tails.sum(axis=1))).append_column(
-                "tails", pa.array(list(tails), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [rows, pa.array(tails.sum(axis=1)), pa.array(list(tails), pa.list_(pa.float64()))], ["row", "grade", "tails"]
             )
 
     return score
 
 
-def grades(docs: DataFrame, model: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id, grade, tails)`` of every row: the expected grade and P(grade >= k) for k from 1.
+def grades(docs: DataFrame, model: DataFrame, text_column: str = "text") -> DataFrame:
+    """All columns and ``rated(grade, tails)``: the expected grade and P(grade >= k) for k from 1.
 
     Null texts count as empty, which is a text of its own kind. An empty table gives an empty
-    result; repeated rows get equal grades; other columns are not read.
+    result; repeated rows get equal grades; a column called ``rated`` is replaced.
     """
     fitted = model.first()  # one row of bounded size
-    rows = working_columns(docs, **{"id": id_column, "text": text_column})
-    kind = docs.schema[id_column].dataType.simpleString()
-    scored = rows.mapInArrow(_scored(bytes(fitted.buckets), bytes(fitted.weights), list(fitted.thresholds)), f"id {kind}, grade DOUBLE, tails ARRAY<DOUBLE>")
-    return scored.withColumnRenamed("id", id_column)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "rated"]
+    rows = docs.select(F.struct(*kept).alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    scored = rows.mapInArrow(
+        _scored(text_column, bytes(fitted.buckets), bytes(fitted.weights), list(fitted.thresholds)),
+        f"row {kind}, grade DOUBLE, tails ARRAY<DOUBLE>",
+    )
+    return scored.select("row.*", F.struct("grade", "tails").alias("rated"))
 
 
 def selected(tails: Column, least: float = LEAST_LIKELY) -> Column:

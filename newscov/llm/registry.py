@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.llm import embedding_dedup, fingerprints, html_text, mixing, ngram_join, packing, quality, repeats, url_filter, warc
 from newscov.llm.common import stored, table
+from newscov.llm.stages import TOKENIZER, quality_model
 
 #: host, path, verdict
 URL_RULES = (
@@ -23,7 +23,7 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,18 +37,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels")
-    rated = labels.select(F.col("doc_id").alias("id"), quality.rating(F.col("quality"), F.col("toxic")).alias("grade"))
-    return quality.fit_grades(docs.select(F.col("doc_id").alias("id"), "text"), rated)
-
-
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.grades(docs, quality_model(spark, docs, sf_dir))
-    tails = F.col("tails")
+    tails = F.col("rated.tails")
     return scored.select(
-        "doc_id", F.col("grade").alias("expected_grade"), tails[0].alias("not_toxic"), tails[1].alias("good"),
+        "doc_id", F.col("rated.grade").alias("expected_grade"), tails[0].alias("not_toxic"), tails[1].alias("good"),
         quality.selected(tails).alias("kept"),
     )
 

@@ -373,10 +373,11 @@ def _cut(length: int):
                         removed += end - at
                     at = max(at, end)
                 kept.append(text[at:])
-                out.append((len(text), removed, n_spans, b"".join(kept)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                kept = b"".join(kept)
+                out.append((len(text), removed, n_spans, kept, kept.decode("utf-8", "ignore")))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays([rest.column("row"), *columns], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([rest.column("row"), *columns], ["row", "n_bytes", "n_removed", "n_spans", "kept", "text"])
 
     return remove
 
@@ -389,10 +390,11 @@ def remove_repeats(
     most_segments: int = MOST_SEGMENTS,
     shallow: int = SHALLOW,
 ) -> DataFrame:
-    """All columns but the text, and ``repeats(n_bytes, n_removed, n_spans, kept)``.
+    """All columns but the text, and ``repeats(n_bytes, n_removed, n_spans, kept, text)``.
 
     Removes each byte that lies in a string of ``length`` bytes which also starts at any other
-    place of any text. ``kept`` are the remaining bytes, ``n_spans`` the maximal removed runs.
+    place of any text. ``kept`` are the remaining bytes, ``text`` the whole characters among them,
+    ``n_spans`` the number of maximal removed runs.
 
     The suffix array is a sampled one: of each window one place, its anchor, which equal windows
     share. Only segments (runs of windows with one anchor) whose anchor comes again go on. Segments
@@ -453,5 +455,5 @@ def remove_repeats(
     )
     result = rows.join(spans, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie")), "left").select("row", "text", "spans")
     kind = rows.schema["row"].dataType.simpleString()
-    result = result.mapInArrow(_cut(length), f"row {kind}, n_bytes LONG, n_removed LONG, n_spans LONG, kept BINARY")
-    return result.select("row.*", F.struct("n_bytes", "n_removed", "n_spans", "kept").alias("repeats"))
+    result = result.mapInArrow(_cut(length), f"row {kind}, n_bytes LONG, n_removed LONG, n_spans LONG, kept BINARY, text STRING")
+    return result.select("row.*", F.struct("n_bytes", "n_removed", "n_spans", "kept", "text").alias("repeats"))

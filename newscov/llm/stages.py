@@ -1,23 +1,55 @@
-"""The stages of the corpus pipeline."""
+"""The stages of the corpus pipeline: each takes and returns documents, the last packed pieces."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newscov.llm import mixing
-from newscov.llm.common import stored, table
+from newscov.llm import mixing, ngram_join, packing, quality, repeats
+from newscov.llm.common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Model of the grades that ``labels`` gives: toxic, poor, good."""
+    labels = table(spark, sf_dir, "labels")
+    rated = labels.select(F.col("doc_id").alias("id"), quality.rating(F.col("quality"), F.col("toxic")).alias("grade"))
+    return quality.fit_grades(docs.select(F.col("doc_id").alias("id"), "text"), rated)
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are probably neither toxic nor poor."""
+    scored = quality.grades(docs, quality_model(spark, docs, sf_dir))
+    return scored.where(quality.selected(F.col("rated.tails"))).select(*docs.columns)
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it, so that sources reach their target shares."""
-    return mixing.mixture(mixing.mix(docs)).select(*docs.columns)
 
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links join, the one with the smallest id; all with a null id.
 
-STAGES = [("mixing sources to target weights", mixed)]
+    Rows that share an id and a text are one document. The ids that stay are joined to the
+    documents, so texts move once.
+    """
+    kept = ngram_join.near_documents(docs).where("kept AND doc_id IS NOT NULL")
+    ids = kept.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    stay = docs.join(ids, "doc_id").select(*docs.columns, "rows")
+    once = stay.where("rows = 1").drop("rows")
+    several = stay.where("rows > 1").drop("rows").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(several).unionByName(docs.where("doc_id IS NULL"))
+
+
+def unrepeated_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that repeat elsewhere; characters that lost a byte go too."""
+    cleaned = repeats.remove_repeats(docs).withColumn("text", F.col("repeats.text"))
+    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix draws it, so that sources reach their target shares."""
+    return mixing.mixture(mixing.mix(docs)).select(*docs.columns)
 
 
-def run_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-    return docs
+def packed_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document's tokens lies in which sequence."""
+    return packing.pack(docs, TOKENIZER)
