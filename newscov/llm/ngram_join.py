@@ -322,7 +322,8 @@ def near_documents(
     members = members.join(sizes, "component")
     members = stored(members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "forest-members")
 
-    texts = rows.join(members.drop("n"), rows["id"] == members["rep"]).select(
+    # a merge join at every size, as members grow with the documents
+    texts = rows.join(members.drop("n").hint("merge"), rows["id"] == members["rep"]).select(
         "text", "key", "rep", "copies", "component", "blocks", "block"
     )
     texts = texts.mapInArrow(

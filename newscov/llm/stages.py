@@ -33,7 +33,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     kept = ngram_join.near_documents(docs).where("kept AND doc_id IS NOT NULL")
     ids = kept.groupBy("doc_id").agg(F.count("*").alias("rows"))
-    stay = docs.join(ids, "doc_id").select(*docs.columns, "rows")
+    stay = docs.join(ids.hint("merge"), "doc_id").select(*docs.columns, "rows")
     once = stay.where("rows = 1").drop("rows")
     several = stay.where("rows > 1").drop("rows").dropDuplicates(["doc_id", "text"])
     return once.unionByName(several).unionByName(docs.where("doc_id IS NULL"))
