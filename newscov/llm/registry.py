@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, fingerprints, html_text, mixing, ngram_join, packing, quality, repeats, url_filter, warc
+from newscov.llm import embedding_dedup, fingerprints, html_text, mixing, ngram_join, oracles, packing, quality, repeats, url_filter, warc
 from newscov.llm.common import stored, table
 from newscov.llm.stages import TOKENIZER, quality_model
 
@@ -82,4 +82,9 @@ LLM_QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
 }
-LLM_SQL = {}
+LLM_SQL = {
+    "op1_embedding_dedup": oracles.OP1,
+    "op7_url_filters": oracles.url_filters(URL_RULES),
+    "op8_warc": oracles.OP8,
+    "op10_ngram_join": oracles.OP10,
+}
