@@ -60,6 +60,25 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             yield batch.slice(start)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as stored, with a ``node`` number that no two rows share."""
+    return stored(df.withColumn("node", F.monotonically_increasing_id()), name)
+
+
+def with_components(classes: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``(key, rep, copies, links, component)`` of all classes, from ``found(node, links, root)``.
+
+    ``links`` adds up what is known of a node, ``component`` is the smallest ``rep`` of the
+    classes that roots join; both are null for classes that nothing is known of.
+    """
+    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+    joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), name)
+    joined = joined.withColumnRenamed("component", "part")
+    known = classes.select("node", "key", "rep", "copies").join(joined, "node", "left").join(linked, "node", "left")
+    least = known.where("part IS NOT NULL").groupBy("part").agg(F.min("rep").alias("component"))
+    return known.join(least, "part", "left").select("key", "rep", "copies", "links", "component")
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``: the smallest node it can reach.
 

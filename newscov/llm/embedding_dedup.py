@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscov.llm.common import components, stored, working_columns
+from newscov.llm.common import numbered, stored, with_components, working_columns
 
 #: Vectors a tile holds on average, and tiles one task compares a tile with.
 TILE = 4_096
@@ -91,7 +91,7 @@ def _tile(kind: str):
         return pa.table({
             "tile": [group["tile"][0].as_py()], "dim": pa.array([rows.shape[1]], pa.int32()),
             "n": pa.array([len(rows)], pa.int32()), "center": [center.tobytes()], "radius": [radius],
-            "ids": [group["rep"].to_numpy().astype("<i8").tobytes()],
+            "ids": [group["node"].to_numpy().astype("<i8").tobytes()],
             "copies": [group["copies"].to_numpy().astype("<i8").tobytes()],
             "vectors": [b"".join(group["vector"].to_pylist())],
         })
@@ -235,7 +235,7 @@ def near_vectors(
     nearest of some pivots, a sample of at most ``MOST_PIVOTS`` of them, into tiles. Tiles whose
     cones lie further apart than the threshold's angle cannot hold links and are not compared;
     the rest are compared pair by pair. A task returns one row per linked vector, with its number
-    of links and the smallest id it is joined with there, so groups of copies never become pairs.
+    of links and the first vector it is joined with there, so groups of copies never become pairs.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
     id, link with nothing: they are their own component. Vectors of different lengths do not link.
@@ -255,18 +255,18 @@ def near_vectors(
         F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("dim").alias("dim"),
         F.any_value("vector").alias("vector"),
     )
-    unique = stored(unique, "vector-classes")
+    unique = numbered(unique, "vector-classes")
     total = unique.count()
     n_pivots = min(MOST_PIVOTS, max(1, total // tile))
     chosen = unique.orderBy(F.xxhash64("key"), "key").limit(n_pivots).select("dim", "vector").collect()
     pivots = {d: _unit([bytes(r.vector) for r in chosen if r.dim == d], kind) for d in {r.dim for r in chosen}}
-    celled = unique.select("rep", "copies", "dim", "vector").mapInArrow(
-        _nearest(kind, pivots), "rep LONG, copies LONG, dim INT, vector BINARY, cell LONG"
+    celled = unique.select("node", "copies", "dim", "vector").mapInArrow(
+        _nearest(kind, pivots), "node LONG, copies LONG, dim INT, vector BINARY, cell LONG"
     )
     celled = stored(celled, "vector-cells")
     sizes = celled.groupBy("dim", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks"))
     celled = celled.join(F.broadcast(sizes), ["dim", "cell"])  # a row per pivot and dimension
-    chunk = F.pmod(F.xxhash64("rep"), F.col("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks"))
     celled = celled.withColumn("tile", F.xxhash64("dim", "cell", chunk))
     tiles = stored(celled.groupBy("tile").applyInArrow(_tile(kind), TILE_SCHEMA), "vector-tiles")
 
@@ -292,11 +292,7 @@ def near_vectors(
     pairs = left.groupBy("own", "part").cogroup(right.groupBy("own", "part"))
     found = stored(pairs.applyInArrow(_compare(kind, threshold), "node LONG, links LONG, root LONG"), "vector-links")
 
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-components")
-    classes = unique.select("key", "rep", "copies")
-    classes = classes.join(linked, classes["rep"] == linked["node"], "left").drop("node")
-    classes = classes.join(joined, classes["rep"] == joined["node"], "left").drop("node")
+    classes = with_components(unique, found, "vector-components")
     result = rows.select("id", "key").join(classes, "key", "left")
     n_links = F.when(F.col("key").isNotNull(), F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
     return result.select(

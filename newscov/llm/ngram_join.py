@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newscov.llm.common import components, stored, working_columns
+from newscov.llm.common import components, numbered, stored, with_components, working_columns
 
 #: Words of a shingle and the similarity from which documents are linked.
 WORDS = 5
@@ -131,7 +131,7 @@ def _walk(width: int):
             n = len(batch)
             if not n:
                 continue
-            trees, ids = batch.column("tree").to_numpy(), batch.column("rep").to_numpy()
+            trees, ids = batch.column("tree").to_numpy(), batch.column("node").to_numpy()
             size = len(batch.column("label")[0].as_py())
             labels = np.frombuffer(b"".join(batch.column("label").to_pylist()), np.uint8).reshape(n, size)[:, :width]
             same = np.zeros(n, bool)
@@ -163,10 +163,10 @@ def candidate_links(classes: DataFrame, width: int, trees: int, longest: int) ->
     """
     size = 2 * longest
     number = F.sequence(F.lit(0), F.lit(trees - 1))
-    leaves = classes.select("rep", "labels", F.explode(number).alias("tree")).select(
-        "tree", F.substring("labels", F.col("tree") * size + 1, F.lit(size)).alias("label"), "rep"
+    leaves = classes.select("node", "labels", F.explode(number).alias("tree")).select(
+        "tree", F.substring("labels", F.col("tree") * size + 1, F.lit(size)).alias("label"), "node"
     )
-    order = ["tree", "label", "rep"]
+    order = ["tree", "label", "node"]
     leaves = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
     walked = leaves.mapInArrow(_walk(width), "a LONG, b LONG, tree INT, prefix BINARY")
     walked = stored(walked, "forest-links")
@@ -232,12 +232,12 @@ def _verify(threshold: float):
     def verify(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         seen, sides = set(), {i: [], j: []}
-        for block, rep, key, copies, data in zip(
-            *[group[c].to_pylist() for c in ("block", "rep", "key", "copies", "shingles")]
+        for block, node, key, copies, data in zip(
+            *[group[c].to_pylist() for c in ("block", "node", "key", "copies", "shingles")]
         ):
             if key not in seen:  # a row of the input may be there twice
                 seen.add(key)
-                sides[block].append((rep, copies, np.frombuffer(data, np.uint64)))
+                sides[block].append((node, copies, np.frombuffer(data, np.uint64)))
         left, right = sides[i], sides[j]
         empty = np.zeros(0, np.int64)
         if not left or not right or (i == j and len(left) < 2):
@@ -298,16 +298,15 @@ def near_documents(
     is compared exactly, in blocks if it is large; a block returns a row per linked class.
 
     Null texts and texts without words have no shingles and link with nothing; a text with fewer
-    words is one shingle. Rows with a null id link with nothing. Rows that share an id and a text
-    are separate documents; rows that share an id but no text count as one that has both texts'
-    links. An empty table gives an empty result. Other columns are not read.
+    words is one shingle. Rows with a null id link with nothing. Rows that share an id are separate
+    documents. An empty table gives an empty result. Other columns are not read.
     """
     width = 2 * prefix_length(threshold, trees, longest, target_recall)
     rows = working_columns(docs, id=id_column, text=text_column).withColumn("id", F.col("id").cast("long"))
     signed = rows.mapInArrow(_sign(words, trees, longest, seed), "id LONG, key BINARY, n INT, labels BINARY")
     signed = stored(signed, "forest-labels")
     known = signed.where("key IS NOT NULL AND id IS NOT NULL")
-    classes = stored(
+    classes = numbered(
         known.groupBy("key").agg(
             F.min("id").alias("rep"), F.count("*").alias("copies"), F.any_value("n").alias("n"),
             F.any_value("labels").alias("labels"),
@@ -315,7 +314,7 @@ def near_documents(
         "forest-classes",
     )
     groups = components(candidate_links(classes, width, trees, longest), "forest-groups")
-    members = classes.select("key", "rep", "copies", "n").join(groups, F.col("rep") == F.col("node")).drop("node")
+    members = classes.select("node", "key", "rep", "copies", "n").join(groups, "node")
     sizes = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
@@ -324,10 +323,10 @@ def near_documents(
 
     # a merge join at every size, as members grow with the documents
     texts = rows.join(members.drop("n").hint("merge"), rows["id"] == members["rep"]).select(
-        "text", "key", "rep", "copies", "component", "blocks", "block"
+        "text", "key", "node", "copies", "component", "blocks", "block"
     )
     texts = texts.mapInArrow(
-        _shingled(words), "key BINARY, rep LONG, copies LONG, component LONG, blocks INT, block INT, shingles BINARY"
+        _shingled(words), "key BINARY, node LONG, copies LONG, component LONG, blocks INT, block INT, shingles BINARY"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = texts.withColumn("other", other).withColumns({
@@ -338,11 +337,7 @@ def near_documents(
     )
     found = stored(found, "forest-verified")
 
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
-    joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "forest-components")
-    known = classes.select("key", "rep", "copies")
-    known = known.join(linked, known["rep"] == linked["node"], "left").drop("node")
-    known = known.join(joined, known["rep"] == joined["node"], "left").drop("node")
+    known = with_components(classes, found, "forest-components")
     key = F.when(F.col("id").isNotNull(), F.col("key"))
     result = signed.select("id", key.alias("key")).join(known, "key", "left")
     links = F.when(F.col("copies").isNotNull(), F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
