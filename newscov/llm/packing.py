@@ -2,62 +2,126 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from newscov.llm.common import stored, working_columns
 
 #: Tokens of a sequence, and the id that ends each document.
 CAPACITY = 4_096
 END_ID = 1
-#: Token strings a task remembers, and pieces of one length that are ranked together.
-REMEMBERED = 1 << 20
+#: Strings a worker process remembers, strings encoded at once, and pieces of one length ranked together.
+REMEMBERED = 500_000
+ENCODED_AT_ONCE = 10_000
 RANKED_TOGETHER = 50_000
 
+# --- fixed values: how a lower-casing word vocabulary prepares texts ----------------
+WORDS_NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
+WORDS_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+# --- end of fixed values ------------------------------------------------------------
+
+#: Texts of these characters are composed already, and lower case, letters and digits mean the same to
+#: Python and the tokenizer. The pattern then says what WORDS_SPLIT does.
+PLAIN = re.compile(r"[\t\n\r -~\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac]*")
+PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+
 
 class Encoder:
     """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers.
 
-    Texts are cut at blanks and line ends, which no token of the vocabulary reaches across, so
-    each distinct string between them is encoded once. For vocabularies with tokens across
-    blanks, ``whole`` encodes texts as they are.
+    For a lower-casing word vocabulary texts are cut at blanks, which none of its tokens reaches
+    across; what stands between them is encoded once, by its words where the text is plain. Texts
+    with the name of a special token and other kinds of vocabularies are encoded as they are.
     """
 
-    def __init__(self, path: str, whole: bool = False) -> None:
-        self.tokenizer, self.whole, self.known = Tokenizer.from_file(path), whole, {"": b""}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] if e.ids else b"" for e in encoded]
+    def __init__(self, path: str) -> None:
+        self.tokenizer = Tokenizer.from_file(path)
+        split = str(self.tokenizer.pre_tokenizer)
+        self.by_word = None
+        if str(self.tokenizer.normalizer) == WORDS_NORMALIZER and f'Regex("{WORDS_SPLIT}")' in split:
+            self.by_word = Tokenizer(self.tokenizer.model)
+            self.by_word.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}  # ids of what stands between blanks
+        self.words: dict[str, bytes] = {}  # ids of the words in that
+
+    def _ids(self, encode: Callable, strings: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(strings), ENCODED_AT_ONCE):
+            for found in encode(strings[at : at + ENCODED_AT_ONCE], add_special_tokens=False):
+                ids = found.ids
+                yield struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if self.whole:
-            yield from self._ids(texts)
+        if not self.by_word:
+            yield from self._ids(self.tokenizer.encode_batch_fast, texts)
             return
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({s for strings in cut for s in strings if s not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = list({s for strings in cut for s in strings if s})
-        self.known.update(zip(new, self._ids(new)))
-        for strings in cut:
-            yield b"".join(map(self.known.__getitem__, strings))
-
-
-def _pieces(path: str, capacity: int, end_id: int, whole: bool, chars_at_once: int = 1 << 20):
+        found: list[bytes] = [b""] * len(texts)
+        plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t) and not any(name in t for name in self.special)]
+        rest = sorted(set(range(len(texts))).difference(plain))
+        for i, ids in zip(plain, self._plain([texts[i].lower() for i in plain])):
+            found[i] = ids
+        cut = [[texts[i]] if any(n in texts[i] for n in self.special) else texts[i].replace("\n", " ").split(" ") for i in rest]
+        new = list({s for strings in cut for s in strings})
+        known = dict(zip(new, self._ids(self.tokenizer.encode_batch_fast, new)))
+        for i, strings in zip(rest, cut):
+            found[i] = b"".join(map(known.__getitem__, strings))
+        yield from found
+
+    def _plain(self, texts: list[str]) -> Iterator[bytes]:
+        """Looks each different string up once and copies its ids to all places by array operations."""
+        if not texts:
+            return
+        split = pa.compute.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        strings = split.flatten().dictionary_encode()
+        different, at = strings.dictionary.to_pylist(), strings.indices.to_numpy()
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+            self.words.clear()
+        parts = {s: PLAIN_WORD.findall(s) for s in different if s not in self.known}
+        new = list({w for words in parts.values() for w in words}.difference(self.words))
+        self.words.update(zip(new, self._ids(self.by_word.encode_batch_fast, new)))
+        self.known.update((s, b"".join(map(self.words.__getitem__, words))) for s, words in parts.items())
+        codes = list(map(self.known.__getitem__, different))
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        counts = sizes[at]
+        ends = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[at] - (ends - counts)
+        every = ids[np.repeat(shift.astype(np.int32), counts) + np.arange(int(counts.sum()), dtype=np.int32)]
+        borders = np.concatenate([[0], ends])[np.asarray(split.offsets)]
+        for k in range(len(texts)):
+            yield every[borders[k] : borders[k + 1]].tobytes()
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which keeps it and its words from one task to the next."""
+    kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
+def _pieces(path: str, capacity: int, end_id: int, chars_at_once: int = 2 << 20):
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, whole)
+        encode = encoder(path).encode
 
         def out(ids: list, texts: list[str]) -> pa.RecordBatch:
             rows = []
-            for ident, data in zip(ids, encoder.encode(texts)):
+            for ident, data in zip(ids, encode(texts)):
                 data += end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
@@ -128,7 +192,6 @@ def pack(
     text_column: str = "text",
     capacity: int = CAPACITY,
     end_id: int = END_ID,
-    whole_texts: bool = False,
 ) -> DataFrame:
     """``(id, piece, start, length, ids_crc32, sequence_id, offset)`` for every piece of every document.
 
@@ -144,7 +207,7 @@ def pack(
     rows = working_columns(docs, id=id_column, text=text_column)
     rows = rows.withColumn("id", F.col("id").cast("long"))
     schema = "id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
-    pieces = stored(rows.mapInArrow(_pieces(tokenizer, capacity, end_id, whole_texts), schema), "pack-pieces")
+    pieces = stored(rows.mapInArrow(_pieces(tokenizer, capacity, end_id), schema), "pack-pieces")
     lengths = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = docs.sparkSession.createDataFrame(
         plan(lengths, capacity), "length LONG, rank LONG, pieces LONG, first LONG, begin LONG, each LONG"
