@@ -4,15 +4,19 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from newscov.llm import packing as P
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
+ENCODER = P.Encoder(PATH)
 
 
 def ids_of(text):
-    return [*Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def packed(spark, rows, **more):
@@ -51,10 +55,19 @@ def test_empty_table(spark):
     assert packed(spark, []) == []
 
 
-def test_whole_texts_agree(spark):
-    rows = [(1, "Some text, with words."), (2, None)]
-    key = lambda r: (r.doc_id, r.piece, r.ids_crc32)
-    assert sorted(map(key, packed(spark, rows))) == sorted(map(key, packed(spark, rows, whole_texts=True)))
+def test_other_vocabularies_take_whole_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    df = spark.createDataFrame([(1, "Some  text,\n with words.")], "doc_id LONG, text STRING")
+    ids = np.array([*Tokenizer.from_file(path).encode("Some  text,\n with words.", add_special_tokens=False).ids, 7], "<u4")
+    (row,) = P.pack(df, path, end_id=7).collect()
+    assert (row.length, row.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+@given(st.lists(st.one_of(st.text(max_size=60), st.text("aZé's _-²½9İΣ\u0301\x1c\xa0\xad\n'<|", max_size=30)), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_encoder_agrees_with_the_tokenizer(texts):
+    expected = [np.array(e.ids, "<u4").tobytes() for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    assert list(ENCODER.encode(texts)) == expected
 
 
 @pytest.mark.parametrize("seed", range(6))
