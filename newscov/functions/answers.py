@@ -13,6 +13,7 @@ MISSING_KEY_MACRO = "[None]"
 # --- end of fixed values --------------------------------------------------------
 
 _MAP = "map<string,string>"
+_QUOTED_OR_NOT = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|[^'"]++|['"]"""
 
 
 def _or_null(text: Column) -> Column:
@@ -37,8 +38,16 @@ def parse_json(block: Column) -> Column:
 
 
 def parse_repr(text: Column) -> Column:
-    """Printed Python dictionary as a map of strings."""
-    return F.from_json(F.regexp_replace(text, r"\bNone\b", "null"), _MAP, {"allowSingleQuotes": "true"})
+    """Printed Python dictionary as a map of strings; its constants are read outside quotes only."""
+    parts = F.regexp_extract_all(text, F.lit(_QUOTED_OR_NOT), F.lit(0))
+
+    def json(part: Column) -> Column:
+        for python, plain in (("None", "null"), ("True", "true"), ("False", "false")):
+            part = F.regexp_replace(part, rf"\b{python}\b", plain)
+        return part
+
+    read = F.transform(parts, lambda part: F.when(part.rlike("^['\"]"), part).otherwise(json(part)))
+    return F.from_json(F.array_join(read, ""), _MAP, {"allowSingleQuotes": "true"})
 
 
 def class_names(answer: Column, placeholder: str | None = None) -> list[Column]:
@@ -60,5 +69,5 @@ def class_names(answer: Column, placeholder: str | None = None) -> list[Column]:
 
 def run_name(path: Column, parts: int = 1) -> Column:
     """Last ``parts`` underscore-separated pieces of a file name, without the suffix."""
-    name = F.replace(F.substring_index(path, "/", -1), F.lit(".csv"), F.lit(""))
+    name = F.regexp_replace(F.substring_index(path, "/", -1), r"\.csv$", "")
     return F.substring_index(name, "_", -parts)

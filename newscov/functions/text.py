@@ -46,6 +46,7 @@ EXTRA_STOP_WORDS = {
     ),
 }
 
+TOKEN = r"[\p{L}\p{N}_'’]"
 CHUNK_SIZE = 4999
 # --- end of fixed values -----------------------------------------------------
 
@@ -68,8 +69,8 @@ def normalise_word(word: str) -> str:
 
 
 def tokens(text: Column) -> Column:
-    """Runs of letters of normalised text."""
-    return F.regexp_extract_all(normalise(text), F.lit(r"(\p{L}+)"), F.lit(1))
+    """Words of normalised text, with the digits and apostrophes inside them."""
+    return F.regexp_extract_all(normalise(text), F.lit(rf"({TOKEN}+)"), F.lit(1))
 
 
 def words(text: Column) -> Column:
@@ -91,9 +92,9 @@ def letters_only(found: Column) -> Column:
 
 
 def clean_tokens(text: Column, language: str = "french") -> Column:
-    """Normalised tokens without stop words."""
+    """Normalised tokens of letters alone, without stop words; ``co2`` goes as a whole."""
     stops = stop_words(language)
-    return F.filter(tokens(text), lambda w: ~w.isin(stops))
+    return F.filter(letters_only(tokens(text)), lambda w: ~w.isin(stops))
 
 
 def chunks(text: Column, size: int = CHUNK_SIZE) -> Column:

@@ -52,16 +52,19 @@ def refined_scores(
     """Add ``prediction_label``, the parsed answer after ``passes`` refinements of a first one.
 
     Each pass is shown the answer before it; ``legacy`` shows the first answer every
-    time. Passes are checkpointed, so a lost executor repeats no calls of earlier passes.
+    time. A pass without an answer makes the result null, whatever later passes say.
+    Passes are checkpointed, so a lost executor repeats no calls of earlier passes.
     """
     columns = df.columns
     first = score_batches(df, classify, F.concat_ws("\n", message, text), "_answer")
-    state = checkpointed(first.withColumn("_shown", first_block(F.col("_answer"))))
+    answered = F.col("_answer").isNotNull()
+    state = checkpointed(first.withColumn("_shown", first_block(F.col("_answer"))).withColumn("_ok", answered))
     for _ in range(passes):
         prompt = F.concat_ws("\n", with_previous_answer(message, F.col("_shown")), text)
         scored = score_batches(state.drop("_answer"), classify, prompt, "_answer")
+        scored = scored.withColumn("_ok", F.col("_ok") & answered)
         if not legacy:
             scored = scored.withColumn("_shown", first_block(F.col("_answer")))
         state = checkpointed(scored)
-    parsed = parse_json(first_block(F.col("_answer"))).alias("prediction_label")
+    parsed = F.when(F.col("_ok"), parse_json(first_block(F.col("_answer")))).alias("prediction_label")
     return state.select(*columns, parsed)

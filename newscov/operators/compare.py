@@ -52,6 +52,21 @@ def size_energy(models: DataFrame) -> DataFrame:
     )
 
 
+def energy_by_outlet(articles: DataFrame, models: DataFrame) -> DataFrame:
+    """Energy each model would need for the on-topic articles of each outlet and month.
+
+    ``models`` are ``size_energy`` rows, of which there are a few; each count meets them as a list.
+    """
+    counts = (
+        articles.where((F.col("label") == 1) & F.col("media").isNotNull() & F.col("date").isNotNull())
+        .groupBy("media", F.date_format("date", "yyyy-MM").alias("month"))
+        .agg(F.count("*").alias("articles"))
+    )
+    listed = models.agg(F.array_sort(F.collect_list(F.struct(*models.columns)))).scalar()
+    per_model = counts.select("media", "month", "articles", F.inline(listed))
+    return per_model.withColumn("corpus_wh", F.col("wh_per_1000") * F.col("articles") / 1000)
+
+
 def drop_duplicate_columns(df: DataFrame) -> DataFrame:
     """Keep the first of columns with equal content; one aggregate compares all pairs of one type."""
     names = df.columns

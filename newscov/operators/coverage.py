@@ -161,10 +161,10 @@ def filter_values(articles: DataFrame) -> DataFrame:
     return articles.select(F.inline(entries)).where(F.col("value").isNotNull()).distinct()
 
 
-def per_date_counts(articles: DataFrame, row_id: str) -> DataFrame:
+def per_date_counts(articles: DataFrame) -> DataFrame:
     """Add the articles and on-topic articles of its exact date to every row."""
     counts = {"number_articles": F.count("*"), "number_climate": F.coalesce(F.sum("label"), F.lit(0))}
-    return attach_totals(articles, "date", key_totals(articles, "date", counts), spread_by=row_id)
+    return attach_totals(articles, "date", key_totals(articles, "date", counts))
 
 
 def outlet_date_share(articles: DataFrame) -> DataFrame:

@@ -4,43 +4,44 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens
 from newscov.operators.coverage import drop_empty_text
 from newscov.operators.evaluate import accuracy_logloss, class_report, class_weights, confusion
 from newscov.operators.topics import salient_words, top_words
-from newscov.scale import small_side
+from newscov.scale import checkpointed
 from newscov.schemas import require_columns
 
 CANDIDATE_PENALTIES = (0.01, 0.1)
+# Passes over the training texts: the number of training epochs that results are compared for.
 MAX_ITER = 10
 
-DETECTOR_RECORD = "language STRING, losses MAP<DOUBLE, DOUBLE>"
+DETECTOR_RECORD = "language STRING, losses MAP<DOUBLE, DOUBLE>, weights MAP<DOUBLE, DOUBLE>"
 
 
 @dataclass
 class Detector:
-    """A fitted model with the language its tokens were cut for."""
+    """A fitted model with the language its tokens were cut for and the class weights of its training."""
 
     model: PipelineModel
     language: str
     losses: dict[float, float]
+    weights: dict[float, float]
 
 
 def _with_tokens(texts: DataFrame, text: str, language: str) -> DataFrame:
     return texts.withColumn("_tokens", clean_tokens(F.col(text), language))
 
 
-def _with_weights(texts: DataFrame, weights: DataFrame, label: str) -> DataFrame:
-    table = weights.select(F.col(label).alias("_class"), F.col("weight").alias("_weight"))
-    return texts.join(small_side(table, 1000), F.col(label) == F.col("_class")).drop("_class")
+def _weight_of(label: str, weights: dict[float, float]) -> Column:
+    """Weight of a row's class; there is one entry per class."""
+    return F.create_map(*[F.lit(v) for pair in weights.items() for v in pair])[F.col(label).cast("double")]
 
 
 def _scored(model, data: DataFrame) -> DataFrame:
@@ -62,19 +63,25 @@ def fit_detector(
     n_features: int = 1 << 18,
     max_iter: int = MAX_ITER,
 ) -> Detector:
-    """Fit class-weighted classifiers and keep the one with the lowest validation loss."""
-    weights = class_weights(train, label)
+    """Fit class-weighted classifiers and keep the one with the lowest validation loss.
 
-    def prepared(texts: DataFrame) -> DataFrame:
+    Texts are cut into tokens once, for both parts; what the fits go over again is their hashed
+    counts, held in the checkpoint folder.
+    """
+    counter = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features)
+
+    def tokens(texts: DataFrame, fits: bool) -> DataFrame:
         kept = drop_empty_text(require_columns(texts, text, label).select(text, label), text)
-        return _with_tokens(_with_weights(kept, weights, label), text, language).drop(text)
+        return _with_tokens(kept.where(F.col(label).isNotNull()), text, language).drop(text).withColumn("_fits", F.lit(fits))
 
-    counter = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features)
-    counted = counter.transform(prepared(train)).drop("_tokens").persist(StorageLevel.DISK_ONLY)
-    idf = IDF(inputCol="_tf", outputCol="_features").fit(counted)
-    train_features = idf.transform(counted).select(label, "_weight", "_features")
-    val_features = idf.transform(counter.transform(prepared(val))).select(label, "_weight", "_features")
-    val_features = val_features.persist(StorageLevel.DISK_ONLY)
+    counted = counter.transform(tokens(train, True).unionByName(tokens(val, False))).drop("_tokens")
+    counted = checkpointed(counted)
+    fitting = counted.where("_fits")
+    weights = {float(row[label]): row["weight"] for row in class_weights(fitting, label).collect()}  # one per class
+    idf = IDF(inputCol="_tf", outputCol="_features").fit(fitting)
+    features = idf.transform(counted.withColumn("_weight", _weight_of(label, weights)))
+    train_features = features.where("_fits").select(label, "_weight", "_features")
+    val_features = features.where("NOT _fits AND _weight IS NOT NULL").select(label, "_weight", "_features")
 
     fitted, losses = {}, {}
     for penalty in penalties:
@@ -85,40 +92,45 @@ def fit_detector(
         scored = _scored(fitted[penalty], val_features)
         report = accuracy_logloss(scored, label, "climate_related", weight=F.col("_weight"))
         losses[penalty] = report.first()["logloss"]
-    counted.unpersist()
-    val_features.unpersist()
     best = min(losses, key=losses.get)
-    return Detector(PipelineModel([counter, idf, fitted[best]]), language, losses)
+    return Detector(PipelineModel([counter, idf, fitted[best]]), language, losses, weights)
 
 
 def save_detector(detector: Detector, spark: SparkSession, path: str) -> None:
     """Store a detector, so that scoring can be a job of its own."""
     detector.model.write().overwrite().save(f"{path}/model")
-    record = spark.createDataFrame([(detector.language, detector.losses)], DETECTOR_RECORD)
+    record = spark.createDataFrame([(detector.language, detector.losses, detector.weights)], DETECTOR_RECORD)
     record.coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
 
 
 def load_detector(spark: SparkSession, path: str) -> Detector:
     """A detector stored by ``save_detector``."""
     record = spark.read.parquet(f"{path}/record").first()
-    return Detector(PipelineModel.load(f"{path}/model"), record["language"], record["losses"])
+    return Detector(PipelineModel.load(f"{path}/model"), record["language"], record["losses"], record["weights"])
 
 
 def predict(detector: Detector, texts: DataFrame, text: str = "text", row_id: str | None = None) -> DataFrame:
-    """Add ``climate_related`` and ``confidence``, and with ``row_id`` the three ``top_words``."""
+    """Add ``climate_related`` and ``confidence``, and with ``row_id`` the three ``top_words``.
+
+    With ``row_id`` the text itself is left out, so that no text is moved to meet its words;
+    who needs it joins it by ``row_id``.
+    """
     texts = drop_empty_text(texts, text)
     scored = _scored(detector.model, _with_tokens(texts, text, detector.language))
     scored = scored.select(*texts.columns, "climate_related", "confidence")
     if row_id is None:
         return scored
     found = top_words(salient_words(texts, row_id, text, detector.language), row_id)
-    return scored.join(found, row_id, "left")
+    return scored.drop(text).join(found, row_id, "left")
 
 
-def evaluate(scored: DataFrame, label: str = "label") -> dict[str, DataFrame]:
-    """Confusion matrix, per-class report and accuracy with log loss."""
+def evaluate(
+    scored: DataFrame, label: str = "label", weights: dict[float, float] | None = None
+) -> dict[str, DataFrame]:
+    """Confusion matrix, per-class report and accuracy with log loss, weighted as in training if ``weights`` are given."""
+    weight = None if weights is None else _weight_of(label, weights)
     return {
         "confusion": confusion(scored, label, "climate_related"),
         "report": class_report(scored, label, "climate_related"),
-        "loss": accuracy_logloss(scored, label, "climate_related"),
+        "loss": accuracy_logloss(scored, label, "climate_related", weight=weight),
     }

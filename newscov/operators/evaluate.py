@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newscov.functions.answers import run_name
+from newscov.functions.answers import MISSING_KEY_MACRO, MISSING_KEY_MICRO, run_name
 from newscov.functions.labels import code_of, coded_labels, indicators, present_labels
 from newscov.schemas import ANNOTATION_COLUMNS, EVALUATION_COLUMNS, METRICS, PREDICTION_COLUMNS, require_columns
 from newscov.sources.inline import literal_rows
@@ -111,14 +111,18 @@ def label_indicator(lists: DataFrame, *keep: str, column: str = "truth", codes=M
 
 
 def hallucinations(predictions: DataFrame, legacy: bool = False) -> DataFrame:
-    """Rows with a prediction that is no known label.
+    """Rows with a prediction that is neither a code nor a name of the taxonomy.
 
+    The placeholder of an answer without the key is no prediction and so not invented.
     ``legacy`` looks for the unknown mark after normalisation has removed it, so it finds none.
     """
     if legacy:
         lists = label_lists(predictions)
         return lists.agg(F.count_if(F.array_contains("predicted", "N/A")).alias("hallucinations"))
-    unknown = [F.col(c).isNotNull() & code_of(F.col(c)).isNull() for c in PREDICTION_COLUMNS]
+    known = [*METRIC_CODES, MISSING_KEY_MICRO, MISSING_KEY_MACRO]
+    unknown = [
+        F.col(c).isNotNull() & code_of(F.col(c)).isNull() & ~F.col(c).isin(known) for c in PREDICTION_COLUMNS
+    ]
     any_unknown = reduce(or_, unknown)
     return predictions.agg(F.count_if(any_unknown).alias("hallucinations"))
 
@@ -144,16 +148,18 @@ def _class_pairs(scored: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def confusion(scored: DataFrame, actual: str = "label", predicted: str = "predicted", classes=(0, 1)) -> DataFrame:
-    """Counts per actual (rows) and predicted (columns) class."""
-    return (
-        _class_pairs(scored, actual, predicted)
-        .groupBy("actual")
-        .pivot("predicted", list(classes))
-        .agg(F.sum("n"))
-        .na.fill(0)
-        .select("actual", *[F.col(str(c)).cast("bigint").alias(f"predicted_{c}") for c in classes])
-        .orderBy("actual")
-    )
+    """Counts per actual (rows) and predicted (columns) class.
+
+    Both sides hold ``classes`` and every other class either side has, which a small job finds
+    out: one row per class. Pairs with a null are left out.
+    """
+    pairs = _class_pairs(scored, actual, predicted).where("actual IS NOT NULL AND predicted IS NOT NULL")
+    seen = pairs.select(F.explode(F.array_distinct(F.array("actual", "predicted"))).alias("class")).distinct().collect()
+    both = sorted({*classes, *[row["class"] for row in seen]})
+    counts = [F.coalesce(F.sum(F.when(F.col("predicted") == c, F.col("n"))), F.lit(0)).alias(f"predicted_{c}") for c in both]
+    kind = scored.schema[actual].dataType
+    spine = literal_rows(scored.sparkSession, [(c,) for c in both], ["actual"]).withColumn("actual", F.col("actual").cast(kind))
+    return spine.join(pairs, "actual", "left").groupBy("actual").agg(*counts).orderBy("actual")
 
 
 def class_report(scored: DataFrame, actual: str = "label", predicted: str = "predicted") -> DataFrame:
@@ -214,7 +220,11 @@ def accuracy_logloss(
     weight: Column | None = None,
     floor: float = 1e-7,
 ) -> DataFrame:
-    """Accuracy and weighted log loss, given the probability of the predicted one of two classes."""
+    """Accuracy and weighted log loss, given the probability of the predicted one of two classes.
+
+    Rows without an actual class count for neither.
+    """
+    scored = scored.where(F.col(actual).isNotNull())
     weight = F.lit(1.0) if weight is None else weight
     right = F.col(actual) == F.col(predicted)
     of_truth = F.when(right, F.col(confidence)).otherwise(1 - F.col(confidence))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newscov.functions.dates import month_number
 from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
 from newscov.operators.coverage import EVERY, in_outlet
-from newscov.scale import keys_between, order_key, with_position
+from newscov.scale import rows_between
 from newscov.schemas import PREDICTION_COLUMNS, STORED_MONTH, require_columns
 from newscov.sources.inline import literal_rows
 from newscov.taxonomy import MACRO_CODES, THEMES, explorer_codes
@@ -25,9 +25,6 @@ HIDDEN_COLUMNS = (
 # --- end of fixed values -----------------------------------------------------------
 
 PAGE_SIZE = 100
-# Up to this many leading rows, which pass through one task, a page is taken by a top-n
-# pass; deeper ones by position.
-TOP_N_ROWS = 5_000
 
 
 def _default_codes(macro: bool, legacy: bool = False) -> tuple[str, ...]:
@@ -74,12 +71,9 @@ def explorer_rows(
 
 
 def page(rows: DataFrame, number: int, order: list[str], size: int = PAGE_SIZE) -> DataFrame:
-    """Rows of page ``number`` (from 1) in ``order``, whose columns identify rows and have no nulls."""
+    """Rows of page ``number`` (from 1) in ``order``, nulls first; ties have a fixed order."""
     first = size * (number - 1)
-    if first + size <= TOP_N_ROWS:
-        return rows.orderBy(*order).offset(first).limit(size)
-    low, high = keys_between(with_position(rows.select(*order), *order), order, first + 1, first + size)
-    return rows.where(order_key(order).between(low, high))
+    return rows_between(rows, order, lambda _: (first + 1, first + size)).orderBy(*order)
 
 
 def page_info(rows: DataFrame, size: int = PAGE_SIZE) -> DataFrame:

@@ -1,7 +1,7 @@
 """Leading, trailing and stratified parts of a table.
 
-Only the order columns are ranked. The rows themselves are then cut by comparing
-their own order key with the key at the border, so wide rows are never sorted.
+Only keys are ranked. The rows themselves are then cut by comparing their own key
+with the key at the border, so wide rows are never sorted.
 """
 
 from __future__ import annotations
@@ -9,34 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscov.scale import checkpointed, keys_between, order_key, small_side, with_position
+from newscov.scale import checkpointed, rows_between, small_side, with_position
 
 SPLITS = ("train", "val", "test")
 MAX_BROADCAST_CLASSES = 10_000
 
 
-def head_rows(df: DataFrame, order: list[str], n: int = 400) -> DataFrame:
-    """First ``n`` rows in ``order``."""
-    return df.orderBy(*order).limit(n)
-
-
-def _placed(df: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
-    placed = with_position(df.select(*order), *order)
-    return placed, placed.count()
+def head_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """First ``n`` rows in ``order``, nulls first."""
+    return rows_between(df, order, lambda _: (1, n))
 
 
 def head_share(df: DataFrame, order: list[str], share: float = 0.8) -> DataFrame:
-    """The leading ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
-    placed, n = _placed(df, order)
-    _, last = keys_between(placed, order, 1, int(share * n))
-    return df.where(order_key(order) <= last)
+    """The leading ``int(share * n)`` rows in ``order``, nulls first."""
+    return rows_between(df, order, lambda n: (1, int(share * n)))
 
 
 def tail_share(df: DataFrame, order: list[str], share: float = 0.2) -> DataFrame:
-    """The trailing ``int(share * n)`` rows in ``order``, whose columns have no nulls."""
-    placed, n = _placed(df, order)
-    first, _ = keys_between(placed, order, n - int(share * n) + 1, n)
-    return df.where(order_key(order) >= first)
+    """The trailing ``int(share * n)`` rows in ``order``, nulls first."""
+    return rows_between(df, order, lambda n: (n - int(share * n) + 1, n))
 
 
 def stratified_split(

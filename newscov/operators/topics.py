@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens, normalise_word, words
-from newscov.scale import attach_totals, key_totals
+from newscov.scale import attach_totals, checkpointed, key_totals
 
 Lexicon = list[tuple[str, str, str]]  # theme, subtheme, term
 
@@ -72,8 +72,8 @@ def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text
     )
 
 
-def word_counts(texts: DataFrame, row_id: str, text: str = "text", language: str = "french") -> DataFrame:
-    """Words of each text and how often it has them (``tf``).
+def word_lists(texts: DataFrame, row_id: str, text: str = "text", language: str = "french") -> DataFrame:
+    """``words`` of each text and how often it has them (``tf``), as one list per text.
 
     Counted within the row, as the lengths of runs in the sorted word list, so that the
     words need no shuffle.
@@ -94,7 +94,7 @@ def word_counts(texts: DataFrame, row_id: str, text: str = "text", language: str
         lambda this, following: F.struct(this["word"].alias("word"), (following["at"] - this["at"]).alias("tf")),
     )
     return ordered.select(row_id, starts.alias("_starts")).select(
-        row_id, F.inline(F.filter(runs, lambda run: run["word"].isNotNull()))
+        row_id, F.filter(runs, lambda run: run["word"].isNotNull()).alias("words")
     )
 
 
@@ -103,15 +103,15 @@ def salient_words(
 ) -> DataFrame:
     """The ``top`` words of each text by term frequency times inverse document frequency.
 
-    Weights are rounded to six decimals before ranking; ties go alphabetically.
+    Weights are rounded to six decimals before ranking; ties go alphabetically. Texts are cut
+    into words once; the lists are held in the checkpoint folder, without the texts.
     """
-    words = texts.select(row_id, F.explode(F.array_distinct(clean_tokens(F.col(text), language))).alias("word"))
-    spread = key_totals(words, "word", {"df": F.count("*")})
+    lists = checkpointed(word_lists(texts, row_id, text, language))
+    counts = lists.select(row_id, F.inline("words"))
+    spread = key_totals(counts, "word", {"df": F.count("*")})
     # Words of a single text, most of any vocabulary, need no entry: absent means 1.
-    weighted = attach_totals(
-        word_counts(texts, row_id, text, language), "word", spread.where("df > 1"), spread_by=row_id
-    )
-    n_texts = texts.agg(F.count("*")).scalar()
+    weighted = attach_totals(counts, "word", spread.where("df > 1"))
+    n_texts = lists.agg(F.count("*")).scalar()
     weight = F.round(F.col("tf") * F.log((n_texts + 1) / (F.coalesce("df", F.lit(1)) + 1)), 6)
     best_first = Window.partitionBy(row_id).orderBy(F.desc("weight"), "word")
     return (

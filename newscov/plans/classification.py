@@ -39,10 +39,10 @@ def classify_articles(
 
 def classify_with_method(
     articles: DataFrame, classify: Classifier, order: list[str], method: str = "raw", n_shots: int = 0,
-    passes: int = 0, examples: dict[str, list[str]] | None = None, first_rows: int = 400, text: str = "description",
+    passes: int = 0, examples: dict[str, list[str]] | None = None, first_rows: int | None = None, text: str = "description",
 ) -> DataFrame:
-    """Classify the on-topic ones of the first rows with one prompt method, refined ``passes`` times."""
-    rows = only_positive(head_rows(articles, order, first_rows))
+    """Classify on-topic rows, those of the ``first_rows`` only if given, with one prompt method, refined ``passes`` times."""
+    rows = only_positive(articles if first_rows is None else head_rows(articles, order, first_rows))
     message = F.lit(prompts.method_message(method, n_shots, examples))
     user = prompts.around_text(prompts.USER_PROMPT, F.col(text))
     answered = refined_scores(rows, classify, message, user, passes)

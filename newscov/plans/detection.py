@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from newscov.operators import detect, splits
-from newscov.operators.evaluate import class_weights, split_total
+from newscov.operators.evaluate import split_total
 from newscov.sources.readers import read_any
 from newscov.sources.sinks import run_id, write_result, write_run_parameters, write_splits
 
@@ -19,13 +19,13 @@ def train_detector(
     detector = detect.fit_detector(train, val, text, label, **options)
     if folder is not None:
         spark = texts.sparkSession
-        weights = [row["weight"] for row in class_weights(train, label).orderBy(label).collect()]  # one per class
+        weights = [detector.weights[c] for c in sorted(detector.weights)]
         total = split_total(splits.split_sizes(split, label)).first()["len_dataset"]
         write_splits(split, f"{folder}/splits")
         detect.save_detector(detector, spark, f"{folder}/detector")
         epochs = options.get("max_iter", detect.MAX_ITER)
         write_run_parameters(spark, f"{folder}/params", weights, total, epoch=epochs)
-    reports = detect.evaluate(detect.predict(detector, test, text), label)
+    reports = detect.evaluate(detect.predict(detector, test, text), label, detector.weights)
     if folder is not None:
         write_reports(reports, folder)
     return detector, reports
@@ -41,10 +41,10 @@ def detect_file(
     spark: SparkSession, path: str, detector: detect.Detector, row_id: str, folder: str,
     text: str = "text", label: str | None = None, run: str | None = None,
 ) -> DataFrame:
-    """Score the texts of a file and store them under a run id, with reports when labels are given."""
+    """Score the texts of a file and store the scores by ``row_id`` under a run id, with reports when labels are given."""
     target = f"{folder}/{run or run_id()}"
     write_result(detect.predict(detector, read_any(spark, path), text, row_id), f"{target}/inference")
     scored = spark.read.parquet(f"{target}/inference")
     if label is not None:
-        write_reports(detect.evaluate(scored, label), target)
+        write_reports(detect.evaluate(scored, label, detector.weights), target)
     return scored

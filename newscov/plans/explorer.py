@@ -16,12 +16,16 @@ def explorer(
     month: str = EVERY,
     selection: list[str] | None = None,
     categories: list[str] | None = None,
+    shown_categories: list[str] | None = None,
+    shown_themes: list[str] | None = None,
     macro: bool = False,
     legacy: bool = False,
 ) -> dict[str, DataFrame]:
     """Tables of the explorer from predictions with parsed dates.
 
-    Macro predictions keep their spelling and have no month breakdowns.
+    ``shown_categories`` and ``shown_themes`` pick what the month breakdowns hold; by default
+    the first three categories and all themes. Macro predictions keep their spelling and have
+    no month breakdowns.
     """
     coded = predictions if macro else X.coded_predictions(predictions)
     rows = X.explorer_rows(coded, categories, media, month, selection, macro)
@@ -33,6 +37,6 @@ def explorer(
         "category_share": X.category_share(counts),
     }
     if not macro:
-        tables["category_by_month"] = X.category_by_month(rows)
-        tables["themes_by_month"] = X.themes_by_month(rows, legacy=legacy)
+        tables["category_by_month"] = X.category_by_month(rows, shown_categories)
+        tables["themes_by_month"] = X.themes_by_month(rows, shown_themes, legacy)
     return tables

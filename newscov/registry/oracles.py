@@ -72,11 +72,12 @@ def _name(index: str) -> str:
 
 ARTICLES = """articles AS (
 SELECT event_id AS article_id, ts AS date,
-       CASE event_id % 4
+       CASE event_id % 8
          WHEN 0 THEN substr(CAST(ts AS STRING), 1, 10)
          WHEN 1 THEN substr(CAST(ts AS STRING), 1, 19)
          WHEN 2 THEN concat(substr(CAST(ts AS STRING), 6, 2), '/', substr(CAST(ts AS STRING), 9, 2), '/', substr(CAST(ts AS STRING), 1, 4))
-         ELSE 'juil-24' END AS raw_date,
+         WHEN 3 THEN 'juil-24' WHEN 4 THEN strftime(ts, '%m-%d-%Y') WHEN 5 THEN strftime(ts, '%-d %b %Y')
+         WHEN 6 THEN strftime(ts, '%Y%m%d') ELSE strftime(ts, '%B %-d, %Y') END AS raw_date,
        concat('media', CAST(user_id % 6 AS STRING)) AS media,
        CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS label,
        0.5e0 + value / 1000e0 AS confidence
@@ -98,7 +99,7 @@ SELECT doc_id, DATE '2024-01-01' + CAST(doc_id % 366 AS INT) AS date, source AS
             ELSE {_name("doc_id * 17 + 4")} END AS prediction_label_3
 FROM documents)"""
 
-GAPPY = "gappy AS (SELECT doc_id, CASE WHEN n_chars >= 200 THEN text END AS text FROM documents)"
+GAPPY = "gappy AS (SELECT doc_id, text, quality FROM documents LEFT JOIN labels USING (doc_id))"
 
 EXPLORER = PREDICTIONS + f""", coded AS (
 SELECT doc_id, date, media, label_1, label_2, label_3,
@@ -115,6 +116,17 @@ long AS (
 SELECT doc_id, date, unnest([prediction_label_1, prediction_label_2, prediction_label_3]) AS category FROM shown)"""
 
 
+MACRO = f"""macro AS (
+SELECT doc_id, DATE '2024-01-01' + CAST(doc_id % 366 AS INT) AS date, source AS media,
+       {_pick(MACRO_CODES, "doc_id * 3")} AS label_1, CAST(NULL AS STRING) AS label_2, CAST(NULL AS STRING) AS label_3,
+       CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'hors sujet'
+            WHEN doc_id % 3 = 0 THEN {_pick(MACRO_CODES, "doc_id * 3")}
+            ELSE {_pick(MACRO_CODES, "doc_id * 7 + 1")} END AS prediction_label_1 FROM documents),
+shown_macro AS (SELECT * FROM macro WHERE coalesce(prediction_label_1 IN {_in(MACRO_CODES)}, TRUE)),
+macro_lists AS (
+SELECT doc_id, [label_1] AS truth, [x FOR x IN [prediction_label_1] IF x IS NOT NULL] AS predicted FROM macro)"""
+
+
 def _coded_list(prefix: str) -> str:
     columns = ", ".join(f"{prefix}_{i}" for i in (1, 2, 3))
     return f"[{_code('x')} for x in [{columns}] if {_code('x')} IS NOT NULL]"
@@ -165,23 +177,19 @@ FROM shares"""
 
 
 def _counts(categories, macro: bool = False) -> str:
-    source = "SELECT prediction_label_1 AS category FROM shown_macro" if macro else "SELECT category FROM long"
-    shown_macro = f""", shown_macro AS (
-SELECT * FROM coded WHERE coalesce(prediction_label_1 IN {_in(categories)}, TRUE))"""
-    if macro:
-        # the macro page filters on the explorer's own rows first
-        shown_macro = ", shown_macro AS (SELECT * FROM shown)"
-    return f"""WITH {EXPLORER}{shown_macro}, counts AS (
+    view, source = (MACRO, "shown_macro") if macro else (EXPLORER, "long")
+    column = "prediction_label_1 AS category" if macro else "category"
+    return f"""WITH {view}, counts AS (
 SELECT s.category, coalesce(c.n, 0) AS n
 FROM (SELECT unnest({_list(categories)}) AS category) s
-LEFT JOIN (SELECT category, count(*) AS n FROM ({source}) GROUP BY 1) c USING (category))"""
+LEFT JOIN (SELECT category, count(*) AS n FROM (SELECT {column} FROM {source}) GROUP BY 1) c USING (category))"""
 
 
-def _metrics(lists: str, key: str, top: int = 3) -> str:
+def _metrics(lists: str, key: str, top: int | str = 3, codes=METRIC_CODES) -> str:
     """Metric columns per ``key`` over a relation with key, doc_id, truth, predicted."""
     return f"""(WITH pairs AS (
   SELECT {key} AS k, l.label, list_contains(truth, l.label) AS t, list_contains(predicted, l.label) AS p
-  FROM {lists}, (SELECT unnest({_list(METRIC_CODES)}) AS label) l),
+  FROM {lists}, (SELECT unnest({_list(codes)}) AS label) l),
  per_label AS (
   SELECT k, label, count(*) FILTER (WHERE t AND p) AS hit, count(*) FILTER (WHERE p) AS guessed,
          count(*) FILTER (WHERE t) AS support
@@ -209,10 +217,17 @@ def _normalised(column: str) -> str:
 
 
 CLEAN = rf"""clean AS (
-SELECT doc_id, [w for w in regexp_extract_all({_normalised("text")}, '\p{{L}}+')
-                if NOT list_contains({_list(T.stop_words("french"))}, w)] AS words
+SELECT doc_id, [w for w in regexp_extract_all({_normalised("text")}, '[\p{{L}}\p{{N}}_''’]+')
+                if regexp_full_match(w, '\p{{L}}+') AND NOT list_contains({_list(T.stop_words("french"))}, w)] AS words
 FROM documents)"""
 
+SALIENT = f"""{CLEAN}, counts AS (
+SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM clean) GROUP BY 1, 2),
+weighted AS (
+SELECT doc_id, word, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (count(*) OVER (PARTITION BY word) + 1)), 6) AS weight
+FROM counts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, word) AS rank FROM weighted)"""
+
 _RUN = "['COT_0shots', 'CARP_0shots', 'COT_1shots'][CAST(doc_id % 3 + 1 AS INT)]"
 _MARCH = FRENCH_MONTHS.index("Mars") + 1
 _MESSAGE = len(Q.REFINE_MESSAGE)
@@ -268,7 +283,8 @@ UNION ALL SELECT DISTINCT 'month', {_match(map(str, range(1, 13)), FRENCH_MONTHS
 FROM (SELECT DATE '2024-01-01' + CAST(doc_id % 366 AS INT) AS d FROM documents)""",
     "parse_mixed_dates": f"""WITH {ARTICLES}
 SELECT article_id, label,
-       strftime(coalesce(try_cast(raw_date AS TIMESTAMP), try_strptime(raw_date, '%m/%d/%Y')), '%Y-%m-%d %H:%M:%S') AS date
+       strftime(CASE article_id % 8 WHEN 1 THEN date_trunc('second', date) WHEN 3 THEN NULL ELSE date_trunc('day', date) END,
+                '%Y-%m-%d %H:%M:%S') AS date
 FROM articles""",
     "date_parts": f"""WITH {ARTICLES}
 SELECT article_id, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month, CAST(day(date) AS INT) AS day,
@@ -278,8 +294,8 @@ SELECT article_id, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS
        {_list(FRENCH_MONTHS)}[CAST(month(date) AS INT)] AS month_name
 FROM articles""",
     "null_text_report": f"""WITH {GAPPY}
-SELECT count(*) AS rows, count(*) - count(text) AS null_texts FROM gappy""",
-    "drop_empty_text": f"WITH {GAPPY} SELECT doc_id, text FROM gappy WHERE text IS NOT NULL",
+SELECT count(*) AS rows, count(*) - count(quality) AS null_texts FROM gappy""",
+    "drop_empty_text": f"WITH {GAPPY} SELECT doc_id, text, quality FROM gappy WHERE quality IS NOT NULL",
     "per_date_counts": f"""WITH {ARTICLES}
 SELECT article_id, CAST(CAST(date AS DATE) AS STRING) AS date, label,
        count(*) OVER (PARTITION BY CAST(date AS DATE)) AS number_articles,
@@ -315,7 +331,13 @@ FROM (SELECT * FROM shown ORDER BY date, doc_id LIMIT 100 OFFSET 100)""",
 SELECT count(*) AS total_rows, greatest(CAST(ceil(count(*) / 100) AS BIGINT), 1) AS total_pages FROM shown""",
     "category_counts": _counts(explorer_codes()) + " SELECT category, n FROM counts",
     "category_counts_legacy": _counts(explorer_codes(legacy=True)) + " SELECT category, n FROM counts",
-    "category_counts_macro": _counts(MACRO_CODES, macro=True) + " SELECT category, n FROM counts",
+    "category_counts_macro": _counts(sorted(MACRO_CODES), macro=True) + " SELECT category, n FROM counts",
+    "macro_explorer": f"""WITH {MACRO}
+SELECT doc_id, CAST(date AS STRING) AS date, media, label_1, label_2, label_3, prediction_label_1 FROM shown_macro""",
+    "macro_metrics": f"""WITH {MACRO}
+SELECT precision, recall, f1, top1, top3 FROM {_metrics("macro_lists", "1", codes=MACRO_CODES)}""",
+    "explorer_columns": f"""WITH {PREDICTIONS}
+SELECT doc_id, media, label_1, label_2, prediction_label_1, prediction_label_2, prediction_label_3 FROM predictions""",
     "category_share": _counts(explorer_codes())
     + " SELECT category, n, round(n * 100e0 / sum(n) OVER (), 1) AS percent FROM counts",
     "category_share_legacy": _counts(explorer_codes(legacy=True))
@@ -324,9 +346,15 @@ SELECT count(*) AS total_rows, greatest(CAST(ceil(count(*) / 100) AS BIGINT), 1)
 SELECT strftime(date, '%b %Y') AS month, category, count(*) AS n FROM long
 WHERE category IN (SELECT DISTINCT category FROM long WHERE category IS NOT NULL ORDER BY 1 LIMIT 3)
 GROUP BY 1, 2""",
+    "category_by_month_selected": f"""WITH {EXPLORER}
+SELECT strftime(date, '%b %Y') AS month, category, count(*) AS n FROM long WHERE category IN {_in(Q.SELECTION)} GROUP BY 1, 2""",
     "themes_by_month": f"""WITH {EXPLORER}, themed AS (
-SELECT DISTINCT doc_id, date, {_theme("category")} AS theme FROM long)
+SELECT DISTINCT doc_id, date, {_theme("category")} AS theme FROM long WHERE doc_id % 19 <> 0)
 SELECT strftime(date, '%Y-%m') AS month, theme, count(*) AS n FROM themed WHERE theme IS NOT NULL GROUP BY 1, 2""",
+    "themes_by_month_legacy": f"""WITH {EXPLORER}, themed AS (
+SELECT DISTINCT doc_id, CASE WHEN doc_id % 19 = 0 THEN 'NaT' ELSE strftime(date, '%Y-%m') END AS month,
+       {_theme("category")} AS theme FROM long)
+SELECT month, theme, count(*) AS n FROM themed WHERE theme IS NOT NULL GROUP BY 1, 2""",
     "parse_answers": f"""WITH {BLOCKS}
 SELECT conv_id, turn, block, readable,
        CASE WHEN readable THEN array_to_string(list_sort(json_keys(block)), ',') END AS keys FROM checked""",
@@ -338,7 +366,8 @@ SELECT conv_id, turn, concat('{{', regexp_extract(bare, '\\{{([^}}]*)', 1), '}}'
 SELECT conv_id, turn, block, json_valid(block) AS readable FROM first""",
     "repr_answers": f"""WITH {RESPONSES}
 SELECT conv_id, turn, one AS prediction_label_1, two AS prediction_label_2,
-       CASE WHEN kind = 4 THEN NULL ELSE 'Pollution' END AS prediction_label_3 FROM responses""",
+       CASE kind WHEN 4 THEN NULL WHEN 1 THEN '[None, None]' WHEN 2 THEN 'true' ELSE 'Pollution' END AS prediction_label_3
+FROM responses""",
     "normalised_labels": f"""WITH {LISTS}
 SELECT doc_id, array_to_string(truth, '|') AS truth, array_to_string(predicted, '|') AS predicted FROM lists""",
     "compacted_labels": f"""WITH {PREDICTIONS}
@@ -352,10 +381,12 @@ FROM lists, (SELECT unnest({_list(METRIC_CODES)}) AS label) l)
 SELECT label, count(*) FILTER (WHERE t AND p) AS hit, count(*) FILTER (WHERE p) AS predicted,
        count(*) FILTER (WHERE t) AS actual FROM named WHERE t OR p GROUP BY 1""",
     "multilabel_metrics": f"WITH {LISTS} SELECT * EXCLUDE (k) FROM {_metrics('lists', '1')}",
+    "multilabel_metrics_any_rank": f"WITH {LISTS} SELECT * EXCLUDE (k) FROM {_metrics('lists', '1', top='len(predicted)')}",
     "hallucinations": f"""WITH {PREDICTIONS}
-SELECT count(*) FILTER (WHERE (prediction_label_1 IS NOT NULL AND {_code("prediction_label_1")} IS NULL)
-  OR (prediction_label_2 IS NOT NULL AND {_code("prediction_label_2")} IS NULL)
-  OR (prediction_label_3 IS NOT NULL AND {_code("prediction_label_3")} IS NULL)) AS hallucinations
+SELECT count(*) FILTER (WHERE {" OR ".join(
+    f"(prediction_label_{i} IS NOT NULL AND {_code(f'prediction_label_{i}')} IS NULL "
+    f"AND prediction_label_{i} NOT IN {_in([*METRIC_CODES, MISSING_KEY_MICRO])})" for i in (1, 2, 3)
+)}) AS hallucinations
 FROM predictions""",
     "hallucinations_legacy": f"""WITH {LISTS}
 SELECT count(*) FILTER (WHERE list_contains(predicted, 'N/A')) AS hallucinations FROM lists""",
@@ -417,13 +448,12 @@ FROM phrases JOIN {_values([(a, b, T.normalise_word(c)) for a, b, c in Q.LEXICON
 GROUP BY 1, 2, 3),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY terms DESC, subtheme, theme) AS rank FROM hits)
 SELECT doc_id, CAST(rank AS INT) AS rank, theme, subtheme, CAST(terms AS INT) AS terms FROM ranked WHERE rank <= 3""",
-    "salient_words": f"""WITH {CLEAN}, counts AS (
-SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM clean) GROUP BY 1, 2),
-weighted AS (
-SELECT doc_id, word, round(tf * ln(((SELECT count(*) FROM documents) + 1) / (count(*) OVER (PARTITION BY word) + 1)), 6) AS weight
-FROM counts),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, word) AS rank FROM weighted)
+    "salient_words": f"""WITH {SALIENT}
 SELECT doc_id, word, weight, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 3""",
+    "detector_checks": f"""WITH {SALIENT}
+SELECT doc_id, TRUE AS decided, TRUE AS bounded, string_agg(word, ' ' ORDER BY rank) AS top_words
+FROM (SELECT doc_id, word, rank FROM ranked WHERE rank <= 3 UNION ALL
+      SELECT doc_id, NULL, 0 FROM documents WHERE text IS NOT NULL) GROUP BY 1""",
     "prompt_table": f"""SELECT doc_id, {_around(P.USER_PROMPT, "text")} AS user_message, model, prompt_method, n_shots, system_message
 FROM documents, {_values(_GRID, "model, prompt_method, n_shots, system_message")}""",
     "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES, answer=_SPACED), "text")} AS micro,
@@ -443,9 +473,10 @@ SELECT row_no, source, metric, series,
        CASE metric WHEN 'precision' THEN precision WHEN 'recall' THEN recall WHEN 'f1' THEN f1
                    WHEN 'top1' THEN top1 ELSE top3 END AS value
 FROM series, (VALUES {_COMPARED}) AS m(metric)""",
-    "size_energy": f"""WITH {ARTICLES}
-SELECT model, size_b, wh_per_1000, open_source, round(log10(size_b), 6) AS log_size, round(log10(wh_per_1000), 6) AS log_energy,
-       round(wh_per_1000 * (SELECT count(*) FROM articles WHERE label = 1) / 1000, 6) AS corpus_wh
-FROM {_values(MODEL_ENERGY, "model, size_b, wh_per_1000, open_source")} WHERE size_b IS NOT NULL""",
+    "size_energy": f"""WITH {ARTICLES}, counts AS (
+SELECT media, strftime(date, '%Y-%m') AS month, count(*) AS articles FROM articles WHERE label = 1 GROUP BY 1, 2)
+SELECT media, month, articles, model, size_b, wh_per_1000, open_source, round(log10(size_b), 6) AS log_size,
+       round(log10(wh_per_1000), 6) AS log_energy, round(wh_per_1000 * articles / 1000, 6) AS corpus_wh
+FROM counts, {_values(MODEL_ENERGY, "model, size_b, wh_per_1000, open_source")} WHERE size_b IS NOT NULL""",
     "dedupe_columns": f"WITH {ARTICLES} SELECT article_id, media, label, raw_date FROM articles",
 }

@@ -91,16 +91,16 @@ def date_parts(spark, sf_dir):
 
 
 def null_text_report(spark, sf_dir):
-    return coverage.null_text_count(V.gappy_texts(spark, sf_dir))
+    return coverage.null_text_count(V.rated_documents(spark, sf_dir), "quality")
 
 
 def drop_empty_text(spark, sf_dir):
-    return coverage.drop_empty_text(V.gappy_texts(spark, sf_dir)).select("doc_id", "text")
+    return coverage.drop_empty_text(V.rated_documents(spark, sf_dir), "quality").select("doc_id", "text", "quality")
 
 
 def per_date_counts(spark, sf_dir):
     daily = V.articles(spark, sf_dir).withColumn("date", F.col("date").cast("date"))
-    counted = coverage.per_date_counts(daily.select("article_id", "date", "label"), "article_id")
+    counted = coverage.per_date_counts(daily.select("article_id", "date", "label"))
     return _text(counted, "date")
 
 
@@ -147,6 +147,28 @@ def explorer_page_info(spark, sf_dir):
     return explore.page_info(_explorer(spark, sf_dir))
 
 
+def _macro_rows(spark, sf_dir) -> DataFrame:
+    return explore.explorer_rows(V.macro_predictions(spark, sf_dir).drop("description"), macro=True)
+
+
+def macro_explorer(spark, sf_dir):
+    return _text(_macro_rows(spark, sf_dir), "date")
+
+
+def category_counts_macro(spark, sf_dir):
+    return explore.category_counts(_macro_rows(spark, sf_dir), macro=True)
+
+
+def macro_metrics(spark, sf_dir):
+    lists = evaluate.label_lists(V.macro_predictions(spark, sf_dir), macro=True)
+    return evaluate.multilabel_metrics(lists, MACRO_CODES).drop("unsure")
+
+
+def explorer_columns(spark, sf_dir):
+    """Rows without columns that must have been there."""
+    return explore.drop_required(V.predictions(spark, sf_dir), "description", "label_3", "date")
+
+
 def _category_counts(**options):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return explore.category_counts(_explorer(spark, sf_dir), **options)
@@ -165,8 +187,16 @@ def category_by_month(spark, sf_dir):
     return explore.category_by_month(_explorer(spark, sf_dir))
 
 
-def themes_by_month(spark, sf_dir):
-    return explore.themes_by_month(_explorer(spark, sf_dir))
+def _themes_by_month(legacy: bool):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = _explorer(spark, sf_dir).withColumn("date", F.when(F.col("doc_id") % 19 != 0, F.col("date")))
+        return explore.themes_by_month(rows, legacy=legacy)
+
+    return run
+
+
+def category_by_month_selected(spark, sf_dir):
+    return explore.category_by_month(_explorer(spark, sf_dir), SELECTION)
 
 
 def parse_answers(spark, sf_dir):
@@ -222,6 +252,10 @@ def multilabel_metrics(spark, sf_dir):
     return evaluate.multilabel_metrics(_lists(spark, sf_dir))
 
 
+def multilabel_metrics_any_rank(spark, sf_dir):
+    return evaluate.multilabel_metrics(_lists(spark, sf_dir), top=None)
+
+
 def hallucinations(spark, sf_dir):
     return evaluate.hallucinations(V.predictions(spark, sf_dir))
 
@@ -276,7 +310,7 @@ def split_total(spark, sf_dir):
 
 
 def head_rows(spark, sf_dir):
-    return splits.head_rows(V.predictions(spark, sf_dir).select("doc_id", "media"), ["doc_id"])
+    return splits.head_rows(V.predictions(spark, sf_dir).select("doc_id", "media"), ["doc_id"], 400)
 
 
 def head_share(spark, sf_dir):
@@ -309,7 +343,7 @@ def salient_words(spark, sf_dir):
 def _fitted(spark, sf_dir):
     texts = splits.stratified_split(V.labelled_texts(spark, sf_dir), "doc_id")
     parts = {name: texts.where(F.col("split") == name) for name in splits.SPLITS}
-    return detect.fit_detector(parts["train"], parts["val"], n_features=1 << 16), parts["test"]
+    return detect.fit_detector(parts["train"], parts["val"]), parts["test"]
 
 
 def detector_scores(spark, sf_dir):
@@ -318,9 +352,20 @@ def detector_scores(spark, sf_dir):
     return scored.select("doc_id", "climate_related", "confidence", F.array_join("top_words", " ").alias("top_words"))
 
 
-def detector_report(spark, sf_dir):
-    detector, test = _fitted(spark, sf_dir)
-    return detect.evaluate(detect.predict(detector, test))["report"]
+def detector_checks(spark, sf_dir):
+    """What must hold for every score, with the salient words it comes with."""
+    confidence = F.col("confidence")
+    return detector_scores(spark, sf_dir).select(
+        "doc_id", F.col("climate_related").isin(0, 1).alias("decided"), confidence.between(0.5, 1.0).alias("bounded"), "top_words"
+    )
+
+
+def _detector_table(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        detector, test = _fitted(spark, sf_dir)
+        return detect.evaluate(detect.predict(detector, test), weights=detector.weights)[name]
+
+    return run
 
 
 def prompt_table(spark, sf_dir):
@@ -372,11 +417,9 @@ def metric_comparison(spark, sf_dir):
 
 
 def size_energy(spark, sf_dir):
-    """Energy each model would need for the on-topic articles."""
-    n = coverage.only_positive(V.articles(spark, sf_dir)).agg(F.count("*")).scalar()
+    """Energy each model would need for the on-topic articles of each outlet and month."""
     models = compare.size_energy(compare.model_energy(spark))
-    models = models.withColumn("corpus_wh", F.col("wh_per_1000") * n / 1000)
-    return _rounded(models, "log_size", "log_energy", "corpus_wh")
+    return _rounded(compare.energy_by_outlet(V.articles(spark, sf_dir), models), "log_size", "log_energy", "corpus_wh")
 
 
 def dedupe_columns(spark, sf_dir):
@@ -408,11 +451,16 @@ QUERIES = {
     "explorer_page_info": explorer_page_info,
     "category_counts": _category_counts(),
     "category_counts_legacy": _category_counts(legacy=True),
-    "category_counts_macro": _category_counts(categories=MACRO_CODES, macro=True),
+    "category_counts_macro": category_counts_macro,
+    "macro_explorer": macro_explorer,
+    "macro_metrics": macro_metrics,
+    "explorer_columns": explorer_columns,
     "category_share": _category_share(legacy=False),
     "category_share_legacy": _category_share(legacy=True),
     "category_by_month": category_by_month,
-    "themes_by_month": themes_by_month,
+    "category_by_month_selected": category_by_month_selected,
+    "themes_by_month": _themes_by_month(legacy=False),
+    "themes_by_month_legacy": _themes_by_month(legacy=True),
     "parse_answers": parse_answers,
     "answer_classes": answer_classes,
     "api_answers": api_answers,
@@ -422,6 +470,7 @@ QUERIES = {
     "label_indicator": label_indicator,
     "label_counts": label_counts,
     "multilabel_metrics": multilabel_metrics,
+    "multilabel_metrics_any_rank": multilabel_metrics_any_rank,
     "hallucinations": hallucinations,
     "hallucinations_legacy": hallucinations_legacy,
     "metrics_by_run": metrics_by_run,
@@ -441,7 +490,10 @@ QUERIES = {
     "topic_tags": topic_tags,
     "salient_words": salient_words,
     "detector_scores": detector_scores,
-    "detector_report": detector_report,
+    "detector_checks": detector_checks,
+    "detector_report": _detector_table("report"),
+    "detector_confusion": _detector_table("confusion"),
+    "detector_loss": _detector_table("loss"),
     "prompt_table": prompt_table,
     "task_prompts": task_prompts,
     "training_table": training_table,

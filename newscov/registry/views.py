@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newscov.functions.answers import ANSWER_MARKER, MISSING_KEY_MICRO
 from newscov.scale import spread_scan
-from newscov.taxonomy import CATEGORIES, DISPLAY_NAMES
+from newscov.taxonomy import CATEGORIES, DISPLAY_NAMES, MACRO_CODES
 
 CODES = tuple(code for _, code, _ in CATEGORIES)
 
@@ -25,12 +25,16 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id AS article_id",
         "ts AS date",
-        """CASE event_id % 4
+        """CASE event_id % 8
              WHEN 0 THEN substr(CAST(ts AS STRING), 1, 10)
              WHEN 1 THEN substr(CAST(ts AS STRING), 1, 19)
              WHEN 2 THEN concat(substr(CAST(ts AS STRING), 6, 2), '/', substr(CAST(ts AS STRING), 9, 2), '/',
                                 substr(CAST(ts AS STRING), 1, 4))
-             ELSE 'juil-24' END AS raw_date""",
+             WHEN 3 THEN 'juil-24'
+             WHEN 4 THEN date_format(ts, 'MM-dd-yyyy')
+             WHEN 5 THEN date_format(ts, 'd MMM yyyy')
+             WHEN 6 THEN date_format(ts, 'yyyyMMdd')
+             ELSE date_format(ts, 'MMMM d, yyyy') END AS raw_date""",
         "concat('media', CAST(user_id % 6 AS STRING)) AS media",
         "CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS label",
         "0.5D + value / 1000D AS confidence",
@@ -67,6 +71,21 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def macro_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc = F.col("doc_id")
+    none = F.lit(None).cast("string")
+    guess = F.when(doc % 3 == 0, _pick(MACRO_CODES, "doc_id * 3")).otherwise(_pick(MACRO_CODES, "doc_id * 7 + 1"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.expr("DATE'2024-01-01' + CAST(doc_id % 366 AS INT)").alias("date"),
+        F.col("source").alias("media"),
+        F.col("text").alias("description"),
+        _pick(MACRO_CODES, "doc_id * 3").alias("label_1"), none.alias("label_2"), none.alias("label_3"),
+        F.when(doc % 17 == 0, none).when(doc % 13 == 0, "hors sujet").otherwise(guess).alias("prediction_label_1"),
+        none.alias("prediction_label_2"), none.alias("prediction_label_3"),
+    )
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, two = _pick(DISPLAY_NAMES, "conv_id * 3 + turn"), _pick(DISPLAY_NAMES, "conv_id * 5 + turn * 2")
     kind = (F.col("conv_id") + F.col("turn")) % 5
@@ -86,7 +105,8 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("'"), name, F.lit("'"))
         )
 
-    third = F.when(kind == 4, F.lit("None")).otherwise(F.lit("'Pollution'"))
+    third = F.when(kind == 4, F.lit("None")).when(kind == 1, F.lit("'[None, None]'")).when(kind == 2, F.lit("True"))
+    third = third.otherwise(F.lit("'Pollution'"))
     dictionary = F.concat(
         F.lit("{'Classe_1': "), printed(one), F.lit(", 'Classe_2': "), printed(two),
         F.lit(", 'Classe_3': "), third, F.lit("}"),
@@ -104,9 +124,10 @@ def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_scan(documents(spark, sf_dir), "doc_id")
 
 
-def gappy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose shortest texts count as missing."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.expr("CASE WHEN n_chars >= 200 THEN text END AS text"))
+def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their quality, which is missing for those nobody rated."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

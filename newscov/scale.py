@@ -3,18 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A key that holds more than this share of the rows is treated as hot. There can
-# be at most 1 / HOT_SHARE such keys, which bounds what gets broadcast.
-HOT_SHARE = 0.001
-HOT_SALTS = 512
-
-# Largest measured table of per-key totals that is broadcast whole.
-BROADCAST_BYTES = 64 << 20
-
 # Rows per window task in rolling_rows.
 WINDOW_CHUNK = 200_000
 
@@ -62,20 +55,36 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
     )
 
 
-def order_key(order: list[str]) -> Column:
-    """The order columns as one comparable value."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
-
+def rows_between(df: DataFrame, order: list[str], places: Callable[[int], tuple[int, int]]) -> DataFrame:
+    """Rows from the first to the last place that ``places`` names for the number of rows.
 
-def keys_between(placed: DataFrame, order: list[str], first: int, last: int) -> tuple[Column, Column]:
-    """Order keys at two positions of ``with_position`` output, as scalars; null past the ends.
-
-    Lets wide rows be cut by comparing their own key, so that only keys are ever sorted.
+    Places count from 1 in ``order``, nulls first; ties go by a hash of the whole row, so that
+    only equal rows can stand for each other. Keys alone are ranked, and the rows are cut by
+    comparing their own key with the keys at both ends. A struct compares its null fields
+    first and always has an answer, so rows with null keys have a place like any other.
     """
-    key = order_key(order)
-    found = placed.where(F.col("position").between(first, last)).agg(F.struct(F.min(key).alias("a"), F.max(key).alias("b")))
-    ends = found.scalar()
-    return ends["a"], ends["b"]
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_tie")
+    key = F.struct(*[F.col(f"`{c}`") for c in order], tie)
+    placed = checkpointed(with_position(df.select(key.alias("_key")), "_key"))
+    n = placed.count()
+    first, last = places(n)
+    first, last = max(first, 1), min(last, n)
+    if first > last:
+        return df.limit(0)
+    inside = placed.where(F.col("position").between(first, last))
+    ends = inside.agg(F.struct(F.min("_key").alias("low"), F.max("_key").alias("high")).alias("ends")).scalar()
+
+    def copies(end: str) -> DataFrame:
+        """Rows at one end of the cut: all, or as many of the equal ones as lie inside."""
+        at = df.where(key == ends[end])
+        wanted = inside.where(F.col("_key") == ends[end]).count()
+        return at if wanted == placed.where(F.col("_key") == ends[end]).count() else at.limit(wanted)
+
+    low = copies("low")
+    if not inside.where(F.col("_key") > ends["low"]).take(1):
+        return low
+    middle = df.where((key > ends["low"]) & (key < ends["high"]))
+    return low.unionByName(middle).unionByName(copies("high"))
 
 
 def rolling_rows(
@@ -114,38 +123,12 @@ def key_totals(df: DataFrame, key: str, aggregates: dict[str, Column]) -> DataFr
     return checkpointed(kept.agg(F.count("*").alias("_rows"), *[a.alias(n) for n, a in aggregates.items()]))
 
 
-def attach_totals(
-    df: DataFrame, key: str, totals: DataFrame, spread_by: str, max_bytes: int = BROADCAST_BYTES, salts: int = HOT_SALTS
-) -> DataFrame:
+def attach_totals(df: DataFrame, key: str, totals: DataFrame) -> DataFrame:
     """Left-join ``key_totals`` to every row of ``df``; rows with a null key get nulls.
 
-    A table of totals measured to fit ``max_bytes`` is broadcast whole. Beyond that only
-    hot keys (at most 1 / HOT_SHARE of them) are, so that their rows need not gather in
-    one task, and all others meet their totals in an ordinary join. ``spread_by`` names a
-    column that differs between the rows of one key.
+    Spark picks the join, and adaptive execution splits the rows of a frequent key.
     """
-    names = [c for c in totals.columns if c not in (key, "_rows")]
-    kept = [F.col(c) for c in df.columns]
-    width = F.octet_length(F.col(key).cast("string")) + 16 * (len(names) + 2)
-    size = totals.agg(F.sum(width).alias("bytes"), F.sum("_rows").alias("rows")).first()
-    if (size["bytes"] or 0) <= max_bytes:
-        return df.join(F.broadcast(totals.drop("_rows")), key, "left").select(*kept, *names)
-    is_hot = F.col("_rows") > size["rows"] * HOT_SHARE
-    hot = totals.where(is_hot).select(F.col(key).alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in names])
-
-    def salt_of(column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(salts))
-
-    cold = totals.where(~is_hot).select(F.col(key).alias("_cold_key"), salt_of(key).alias("_cold_salt"), *names)
-    looked_up = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    settled = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    # Settled rows carry salts the cold side does not have: they only need an even spread.
-    # The cold salt depends on the key because a constant would be optimised out of the join.
-    salt = F.when(settled, salts + salt_of(spread_by)).otherwise(salt_of(key))
-    joined = looked_up.withColumn("_salt", salt).join(
-        cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
-    )
-    return joined.select(*kept, *[F.coalesce(F.col(f"_hot_{n}"), F.col(n)).alias(n) for n in names])
+    return df.join(totals.drop("_rows"), key, "left")
 
 
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:

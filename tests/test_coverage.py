@@ -91,7 +91,7 @@ def test_filter_values(articles):
 
 def test_per_date_counts(articles):
     daily = articles.withColumn("date", F.col("date").cast("date"))
-    got = {r.id: (r.number_articles, r.number_climate) for r in C.per_date_counts(daily, "id").collect()}
+    got = {r.id: (r.number_articles, r.number_climate) for r in C.per_date_counts(daily).collect()}
     assert got == {1: (2, 1), 2: (2, 1), 3: (1, 1), 4: (1, 0), 5: (1, 1), 6: (None, None)}
 
 

@@ -191,3 +191,23 @@ def test_half_even_rounding(spark):
     # one in eight is 12.5; at two decimals both agree, so only the option's effect on type is of interest
     for half_even in (False, True):
         assert E.multilabel_metrics(lists, ["a"], half_even=half_even).first()["top1"] == 12.5
+
+
+def test_confusion_of_classes_on_one_side(spark):
+    scored = spark.createDataFrame([(0, 1), (0, 0), (0, 2), (None, 1)], "label INT, predicted INT")
+    got = E.confusion(scored)
+    assert got.columns == ["actual", "predicted_0", "predicted_1", "predicted_2"]
+    assert [tuple(r) for r in got.collect()] == [(0, 1, 1, 1), (1, 0, 0, 0), (2, 0, 0, 0)]
+
+
+def test_log_loss_leaves_unlabelled_rows_out(spark):
+    scored = spark.createDataFrame([(1, 1, 0.9), (None, 1, 0.9)], "label INT, predicted INT, confidence DOUBLE")
+    row = E.accuracy_logloss(scored).first()
+    assert (row.accuracy, round(row.logloss, 3)) == (1.0, 0.105)
+
+
+def test_codes_and_placeholders_are_not_invented(spark):
+    rows = [(METRIC_CODES[-1], None, None), ("[None, None]", "[None]", None), ("inventé", None, None)]
+    df = spark.createDataFrame(rows, "prediction_label_1 STRING, prediction_label_2 STRING, prediction_label_3 STRING")
+    assert E.hallucinations(df).first()[0] == 1
+    assert {r[0] for r in df.collect()} & set(METRIC_CODES)

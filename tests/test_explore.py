@@ -58,9 +58,20 @@ def test_hidden_columns_go(predictions):
         X.drop_required(predictions, "nothing")
 
 
-@pytest.mark.parametrize("top_n", [0, 5_000])
-def test_pages(spark, monkeypatch, top_n):
-    monkeypatch.setattr(X, "TOP_N_ROWS", top_n)
+def test_pages_with_ties_and_nulls(spark):
+    rows = spark.createDataFrame([(i % 7 if i % 10 else None, i % 150) for i in range(300)], "k INT, i INT")
+    pages = [[tuple(r) for r in X.page(rows, n, ["k"], 50).collect()] for n in range(1, 8)]
+    assert [len(p) for p in pages] == [50] * 6 + [0]
+    every = [r for p in pages for r in p]
+    assert sorted(every, key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    keys = [-1 if k is None else k for k, _ in every]
+    assert keys == sorted(keys)
+    assert [[tuple(r) for r in X.page(rows.repartition(5), n, ["k"], 50).orderBy("k", "i").collect()] for n in (2, 5)] == [
+        sorted(pages[n - 1], key=lambda r: (r[0] if r[0] is not None else -1, r[1])) for n in (2, 5)
+    ]
+
+
+def test_pages(spark):
     rows = spark.range(250).withColumnRenamed("id", "n")
     assert [r.n for r in X.page(rows, 2, ["n"]).orderBy("n").collect()] == list(range(100, 200))
     assert X.page(rows, 3, ["n"]).count() == 50

@@ -59,10 +59,35 @@ def test_normalise(spark):
 
 
 def test_tokens_and_words(spark):
-    assert values(spark, T.tokens, ["L'eau, CO2 et 3 îles!", "", None]) == [["l", "eau", "co", "et", "iles"], [], None]
+    assert values(spark, T.tokens, ["L'eau, CO2 et 3 îles!", "", None]) == [["l'eau", "co2", "et", "3", "iles"], [], None]
     assert values(spark, T.words, ["CO2 et 3 îles"]) == [["co2", "et", "3", "iles"]]
 
 
+def test_mixed_tokens_go_as_a_whole(spark):
+    assert values(spark, T.clean_tokens, ["Le CO2 de l'usine: gaz_rare et chaleur"]) == [["chaleur"]]
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("5 Jan 2024", "2024-01-05"), ("January 5, 2024", "2024-01-05"), ("Sept. 7 2023", "2023-09-07"), ("05-01-2024", "2024-05-01"),
+        ("25-01-2024", "2024-01-25"), ("20240105", "2024-01-05"), ("03/04/24", "2024-03-04"), ("13/04/99", "1999-04-13"),
+        ("5 janvier 2024", None), ("99999999", None), ("5 J 2024", None), ("Jan 2024", None), ("31 Feb 2024", None),
+    ],
+)
+def test_dates_by_name_dash_and_short_year(spark, text, day):
+    (got,) = values(spark, D.parse_mixed, [text])
+    assert (got and str(got.date())) == day
+
+
+def test_repr_with_quoted_constants(spark):
+    raw = ["{'Classe_1': '[None, None]', 'Classe_2': True, 'Classe_3': None}", '{"a": "it\'s None", \'b\': False}', "{'a': 'x\\'None'}"]
+    got = values(spark, A.parse_repr, raw)
+    assert got[0] == {"Classe_1": "[None, None]", "Classe_2": "true", "Classe_3": None}
+    assert got[1] == {"a": "it's None", "b": "false"}
+    assert got[2] == {"a": "x'None"}
+
+
 def test_clean_tokens(spark):
     assert values(spark, T.clean_tokens, ["Comme le climat change APRÈS la pluie"]) == [["climat", "change", "pluie"]]
     english = values(spark, lambda x: T.clean_tokens(x, "english"), ["Never the weather of television"])

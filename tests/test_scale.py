@@ -42,31 +42,31 @@ def hot_rows(spark):
     return rows, spark.createDataFrame(rows, "i INT, k STRING")
 
 
-@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
-def test_totals_reach_every_row(spark, monkeypatch, max_bytes):
-    monkeypatch.setattr(scale, "HOT_SHARE", 0.1)
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_totals_reach_every_row(spark, threshold):
+    """Merge join and broadcast give the same."""
     rows, df = hot_rows(spark)
-    totals = scale.key_totals(df, "k", {"n": F.count("*"), "top": F.max("i")})
-    got = {r.i: (r.k, r.n, r.top) for r in scale.attach_totals(df, "k", totals, "i", max_bytes).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        totals = scale.key_totals(df, "k", {"n": F.count("*"), "top": F.max("i")})
+        got = {r.i: (r.k, r.n, r.top) for r in scale.attach_totals(df, "k", totals).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     frame = pd.DataFrame(rows, columns=["i", "k"])
     n, top = frame.groupby("k")["i"].count(), frame.groupby("k")["i"].max()
     assert len(got) == len(rows)
     assert got == {i: (k, int(n[k]), int(top[k])) if k else (None, None, None) for i, k in rows}
 
 
-def test_hot_and_null_rows_spread_over_partitions(spark, monkeypatch):
-    monkeypatch.setattr(scale, "HOT_SHARE", 0.1)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        _, df = hot_rows(spark)
-        joined = scale.attach_totals(df, "k", scale.key_totals(df, "k", {"n": F.count("*")}), "i", max_bytes=0)
-        sizes = joined.groupBy(F.spark_partition_id()).count().toPandas()["count"]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    # two thirds of the rows share one key or have none; unsalted they would sit in two tasks
-    assert len(sizes) == 4 and sizes.max() < 0.4 * 3000
+@pytest.mark.parametrize("places", [(1, 10), (5, 5), (8, 60), (1, 60), (0, 3), (58, 99), (61, 70), (4, 2)])
+def test_rows_between(spark, places):
+    rows = [(None if i % 4 == 0 else i % 5, "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "k INT, v STRING")
+    got = [tuple(r) for r in scale.rows_between(df, ["k"], lambda n: places).collect()]
+    order = sorted(-1 if k is None else k for k, _ in rows)
+    first, last = max(places[0], 1), min(places[1], 60)
+    assert sorted(-1 if k is None else k for k, _ in got) == order[first - 1 : last]
+    assert not set(got) - set(rows)
 
 
 def test_small_side(spark, plan):

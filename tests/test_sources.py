@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newscov import schemas
 from newscov.operators.coverage import dated_articles, in_dates
@@ -12,7 +13,9 @@ from newscov.operators.detect import load_detector
 from newscov.operators.explore import in_month
 from newscov.plans.dashboard import dashboard
 from newscov.plans.detection import detect_file, train_detector
+from newscov.functions.answers import run_name
 from newscov.sources import readers, sinks
+from newscov.sources.readers import cast_failures, read_articles
 
 CSV = 'date,media,label,confidence,description\n2024-01-02,TF1,1,0.9,"Il dit ""oui"",\nvraiment"\njuil-24,France2,0,x,\n'
 
@@ -128,3 +131,22 @@ def test_detection_from_file(spark, tmp_path):
     assert scored.count() == 120 and scored.where("climate_related <> label").count() == 0
     assert spark.read.parquet(f"{out}/r1/inference").count() == 120
     assert spark.read.parquet(f"{out}/r1/confusion").count() == 2
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    a, b = tmp_path / "pred_\u00e9 c+d.csv", tmp_path / "pred_b.csv"
+    a.write_text("x,y\n1,un\n2,deux\n", encoding="utf-8")
+    b.write_text("y,z,x\ntrois,z3,3\n", encoding="utf-8")
+    schema = T.StructType.fromDDL("x INT, y STRING, z STRING")
+    rows = read_articles(spark, str(tmp_path), schema, path_column="path")
+    assert sorted((r.x, r.y, r.z) for r in rows.collect()) == [(1, "un", None), (2, "deux", None), (3, "trois", "z3")]
+    names = {r[0] for r in rows.select(run_name(F.col("path"))).collect()}
+    assert names == {"\u00e9 c+d", "b"}
+
+
+def test_cast_failures(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,un\noops,deux\n,trois\n", encoding="utf-8")
+    row = cast_failures(spark, str(tmp_path / "a.csv"), T.StructType.fromDDL("x INT, y STRING")).first()
+    assert tuple(row) == (1, 0)
+    with pytest.raises(KeyError):
+        cast_failures(spark, str(tmp_path / "a.csv"), T.StructType.fromDDL("nothing INT"))

@@ -26,7 +26,14 @@ def test_rows_are_not_sorted_to_be_cut(spark, plan):
 
 
 def test_head_rows(spark):
-    assert S.head_rows(spark.range(1000), ["id"]).count() == 400
+    assert sorted(r.id for r in S.head_rows(spark.range(1000), ["id"], 400).collect()) == list(range(400))
+
+
+def test_shares_keep_null_keys(spark):
+    df = spark.createDataFrame([(None if i < 10 else i, i) for i in range(100)], "k INT, i INT")
+    assert S.head_share(df, ["k"], 0.8).count() == 80
+    assert S.tail_share(df, ["k"], 1.0).count() == 100
+    assert sorted(r.i for r in S.tail_share(df, ["k"], 0.2).collect()) == list(range(80, 100))
 
 
 def test_stratified_split(spark):

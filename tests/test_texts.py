@@ -51,15 +51,15 @@ def test_long_text_takes_linear_time(spark):
     df = spark.createDataFrame([(1, "effet de serre autre " * 50_000)], "id INT, text STRING")
     row = topics.topic_tags(df, LEXICON, "id").orderBy("rank").first()
     assert (row.subtheme, row.terms) == ("autre", 1)
-    assert topics.word_counts(df, "id").where("word = 'serre'").first()["tf"] == 50_000
+    assert topics.word_lists(df, "id").selectExpr("inline(words)").where("word = 'serre'").first()["tf"] == 50_000
 
 
 def brute_salient(rows, stops, top=3):
     docs = {}
     for key, text in rows:
         plain = T.normalise_word(text or "")
-        words = "".join(c if c.isalpha() else " " for c in plain).split()
-        docs[key] = Counter(w for w in words if w not in stops)
+        words = "".join(c if c.isalnum() or c in "_'’" else " " for c in plain).split()
+        docs[key] = Counter(w for w in words if w.isalpha() and w not in stops)
     df = Counter(w for words in docs.values() for w in words)
     out = set()
     for key, words in docs.items():
@@ -77,13 +77,13 @@ def test_salient_words_match_brute_force(texts):
 
 
 def test_word_counts(texts):
-    got = {(r.id, r.word): r.tf for r in topics.word_counts(texts, "id").collect()}
+    got = {(r.id, w.word): w.tf for r in topics.word_lists(texts, "id").collect() for w in r.words or ()}
     assert got[1, "gaz"] == 3 and got[2, "solaire"] == 2
     assert not any(key[0] in (4, 5) for key in got)
 
 
 def test_word_counts_need_no_shuffle(texts, plan):
-    assert "Exchange" not in plan(topics.word_counts(texts, "id"))
+    assert "Exchange" not in plan(topics.word_lists(texts, "id"))
 
 
 def test_top_words_are_ranked(texts):
@@ -91,17 +91,23 @@ def test_top_words_are_ranked(texts):
     assert lists[1][0] == "gaz" and len(lists[1]) == 3
 
 
-def test_detector_learns_and_reports(spark):
+def test_detector_learns_and_reports(spark, plan):
     rows = [(i, ("climat chaleur rechauffement " if i % 4 == 0 else "football match score ") + f"mot{i % 9}", int(i % 4 == 0)) for i in range(200)]
     df = spark.createDataFrame(rows, "id INT, text STRING, label INT")
     detector = detect.fit_detector(df.where("id % 5 > 0"), df.where("id % 5 = 0"), penalties=(0.001, 0.1), n_features=256)
     assert set(detector.losses) == {0.001, 0.1}
     scored = detect.predict(detector, df.where("id % 5 = 0").unionByName(df.limit(1).withColumn("text", F.lit(None).cast("string"))), row_id="id")
     assert scored.count() == 40
-    assert scored.columns == ["id", "text", "label", "climate_related", "confidence", "top_words"]
+    assert scored.columns == ["id", "label", "climate_related", "confidence", "top_words"]
+    moved = [line for line in plan(scored).split("\n") if "Exchange" in line]
+    assert moved and not any("text" in line for line in moved)
+    assert set(detector.weights) == {0.0, 1.0}
     assert scored.where("climate_related <> label").count() == 0
     assert scored.where("confidence NOT BETWEEN 0.5 AND 1").count() == 0
     report = detect.evaluate(scored)
     assert {r["class"]: r.f1 for r in report["report"].collect()}["accuracy"] == 1.0
     assert [tuple(r) for r in report["confusion"].collect()] == [(0, 30, 0), (1, 0, 10)]
     assert report["loss"].first()["accuracy"] == 1.0
+    weighted = detect.evaluate(scored, weights={0.0: 1.0, 1.0: 0.0})["loss"].first()["logloss"]
+    of_zero = detect.evaluate(scored.where("label = 0"))["loss"].first()["logloss"]
+    assert weighted == pytest.approx(of_zero)
