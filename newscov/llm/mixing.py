@@ -178,7 +178,8 @@ def mix(
     own = F.struct(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{source_column}`").alias("source"), size.alias("size")
     )
-    marked = docs.withColumn("mix", own)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "mix"]
+    marked = docs.select(F.struct(*kept).alias("_row"), own.alias("mix"))
     marked = marked.withColumn("mix", F.col("mix").withField("u", uniform(F.lit(seed), F.col("mix.id"), F.col("mix.size"))))
     meta = stored(marked.select("mix.source", "mix.size", "mix.u"), "mix-sizes")
 
@@ -255,8 +256,7 @@ def mix(
         F.col("mix.size").alias("size"), "source_size", "target", (F.size("_kept") * F.col("mix.size")).alias("taken"),
         F.col("_kept").alias("draws"),
     )
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "mix"]
-    return rows.withColumn("_kept", draws).select(*kept, result.alias("mix"))
+    return rows.withColumn("_kept", draws).select("_row.*", result.alias("mix"))
 
 
 def mixture(mixed: DataFrame) -> DataFrame:
