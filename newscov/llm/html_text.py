@@ -30,6 +30,8 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that hold a run of text rather than other blocks.
+LEAVES = frozenset("address caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li option p pre summary".split())
 CHROME = frozenset("aside dialog footer form head header menu nav search".split())
 MAIN = frozenset("article main".split())
 CHROME_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search toolbar".split())
@@ -158,7 +160,8 @@ class Page:
         self._flush()
         name, path, _, _, _, chars = self.open.pop()
         self.names[name] -= 1
-        self.chars[path] += chars
+        if name not in LEAVES:  # only these can be the container of an article
+            self.chars[path] += chars
         self.open[-1][5] += chars
 
     def _end(self, name: str) -> None:
