@@ -14,9 +14,7 @@ from newscov.functions.dates import month_name, parse_mixed, period_start
 from newscov.functions.labels import lookup
 from newscov.scale import attach_totals, key_totals, rolling_rows
 from newscov.schemas import STORED_MONTH, require_columns
-from newscov.taxonomy import OUTLET_COLOURS
-
-EVERY = "Tous"  # filter value that means "no filter"
+from newscov.taxonomy import EVERY, OUTLET_COLOURS
 
 
 def dated_articles(articles: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from newscov.functions.dates import month_number
 from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
-from newscov.operators.coverage import EVERY, in_outlet
+from newscov.operators.coverage import in_outlet
 from newscov.scale import rows_between
 from newscov.schemas import PREDICTION_COLUMNS, STORED_MONTH, require_columns
 from newscov.sources.inline import literal_rows
-from newscov.taxonomy import MACRO_CODES, THEMES, explorer_codes
+from newscov.taxonomy import EVERY, MACRO_CODES, THEMES, explorer_codes
 
 # --- fixed values: columns the explorer does not show ----------------------------
 HIDDEN_COLUMNS = (

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from newscov.operators import explore as X
-from newscov.operators.coverage import EVERY, filter_values
+from newscov.operators.coverage import filter_values
+from newscov.taxonomy import EVERY
 
 
 def explorer(

@@ -367,7 +367,7 @@ SELECT conv_id, turn, block, json_valid(block) AS readable FROM first""",
     "repr_answers": f"""WITH {RESPONSES}
 SELECT conv_id, turn, one AS prediction_label_1, two AS prediction_label_2,
        CASE kind WHEN 4 THEN NULL WHEN 1 THEN '[None, None]' WHEN 2 THEN 'true' ELSE 'Pollution' END AS prediction_label_3
-FROM responses""",
+FROM responses WHERE kind <> 3""",
     "normalised_labels": f"""WITH {LISTS}
 SELECT doc_id, array_to_string(truth, '|') AS truth, array_to_string(predicted, '|') AS predicted FROM lists""",
     "compacted_labels": f"""WITH {PREDICTIONS}

@@ -111,6 +111,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("{'Classe_1': "), printed(one), F.lit(", 'Classe_2': "), printed(two),
         F.lit(", 'Classe_3': "), third, F.lit("}"),
     )
+    dictionary = F.when(kind == 3, "sans accolades").otherwise(dictionary)
     return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", response.alias("response"), bare.alias("bare"), dictionary.alias("dictionary")
     )

@@ -82,6 +82,9 @@ MODEL_ENERGY = (
 
 # source, precision, recall, F1, top 1, top 3, unsure (all in percent)
 PUBLISHED_RUN = ("chatgpt_ancien", 51.64, 54.25, 46.51, 63.04, 81.88, 1.45)
+
+# Filter value that means "no filter".
+EVERY = "Tous"
 # --- end of fixed values -----------------------------------------------------
 
 DISPLAY_NAMES = tuple(name for name, _, _ in CATEGORIES)
