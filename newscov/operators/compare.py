@@ -68,10 +68,18 @@ def energy_by_outlet(articles: DataFrame, models: DataFrame) -> DataFrame:
 
 
 def drop_duplicate_columns(df: DataFrame) -> DataFrame:
-    """Keep the first of columns with equal content; one aggregate compares all pairs of one type."""
+    """Keep the first of columns with equal content.
+
+    One aggregate takes a digest of each column, whatever its row order; a second compares row by
+    row the few columns of one type that agree in it.
+    """
     names = df.columns
     types = dict(df.dtypes)
-    pairs = [(a, b) for i, b in enumerate(names) for a in names[:i] if types[a] == types[b]]
+    total = [F.sum(F.xxhash64(F.col(c)).cast("decimal(38,0)")).alias(str(i)) for i, c in enumerate(names)]
+    digests = dict(zip(names, df.agg(*total).first()))
+    pairs = [
+        (a, b) for i, b in enumerate(names) for a in names[:i] if (types[a], digests[a]) == (types[b], digests[b])
+    ]
     if not pairs:
         return df
     checks = [F.bool_and(F.col(a).eqNullSafe(F.col(b))) for a, b in pairs]

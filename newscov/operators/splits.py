@@ -47,6 +47,7 @@ def stratified_split(
         (F.col("_first") - 1 + F.round(F.col("_n") * (1 - test_size))).cast("bigint").alias("_train_end"),
         (F.col("_first") - 1 + F.round(F.col("_n") * (1 - test_size / 2))).cast("bigint").alias("_val_end"),
     )
+    sizes = checkpointed(sizes)  # a row per class
     key = F.struct("_draw", "_id")
     borders = (
         placed.join(small_side(sizes, MAX_BROADCAST_CLASSES), F.col("_label").eqNullSafe(F.col("_class")))
