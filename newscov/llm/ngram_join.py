@@ -25,7 +25,7 @@ SEED = 7
 BLOCK_DOCS = 1_024
 BLOCK_SHINGLES = 2_000_000
 #: Word hashes a task remembers, rows hashed at once, and shingles multiplied at once.
-REMEMBERED = 1 << 20
+REMEMBERED = 300_000
 HASHED_AT_ONCE = 2_048
 COLUMNS_AT_ONCE = 4_096
 

@@ -27,7 +27,7 @@ SEED = 3
 LEAST_LIKELY = 0.5
 #: Letters of a word's beginning that count as well as the whole word.
 STEMS = (5, 7)
-REMEMBERED = 1 << 20
+REMEMBERED = 250_000
 #: Levels of the shares that describe a text, and how often such a description counts.
 LEVELS = (0.02, 0.05, 0.1, 0.2, 0.4, 0.7)
 SHAPE_WEIGHT = 4
@@ -38,18 +38,23 @@ def bucket(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-class Tokens(dict):
+def described(token: str) -> tuple:
     """What a token stands for: its buckets, and whether it is decorated, in capitals or no word."""
+    core = EDGE.sub("", token)
+    decorated = len(token) - len(core) >= 2 and bool(core)
+    capitals = len(core) >= 2 and core.isupper()
+    word = core.lower()
+    found = (bucket("word " + word), *(bucket(f"stem {word[:n]}") for n in STEMS)) if word else ()
+    return found, decorated, capitals, not core
+
+
+class Tokens(dict):
+    """Described tokens, remembered up to a limit."""
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= REMEMBERED:
             self.clear()
-        core = EDGE.sub("", token)
-        decorated = len(token) - len(core) >= 2 and bool(core)
-        capitals = len(core) >= 2 and core.isupper()
-        word = core.lower()
-        found = (bucket("word " + word), *(bucket(f"stem {word[:n]}") for n in STEMS)) if word else ()
-        self[token] = value = (found, decorated, capitals, not core)
+        self[token] = value = described(token)
         return value
 
 
@@ -173,12 +178,12 @@ def _scored(text_column: str, buckets: bytes, values: bytes, thresholds: list[fl
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.zeros(BUCKETS, np.float32)
         weights[np.frombuffer(buckets, np.int32)] = np.frombuffer(values, np.float32)
-        tokens, known = Tokens(), {}
+        known: dict[str, tuple] = {}
 
         def value(token: str) -> tuple[float, list | None]:
             if len(known) >= REMEMBERED:
                 known.clear()
-            found, *flags = tokens[token]
+            found, *flags = described(token)
             known[token] = kind = (float(sum(weights[b] for b in found)), flags if any(flags) else None)
             return kind
 
