@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newscov.llm.common import stored, working_columns
+from newscov.llm.ngram_join import WordHashes, shingles
 from newscov.llm.url_filter import host_of
 
 #: Pages of a host in which a class of tokens must occur to be part of its template, and tokens of a class.
@@ -21,6 +22,10 @@ LEAST_PAGES = 3
 LEAST_TOKENS = 2
 #: Share of a host's free text that the element taken for the article holds, where none says that it is one.
 MAIN_SHARE = 0.6
+#: Runs of words by which the article of a page is compared with others of its host.
+SAMPLE = 16
+#: Kinds of tokens: elements, texts of blocks, runs of words.
+ELEMENT, TEXT, RUN = range(3)
 
 # --- fixed values: elements and names as HTML uses them ---------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -186,17 +191,28 @@ def main_blocks(source: str | None, container: int | None, constants: frozenset[
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of a page with their number: paths of elements, and paths with a whole block's text."""
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
-    names = ["host", "page", "token", "of", "n", "depth", "chars", "main"]
+    """Tokens of a page with their number: paths of elements, paths with a whole block's text, runs of words.
+
+    ``page`` is a digest of the text that may be the article and ``copy`` one of the whole source.
+    """
+    kinds = (
+        pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()
+    )
+    names = ["host", "page", "copy", "kind", "token", "of", "n", "depth", "chars", "main"]
+    hashes = WordHashes()
     for batch in batches:
         rows: list[tuple] = []
-        for host, number, source in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html")):
+        for host, source in zip(batch.column("host").to_pylist(), batch.column("html")):
             page = Page(source.as_py())
+            free = [b for b in page.blocks if not b.chrome]
+            own = [b.text for b in free if b.main]
             marked = any(b.main for b in page.blocks)
-            rows += [(host, number, t, None, n, page.depths[t], page.chars[t], marked) for t, n in page.paths.items()]
-            texts = Counter((digest(b.path, b.text), b.path) for b in page.blocks if not b.chrome)
-            rows += [(host, number, t, of, n, None, 0, marked) for (t, of), n in texts.items()]
+            key = (host, digest(*(own or [b.text for b in free])), digest(source.as_py() or ""))
+            rows += [(*key, ELEMENT, t, None, n, page.depths[t], page.chars[t], marked) for t, n in page.paths.items()]
+            texts = Counter((digest(b.path, b.text), b.path) for b in free)
+            rows += [(*key, TEXT, t, of, n, None, 0, marked) for (t, of), n in texts.items()]
+            runs = shingles(" ".join(own), hashes)[:SAMPLE].view("int64").tolist()
+            rows += [(*key, RUN, t, None, 1, None, 0, marked) for t in runs]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -212,23 +228,35 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     other text fills slots. Where no element says that it is the article, the innermost one that
     holds most of the host's free text is the container of the main slots.
 
-    Pages with equal source count once, lest copies make a page a template.
+    Pages are counted by their articles, lest copies make an article a template: pages with the
+    same text in their declared main elements, or else outside chrome, are one page, the copy with
+    the smallest digest. A page whose declared main text is for the most part on ``c`` pages counts
+    ``1 / c``, so that near copies of one article add up to about one page. The smallest hashes of
+    its runs of words stand for the text.
     """
-    known = pages.where("host IS NOT NULL").withColumn("page", F.xxhash64("html"))
-    copies = known.groupBy("host", "page").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-    copies = stored(copies.drop("n"), "page-copies")  # as small as copies are few
-    once = known.join(copies, ["host", "page"], "left").where("first IS NULL OR id = first")
-    tokens = once.select("host", "page", "html").mapInArrow(
-        _tokens, "host STRING, page LONG, token LONG, of LONG, n INT, depth INT, chars LONG, main BOOLEAN"
+    tokens = pages.where("host IS NOT NULL").select("host", "html").mapInArrow(
+        _tokens,
+        "host STRING, page LONG, copy LONG, kind BYTE, token LONG, of LONG, n INT, depth INT, chars LONG, main BOOLEAN",
     )
-    counted = tokens.groupBy("host", "token", "of").agg(
-        F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"),
+    tokens = stored(tokens, "page-all-tokens")
+    runs = tokens.where(F.col("kind") == RUN).select("host", "page", "token").distinct()
+    often = runs.groupBy("host", "token").agg(F.count("*").alias("pages")).where("pages > 1")
+    near = runs.join(often, ["host", "token"], "left").groupBy("host", "page")
+    near = near.agg(F.median(F.coalesce("pages", F.lit(1))).alias("alike")).where("alike > 1")
+    copies = tokens.groupBy("host", "page").agg(F.min("copy").alias("first"), F.max("copy").alias("last"))
+    # as small as copies are few
+    copies = stored(copies.where("first < last").join(near, ["host", "page"], "full").drop("last"), "page-copies")
+    once = tokens.where(F.col("kind") != RUN).join(copies, ["host", "page"], "left").where("first IS NULL OR copy = first")
+    once = once.dropDuplicates(["host", "page", "kind", "token"])  # pages with equal source
+    counted = once.groupBy("host", "token", "of").agg(
+        F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum(F.coalesce(1 / F.col("alike"), F.lit(1.0))).alias("pages"),
         F.max("depth").alias("depth"), F.sum("chars").alias("chars"), F.max("main").alias("main"),
     )
-    counted = stored(counted.where((F.col("pages") >= least_pages) | F.col("of").isNull()), "page-tokens")
+    enough = F.col("pages") > least_pages - 0.01  # a sum of parts
+    counted = stored(counted.where(enough | F.col("of").isNull()), "page-tokens")
 
     elements = counted.where("of IS NULL")
-    classes = counted.where(F.col("pages") >= least_pages).groupBy("host", "vector").agg(F.count("*").alias("tokens"))
+    classes = counted.where(enough).groupBy("host", "vector").agg(F.count("*").alias("tokens"))
     valid = classes.where(F.col("tokens") >= LEAST_TOKENS).select("host", "vector")
     owners = elements.select("host", F.col("token").alias("of"), "vector").join(valid, ["host", "vector"], "left_semi")
     constants = counted.where("of IS NOT NULL").join(owners, ["host", "of", "vector"], "left_semi")
@@ -258,14 +286,14 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
 
     Null sources and pages without main text give an empty text. Pages without a host have no
     template and are judged by their own elements, as are hosts with fewer than ``LEAST_PAGES``
-    different pages. Repeated rows return as often as they come; an empty table gives an empty
+    different articles. Repeated rows return as often as they come; an empty table gives an empty
     result; other columns are not read. Templates are joined by host; how depends on their size.
     """
     rows = working_columns(pages, id=id_column, url=url_column, html=html_column)
     rows = rows.withColumn("id", F.col("id").cast("long")).withColumn("html", F.coalesce("html", F.lit("")))
     host = host_of(F.col("url"))
     rows = rows.withColumn("host", F.when(host != "", host))
-    templates = stored(deduce_templates(rows.select("host", "id", "html")), "page-templates")
+    templates = stored(deduce_templates(rows.select("host", "html")), "page-templates")
     joined = rows.join(templates, "host", "left").select("id", "url", "html", "container", "constants")
     found = joined.mapInArrow(_extracted, "id LONG, url STRING, text STRING, n_chars LONG")
     return found.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)

@@ -173,6 +173,33 @@ def test_copies_do_not_make_a_template(spark):
     assert set(got.values()) == {("One\n\nSame text everywhere", 25)}
 
 
+ARTICLE = "<h1>The one title</h1><h2>Part</h2><p>{0} quick brown foxes jump over the lazy dogs of this town every day.</p>"
+WHOLE = "The one title\n\nPart\n\n{0} quick brown foxes jump over the lazy dogs of this town every day."
+
+
+@pytest.mark.parametrize("around", ["<script>var n={0}</script>{1}", "<div class=ad>Buy {0}</div>{1}", "<!-- {0} -->{1}", "<div class=x>Offer {0}</div>{1}"])
+def test_near_copies_around_an_article_do_not_make_it_a_template(spark, around):
+    rows = [(i, "http://a.com/", around.format(i, f"<article>{ARTICLE.format('Many')}</article>")) for i in range(6)]
+    assert {t for t, _ in extracted(spark, rows).values()} == {WHOLE.format("Many")}
+
+
+def test_near_copies_of_an_article_do_not_make_its_title_a_template(spark):
+    rest = "".join(f"<p>Paragraph {i} says that nothing new has happened in place {i * i}.</p>" for i in range(20))
+    for head in ("<article>", "<article id='post-ab1'>"):
+        rows = [(i, "http://a.com/", f"<p>before</p>{head}{ARTICLE.format(f'Some{i}')}{rest}</article>") for i in range(40)]
+        if "id" in head:  # other articles on the host
+            rows += [(100 + i, "http://a.com/", f"<article id='p{i}x'><h1>Title {i}</h1><p>Text of number {i}") for i in range(5)]
+        got = extracted(spark, rows)
+        for i in range(40):
+            assert got[i][0].startswith(WHOLE.format(f"Some{i}") + "\n\nParagraph 0 says")
+
+
+def test_articles_that_all_have_a_copy_still_show_the_template(spark):
+    page = "<article><p class=lead>Share this story</p><h1>{0}</h1><p>Text {0}</p></article><!-- {1} -->"
+    rows = [(10 * i + k, "http://a.com/x", page.format(f"of the day {i}", k)) for i in range(3) for k in range(2)]
+    assert extracted(spark, rows)[21][0] == "of the day 2\n\nText of the day 2"
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "http://a/", None), (2, None, ""), (3, "http://a/", "plain text"), (4, "x", "<nav>menu</nav>"), (5, "http://a/", "<p>" * 3000 + "deep"),
