@@ -39,6 +39,10 @@ BLOCKS = frozenset(
 LEAVES = frozenset("address caption dd dt figcaption h1 h2 h3 h4 h5 h6 legend li option p pre summary".split())
 CHROME = frozenset("aside dialog footer form head header menu nav search".split())
 MAIN = frozenset("article main".split())
+#: Chrome that stands around an article; other chrome may stand inside it.
+FENCES = frozenset(
+    "banner contentinfo footer header masthead menu nav navbar navigation search sidebar toolbar".split()
+)
 CHROME_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu navigation search toolbar".split())
 CHROME_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -58,13 +62,14 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Block(NamedTuple):
-    """A run of text between block elements: where it lies and whether that is chrome, main or the container."""
+    """A run of text between block elements: where it lies and whether that is chrome, main, the container or an h1."""
 
     text: str
     path: int
     chrome: bool
     main: bool
     contained: bool
+    title: bool
 
 
 def digest(*parts: object) -> int:
@@ -90,6 +95,11 @@ def _is_chrome(name: str, attributes: dict[str, str], in_main: bool) -> bool:
     return not names.isdisjoint(CHROME_NAMES) and not (in_main and names & {"header"} and not names & (CHROME_NAMES - {"header"}))
 
 
+def _is_fence(name: str, attributes: dict[str, str]) -> bool:
+    names = {n.lower() for key in ("class", "id") for n in NAME.findall(attributes.get(key, ""))}
+    return not FENCES.isdisjoint({name, attributes.get("role", "").lower(), *names})
+
+
 class Page:
     """Blocks and elements of a page. Each element knows its path, as a digest, and its free text's length."""
 
@@ -98,9 +108,10 @@ class Page:
         self.paths: Counter[int] = Counter()
         self.depths: dict[int, int] = {}
         self.chars: Counter[int] = Counter()
+        self.unfenced: Counter[int] = Counter()  # as chars, of elements without chrome that stands around articles
         self.container = container
-        # open elements: name, path, chrome, main, contained, length of free text
-        self.open: list[list] = [["", 0, False, False, False, 0]]
+        # open elements: name, path, chrome, main, contained, length of free text, fence in it
+        self.open: list[list] = [["", 0, False, False, False, 0, False]]
         self.names: Counter[str] = Counter()
         self.text: list[str] = []
         self.known: dict[tuple, tuple] = {}
@@ -122,8 +133,8 @@ class Page:
             text = " ".join(html.unescape("".join(self.text)).split())
             self.text = []
             if text:
-                _, path, chrome, main, contained, _ = self.open[-1]
-                self.blocks.append(Block(text, path, chrome, main, contained))
+                _, path, chrome, main, contained, _, _ = self.open[-1]
+                self.blocks.append(Block(text, path, chrome, main, contained, self.names["h1"] > 0))
                 if not chrome:
                     self.open[-1][5] += len(text)
 
@@ -144,13 +155,14 @@ class Page:
             given = _attributes(attributes)
             label = f"{name}.{'.'.join(sorted(given.get('class', '').split()))}#{given.get('id', '') if not given.get('id', '').isdigit() else ''}"
             main = name in MAIN or given.get("role", "").lower() == "main" or given.get("itemprop", "").lower() == "articlebody"
-            found = digest(parent[1], label), _is_chrome(name, given, parent[3]), main
+            chrome = _is_chrome(name, given, parent[3])
+            found = digest(parent[1], label), chrome, main, chrome and _is_fence(name, given)
             self.known[parent[1], parent[3], name, attributes] = found
-        path, chrome, main = found
+        path, chrome, main, fence = found
         self.paths[path] += 1
         self.depths[path] = len(self.open)
         self.names[name] += 1
-        self.open.append([name, path, parent[2] or chrome, parent[3] or main, parent[4] or path == self.container, 0])
+        self.open.append([name, path, parent[2] or chrome, parent[3] or main, parent[4] or path == self.container, 0, fence])
 
     def _close_item(self) -> None:
         """A list item ends where the next of the same list begins."""
@@ -163,11 +175,14 @@ class Page:
 
     def _pop(self) -> None:
         self._flush()
-        name, path, _, _, _, chars = self.open.pop()
+        name, path, _, _, _, chars, fence = self.open.pop()
         self.names[name] -= 1
         if name not in LEAVES:  # only these can be the container of an article
             self.chars[path] += chars
+            if not fence:
+                self.unfenced[path] += chars
         self.open[-1][5] += chars
+        self.open[-1][6] |= fence
 
     def _end(self, name: str) -> None:
         if name not in BLOCKS:
@@ -184,10 +199,10 @@ def main_blocks(source: str | None, container: int | None, constants: frozenset[
     """The blocks that fill the template's main slots, in page order."""
     page = Page(source, container)
     free = [b for b in page.blocks if not b.chrome and digest(b.path, b.text) not in constants]
-    for chosen in ([b for b in free if b.main], [b for b in free if b.contained], free):
-        if chosen:
-            return [b.text for b in chosen]
-    return []
+    chosen = [b for b in free if b.main]
+    if not chosen and any(b.contained for b in free):
+        chosen = [b for b in free if b.contained or b.title]
+    return [b.text for b in chosen or free]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,9 +211,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``page`` is a digest of the text that may be the article and ``copy`` one of the whole source.
     """
     kinds = (
-        pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()
+        pa.string(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(),
     )
-    names = ["host", "page", "copy", "kind", "token", "of", "n", "depth", "chars", "main"]
+    names = ["host", "page", "copy", "kind", "token", "of", "n", "depth", "chars", "unfenced", "main"]
     hashes = WordHashes()
     for batch in batches:
         rows: list[tuple] = []
@@ -208,11 +223,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = [b.text for b in free if b.main]
             marked = any(b.main for b in page.blocks)
             key = (host, digest(*(own or [b.text for b in free])), digest(source.as_py() or ""))
-            rows += [(*key, ELEMENT, t, None, n, page.depths[t], page.chars[t], marked) for t, n in page.paths.items()]
+            rows += [
+                (*key, ELEMENT, t, None, n, page.depths[t], *((0, 0) if marked else (page.chars[t], page.unfenced[t])), marked)
+                for t, n in page.paths.items()
+            ]
             texts = Counter((digest(b.path, b.text), b.path) for b in free)
-            rows += [(*key, TEXT, t, of, n, None, 0, marked) for (t, of), n in texts.items()]
+            rows += [(*key, TEXT, t, of, n, None, 0, 0, marked) for (t, of), n in texts.items()]
             runs = shingles(" ".join(own), hashes)[:SAMPLE].view("int64").tolist()
-            rows += [(*key, RUN, t, None, 1, None, 0, marked) for t in runs]
+            rows += [(*key, RUN, t, None, 1, None, 0, 0, marked) for t in runs]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -225,8 +243,10 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     size is summed up piece by piece. Classes that occur in enough pages and have enough tokens
     are valid; they nest as the paths of their elements do. A text that is in the class of the
     element it stands in is the same wherever that element occurs: template, not content. All
-    other text fills slots. Where no element says that it is the article, the innermost one that
-    holds most of the host's free text is the container of the main slots.
+    other text fills slots. On pages where no element says that it is the article, the outermost one
+    that holds most of such pages' free text and no chrome of the kind that stands around articles
+    is the container of the main slots; if every one holds such chrome, the innermost one. Titles
+    (h1) outside the container belong to it.
 
     Pages are counted by their articles, lest copies make an article a template: pages with the
     same text in their declared main elements, or else outside chrome, are one page, the copy with
@@ -236,7 +256,8 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     """
     tokens = pages.where("host IS NOT NULL").select("host", "html").mapInArrow(
         _tokens,
-        "host STRING, page LONG, copy LONG, kind BYTE, token LONG, of LONG, n INT, depth INT, chars LONG, main BOOLEAN",
+        "host STRING, page LONG, copy LONG, kind BYTE, token LONG, of LONG, n INT, depth INT, chars LONG, unfenced LONG, "
+        "main BOOLEAN",
     )
     tokens = stored(tokens, "page-all-tokens")
     runs = tokens.where(F.col("kind") == RUN).select("host", "page", "token").distinct()
@@ -250,7 +271,7 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     once = once.dropDuplicates(["host", "page", "kind", "token"])  # pages with equal source
     counted = once.groupBy("host", "token", "of").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum(F.coalesce(1 / F.col("alike"), F.lit(1.0))).alias("pages"),
-        F.max("depth").alias("depth"), F.sum("chars").alias("chars"), F.max("main").alias("main"),
+        F.max("depth").alias("depth"), F.sum("chars").alias("chars"), F.sum("unfenced").alias("unfenced"),
     )
     enough = F.col("pages") > least_pages - 0.01  # a sum of parts
     counted = stored(counted.where(enough | F.col("of").isNull()), "page-tokens")
@@ -262,9 +283,12 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFr
     constants = counted.where("of IS NOT NULL").join(owners, ["host", "of", "vector"], "left_semi")
     constants = constants.groupBy("host").agg(F.collect_set("token").alias("constants"))
 
-    unmarked = elements.join(elements.groupBy("host").agg(F.max("main").alias("any"), F.max("chars").alias("all")), "host")
-    inner = unmarked.where((~F.col("any")) & (F.col("all") > 0) & (F.col("chars") >= MAIN_SHARE * F.col("all")))
-    containers = inner.groupBy("host").agg(F.max_by("token", F.struct("depth", "chars", "token")).alias("container"))
+    sized = elements.join(elements.groupBy("host").agg(F.max("chars").alias("all")), "host").where("all > 0")
+    inner = sized.where(F.col("chars") >= MAIN_SHARE * F.col("all"))
+    outer = F.when(F.col("unfenced") >= MAIN_SHARE * F.col("all"), F.struct("depth", -F.col("chars"), "token"))
+    containers = inner.groupBy("host").agg(
+        F.coalesce(F.min_by("token", outer), F.max_by("token", F.struct("depth", "chars", "token"))).alias("container")
+    )
     return containers.join(constants, "host", "full")
 
 

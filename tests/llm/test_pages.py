@@ -200,6 +200,36 @@ def test_articles_that_all_have_a_copy_still_show_the_template(spark):
     assert extracted(spark, rows)[21][0] == "of the day 2\n\nText of the day 2"
 
 
+AROUND = "<body><header>Site</header><div class=wrap><div class=content>{}</div><div class=sidebar><p>Seen {}</p></div></div><p>at {}</p>"
+LONG = "<p>This is sentence {} of {} and it says as much as it can.</p>"
+
+
+@pytest.mark.parametrize("between", ["", "<div class=ad>Buy</div>"])
+def test_what_stands_beside_the_body_of_an_article_stays(spark, between):
+    def page(i):
+        first, second = ("".join(LONG.format(k, i) for k in r) for r in (range(6), range(6, 9)))
+        body = f"<h1>T{i}</h1><p class=lead>Lead {i}</p>{between}<div class=b1>{first}</div>{between}<div class=b2>{second}</div>"
+        return AROUND.format(body, i, i)
+
+    got = extracted(spark, [(i, "http://a.com/", page(i)) for i in range(6)])
+    for i in range(6):
+        sentences = [f"This is sentence {k} of {i} and it says as much as it can." for k in range(9)]
+        assert got[i][0].split("\n\n") == [f"T{i}", f"Lead {i}", *sentences]
+
+
+def test_a_title_outside_the_container_stays(spark):
+    page = "<body><nav>Home</nav><h1>T{0}</h1><div class=body>" + LONG.format("{0}", "{0}") * 3 + "</div><p>at {0}</p><footer>f</footer>"
+    got = extracted(spark, [(i, "http://a.com/", page.format(i)) for i in range(5)])
+    assert got[2][0].split("\n\n") == ["T2"] + ["This is sentence 2 of 2 and it says as much as it can."] * 3
+
+
+def test_one_declared_article_leaves_other_pages_their_container(spark):
+    rows = [(i, "http://a.com/", AROUND.format(f"<h2>T{i}</h2>" + LONG.format(i, i) * 3, i, i)) for i in range(6)]
+    got = extracted(spark, [*rows, (9, "http://a.com/", "<article><p>declared</p></article><p>not")])
+    assert got[9][0] == "declared"
+    assert got[4][0].split("\n\n") == ["T4"] + ["This is sentence 4 of 4 and it says as much as it can."] * 3
+
+
 def test_odd_pages(spark):
     rows = [
         (1, "http://a/", None), (2, None, ""), (3, "http://a/", "plain text"), (4, "x", "<nav>menu</nav>"), (5, "http://a/", "<p>" * 3000 + "deep"),
