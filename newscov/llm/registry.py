@@ -63,7 +63,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     mixed = mixing.mix(stored(sized, "mix-input"), size_column="size")
-    return mixed.select("doc_id", "size", "mix.source_size", "mix.target", "mix.taken")
+    return mixed.select(
+        "doc_id", "size", "mix.source_size", "mix.target", "mix.taken", F.col("mix.draws.shard").alias("shards"),
+        F.col("mix.draws.position").alias("positions"),
+    )
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,8 +46,14 @@ def unrepeated_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it, so that sources reach their target shares."""
-    return mixing.mixture(mixing.mix(docs)).select(*docs.columns)
+    """Each document as often as the mix draws it, so that sources reach their target shares.
+
+    Rows come shard by shard, each in the order of its positions. Ranges of that order rather than
+    whole shards are dealt to tasks, as a shard grows with the documents.
+    """
+    copies = mixing.mixture(mixing.mix(docs))
+    ordered = copies.repartitionByRange("shard", "position").sortWithinPartitions("shard", "position")
+    return ordered.select(*docs.columns)
 
 
 def packed_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from check import connect, differences
-from newscov.llm import ngram_join, quality, stages
+from newscov.llm import mixing, ngram_join, quality, stages
 from newscov.llm.registry import LLM_QUERIES, LLM_SQL
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -82,6 +83,27 @@ def test_repeated_passages_go_and_documents_stay(spark):
     assert got[1][0].strip() == "one" and got[2][0].strip() == "two" and got[3] == ("three", 5) and got[4] == ("", 0)
 
 
+def drawn(spark, sf_dir):
+    """Shard and position of every copy of a document, as the registered query gives them."""
+    rows = LLM_QUERIES["op9_mixing"](spark, sf_dir).collect()
+    return sorted((s, p, r.doc_id) for r in rows for s, p in zip(r.shards, r.positions, strict=True))
+
+
+def test_the_mix_is_dealt_to_shards_and_shuffled(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    docs = documents(spark, [(i, " ".join(["word"] * rng.randrange(1, 1500))) for i in range(600)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    draws = drawn(spark, str(tmp_path))
+    assert len({shard for shard, *_ in draws}) > 8
+    stage = stages.mixed_documents(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert stage.columns == docs.columns
+    assert [r.doc_id for r in stage.collect()] == [i for *_, i in draws]
+    alone = lambda quotas, shards, seed: split_quotas(quotas, 1, seed)
+    split_quotas = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", alone)
+    assert drawn(spark, str(tmp_path)) != draws
+
+
 def test_empty_documents(spark):
     empty = documents(spark, [])
     for stage in (stages.distinct_documents, stages.unrepeated_texts, stages.mixed_documents, stages.packed_pieces):
