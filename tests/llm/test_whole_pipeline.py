@@ -1,0 +1,59 @@
+"""The whole pipeline against plain Python; fitted weights and draws are taken from the operators."""
+
+import random
+import zlib
+
+import numpy as np
+import test_ngrams
+import test_packing
+import test_quality
+import test_repeats
+
+import corpus_pipeline
+from newscov.llm import mixing
+from newscov.llm.packing import CAPACITY
+from newscov.llm.registry import LLM_QUERIES
+
+DOCUMENTS = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
+
+
+def corpus():
+    """Graded texts, near copies of some, a passage that several hold, and odd rows."""
+    rng = random.Random(8)
+    graded = [(t, g) for _, t, g in test_quality.corpus(8, 200)]
+    passage = " ".join(str(rng.randrange(10**6)) for _ in range(60))
+    for text, _ in [r for r in graded if r[1] == 2 and len(r[0].split()) > 250][:12]:
+        words = text.split()
+        words[rng.randrange(len(words))] = "changed"
+        graded += [(" ".join(words), 2), (text, 2)]
+    graded += [(f"{t} {passage} end", 2) for t, g in graded[:60] if g == 2]
+    return [(i, t, g) for i, (t, g) in enumerate([*graded, (None, 2), ("", 2), ("one", 2)])]
+
+
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    rows, folder = corpus(), str(tmp_path)
+    frame = lambda texts: spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in texts], DOCUMENTS)
+    frame([(i, t) for i, t, _ in rows]).write.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([(i, int(g == 2), int(g == 0)) for i, _, g in rows], "doc_id LONG, quality INT, toxic INT")
+    labels.write.parquet(f"{folder}/labels.parquet")
+
+    good = {r.doc_id for r in LLM_QUERIES["op5_quality"](spark, folder).collect() if r.kept}
+    texts = [(i, t) for i, t, _ in rows if i in good]
+    assert 0 < len(texts) < len(rows)
+    single = {r[0] for r in test_ngrams.expected(texts) if r[-1]}
+    texts, before = [(i, t) for i, t in texts if i in single], len(texts)
+    assert 0 < len(texts) < before
+    cut = [r[-1] for r in test_repeats.expected([t for _, t in texts], 200)]
+    assert sum(map(len, cut)) < sum(len(t or "") for _, t in texts)
+    texts = [(i, t) for (i, _), t in zip(texts, cut)]
+    copies = {r.doc_id: len(r.mix.draws) for r in mixing.mix(frame(texts)).collect()}
+    assert len(set(copies.values())) > 1
+    expected = []
+    for i, text in texts:
+        ids = np.array(test_packing.ids_of(text), "<u4")
+        parts = [(at, ids[at : at + CAPACITY]) for at in range(0, len(ids), CAPACITY)]
+        expected += copies[i] * [(i, k, at, len(p), zlib.crc32(p.tobytes())) for k, (at, p) in enumerate(parts)]
+
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(expected)
+    test_packing.check_layout(got, CAPACITY)
