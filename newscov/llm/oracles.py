@@ -71,3 +71,141 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM hashed JOIN first USING (hex)"""
+
+
+def _later(state: int, bits: int) -> int:
+    """The CRC-32 state that ``bits`` zero bits lead to."""
+    for _ in range(bits):
+        state = state >> 1 ^ (0xEDB88320 if state & 1 else 0)
+    return state
+
+
+def _crc32(rows: str, block: int = 256) -> str:
+    """CTEs up to ``crcs(id, crc)``, the unsigned CRC-32 of the UTF-8 bytes in ``rows(id, value)``.
+
+    DuckDB has no such function. Blocks of bytes are reduced nibble by nibble, low before high, and then joined
+    block by block; the first block is the short one, so that every join shifts by the same length.
+    """
+    nibbles = [_later(value, 4) for value in range(16)]
+    moved = [f"{[_later(value << 4 * i, 8 * block) for value in range(16)]}[((s >> {4 * i}) & 15) + 1]" for i in range(8)]
+    joined = "c"
+    for term in moved:
+        joined = f"xor({joined}, {term})"
+    return f"""
+coded AS (SELECT id, hex(encode(value)) AS h, octet_length(encode(value)) AS n FROM {rows} WHERE value IS NOT NULL),
+cuts AS (SELECT id, h, n, unnest(range((n + {block - 1}) // {block})) AS k FROM coded),
+ends AS (SELECT id, h, k, n - {block} * ((n + {block - 1}) // {block} - 1 - k) AS e FROM cuts),
+blocks AS (
+  SELECT id, k, substr(h, 2 * greatest(e - {block}, 0) + 1, 2 * (e - greatest(e - {block}, 0))) AS h FROM ends),
+states AS (
+  SELECT id, k, list_reduce(
+    [strpos('123456789ABCDEF', substr(h, CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END, 1))::BIGINT FOR i IN range(length(h))],
+    lambda s, x: xor({nibbles}[(xor(s, x) & 15) + 1], s >> 4), CASE WHEN k = 0 THEN 4294967295 ELSE 0 END::BIGINT) AS c
+  FROM blocks),
+crcs AS (
+  SELECT id, xor(list_reduce(list(c ORDER BY k), lambda s, c: {joined}), 4294967295) AS crc FROM states GROUP BY id
+  UNION ALL SELECT id, 0 FROM coded WHERE n = 0)"""
+
+
+def sharding(shards: int, seed: int) -> str:
+    return f"""
+WITH rows AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS value, doc_id, source FROM documents),
+{_crc32("rows")},
+keys AS (
+  SELECT doc_id, source, (octet_length(encode(value)) + 1)::BIGINT AS size, crc::BIGINT AS text_crc32,
+         ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS key
+  FROM rows JOIN crcs USING (id)),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size, text_crc32) - 0.5::DOUBLE)
+            / count(*) OVER (PARTITION BY source) AS fraction FROM keys),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, key, source NULLS FIRST, doc_id NULLS FIRST, size, text_crc32) - 1 AS place,
+         count(*) OVER () AS total FROM ranked),
+cut AS (SELECT *, place * {shards} // total AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard,
+       (place - (shard * total + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INT AS grown_shard FROM cut"""
+
+
+def merkle(arity: int, fields, levels: int = 12) -> str:
+    """Levels are written out; twelve reach further than any table DuckDB checks here."""
+
+    def digest(text: str) -> str:
+        values = [text if f == "text" else f"{f}::VARCHAR" for f in fields]
+        parts = [f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values]
+        return f"sha256({' || '.join(parts)})"
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    changed = f"CASE WHEN crc % 3 = 0 THEN translate(text, '{upper}', '{upper.lower()}') ELSE text END"
+
+    def build(name: str, start: str) -> str:
+        """``name_l(t, i, d, w)``: nodes of level l; w is the number of nodes of its tree there."""
+        ctes = [f"{name}_0 AS ({start})"]
+        for n in range(1, levels):
+            ctes.append(
+                f"{name}_{n} AS (SELECT t, i // {arity} AS i, sha256(string_agg(d, '' ORDER BY i)) AS d, "
+                f"(any_value(w) + {arity - 1}) // {arity} AS w FROM {name}_{n - 1} WHERE w > 1 GROUP BY t, i // {arity})"
+            )
+        tops = " UNION ALL ".join(f"SELECT t, d FROM {name}_{n} WHERE w = 1" for n in range(levels))
+        steps = " UNION ALL ".join(
+            f"SELECT {n} AS n, x.t, x.i, coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS b, "
+            f"coalesce(string_agg(y.d, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS a FROM {name}_{n} x JOIN {name}_{n} y "
+            f"ON x.t = y.t AND x.i // {arity} = y.i // {arity} WHERE x.w > 1 GROUP BY x.t, x.i"
+            for n in range(levels)
+        )
+        return ",\n".join([*ctes, f"{name}_top AS ({tops})", f"{name}_step AS ({steps})"])
+
+    def folds(above: str, name: str, n: int, i: str) -> str:
+        return (
+            f"SELECT f.id, f.t, f.i, CASE WHEN s.b IS NULL THEN f.d ELSE sha256(s.b || f.d || s.a) END AS d, "
+            f"f.p || coalesce(s.b || s.a, '') AS p FROM {above} f LEFT JOIN {name}_step s ON s.n = {n} AND s.t = f.t AND s.i = {i}"
+        )
+
+    walk = ["f0 AS (SELECT id, t, i, candidate AS d, '' AS p FROM placed)"]
+    for n in range(levels):
+        walk.append(f"f{n + 1} AS ({folds(f'f{n}', 'tree', n, f'f.i // {arity ** n}')})")
+    walk.append(f"g0 AS (SELECT id, 0 AS t, t AS i, d, p FROM f{levels})")
+    for n in range(levels):
+        walk.append(f"g{n + 1} AS ({folds(f'g{n}', 'over', n, f'f.i // {arity ** n}')})")
+    return f"""
+WITH rows AS (SELECT row_number() OVER () AS id, doc_id::VARCHAR AS value, * FROM documents),
+{_crc32("rows")},
+leaves AS (SELECT id, doc_id, lang, {digest("text")} AS leaf, {digest(f"({changed})")} AS candidate FROM rows LEFT JOIN crcs USING (id)),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, candidate) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS w FROM leaves),
+{build("tree", "SELECT t, i, leaf AS d, w FROM placed")},
+{build("over", "SELECT 0 AS t, t AS i, d, count(*) OVER () AS w FROM tree_top")},
+{", ".join(walk)}
+SELECT doc_id, leaf, s.d AS subroot, r.d AS root, sha256(g.p) AS proof_sha256, g.d AS folded_root, g.d = r.d AS verified
+FROM g{levels} g JOIN placed USING (id) JOIN tree_top s ON s.t = placed.t CROSS JOIN over_top r"""
+
+
+def spelling(least_length: int, least_count: int, factor: int) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{upper.lower()}'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= {least_length} GROUP BY ALL),
+rows AS (SELECT row_number() OVER () AS id, doc_id || ':' || run AS value, run, n FROM counted),
+{_crc32("rows")},
+damaged AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN substr(run, 1, (crc % length(run))::BIGINT) || substr(run, (crc % length(run))::BIGINT + 2) ELSE run END AS word, n
+  FROM rows LEFT JOIN crcs USING (id)),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= {least_length} GROUP BY word HAVING sum(n) >= {least_count}),
+holes AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS hole FROM words),
+less AS (SELECT word, n, hole, substr(word, 1, hole - 1) AS head, substr(word, hole + 1) AS tail FROM holes),
+pairs AS (
+  SELECT x.word AS a, y.word AS b FROM less x JOIN less y ON x.hole = y.hole AND x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+  UNION SELECT x.word, y.word FROM less x JOIN words y ON y.word = x.head || x.tail
+  UNION SELECT y.word, x.word FROM less x JOIN words y ON y.word = x.head || x.tail),
+near AS (
+  SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS top, max(n) AS top_n FROM pairs JOIN words ON word = b GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= {factor} * n THEN top END AS form,
+         CASE WHEN top_n >= {factor} * n THEN top_n END AS form_n FROM words LEFT JOIN near USING (word)),
+chain(word, reached) AS (
+  SELECT word, word FROM formed UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NOT NULL),
+lasts AS (SELECT c.word, c.reached FROM chain c JOIN formed f ON f.word = c.reached WHERE f.form IS NULL)
+SELECT word, form, e.reached AS root, n, n_near::BIGINT AS n_near, form_n FROM formed JOIN lasts e USING (word)"""

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newscov.llm import embedding_dedup, fingerprints, html_text, mixing, ngram_join, oracles, packing, quality, repeats, url_filter, warc
+from newscov.llm import (
+    embedding_dedup, fingerprints, html_text, merkle, mixing, ngram_join, oracles, packing, quality, repeats, sharding, spelling,
+    url_filter, warc,
+)
 from newscov.llm.common import stored, table
 from newscov.llm.stages import TOKENIZER, quality_model
 
@@ -73,6 +76,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
@@ -84,10 +99,16 @@ LLM_QUERIES = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_ngram_join": op10_ngram_join,
+    "op11_sharding": op11_sharding,
+    "op12_merkle": op12_merkle,
+    "op13_spelling": op13_spelling,
 }
 LLM_SQL = {
     "op1_embedding_dedup": oracles.OP1,
     "op7_url_filters": oracles.url_filters(URL_RULES),
     "op8_warc": oracles.OP8,
     "op10_ngram_join": oracles.OP10,
+    "op11_sharding": oracles.sharding(sharding.SHARDS, sharding.SEED),
+    "op12_merkle": oracles.merkle(merkle.ARITY, merkle.FIELDS),
+    "op13_spelling": oracles.spelling(spelling.LEAST_LENGTH, spelling.LEAST_COUNT, spelling.FORM_FACTOR),
 }
