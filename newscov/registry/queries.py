@@ -7,6 +7,7 @@ compare equal across engines.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,12 +16,12 @@ from pyspark.sql import functions as F
 from newscov.functions import answers as A
 from newscov.functions import dates as D
 from newscov.functions.text import chunks, clean_tokens
-from newscov.operators import batches, compare, coverage, detect, evaluate, explore, prompts, splits, topics
+from newscov.operators import batches, categories, compare, coverage, detect, evaluate, explore, prompts, splits, topics
 from newscov.operators.parse import with_classes
 from newscov.registry import views as V
-from newscov.scale import with_position
+from newscov.scale import use_checkpoint_dir, with_position
 from newscov.schemas import PREDICTION_COLUMNS
-from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES
+from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES, METRIC_CODES
 
 # Words that occur in the test documents.
 LEXICON = [
@@ -340,10 +341,83 @@ def salient_words(spark, sf_dir):
     return topics.salient_words(V.spread_documents(spark, sf_dir), "doc_id")
 
 
+# Models fitted by this application: (kind, application, data folder) -> folder they are stored in.
+_MODELS: dict[tuple[str, str, str], str] = {}
+
+
+def _model(kind: str, spark, sf_dir, fit, save, load):
+    """A model fitted and stored once per application; queries that score load it."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        use_checkpoint_dir(spark)
+        folder = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
+        save(fit(), spark, folder)
+        _MODELS[key] = folder
+    return load(spark, _MODELS[key])
+
+
+def _parts(texts: DataFrame, label: str = "label") -> dict[str, DataFrame]:
+    texts = splits.stratified_split(texts, "doc_id", label)
+    return {name: texts.where(F.col("split") == name) for name in splits.SPLITS}
+
+
 def _fitted(spark, sf_dir):
-    texts = splits.stratified_split(V.labelled_texts(spark, sf_dir), "doc_id")
-    parts = {name: texts.where(F.col("split") == name) for name in splits.SPLITS}
-    return detect.fit_detector(parts["train"], parts["val"]), parts["test"]
+    parts = _parts(V.labelled_texts(spark, sf_dir))
+    detector = _model(
+        "detector", spark, sf_dir, lambda: detect.fit_detector(parts["train"], parts["val"]), detect.save_detector, detect.load_detector
+    )
+    return detector, parts["test"]
+
+
+def _categories(spark, sf_dir):
+    parts = _parts(V.annotated_texts(spark, sf_dir), "lang")
+    model = _model(
+        "categories", spark, sf_dir, lambda: categories.fit_categories(parts["train"], parts["val"]),
+        categories.save_categories, categories.load_categories,
+    )
+    return model, parts["test"]
+
+
+def category_scores(spark, sf_dir):
+    """Up to three of the 25 categories for every document, from a classifier fitted on the rated ones."""
+    model, _ = _categories(spark, sf_dir)
+    return categories.predict_categories(model, V.spread_documents(spark, sf_dir)).select("doc_id", *PREDICTION_COLUMNS)
+
+
+def category_checks(spark, sf_dir):
+    """What must hold for the categories of every document."""
+    first, second, third = (F.col(c) for c in PREDICTION_COLUMNS)
+    names = F.array_compact(F.array(first, second, third))
+    worded = V.spread_documents(spark, sf_dir).select("doc_id", (F.size(clean_tokens(F.col("text"))) > 0).alias("worded"))
+    return category_scores(spark, sf_dir).join(worded, "doc_id").select(
+        "doc_id",
+        (first.isNotNull() == F.coalesce("worded", F.lit(False))).alias("named"),
+        (F.size(F.array_distinct(names)) == F.size(names)).alias("distinct"),
+        F.forall(names, lambda n: n.isin(list(METRIC_CODES))).alias("known"),
+        (third.isNull() | second.isNotNull()).alias("ranked"),
+    )
+
+
+def category_metrics(spark, sf_dir):
+    """Metrics of the classifier on texts it was not fitted on."""
+    model, test = _categories(spark, sf_dir)
+    return evaluate.multilabel_metrics(evaluate.label_lists(categories.predict_categories(model, test)))
+
+
+def detector_reasons(spark, sf_dir):
+    """For every document whether the words' shares add up to the margin that decides it, and to which side."""
+    detector, _ = _fitted(spark, sf_dir)
+    found = detect.reasons(detector, V.spread_documents(spark, sf_dir), "doc_id")
+    scored = detect.predict(detector, V.spread_documents(spark, sf_dir)).select(
+        "doc_id", F.col("climate_related").alias("decision"), F.col("confidence").alias("sure")
+    )
+    total = F.aggregate("contributions", F.col("intercept"), lambda a, c: a + c["share"])
+    likely = 1 / (1 + F.exp(-F.abs(total)))
+    return found.join(scored, "doc_id").select(
+        "doc_id", (F.abs(likely - F.col("sure")) < 1e-6).alias("adds_up"),
+        ((total > 0).cast("int") == F.col("decision")).alias("decides"),
+        (F.size("top_words") <= 3).alias("short"),
+    )
 
 
 def detector_scores(spark, sf_dir):
@@ -494,6 +568,10 @@ QUERIES = {
     "detector_report": _detector_table("report"),
     "detector_confusion": _detector_table("confusion"),
     "detector_loss": _detector_table("loss"),
+    "detector_reasons": detector_reasons,
+    "category_scores": category_scores,
+    "category_checks": category_checks,
+    "category_metrics": category_metrics,
     "prompt_table": prompt_table,
     "task_prompts": task_prompts,
     "training_table": training_table,

@@ -134,3 +134,24 @@ def rated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return spread_documents(spark, sf_dir).join(labels, "doc_id")
+
+
+# Stand-ins for annotations: categories by what the texts really differ in, language and rated quality.
+LANGUAGE_CODES = {
+    "fr": "rechauffement_climatique_canicule",
+    "en": "energies_renouvelables_et_nucleaires",
+    "de": "transport_decarbone",
+    "es": "secheresse",
+}
+POOR_CODE, TOXIC_CODE = "pollution", "feu_foret"
+
+
+def annotated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rated documents with up to three categories each."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    language = F.element_at(F.create_map(*[F.lit(x) for pair in LANGUAGE_CODES.items() for x in pair]), F.col("lang"))
+    rated = spread_scan(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id").join(labels, "doc_id")
+    return rated.select(
+        "doc_id", "lang", "text", language.alias("label_1"),
+        F.when(F.col("quality") == 0, POOR_CODE).alias("label_2"), F.when(F.col("toxic") == 1, TOXIC_CODE).alias("label_3"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,6 +32,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the checkpoint folder and read it back.
+
+    Like ``checkpointed``, but compressed and by columns: for what many jobs read again.
+    """
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def with_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
     """Add the 1-based global row number in ``order``, without a one-task window.
 

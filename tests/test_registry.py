@@ -11,7 +11,9 @@ from newscov.registry.oracles import ORACLES
 from newscov.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"stratified_split", "detector_scores", "detector_report", "detector_confusion", "detector_loss"}
+WITHOUT_SQL = {
+    "stratified_split", "detector_scores", "detector_report", "detector_confusion", "detector_loss", "category_scores", "category_metrics",
+}
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
