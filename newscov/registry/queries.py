@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from newscov.functions import answers as A
 from newscov.functions import dates as D
-from newscov.functions.text import chunks, clean_tokens
-from newscov.operators import batches, categories, compare, coverage, detect, evaluate, explore, prompts, splits, topics
+from newscov.functions.text import chunks, clean_tokens, words
+from newscov.operators import batches, categories, compare, coverage, detect, evaluate, explore, guided, prompts, splits, topics
 from newscov.operators.parse import with_classes
 from newscov.registry import views as V
 from newscov.scale import use_checkpoint_dir, with_position
 from newscov.schemas import PREDICTION_COLUMNS
-from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES, METRIC_CODES
+from newscov.sources.readers import read_lexicon
+from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES, METRIC_CODES, THEMES
 
 # Words that occur in the test documents.
 LEXICON = [
@@ -35,6 +36,14 @@ LEXICON = [
     ("cause", "en", "of the"),
 ]
 
+# Words by which topics are told to start: one topic per language of the test documents.
+SEED_LEXICON = [
+    ("langue", "fr", "eau"), ("langue", "fr", "eaux"), ("langue", "fr", "ment"),
+    ("langue", "en", "that"), ("langue", "en", "with"),
+    ("langue", "de", "nicht"), ("langue", "de", "auf"),
+    ("langue", "es", "para"), ("langue", "es", "los"),
+]
+
 COLOURS = {f"media{i}": f"#{i}{i}{i}{i}{i}{i}" for i in range(6)}
 
 SELECTION = ["pollution", "secheresse", "deforestation", "couche_ozone"]
@@ -337,6 +346,66 @@ def topic_tags(spark, sf_dir):
     return topics.topic_tags(V.spread_documents(spark, sf_dir), LEXICON, "doc_id")
 
 
+# Terms of the lexicon that is drawn from the documents: frequent words of four letters or more, and word pairs.
+LEXICON_WORDS, LEXICON_PAIRS, LEXICON_TOPICS = 300, 60, 24
+
+
+def frequent_lexicon(spark, sf_dir) -> str:
+    """A keyword file of the documents' most frequent words and word pairs, and the folder it lies in.
+
+    Term ``n`` by count belongs to subtheme ``n`` modulo the number of topics.
+    """
+    spoken = V.spread_documents(spark, sf_dir).select(words(F.col("text")).alias("w"))
+    pairs = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    kinds = {
+        LEXICON_WORDS: spoken.select(F.explode("w").alias("term")).where(F.length("term") > 3),
+        LEXICON_PAIRS: spoken.select(F.explode(pairs).alias("term")).where(F.contains("term", F.lit(" "))),
+    }
+    tree: dict[str, dict[str, list[str]]] = {}
+    for n_terms, terms in kinds.items():
+        for n, row in enumerate(terms.groupBy("term").count().orderBy(F.desc("count"), "term").limit(n_terms).collect()):
+            topic = n % LEXICON_TOPICS
+            tree.setdefault(THEMES[topic % len(THEMES)], {}).setdefault(f"topic_{topic}", []).append(row["term"])
+    lines = []
+    for theme, subs in tree.items():
+        lines += [f'["{theme}"]', *[f"{sub} = {json.dumps(terms, ensure_ascii=False)}" for sub, terms in subs.items()]]
+    use_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/lexicon-{uuid.uuid4().hex}"
+    spark.createDataFrame([("\n".join(lines),)], "value STRING").coalesce(1).write.text(folder)
+    return folder
+
+
+def lexicon_topics(spark, sf_dir):
+    """Subthemes of every document by a whole keyword file."""
+    lexicon = read_lexicon(spark, frequent_lexicon(spark, sf_dir))
+    return topics.topic_tags(V.spread_documents(spark, sf_dir), lexicon, "doc_id")
+
+
+def _seeded(spark, sf_dir):
+    texts = V.spread_documents(spark, sf_dir)
+    model = guided.fit_topics(texts, SEED_LEXICON)
+    return guided.guided_tags(model, texts, "doc_id")
+
+
+def seeded_topics(spark, sf_dir):
+    """Topics of every document, learnt from two or three seed words a topic."""
+    return _seeded(spark, sf_dir)
+
+
+def seeded_topic_checks(spark, sf_dir):
+    """By language: whether four of five documents of some length, and of those without any seed word, get its topic first."""
+    first = _seeded(spark, sf_dir).where("rank = 1").select("doc_id", "subtheme")
+    seeds = [term for _, _, term in SEED_LEXICON]
+    spoken = V.table(spark, sf_dir, "documents").where("n_chars >= 200").select(
+        "doc_id", "lang", F.arrays_overlap(words(F.col("text")), F.lit(seeds)).alias("seeded")
+    )
+    right = F.coalesce(F.col("lang") == F.col("subtheme"), F.lit(False))
+    return spoken.join(first, "doc_id", "left").groupBy("lang").agg(
+        (F.avg(right.cast("int")) >= 0.8).alias("recognised"),
+        F.coalesce(F.avg(F.when(~F.col("seeded"), right.cast("int"))) >= 0.8, F.lit(True)).alias("beyond_seeds"),
+    )
+
+
 def salient_words(spark, sf_dir):
     return topics.salient_words(V.spread_documents(spark, sf_dir), "doc_id")
 
@@ -562,6 +631,9 @@ QUERIES = {
     "clean_tokens": clean_tokens_query,
     "chunk_text": chunk_text,
     "topic_tags": topic_tags,
+    "lexicon_topics": lexicon_topics,
+    "seeded_topics": seeded_topics,
+    "seeded_topic_checks": seeded_topic_checks,
     "salient_words": salient_words,
     "detector_scores": detector_scores,
     "detector_checks": detector_checks,

@@ -7,10 +7,12 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-FITTED = {"detector_scores", "detector_report", "category_scores", "category_metrics"}
+FITTED = {"detector_scores", "detector_report", "category_scores", "category_metrics", "seeded_topics"}
 CLASSIFIED = {"batch_scores", "refined_scores"}
 # a model of hashed words is looked up by Arrow batches
-SCORED = {n for n in entry.queries() if n.startswith(("detector_", "category_"))} - {"category_counts"}
+SCORED = {n for n in entry.queries() if n.startswith(("detector_", "category_", "seeded_"))} - {"category_counts"}
+# an automaton walks over the words
+MATCHED = {"topic_tags", "lexicon_topics"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
@@ -26,8 +28,8 @@ def test_no_cross_joins(plans):
     assert [n for n, p in plans.items() if "NestedLoop" in p or "CartesianProduct" in p] == []
 
 
-def test_python_only_for_the_callers_classifier(plans):
-    assert {n for n, p in plans.items() if "Python" in p} <= CLASSIFIED | SCORED
+def test_python_only_for_classifiers_models_and_the_lexicon(plans):
+    assert {n for n, p in plans.items() if "Python" in p} <= CLASSIFIED | SCORED | MATCHED
 
 
 def test_answers_are_parsed_once(plans):

@@ -13,6 +13,7 @@ from newscov.registry.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 WITHOUT_SQL = {
     "stratified_split", "detector_scores", "detector_report", "detector_confusion", "detector_loss", "category_scores", "category_metrics",
+    "seeded_topics",
 }
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
