@@ -30,7 +30,7 @@ ROUNDS = 8
 #: Rounds that settle a text's mixture while the word weights stand still.
 INNER_ROUNDS = 5
 #: Weight of a seed in its topic's prior, as a share of all words counted, and of any other word.
-SEED_SHARE, BASE_COUNT = 0.02, 0.01
+SEED_SHARE, BASE_COUNT = 0.002, 0.01
 #: Share of a topic's words that its seeds are before the first round.
 SEED_START = 0.5
 #: Words every topic has in a text before the first is read.
@@ -99,7 +99,7 @@ def fit_topics(
     prior = np.hstack([seeds * SEED_SHARE * max(total, 1) + free, free])
     # to begin with, topics differ in their seeds alone
     spread = free / max(free.sum(), 1e-300)
-    weights = np.hstack([SEED_START * seeds + (1 - SEED_START) * spread, spread])
+    weights = np.hstack([SEED_START * seeds + (1 - SEED_START) * spread, (1 - SEED_START) * spread])
     shape, context = weights.shape, texts.sparkSession.sparkContext
     for _ in range(rounds):
         shared = context.broadcast(weights)

@@ -67,7 +67,7 @@ def test_equals_dense_rounds(spark, texts, model):
     free = (seeds.sum(axis=1, keepdims=True) == 0) * guided.BASE_COUNT
     prior = np.hstack([seeds * guided.SEED_SHARE * x.sum() + free, free])
     spread = free / free.sum()
-    phi = np.hstack([guided.SEED_START * seeds + (1 - guided.SEED_START) * spread, spread])
+    phi = np.hstack([guided.SEED_START * seeds, np.zeros((1024, 1))]) + (1 - guided.SEED_START) * spread
     for _ in range(guided.ROUNDS):
         counts = np.zeros_like(phi)
         for row in x:
