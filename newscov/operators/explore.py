@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newscov.functions.dates import month_number
 from newscov.functions.labels import all_in, any_in, explorer_code_of, themes
 from newscov.operators.coverage import in_outlet
-from newscov.scale import rows_between
+from newscov.scale import PageIndex, rows_between
 from newscov.schemas import PREDICTION_COLUMNS, STORED_MONTH, require_columns
 from newscov.sources.inline import literal_rows
 from newscov.taxonomy import EVERY, MACRO_CODES, THEMES, explorer_codes
@@ -76,6 +76,16 @@ def page(rows: DataFrame, number: int, order: list[str], size: int = PAGE_SIZE)
     return rows_between(rows, order, lambda _: (first + 1, first + size)).orderBy(*order)
 
 
+def page_index(rows: DataFrame, order: list[str], path: str, size: int = PAGE_SIZE) -> PageIndex:
+    """Store where every page of ``rows`` begins and ends; ``page_of`` then reads single pages."""
+    return PageIndex.build(rows, order, size, path)
+
+
+def page_of(index: PageIndex, rows: DataFrame, number: int, order: list[str]) -> DataFrame:
+    """``page`` by a stored index: one lookup and one filtered scan, however deep the page lies."""
+    return index.page(rows, order, number)
+
+
 def page_info(rows: DataFrame, size: int = PAGE_SIZE) -> DataFrame:
     """Number of rows and of pages; no rows still make one page."""
     n = F.count("*")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscov.scale import checkpointed, rows_between, small_side, with_position
+from newscov.scale import checkpointed, first_rows, rows_between, small_side, with_position
 
 SPLITS = ("train", "val", "test")
 MAX_BROADCAST_CLASSES = 10_000
@@ -17,7 +17,7 @@ MAX_BROADCAST_CLASSES = 10_000
 
 def head_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """First ``n`` rows in ``order``, nulls first."""
-    return rows_between(df, order, lambda _: (1, n))
+    return first_rows(df, order, n)
 
 
 def head_share(df: DataFrame, order: list[str], share: float = 0.8) -> DataFrame:

@@ -327,6 +327,12 @@ FROM shown WHERE month(date) = {_MARCH} AND (coalesce(prediction_label_1 IN {_in
 SELECT doc_id, CAST(date AS STRING) AS date, media, label_1, label_2, label_3,
        prediction_label_1, prediction_label_2, prediction_label_3
 FROM (SELECT * FROM shown ORDER BY date, doc_id LIMIT 100 OFFSET 100)""",
+    "explorer_page_sorted": f"""WITH {EXPLORER}
+SELECT doc_id, CAST(date AS STRING) AS date, media, label_1, label_2, label_3,
+       prediction_label_1, prediction_label_2, prediction_label_3
+FROM (SELECT * FROM shown ORDER BY date, doc_id LIMIT 100 OFFSET 100)""",
+    "explorer_index_info": f"""WITH {EXPLORER}
+SELECT count(*) AS total_rows, greatest(CAST(ceil(count(*) / 100) AS BIGINT), 1) AS total_pages FROM shown""",
     "explorer_page_info": f"""WITH {EXPLORER}
 SELECT count(*) AS total_rows, greatest(CAST(ceil(count(*) / 100) AS BIGINT), 1) AS total_pages FROM shown""",
     "category_counts": _counts(explorer_codes()) + " SELECT category, n FROM counts",

@@ -19,7 +19,7 @@ from newscov.functions.text import chunks, clean_tokens, words
 from newscov.operators import batches, categories, compare, coverage, detect, evaluate, explore, guided, prompts, splits, topics
 from newscov.operators.parse import with_classes
 from newscov.registry import views as V
-from newscov.scale import use_checkpoint_dir, with_position
+from newscov.scale import PageIndex, use_checkpoint_dir, with_position
 from newscov.schemas import PREDICTION_COLUMNS
 from newscov.sources.readers import read_lexicon
 from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES, METRIC_CODES, THEMES
@@ -53,6 +53,10 @@ EXAMPLES = {"raw": ["Exemple brut"], "COT": ["Exemple raisonné"], "CARP": ["Exe
 REFINE_MESSAGE = "Donne la classe."
 
 
+# What this application has built and stored: (kind, application, data folder) -> folder.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
@@ -149,10 +153,32 @@ def explorer_filtered(spark, sf_dir):
     return _text(_explorer(spark, sf_dir, month="Mars", selection=SELECTION), "date")
 
 
+def _pages(spark, sf_dir):
+    """The explorer's page index, built once per application."""
+    order = ["date", "doc_id"]
+    key = ("pages", spark.sparkContext.applicationId, sf_dir)
+    rows = _explorer(spark, sf_dir)
+    if key not in _STORED:
+        use_checkpoint_dir(spark)
+        _STORED[key] = f"{spark.sparkContext.getCheckpointDir()}/pages-{uuid.uuid4().hex}"
+        explore.page_index(rows, order, _STORED[key])
+    return PageIndex(spark, _STORED[key]), rows, order
+
+
 def explorer_page(spark, sf_dir):
+    index, rows, order = _pages(spark, sf_dir)
+    return _text(explore.page_of(index, rows, 2, order), "date")
+
+
+def explorer_page_sorted(spark, sf_dir):
+    """The same page without an index."""
     return _text(explore.page(_explorer(spark, sf_dir), 2, ["date", "doc_id"]), "date")
 
 
+def explorer_index_info(spark, sf_dir):
+    return _pages(spark, sf_dir)[0].info()
+
+
 def explorer_page_info(spark, sf_dir):
     return explore.page_info(_explorer(spark, sf_dir))
 
@@ -410,19 +436,15 @@ def salient_words(spark, sf_dir):
     return topics.salient_words(V.spread_documents(spark, sf_dir), "doc_id")
 
 
-# Models fitted by this application: (kind, application, data folder) -> folder they are stored in.
-_MODELS: dict[tuple[str, str, str], str] = {}
-
-
 def _model(kind: str, spark, sf_dir, fit, save, load):
     """A model fitted and stored once per application; queries that score load it."""
     key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
+    if key not in _STORED:
         use_checkpoint_dir(spark)
         folder = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
         save(fit(), spark, folder)
-        _MODELS[key] = folder
-    return load(spark, _MODELS[key])
+        _STORED[key] = folder
+    return load(spark, _STORED[key])
 
 
 def _parts(texts: DataFrame, label: str = "label") -> dict[str, DataFrame]:
@@ -591,6 +613,8 @@ QUERIES = {
     "rolling_confidence": rolling_confidence,
     "explorer_filtered": explorer_filtered,
     "explorer_page": explorer_page,
+    "explorer_page_sorted": explorer_page_sorted,
+    "explorer_index_info": explorer_index_info,
     "explorer_page_info": explorer_page_info,
     "category_counts": _category_counts(),
     "category_counts_legacy": _category_counts(legacy=True),

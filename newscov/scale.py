@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Rows per window task in rolling_rows.
 WINDOW_CHUNK = 200_000
+# Rows that one task merges when the first rows of a table are wanted.
+MOST_TOP = 100_000
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
@@ -68,6 +70,100 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
     )
 
 
+def row_key(df: DataFrame, order: list[str]) -> Column:
+    """Key of a row's place in ``order``, nulls first; ties go by a hash of the whole row, so that only equal rows share one."""
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_tie")
+    return F.struct(*[F.col(f"`{c}`") for c in order], tie)
+
+
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, nulls first. Each task passes on its ``n`` smallest keys; no rows are sorted.
+
+    Beyond ``MOST_TOP`` rows all keys are ranked instead, as one task merges the smallest.
+    """
+    if n > MOST_TOP:
+        return rows_between(df, order, lambda _: (1, n))
+    if n < 1:
+        return df.limit(0)
+    key = row_key(df, order)
+    # one key more tells whether copies of the last row stay outside
+    top = df.select(key.alias("_key")).orderBy("_key").limit(n + 1).agg(F.sort_array(F.collect_list("_key")).alias("k")).first()["k"]
+    if len(top) <= n:
+        return df
+    last = _literal(df, order, top[n - 1])
+    if top[n] != top[n - 1]:
+        return df.where(key <= last)
+    copies = sum(k == top[n - 1] for k in top[:n])
+    return df.where(key < last).unionByName(df.where(key == last).limit(copies))
+
+
+def _literal(df: DataFrame, order: list[str], key) -> Column:
+    """A collected ``row_key`` as a constant of the same type."""
+    fields = [F.lit(value).cast(df.schema[c].dataType).alias(c) for c, value in zip(order, key)]
+    return F.struct(*fields, F.lit(key[len(order)]).cast("long").alias("_tie"))
+
+
+class PageIndex:
+    """First and last key of every page of a table, stored once, so that a page costs one filtered scan.
+
+    Built by one range sort of the keys. Entries are sorted by page number, so that looking one up reads one
+    row group. Rows that equal a page's first or last row and lie on other pages are told apart by count. The index
+    belongs to the rows it was built from: build it anew when they change.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.entries = spark.read.parquet(path)
+
+    @staticmethod
+    def build(rows: DataFrame, order: list[str], size: int, path: str) -> PageIndex:
+        """Index ``rows`` in ``order``, nulls first, in pages of ``size`` rows."""
+        spark = rows.sparkSession
+        placed = with_position(rows.select(row_key(rows, order).alias("_key")), "_key")
+        page = F.expr(f"(position - 1) div {size}") + 1
+        pages = placed.groupBy(page.alias("page")).agg(
+            F.min("_key").alias("low"), F.max("_key").alias("high"), F.count("*").alias("rows"), F.collect_list("_key").alias("_keys")
+        )  # a list holds one page
+        pages = pages.select(
+            "page", "low", "high", "rows",
+            F.size(F.filter("_keys", lambda k: k == F.col("low"))).alias("low_rows"),
+            F.size(F.filter("_keys", lambda k: k == F.col("high"))).alias("high_rows"),
+        )
+        pages = written(pages, "pages")
+        before = pages.select((F.col("page") + 1).alias("page"), F.col("high").alias("_before"))
+        after = pages.select((F.col("page") - 1).alias("page"), F.col("low").alias("_after"))
+        shared = F.coalesce(F.col("_before") == F.col("low"), F.lit(False)) | F.coalesce(F.col("_after") == F.col("high"), F.lit(False))
+        joined = pages.join(before, "page", "left").join(after, "page", "left").withColumn("shared", shared)
+        done = joined.drop("_before", "_after").repartitionByRange("page").sortWithinPartitions("page")
+        done.write.mode("overwrite").parquet(path)
+        return PageIndex(spark, path)
+
+    def page(self, rows: DataFrame, order: list[str], number: int) -> DataFrame:
+        """Page ``number`` (from 1) of the rows the index was built from, in ``order``; no rows past the last page."""
+        entry = self.entries.where(F.col("page") == number).first()
+        if entry is None:
+            return rows.limit(0)
+        key, low, high = row_key(rows, order), _literal(rows, order, entry["low"]), _literal(rows, order, entry["high"])
+        # plain comparisons of the first column, which reach the scan, come before those of whole keys
+        first = F.col(f"`{order[0]}`")
+        kind, (least, most) = rows.schema[order[0]].dataType, (entry["low"][0], entry["high"][0])
+        near = rows
+        if least is not None:
+            near = near.where(first.between(F.lit(least).cast(kind), F.lit(most).cast(kind)))
+        elif most is not None:
+            near = near.where(first.isNull() | (first <= F.lit(most).cast(kind)))
+        if not entry["shared"]:
+            return near.where((key >= low) & (key <= high)).orderBy(*order)
+        if entry["low"] == entry["high"]:
+            return near.where(key == low).limit(entry["rows"])
+        ends = near.where(key == low).limit(entry["low_rows"]).unionByName(near.where(key == high).limit(entry["high_rows"]))
+        return ends.unionByName(near.where((key > low) & (key < high))).orderBy(*order)
+
+    def info(self) -> DataFrame:
+        """Number of rows and of pages; no rows still make one page."""
+        pages = F.greatest(F.count("*"), F.lit(1)).alias("total_pages")
+        return self.entries.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), pages)
+
+
 def rows_between(df: DataFrame, order: list[str], places: Callable[[int], tuple[int, int]]) -> DataFrame:
     """Rows from the first to the last place that ``places`` names for the number of rows.
 
@@ -76,8 +172,7 @@ def rows_between(df: DataFrame, order: list[str], places: Callable[[int], tuple[
     comparing their own key with the keys at both ends. A struct compares its null fields
     first and always has an answer, so rows with null keys have a place like any other.
     """
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_tie")
-    key = F.struct(*[F.col(f"`{c}`") for c in order], tie)
+    key = row_key(df, order)
     placed = checkpointed(with_position(df.select(key.alias("_key")), "_key"))
     n = placed.count()
     first, last = places(n)

@@ -45,10 +45,10 @@ def test_texts_without_seeds_find_their_topic(texts, model):
 
 
 def test_topic_words_go_beyond_the_seeds(texts, model):
-    rows = guided.topic_words(model, texts, top=8).collect()
+    rows = guided.topic_words(model, texts, top=12).collect()
     for topic, own in PLANTED.items():
         found = {r["word"] for r in rows if (r["theme"], r["subtheme"]) == topic}
-        assert set(own[:2]) <= found and len(found & set(own)) >= 7
+        assert set(own) <= found
 
 
 def test_equals_dense_rounds(spark, texts, model):

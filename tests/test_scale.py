@@ -83,3 +83,54 @@ def test_spread_scan_leaves_wide_inputs_alone(spark, plan):
     narrow, wide = spark.range(100, numPartitions=1), spark.range(100, numPartitions=8)
     assert "Exchange" in plan(scale.spread_scan(narrow, "id"))
     assert "Exchange" not in plan(scale.spread_scan(wide, "id"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 12, 13, 59, 60, 80])
+@pytest.mark.parametrize("most", [scale.MOST_TOP, 5])
+def test_first_rows(spark, monkeypatch, n, most):
+    monkeypatch.setattr(scale, "MOST_TOP", most)
+    rows = [(None if i % 4 == 0 else i % 3, "ab"[i % 2]) for i in range(60)]
+    got = [tuple(r) for r in scale.first_rows(spark.createDataFrame(rows, "k INT, v STRING"), ["k"], n).collect()]
+    order = sorted(-1 if k is None else k for k, _ in rows)
+    assert sorted(-1 if k is None else k for k, _ in got) == order[:n]
+    for row in set(got):
+        assert got.count(row) <= rows.count(row)
+
+
+def test_first_rows_sort_no_rows(spark, plan):
+    found = plan(scale.first_rows(spark.range(100).withColumn("text", F.lit("x")), ["id"], 10))
+    assert "Sort" not in found and "Exchange" not in found
+
+
+@pytest.mark.parametrize("size", [1, 4, 7, 100])
+def test_page_index_holds_every_row_once(spark, tmp_path, size):
+    rows = [(None if i % 4 == 0 else i % 5, "ab"[i % 2] if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k INT, v STRING").repartition(3)
+    index = scale.PageIndex.build(df, ["k"], size, str(tmp_path / "index"))
+    n_pages = -(-60 // size)
+    assert tuple(index.info().first()) == (60, n_pages)
+    seen, last = [], None
+    for number in range(1, n_pages + 1):
+        page = [tuple(r) for r in index.page(df, ["k"], number).collect()]
+        assert len(page) == min(size, 60 - size * (number - 1))
+        keys = [-1 if k is None else k for k, _ in page]
+        assert keys == sorted(keys) and (last is None or keys[0] >= last)
+        last = keys[-1]
+        seen += page
+    assert sorted(seen, key=repr) == sorted(rows, key=repr)
+    assert index.page(df, ["k"], n_pages + 1).count() == 0
+
+
+def test_page_index_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([], "k INT, v STRING")
+    index = scale.PageIndex.build(df, ["k"], 5, str(tmp_path / "index"))
+    assert tuple(index.info().first()) == (0, 1) and index.page(df, ["k"], 1).count() == 0
+
+
+def test_a_page_is_one_filtered_scan(spark, tmp_path, plan):
+    spark.range(1000).selectExpr("id", "cast(id AS STRING) AS v").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    index = scale.PageIndex.build(df, ["id"], 10, str(tmp_path / "index"))
+    found = plan(index.page(df, ["id"], 42))
+    assert found.count("Scan parquet") == 1 and "GreaterThanOrEqual(id,410), LessThanOrEqual(id,419)" in found
+    assert [r["id"] for r in index.page(df, ["id"], 42).collect()] == list(range(410, 420))
