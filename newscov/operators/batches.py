@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -53,18 +54,28 @@ def refined_scores(
 
     Each pass is shown the answer before it; ``legacy`` shows the first answer every
     time. A pass without an answer makes the result null, whatever later passes say.
+
+    Only rows whose answer is still open are asked again. A pass that would be shown what the pass before it was
+    shown asks the same question once more, so the row keeps its answer; one without an answer is done as well.
     Passes are checkpointed, so a lost executor repeats no calls of earlier passes.
     """
     columns = df.columns
     first = score_batches(df, classify, F.concat_ws("\n", message, text), "_answer")
     answered = F.col("_answer").isNotNull()
-    state = checkpointed(first.withColumn("_shown", first_block(F.col("_answer"))).withColumn("_ok", answered))
-    for _ in range(passes):
+    opened = checkpointed(first.withColumn("_shown", first_block(F.col("_answer"))))
+    done = [opened.where(~answered)]
+    opened = opened.where(answered)
+    for number in range(passes):
         prompt = F.concat_ws("\n", with_previous_answer(message, F.col("_shown")), text)
-        scored = score_batches(state.drop("_answer"), classify, prompt, "_answer")
-        scored = scored.withColumn("_ok", F.col("_ok") & answered)
-        if not legacy:
-            scored = scored.withColumn("_shown", first_block(F.col("_answer")))
-        state = checkpointed(scored)
-    parsed = F.when(F.col("_ok"), parse_json(first_block(F.col("_answer")))).alias("prediction_label")
-    return state.select(*columns, parsed)
+        scored = score_batches(opened.drop("_answer"), classify, prompt, "_answer")
+        following = F.col("_shown") if legacy else first_block(F.col("_answer"))
+        scored = checkpointed(scored.withColumn("_next", following))
+        settled = ~answered | F.col("_shown").eqNullSafe(F.col("_next")) | F.lit(number == passes - 1)
+        done.append(scored.where(settled).drop("_next"))
+        opened = scored.where(~settled).withColumn("_shown", F.col("_next")).drop("_next")
+        if number < passes - 1 and opened.isEmpty():
+            break
+    if passes == 0:
+        done.append(opened)
+    parsed = F.when(answered, parse_json(first_block(F.col("_answer")))).alias("prediction_label")
+    return reduce(lambda a, b: a.unionByName(b), done).select(*columns, parsed)

@@ -51,13 +51,14 @@ def classify_with_method(
 
 
 def evaluate_files(
-    spark: SparkSession, path: str, macro: bool = False, name_parts: int = 1, sep: str = ",", out: str | None = None
-) -> DataFrame:
-    """Metrics of saved prediction files, one row per file name; ``out`` also appends them to a table."""
+    spark: SparkSession, path: str, macro: bool = False, name_parts: int = 1, sep: str = ",", out: str | None = None,
+    run: str | None = None,
+) -> DataFrame:
+    """Metrics of saved prediction files, one row per file name; ``out`` also appends them to a table, as ``run``."""
     rows = read_articles(spark, path, sep=sep, path_column="_path")
     metrics = evaluate_runs(rows.withColumn("source", A.run_name(F.col("_path"), name_parts)), macro)
     if out is not None:
-        append_metrics(metrics, out)
+        append_metrics(metrics, out, run)
     return metrics
 
 

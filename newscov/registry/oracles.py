@@ -267,6 +267,10 @@ ORACLES = {
     "coverage_by_day": _coverage("day"),
     "coverage_by_week": _coverage("week"),
     "coverage_by_month": _coverage("month"),
+    "coverage_incremental": _coverage("day"),
+    "stored_texts": """SELECT source AS media, count(*) AS n, sum(length(text))::BIGINT AS chars, 2 AS kinds FROM documents GROUP BY 1""",
+    "stored_articles": f"""WITH {ARTICLES} SELECT media, count(*) AS n, sum(label)::BIGINT AS on_topic FROM articles
+WHERE date BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20' GROUP BY 1""",
     "kpi_summary": f"""WITH {ARTICLES}, newest AS (SELECT max(date) AS day FROM articles), spans AS (
 SELECT count(*) AS n, avg(label) * 100 AS share,
        avg(label) FILTER (WHERE date > day - INTERVAL 7 DAY) AS short,
@@ -431,6 +435,17 @@ cuts AS (SELECT label, n, CAST(round(n * (1 - 0.3e0)) AS BIGINT) AS a, CAST(roun
 SELECT 'train' AS split, label, a AS n FROM cuts WHERE a > 0
 UNION ALL SELECT 'val', label, b - a FROM cuts WHERE b > a
 UNION ALL SELECT 'test', label, n - b FROM cuts WHERE n > b""",
+    "stored_splits": """WITH sizes AS (
+SELECT l.quality AS label, count(*) AS n FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1),
+cuts AS (SELECT label, n, CAST(round(n * (1 - 0.3e0)) AS BIGINT) AS a, CAST(round(n * (1 - 0.3e0 / 2)) AS BIGINT) AS b FROM sizes)
+SELECT 'train' AS split, label, a AS n FROM cuts WHERE a > 0
+UNION ALL SELECT 'val', label, b - a FROM cuts WHERE b > a
+UNION ALL SELECT 'test', label, n - b FROM cuts WHERE n > b""",
+    "stored_metrics": f"""WITH {LISTS}, runs AS (SELECT *, concat('modela_', {_RUN}) AS source FROM lists)
+SELECT k AS source, 2 AS copies, f1 FROM {_metrics("runs", "source")}
+UNION ALL SELECT source, 2, f1 FROM {_values([PUBLISHED_RUN], "source, precision, recall, f1, top1, top3, unsure")}""",
+    "detector_invariants": """SELECT DISTINCT quality AS actual, TRUE AS row_sums, TRUE AS diagonals, TRUE AS recalls, TRUE AS supports FROM labels
+UNION ALL SELECT NULL, TRUE, TRUE, TRUE, TRUE""",
     "split_total": "SELECT count(*) AS len_dataset FROM documents d JOIN labels l ON l.doc_id = d.doc_id",
     "head_rows": "SELECT doc_id, source AS media FROM documents ORDER BY doc_id LIMIT 400",
     "head_share": """SELECT doc_id, source AS media FROM documents

@@ -19,9 +19,11 @@ from newscov.functions.text import chunks, clean_tokens, words
 from newscov.operators import batches, categories, compare, coverage, detect, evaluate, explore, guided, prompts, splits, topics
 from newscov.operators.parse import with_classes
 from newscov.registry import views as V
-from newscov.scale import PageIndex, use_checkpoint_dir, with_position
+from newscov.scale import PageIndex, use_checkpoint_dir, with_position, written
 from newscov.schemas import PREDICTION_COLUMNS
-from newscov.sources.readers import read_lexicon
+from newscov.sources import increments
+from newscov.sources.readers import read_any, read_lexicon
+from newscov.sources.sinks import append_metrics, store_articles, write_result, write_splits
 from newscov.taxonomy import DISPLAY_NAMES, MACRO_CODES, METRIC_CODES, THEMES
 
 # Words that occur in the test documents.
@@ -72,6 +74,88 @@ def _coverage(period: str):
     return run
 
 
+def _round_trip(spark, sf_dir, name: str) -> str:
+    """A new folder of this query in the shared folder."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def coverage_incremental(spark, sf_dir):
+    """Coverage per day from counts that two loads have stored, the second of which finds the first one's files counted."""
+    rows, folder = V.articles(spark, sf_dir).select("article_id", "date", "media", "label"), _round_trip(spark, sf_dir, "increments")
+
+    def read(spark, files):
+        return spark.read.schema(rows.schema).parquet(*files)
+
+    for part in (0, 1):
+        rows.where(F.col("article_id") % 2 == part).write.parquet(f"{folder}/in/drop{part}")
+        increments.load(spark, f"{folder}/in", f"{folder}/store", read, "*.parquet")
+    return _text(_rounded(increments.coverage_of(increments.stored_counts(spark, f"{folder}/store"), "day"), "ratio"), "period")
+
+
+def stored_texts(spark, sf_dir):
+    """Documents written as delimited text and as Parquet, read back by file type and compared, by outlet."""
+    folder = _round_trip(spark, sf_dir, "texts")
+    rows = V.documents(spark, sf_dir)
+    write_result(rows, f"{folder}/texts", "csv")
+    write_result(rows, f"{folder}/texts.parquet")
+    kinds = {"delimited": read_any(spark, f"{folder}/texts"), "parquet": read_any(spark, f"{folder}/texts.parquet")}
+    digest = F.sum(F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).alias("checksum")
+    tables = [
+        table.groupBy("media").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), digest).withColumn("kind", F.lit(kind))
+        for kind, table in kinds.items()
+    ]
+    met = tables[0].unionByName(tables[1]).groupBy("media", "n", "chars", "checksum").agg(F.count("*").alias("kinds"))
+    return met.select("media", "n", "chars", "kinds")
+
+
+def stored_articles(spark, sf_dir):
+    """Articles stored by month and read back for some days, per outlet."""
+    folder = _round_trip(spark, sf_dir, "articles")
+    store_articles(V.articles(spark, sf_dir).select("article_id", "date", "media", "label"), folder)
+    weeks = coverage.in_dates(spark.read.parquet(folder), date(2024, 1, 10), date(2024, 1, 20))
+    return weeks.groupBy("media").agg(F.count("*").alias("n"), F.sum("label").alias("on_topic"))
+
+
+def stored_splits(spark, sf_dir):
+    """Sizes of the three parts as they are stored."""
+    folder = _round_trip(spark, sf_dir, "splits")
+    write_splits(stratified_split(spark, sf_dir), folder)
+    return splits.split_sizes(spark.read.parquet(folder))
+
+
+def stored_metrics(spark, sf_dir):
+    """Metrics of every run, appended twice under one name: one copy stays."""
+    folder = _round_trip(spark, sf_dir, "metrics")
+    for run in ("first", "first", "second"):
+        append_metrics(metrics_by_run(spark, sf_dir), folder, run)
+    return spark.read.parquet(folder).groupBy("source").agg(F.count("*").alias("copies"), F.max("f1").alias("f1"))
+
+
+def detector_invariants(spark, sf_dir):
+    """What the tables of a fitted detector owe each other and the held-out texts."""
+    detector, test = _fitted(spark, sf_dir)
+    scored = written(detect.predict(detector, test).drop("text"), "detector-test")
+    tables = detect.evaluate(scored, weights=detector.weights)
+    by_class = scored.groupBy(F.col("label").alias("actual")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("climate_related") == F.col("label")).alias("hits")
+    )
+    matrix = tables["confusion"].select("actual", (F.col("predicted_0") + F.col("predicted_1")).alias("of_row"), F.when(
+        F.col("actual") == 1, F.col("predicted_1")).otherwise(F.col("predicted_0")).alias("diagonal"))
+    report = tables["report"].select(F.col("class").cast("string"), "recall", F.col("support").alias("supported"))
+    met = by_class.join(matrix, "actual").join(report, F.col("class") == F.col("actual").cast("string"))
+    right = F.avg((F.col("climate_related") == F.col("label")).cast("int"))
+    loss = tables["loss"].withColumn("share", scored.agg(right).scalar())
+    return met.select(
+        "actual", (F.col("of_row") == F.col("n")).alias("row_sums"), (F.col("diagonal") == F.col("hits")).alias("diagonals"),
+        (F.abs(F.col("recall") - F.col("hits") / F.col("n")) < 1e-9).alias("recalls"), (F.col("supported") == F.col("n")).alias("supports"),
+    ).unionByName(loss.select(
+        F.lit(None).cast(met.schema["actual"].dataType).alias("actual"),
+        F.lit(True).alias("row_sums"), F.lit(True).alias("diagonals"), (F.abs(F.col("accuracy") - F.col("share")) < 1e-9).alias("recalls"),
+        (F.col("logloss") > 0).alias("supports"),
+    ))
+
+
 def kpi_summary(spark, sf_dir):
     kpis = coverage.kpi_summary(V.articles(spark, sf_dir))
     return _text(_rounded(kpis, "share", "evolution"), "first_date", "last_date")
@@ -597,6 +681,11 @@ QUERIES = {
     "coverage_by_day": _coverage("day"),
     "coverage_by_week": _coverage("week"),
     "coverage_by_month": _coverage("month"),
+    "coverage_incremental": coverage_incremental,
+    "stored_texts": stored_texts,
+    "stored_articles": stored_articles,
+    "stored_splits": stored_splits,
+    "stored_metrics": stored_metrics,
     "kpi_summary": kpi_summary,
     "selection_share": selection_share,
     "filter_values": filter_values,
@@ -664,6 +753,7 @@ QUERIES = {
     "detector_report": _detector_table("report"),
     "detector_confusion": _detector_table("confusion"),
     "detector_loss": _detector_table("loss"),
+    "detector_invariants": detector_invariants,
     "detector_reasons": detector_reasons,
     "category_scores": category_scores,
     "category_checks": category_checks,

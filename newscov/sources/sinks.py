@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,14 +48,27 @@ def store_articles(articles: DataFrame, path: str) -> None:
     months.hint("rebalance", STORED_MONTH).write.mode("overwrite").partitionBy(STORED_MONTH).parquet(path)
 
 
+def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
+    """Write the partitions ``df`` has, each in place of what was there; others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def write_runs(predictions: DataFrame, path: str) -> None:
-    """Store predictions by model, prompt method, examples and refinement."""
-    predictions.write.mode("overwrite").partitionBy("model", "prompt_method", "n_shots", "recursive").parquet(path)
+    """Store predictions by model, prompt method, examples and refinement.
+
+    Combinations that ``predictions`` has are replaced, so a repeated job leaves one copy; other runs are untouched.
+    """
+    _replace_partitions(predictions, path, "model", "prompt_method", "n_shots", "recursive")
+
 
+def append_metrics(metrics: DataFrame, path: str, run: str | None = None) -> None:
+    """Add metric rows to a growing table, stored by ``run``.
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Add metric rows to a growing table."""
-    metrics.coalesce(1).write.mode("append").parquet(path)
+    A job that passes its run's name can be repeated: its rows replace those it wrote before. Without a
+    name every call is a run of its own.
+    """
+    name = run or f"{run_id()}_{uuid.uuid4().hex[:8]}"
+    _replace_partitions(metrics.withColumn("run", F.lit(name)).coalesce(1), path, "run")
 
 
 def write_splits(split: DataFrame, path: str) -> None:

@@ -83,6 +83,41 @@ def test_refinement_shows_the_answer(spark, legacy, expected):
     assert refined.first()["prediction_label"] == {"Classe_1": expected}
 
 
+def test_settled_rows_are_not_asked_again(spark, tmp_path):
+    """Row ``n`` changes its answer ``n`` times; calls of each pass are counted in files, as workers share no memory."""
+    folder = str(tmp_path)
+
+    def count(texts):
+        import os
+        import uuid
+
+        out = []
+        for t in texts:
+            last = int(t.split("\n")[-1])
+            shown = int(t.split('"Classe_1": "')[-1][0]) if "Classe_1" in t else -1
+            out.append("rien" if last == 9 else answer(str(min(shown + 1, last))))
+            open(os.path.join(folder, f"{last}-{shown}-{uuid.uuid4().hex}"), "w").close()
+        return out if 8 not in [int(t.split("\n")[-1]) for t in texts] else 1 / 0
+
+    rows = [(i, str(i)) for i in (0, 1, 2, 3, 8, 9)]
+    df = spark.createDataFrame(rows, "id INT, text STRING").repartition(6)
+    refined = batches.refined_scores(df, count, F.lit("message"), F.col("text"), passes=6)
+    got = {r["id"]: r["prediction_label"] for r in refined.collect()}
+    assert got == {0: {"Classe_1": "0"}, 1: {"Classe_1": "1"}, 2: {"Classe_1": "2"}, 3: {"Classe_1": "3"}, 8: None, 9: {}}
+    import os
+
+    calls = [int(name.split("-")[0]) for name in os.listdir(folder)]
+    # first answer, one pass per change, and one that confirms
+    assert [calls.count(i) for i in (0, 1, 2, 3)] == [2, 3, 4, 5]
+
+
+def test_no_passes_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "x")], "id INT, text STRING")
+    say = lambda texts: [answer("Pollution")] * len(texts)
+    assert batches.refined_scores(df, say, F.lit("m"), F.col("text"), passes=0).first()["prediction_label"] == {"Classe_1": "Pollution"}
+    assert batches.refined_scores(df.limit(0), say, F.lit("m"), F.col("text"), passes=3).count() == 0
+
+
 def test_classify_articles(spark):
     def classify(prompts):
         kinds = {

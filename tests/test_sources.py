@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newscov import schemas
-from newscov.operators.coverage import dated_articles, in_dates
+from newscov.operators.coverage import coverage, dated_articles, in_dates
 from newscov.operators.detect import load_detector
 from newscov.operators.explore import in_month
 from newscov.plans.dashboard import dashboard
 from newscov.plans.detection import detect_file, train_detector
 from newscov.functions.answers import run_name
-from newscov.sources import readers, sinks
+from newscov.sources import increments, readers, sinks
 from newscov.sources.readers import cast_failures, read_articles
 
 CSV = 'date,media,label,confidence,description\n2024-01-02,TF1,1,0.9,"Il dit ""oui"",\nvraiment"\njuil-24,France2,0,x,\n'
@@ -71,6 +71,97 @@ def test_metrics_are_appended(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 2
 
 
+def test_a_repeated_run_leaves_one_copy(spark, tmp_path):
+    def row(name, value):
+        return spark.createDataFrame([(name, value, 2.0, 3.0, 4.0, 5.0, None)], schemas.METRICS)
+
+    path = str(tmp_path / "m")
+    sinks.append_metrics(row("a", 1.0).unionByName(row("b", 1.0)), path, run="r1")
+    sinks.append_metrics(row("c", 1.0), path, run="r2")
+    sinks.append_metrics(row("a", 9.0), path, run="r1")  # the job ran again
+    found = sorted((r["run"], r["source"], r["precision"]) for r in spark.read.parquet(path).collect())
+    assert found == [("r1", "a", 9.0), ("r2", "c", 1.0)]
+
+
+def test_other_runs_stay(spark, tmp_path):
+    def runs(*rows):
+        return spark.createDataFrame(rows, "model STRING, prompt_method STRING, n_shots INT, recursive BOOLEAN, answer STRING")
+
+    path = str(tmp_path / "r")
+    sinks.write_runs(runs(("m", "raw", 0, False, "x"), ("m", "COT", 1, False, "y")), path)
+    sinks.write_runs(runs(("m", "raw", 0, False, "z")), path)
+    assert sorted(r["answer"] for r in spark.read.parquet(path).collect()) == ["y", "z"]
+
+
+def articles_of(spark, rows):
+    return spark.createDataFrame(rows, "date TIMESTAMP_NTZ, media STRING, label INT")
+
+
+def some_articles(seed, n=200):
+    import random
+
+    rng = random.Random(seed)
+    dates = [None, *(datetime(2024, m, d, 5) for m in (1, 2) for d in (1, 9, 30 - m))]
+    return [(rng.choice(dates), rng.choice(["a", "b", None]), rng.choice([0, 1, None])) for _ in range(n)]
+
+
+def test_loads_read_new_files_only(spark, tmp_path):
+    source, path, read_names = str(tmp_path / "in"), str(tmp_path / "counts"), []
+
+    def read(spark, files):
+        read_names.append(files)
+        return spark.read.parquet(*files)
+
+    assert increments.stored_counts(spark, path).count() == 0
+    every = []
+    for seed in range(3):
+        rows = some_articles(seed)
+        every += rows
+        articles_of(spark, rows).coalesce(2).write.parquet(f"{source}/drop{seed}")
+        assert increments.load(spark, source, path, read, "*.parquet") == 2
+        assert increments.load(spark, source, path, read, "*.parquet") == 0
+    assert len(read_names) == 3 and len({f for names in read_names for f in names}) == 6
+    whole = articles_of(spark, every)
+    merged = increments.stored_counts(spark, path)
+    for period in ("day", "week", "month"):
+        stored = sorted(map(tuple, increments.coverage_of(merged, period).collect()))
+        assert stored == sorted(map(tuple, coverage(whole, period).collect()))
+    shares = {r["media"]: (r["total_articles"], r["articles_climat"]) for r in increments.outlet_share_of(merged).collect()}
+    assert shares == {m: (sum(r[1] == m for r in every), sum(r[1] == m and r[2] == 1 for r in every)) for m in ("a", "b", None)}
+
+
+def test_a_lost_load_counts_once(spark, tmp_path, monkeypatch):
+    """The load fails after its counts are written; the next finds more files."""
+    source, path = str(tmp_path / "in"), str(tmp_path / "counts")
+
+    def read(spark, files):
+        return spark.read.parquet(*files)
+
+    articles_of(spark, some_articles(0)).coalesce(1).write.parquet(f"{source}/a")
+    with monkeypatch.context() as broken:
+        broken.setattr(type(spark.range(1)), "coalesce", lambda *_: 1 / 0)  # the ledger's write
+        with pytest.raises(ZeroDivisionError):
+            increments.load(spark, source, path, read, "*.parquet")
+    assert increments.stored_counts(spark, path).count() == 0
+    articles_of(spark, some_articles(1)).coalesce(1).write.parquet(f"{source}/b")
+    assert increments.load(spark, source, path, read, "*.parquet") == 2
+    assert increments.stored_counts(spark, path).agg(F.sum("total_articles")).first()[0] == 400
+
+
+def test_changed_files_are_refused(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "counts")
+    source.mkdir()
+    (source / "a.csv").write_text("date,media,label\n2024-01-01,a,1\n", encoding="utf-8")
+
+    def read(spark, files):
+        return spark.read.option("header", True).csv(files).selectExpr("to_date(date) AS date", "media", "int(label) AS label")
+
+    assert increments.load(spark, str(source), path, read, "*.csv") == 1
+    (source / "a.csv").write_text("date,media,label\n2024-01-01,a,1\n2024-01-02,a,1\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="a.csv"):
+        increments.load(spark, str(source), path, read, "*.csv")
+
+
 def test_articles_are_stored_by_month(spark, plan, tmp_path):
     raw = spark.createDataFrame([("2024-01-02", 1), ("2024-01-09", 0), ("2024-02-01", 1)], "date STRING, label INT")
     sinks.store_articles(dated_articles(raw), str(tmp_path / "a"))
