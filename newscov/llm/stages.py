@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newscov.llm import mixing, ngram_join, packing, quality, repeats
-from newscov.llm.common import table
+from newscov.llm.common import stored, table
+from newscov.scale import with_position
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,15 +29,22 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that near-duplicate links join, the one with the smallest id; all with a null id.
 
-    Rows that share an id and a text are one document. The ids that stay are joined to the
-    documents, so texts move once.
+    Rows that share an id and a text are one document. Rows that share an id alone are documents of their own: where
+    there are any, documents are numbered in the order of their ids and texts, and the numbers stand for the ids. What
+    stays is joined to the documents, so texts move once.
     """
-    kept = ngram_join.near_documents(docs).where("kept AND doc_id IS NOT NULL")
-    ids = kept.groupBy("doc_id").agg(F.count("*").alias("rows"))
-    stay = docs.join(ids.hint("merge"), "doc_id").select(*docs.columns, "rows")
-    once = stay.where("rows = 1").drop("rows")
-    several = stay.where("rows > 1").drop("rows").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(several).unionByName(docs.where("doc_id IS NULL"))
+    named, unnamed = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
+    number = "doc_id"
+    if not named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        number = "_number"
+        single = named.dropDuplicates(["doc_id", "text"]).withColumn("_digest", F.sha2(F.col("text").cast("binary"), 256))
+        single = stored(single, "distinct-rows")
+        numbers = with_position(single.select("doc_id", "_digest"), F.struct("doc_id", "_digest"), name=number)
+        numbers = numbers.select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_of"), number)
+        met = (F.col("doc_id") == F.col("_id")) & F.col("_digest").eqNullSafe(F.col("_of"))
+        named = stored(single.join(numbers, met).select(*docs.columns, number), "distinct-numbers")
+    kept = ngram_join.near_documents(named, id_column=number).where("kept").select(number)
+    return named.join(kept.hint("merge"), number).select(*docs.columns).unionByName(unnamed)
 
 
 def unrepeated_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
