@@ -235,33 +235,40 @@ def sorted_suffixes(strings: list[bytes], shallow: int = SHALLOW) -> tuple[list[
     return order, common
 
 
-def common_lengths(strings: list[bytes], shallow: int = SHALLOW) -> np.ndarray:
-    """Common prefix of every two strings, from the sorted order."""
-    order, common = sorted_suffixes(strings, shallow)
-    n, common = len(strings), np.array(common, np.int32)
-    lengths = np.zeros((n, n), np.int32)
-    for k in range(n - 1):
-        lengths[k, k + 1 :] = np.minimum.accumulate(common[k + 1 :])
-    lengths = np.maximum(lengths, lengths.T)
-    result = np.empty_like(lengths)
-    result[np.ix_(order, order)] = lengths
-    return result
+def _common_with(place: int, order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Common prefix of the string at one place of a sorted order with every string, by the strings' own numbers.
+
+    Along the order it is the running minimum of the neighbours' common prefixes; 0 stands for the string itself.
+    """
+    lengths = np.zeros(len(order), np.int32)
+    lengths[order[place + 1 :]] = np.minimum.accumulate(common[place + 1 :])
+    lengths[order[:place][::-1]] = np.minimum.accumulate(common[1 : place + 1][::-1])
+    return lengths
 
 
 def repeated_windows(contents: list[bytes], anchors: list[int], length: int = LENGTH, shallow: int = SHALLOW) -> list[np.ndarray]:
     """For each segment, which of its windows another segment of the same anchor holds as well.
 
     Windows meet if their segments agree far enough to the right and to the left of the anchor:
-    two sorted orders, of the suffixes from the anchor and of the reversed prefixes up to it.
+    two sorted orders, of the suffixes from the anchor and of the reversed prefixes up to it. Memory is linear in the segments.
     """
-    right = common_lengths([c[a : a + length] for c, a in zip(contents, anchors)], shallow)
-    left = common_lengths([c[:a][::-1] for c, a in zip(contents, anchors)], shallow)
+
+    def sorted_by(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order, common = sorted_suffixes(strings, shallow)
+        order = np.array(order)
+        places = np.empty(len(order), np.int64)
+        places[order] = np.arange(len(order))
+        return places, order, np.array(common, np.int32)
+
+    after = sorted_by([c[a : a + length] for c, a in zip(contents, anchors)])
+    before = sorted_by([c[:a][::-1] for c, a in zip(contents, anchors)])
     result = []
     for i, (content, anchor) in enumerate(zip(contents, anchors)):
+        right, left = (_common_with(places[i], order, common) for places, order, common in (after, before))
         windows = len(content) - length + 1
         # windows that begin from anchor - left up to anchor + right - length
-        low = np.maximum(anchor - left[i], 0)
-        high = np.minimum(anchor + right[i] - length, windows - 1)
+        low = np.maximum(anchor - left, 0)
+        high = np.minimum(anchor + right - length, windows - 1)
         ok = low <= high
         ok[i] = False
         marks = np.zeros(windows + 1, np.int32)
