@@ -6,11 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-UNACCENTED = "aaaaaaceeeeiiiinoooooouuuuyy"
+ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ" "āăąćčďđēęěğīıłńňōőřśşšťūůűźżžțș"
+UNACCENTED = "aaaaaaceeeeiiiinoooooouuuuyy" "aaaccddeeegiilnnoorssstuuuzzzts"
 COMBINING_MARKS = "\u0300\u0301\u0302\u0303\u0308\u0327"
 LIGATURES = (("œ", "oe"), ("æ", "ae"), ("ß", "ss"))
 
+#: Greek and Cyrillic letters that one Latin letter stands for, and those that need several.
+GREEK = "αάβγδεέζηήιίϊΐκλμνξοόπρσςτυύϋΰωώ"
+GREEK_LATIN = "aabgdeezeeiiiiklmnxooprsstuuuuoo"
+CYRILLIC = "абвгдезийклмнопрстуфыэіґ"
+CYRILLIC_LATIN = "abvgdeziiklmnoprstufyeig"
+CYRILLIC_SIGNS = "ъь"
+DIGRAPHS = (
+    ("θ", "th"), ("φ", "ph"), ("χ", "kh"), ("ψ", "ps"),
+    ("ё", "io"), ("ж", "zh"), ("х", "kh"), ("ц", "ts"), ("ч", "ch"), ("ш", "sh"), ("щ", "shch"), ("ю", "iu"), ("я", "ia"),
+    ("є", "ie"), ("ї", "yi"),
+)
+#: Endings that are words of their own: don't is do and n't.
+CONTRACTION = r"([a-z])(n['’]t|['’](?:s|ll|re|ve|d|m))\b"
+
 #: Spark's own lists, as text so that neither a session nor its jars are needed.
 STOP_WORDS = {
     "french": """
@@ -51,26 +65,42 @@ CHUNK_SIZE = 4999
 # --- end of fixed values -----------------------------------------------------
 
 
+#: Letters one to one; translate drops those behind the last counterpart: combining marks, hard and soft signs.
+SINGLE = ACCENTED + GREEK + CYRILLIC + CYRILLIC_SIGNS + COMBINING_MARKS
+SINGLE_LATIN = UNACCENTED + GREEK_LATIN + CYRILLIC_LATIN
+
+
 def normalise(text: Column) -> Column:
-    """Lower case without Latin accents."""
+    """Lower case in plain Latin letters: accents go, Greek and Cyrillic are transliterated.
+
+    Other scripts stay as they are.
+    """
     plain = F.lower(text)
     for ligature, letters in LIGATURES:
         plain = F.replace(plain, F.lit(ligature), F.lit(letters))
-    # translate drops characters that have no counterpart: the combining marks
-    return F.translate(plain, ACCENTED + COMBINING_MARKS, UNACCENTED)
+    spelled = plain
+    for letter, letters in DIGRAPHS:
+        spelled = F.replace(spelled, F.lit(letter), F.lit(letters))
+    # most texts hold no such letter and need one look only
+    plain = F.when(plain.rlike("[\\u0370-\\u04FF]"), spelled).otherwise(plain)
+    return F.translate(plain, SINGLE, SINGLE_LATIN)
 
 
 def normalise_word(word: str) -> str:
     """``normalise`` for one configuration word on the driver."""
     word = word.lower()
-    for ligature, letters in LIGATURES:
+    for ligature, letters in (*LIGATURES, *DIGRAPHS):
         word = word.replace(ligature, letters)
-    return word.translate(str.maketrans(ACCENTED, UNACCENTED, COMBINING_MARKS))
+    return word.translate(str.maketrans(ACCENTED + GREEK + CYRILLIC, SINGLE_LATIN, CYRILLIC_SIGNS + COMBINING_MARKS))
 
 
 def tokens(text: Column) -> Column:
-    """Words of normalised text, with the digits and apostrophes inside them."""
-    return F.regexp_extract_all(normalise(text), F.lit(rf"({TOKEN}+)"), F.lit(1))
+    """Words of normalised text, with the digits and apostrophes inside them.
+
+    English contractions are cut before their ending; elided articles (l'eau) stay with their word.
+    """
+    parted = F.regexp_replace(normalise(text), CONTRACTION, "$1 $2")
+    return F.regexp_extract_all(parted, F.lit(rf"({TOKEN}+)"), F.lit(1))
 
 
 def words(text: Column) -> Column:

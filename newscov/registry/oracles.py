@@ -211,13 +211,13 @@ SELECT k, precision, recall, f1, top1, top3, unsure FROM weighted JOIN plain USI
 
 def _normalised(column: str) -> str:
     expression = f"lower({column})"
-    for ligature, letters in T.LIGATURES:
+    for ligature, letters in (*T.LIGATURES, *T.DIGRAPHS):
         expression = f"replace({expression}, {_q(ligature)}, {_q(letters)})"
-    return f"translate({expression}, {_q(T.ACCENTED + T.COMBINING_MARKS)}, {_q(T.UNACCENTED)})"
+    return f"translate({expression}, {_q(T.SINGLE)}, {_q(T.SINGLE_LATIN)})"
 
 
 CLEAN = rf"""clean AS (
-SELECT doc_id, [w for w in regexp_extract_all({_normalised("text")}, '[\p{{L}}\p{{N}}_''’]+')
+SELECT doc_id, [w for w in regexp_extract_all(regexp_replace({_normalised("text")}, {_q(T.CONTRACTION)}, '\1 \2', 'g'), '[\p{{L}}\p{{N}}_''’]+')
                 if regexp_full_match(w, '\p{{L}}+') AND NOT list_contains({_list(T.stop_words("french"))}, w)] AS words
 FROM documents)"""
 

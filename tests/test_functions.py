@@ -88,6 +88,26 @@ def test_repr_with_quoted_constants(spark):
     assert got[2] == {"a": "x'None"}
 
 
+def test_scripts_are_spelled_in_latin_letters(spark):
+    texts = ["Климат меняется, объект ещё ждёт щуку", "Η Αθήνα και ο ψυχρός χειμώνας, Θεσσαλονίκη", "Łódź, Děčín, Şırnak, Iași", "気候 変動"]
+    plain = ["klimat meniaetsia, obekt eshchio zhdiot shchuku", "e athena kai o psukhros kheimonas, thessalonike", "lodz, decin, sirnak, iasi", "気候 変動"]
+    assert values(spark, T.normalise, texts) == plain
+    words = [w for text in texts for w in text.replace(",", "").split()]
+    assert [T.normalise_word(w) for w in words] == [w for text in plain for w in text.replace(",", "").split()]
+    assert values(spark, T.clean_tokens, texts[:1]) == [["klimat", "meniaetsia", "obekt", "eshchio", "zhdiot", "shchuku"]]
+
+
+def test_contractions_are_parted_and_elisions_are_not(spark):
+    texts = ["I don't think they’re late; it's raining", "l'eau qu'il boit aujourd'hui", "he'd've we'll rock'n'roll cats' 'quoted'"]
+    assert values(spark, T.tokens, texts) == [
+        ["i", "do", "n't", "think", "they", "’re", "late", "it", "'s", "raining"],
+        ["l'eau", "qu'il", "boit", "aujourd'hui"],
+        ["he", "'d've", "we", "'ll", "rock'n'roll", "cats'", "'quoted'"],
+    ]
+    english = values(spark, lambda x: T.clean_tokens(x, "english"), texts[:1])
+    assert english == [["think", "late", "raining"]]
+
+
 def test_clean_tokens(spark):
     assert values(spark, T.clean_tokens, ["Comme le climat change APRÈS la pluie"]) == [["climat", "change", "pluie"]]
     english = values(spark, lambda x: T.clean_tokens(x, "english"), ["Never the weather of television"])
