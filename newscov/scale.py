@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows per window task in rolling_rows.
 WINDOW_CHUNK = 200_000
@@ -97,9 +98,16 @@ def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.where(key < last).unionByName(df.where(key == last).limit(copies))
 
 
+def _constant(value, kind: T.DataType) -> Column:
+    """A collected value as a constant of its column's type; a time without zone takes no detour over one."""
+    if isinstance(kind, T.TimestampNTZType) and value is not None:
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(kind)
+
+
 def _literal(df: DataFrame, order: list[str], key) -> Column:
     """A collected ``row_key`` as a constant of the same type."""
-    fields = [F.lit(value).cast(df.schema[c].dataType).alias(c) for c, value in zip(order, key)]
+    fields = [_constant(value, df.schema[c].dataType).alias(c) for c, value in zip(order, key)]
     return F.struct(*fields, F.lit(key[len(order)]).cast("long").alias("_tie"))
 
 
@@ -148,9 +156,9 @@ class PageIndex:
         kind, (least, most) = rows.schema[order[0]].dataType, (entry["low"][0], entry["high"][0])
         near = rows
         if least is not None:
-            near = near.where(first.between(F.lit(least).cast(kind), F.lit(most).cast(kind)))
+            near = near.where(first.between(_constant(least, kind), _constant(most, kind)))
         elif most is not None:
-            near = near.where(first.isNull() | (first <= F.lit(most).cast(kind)))
+            near = near.where(first.isNull() | (first <= _constant(most, kind)))
         if not entry["shared"]:
             return near.where((key >= low) & (key <= high)).orderBy(*order)
         if entry["low"] == entry["high"]:

@@ -121,6 +121,21 @@ def test_page_index_holds_every_row_once(spark, tmp_path, size):
     assert index.page(df, ["k"], n_pages + 1).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["TIMESTAMP_NTZ", "TIMESTAMP", "DATE", "DECIMAL(9,2)", "STRING", "DOUBLE"])
+def test_keys_of_any_type_in_any_zone(spark, tmp_path, kind):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        number = "id" if kind in ("DECIMAL(9,2)", "STRING", "DOUBLE") else "TIMESTAMP_NTZ'2024-03-10 01:59:59.123456' + make_interval(0, 0, 0, id)"
+        df = spark.range(20).selectExpr("id", f"CAST({number} AS {kind}) AS k")
+        index = scale.PageIndex.build(df, ["k"], 6, str(tmp_path / "index"))
+        pages = [{r["id"] for r in index.page(df, ["k"], n).collect()} for n in (1, 2, 3, 4)]
+        assert [len(p) for p in pages] == [6, 6, 6, 2] and set().union(*pages) == set(range(20))
+        assert scale.first_rows(df, ["k"], 7).count() == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_page_index_of_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "k INT, v STRING")
     index = scale.PageIndex.build(df, ["k"], 5, str(tmp_path / "index"))
