@@ -52,11 +52,11 @@ CHROME_NAMES = frozenset(
 )
 # --- end of fixed values ----------------------------------------------------------
 
-MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL | re.IGNORECASE,
-)
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+RAW_START = re.compile(rf"<({RAW})\b", re.IGNORECASE)
+RAW_END = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE) for name in RAW.split("|")}
+TAG_START = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+DELIMITER = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -72,6 +72,56 @@ class Block(NamedTuple):
     title: bool
 
 
+def _tag_ends(source: str) -> tuple[list[int], list[int]]:
+    """Places of all ``>`` and quotes, and where a tag ends whose attributes go on from each: the next ``>`` that no
+    quotes enclose, or -1.
+
+    Worked out once from the end of the page, so that tags that never close cost no more than others.
+    """
+    places = [m.start() for m in DELIMITER.finditer(source)]
+    ends = [-1] * (len(places) + 1)
+    after = {"'": -1, '"': -1}  # where the next quote of each kind leads to
+    for k in range(len(places) - 1, -1, -1):
+        mark = source[places[k]]
+        if mark == ">":
+            ends[k] = places[k]
+        else:
+            ends[k], after[mark] = after[mark], ends[k + 1]
+    return places, ends
+
+
+def markup(source: str) -> Iterator[tuple[int, int, str, str | None, str]]:
+    """Start, end, slash, name and attributes of every tag; comments, declarations and raw elements have no name.
+
+    Linear in the page. A ``<`` that begins none of these is text.
+    """
+    places, ends = _tag_ends(source)
+    k, i = 0, source.find("<")
+    while i >= 0:
+        if source.startswith(("!", "?"), i + 1):
+            end = COMMENT.match(source, i).end()
+            yield i, end, "", None, ""
+        elif tag := TAG_START.match(source, i):
+            raw = RAW_START.match(source, i)
+            begin = raw.end() if raw else tag.end()
+            while k < len(places) and places[k] < begin:
+                k += 1
+            close = ends[k]
+            if close < 0:
+                i = source.find("<", i + 1)
+                continue
+            end = close + 1
+            if raw:
+                last = RAW_END[raw[1].lower()].search(source, end)
+                end = last.end() if last else len(source)
+                yield i, end, "", None, ""
+            else:
+                yield i, end, tag[1], tag[2], source[begin:close]
+        else:
+            end = i + 1
+        i = source.find("<", end)
+
+
 def digest(*parts: object) -> int:
     return xxhash.xxh3_64_intdigest("\0".join(map(str, parts)).encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -116,12 +166,12 @@ class Page:
         self.text: list[str] = []
         self.known: dict[tuple, tuple] = {}
         source, at = source or "", 0
-        for m in MARKUP.finditer(source):
-            if m.start() > at:
-                self.text.append(source[at : m.start()])
-            at = m.end()
-            if m[3]:
-                self._end(m[3].lower()) if m[2] else self._start(m[3].lower(), m[4])
+        for start, end, slash, name, attributes in markup(source):
+            if start > at:
+                self.text.append(source[at:start])
+            at = end
+            if name:
+                self._end(name.lower()) if slash else self._start(name.lower(), attributes)
         if at < len(source):
             self.text.append(source[at:])
         while len(self.open) > 1:

@@ -10,6 +10,7 @@ unpacked. Sizes and places beyond 32 bits, and more than 65,535 members, use the
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import math
@@ -52,6 +53,7 @@ RECORD_DATE = "2000-01-01T00:00:00Z"
 PAGE_URN = "urn:page:"
 PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
 
+INDEX_NAMES = (".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")
 RECORDS = "page_id LONG, payload_bytes LONG, payload_digest STRING, record_type STRING, refers_to LONG"
 
 
@@ -291,14 +293,14 @@ def _find_members(folder: str):
                     found = list(zip_members(file, size))
                 if packed := [name for name, method, *_ in found if method != STORED]:
                     raise ValueError(f"{path}: members are not stored but compressed: {packed[:3]}")
-                archives = {name.rpartition("/")[2]: start for name, _, start, _ in found if name.startswith("archive/")}
+                archives = json.dumps({name.rpartition("/")[2]: start for name, _, start, _ in found if name.startswith("archive/")})
                 rows = [
-                    (path, start, length, archives[name.rpartition("/")[2].replace(".cdxj", ".warc.gz")])
+                    (path, name, start, length, archives)
                     for name, _, start, length in found
-                    if name.startswith("indexes/")
+                    if name.startswith("indexes/") and name.endswith(INDEX_NAMES)
                 ]
                 if rows:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows))), ["path", "start", "length", "data_start"])
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows))), ["path", "name", "start", "length", "archives"])
 
     return find
 
@@ -310,11 +312,17 @@ def _find_records(folder: str):
             for row in batch.to_pylist():
                 with store.open_input_file(row["path"]) as file:
                     index = read_range(file, row["start"], row["length"])
-                entries = [json.loads(line.split(b" ", 2)[2]) for line in index.splitlines()]
+                if row["name"].endswith(".gz"):
+                    index = gzip.decompress(index)
+                entries = [json.loads(line.split(b" ", 2)[2]) for line in index.splitlines() if line and not line.startswith(b"!")]
+                archives = json.loads(row["archives"])
+                names = [e["filename"].rpartition("/")[2] for e in entries]
+                if unknown := set(names) - set(archives):
+                    raise ValueError(f"{row['path']}: {row['name']} names archives that the package lacks: {sorted(unknown)[:3]}")
                 yield pa.RecordBatch.from_pydict({
                     "path": [row["path"]] * len(entries),
-                    "start": pa.array([row["data_start"] + e["offset"] for e in entries], pa.int64()),
-                    "length": pa.array([e["length"] for e in entries], pa.int64()),
+                    "start": pa.array([archives[n] + int(e["offset"]) for n, e in zip(names, entries)], pa.int64()),
+                    "length": pa.array([int(e["length"]) for e in entries], pa.int64()),
                 })
 
     return find
@@ -365,13 +373,16 @@ def _read_records(folder: str, with_payload: bool):
 def read_archives(archives: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """One row per record of the archives in ``archives(path, bytes)``.
 
+    Records are found by the packages' indexes, plain or gzipped: an index line names its archive, so one index may
+    serve several archives and an archive several indexes. A line that names none of the package's raises.
+
     Archives spread over tasks, then their index members, then byte ranges of records; what a
     record's task reads is that record's range, with its neighbours' where they touch. Revisits
     have a null payload. A payload that does not have its digest raises.
     """
     total = archives.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     tasks = max(1, math.ceil(total / READ_BYTES))
-    members = archives.repartition(tasks).mapInArrow(_find_members(folder), "path STRING, start LONG, length LONG, data_start LONG")
+    members = archives.repartition(tasks).mapInArrow(_find_members(folder), "path STRING, name STRING, start LONG, length LONG, archives STRING")
     ranges = members.mapInArrow(_find_records(folder), "path STRING, start LONG, length LONG")
     ranges = ranges.repartitionByRange(tasks, "path", "start").sortWithinPartitions("path", "start")
     schema = RECORDS + (", payload BINARY" if with_payload else "")

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -99,3 +100,21 @@ def test_ranked_in_parts(spark, monkeypatch):
     got = packed(spark, rows, capacity=16)
     assert len({(r.sequence_id, r.offset) for r in got}) == 200
     check_layout(got, 16)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_plan_needs_no_more_sequences_than_best_fit_by_piece(seed):
+    """Best fit, longest first, piece after piece: each goes where least room is left."""
+    rng = random.Random(seed)
+    capacity = rng.choice([10, 37, 100, 4096])
+    lengths = [min(capacity, max(1, int(rng.lognormvariate(rng.choice([1, 3, 6]), 1)))) for _ in range(rng.randrange(1, 200))]
+    rooms = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [n for n, room in enumerate(rooms) if room >= length]
+        if fitting:
+            rooms[min(fitting, key=lambda n: rooms[n])] -= length
+        else:
+            rooms.append(capacity - length)
+    rows = P.plan(Counter(lengths), capacity)
+    used = {s for _, _, pieces, first, _, each in rows for s in range(first, first - (-pieces // each))}
+    assert len(used) <= len(rooms)

@@ -1,8 +1,11 @@
 import base64
+import gzip
 import hashlib
 import io
+import json
 import random
 import struct
+import time
 import zipfile
 
 import pytest
@@ -248,3 +251,53 @@ def test_odd_pages(spark):
 
 def test_no_rows(spark):
     assert extracted(spark, []) == {}
+
+
+def test_markup_of_unclosed_tags_is_linear():
+    for piece in ("<a b ", "<a '\" ", '<a ">" ', "<script ", "<", "<!", "</p "):
+        page = piece * ((1 << 20) // len(piece))
+        start = time.time()
+        list(H.markup(page))
+        assert time.time() - start < 5, piece
+
+
+def test_markup():
+    page = """a<p class="x>y">b<!-- <i> -->c<br/><SCRIPT a='>'>if (a<b) "</p>"</Script >d<>e< f</p>g<q r"""
+    found = [(page[a:b], slash, name, attributes) for a, b, slash, name, attributes in H.markup(page)]
+    assert found == [
+        ('<p class="x>y">', "", "p", ' class="x>y"'), ("<!-- <i> -->", "", None, ""), ("<br/>", "", "br", "/"),
+        ("""<SCRIPT a='>'>if (a<b) "</p>"</Script >""", "", None, ""), ("</p>", "/", "p", ""),
+    ]
+    assert list(H.markup("")) == [] and [m[:2] for m in H.markup("<!-- open")] == [(0, 9)]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_one_index_over_two_archives(spark, tmp_path, packed):
+    """A package of another make: its index has another name than its archives and may be gzipped."""
+    pages = spark.createDataFrame([(i, f"http://e.net/{i}", f"<p>{i}</p>") for i in range(6)], "page_id LONG, url STRING, html STRING")
+    written, folder = W.write_archives(pages.coalesce(1), str(tmp_path / "own"), member_bytes=1)
+    with zipfile.ZipFile(written.first()["path"]) as own:
+        archives = {n: own.read(n) for n in own.namelist() if n.startswith("archive/")}
+        lines = b"".join(own.read(n) for n in own.namelist() if n.startswith("indexes/"))
+    assert len(archives) == 6
+    names = sorted(archives)
+    both = {"archive/first.warc.gz": names[:3], "archive/second.warc.gz": names[3:]}
+    entries = []
+    (tmp_path / "foreign").mkdir()
+    path = tmp_path / "foreign" / "package.wacz"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as out:
+        for name, parts in both.items():
+            out.writestr(name, b"".join(archives[p] for p in parts))
+            at = 0
+            for part in parts:
+                line = next(x for x in lines.splitlines() if part.rpartition("/")[2].encode() in x)
+                head = line.split(b" ", 2)[:2]
+                entry = {"offset": str(at), "length": str(len(archives[part])), "filename": name.rpartition("/")[2]}
+                entries.append(b" ".join([*head, json.dumps(entry).encode()]))
+                at += len(archives[part])
+        index = b"\n".join(entries) + b"\n"
+        out.writestr("indexes/index.cdx.gz" if packed else "indexes/index.cdx", gzip.compress(index) if packed else index)
+        out.writestr("indexes/index.idx", b"com,example)/ 2024 index.cdx.gz\t0\t1\n")
+    foreign = spark.createDataFrame([(str(path), path.stat().st_size)], "path STRING, bytes LONG")
+    got = sorted((r["page_id"], r["payload"]) for r in W.read_archives(foreign, str(tmp_path / "foreign"), with_payload=True).collect())
+    assert got == [(i, f"<p>{i}</p>".encode()) for i in range(6)]
