@@ -14,6 +14,8 @@ from newscov.schemas import ANNOTATION_COLUMNS, EVALUATION_COLUMNS, METRICS, PRE
 from newscov.sources.inline import literal_rows
 from newscov.taxonomy import METRIC_CODES, PUBLISHED_RUN
 
+# Classes that a confusion matrix has columns for.
+MOST_CLASSES = 1_000
 METRIC_NAMES = ("precision", "recall", "f1", "top1", "top3", "unsure")
 
 
@@ -151,10 +153,14 @@ def confusion(scored: DataFrame, actual: str = "label", predicted: str = "predic
     """Counts per actual (rows) and predicted (columns) class.
 
     Both sides hold ``classes`` and every other class either side has, which a small job finds
-    out: one row per class. Pairs with a null are left out.
+    out: one row per class. Pairs with a null are left out. More than ``MOST_CLASSES`` classes raise, as
+    the table would have a column for each.
     """
     pairs = _class_pairs(scored, actual, predicted).where("actual IS NOT NULL AND predicted IS NOT NULL")
-    seen = pairs.select(F.explode(F.array_distinct(F.array("actual", "predicted"))).alias("class")).distinct().collect()
+    named = pairs.select(F.explode(F.array_distinct(F.array("actual", "predicted"))).alias("class")).distinct()
+    seen = named.limit(MOST_CLASSES + 1).collect()
+    if len(seen) > MOST_CLASSES:
+        raise ValueError(f"{actual} and {predicted} hold more than {MOST_CLASSES} classes")
     both = sorted({*classes, *[row["class"] for row in seen]})
     counts = [F.coalesce(F.sum(F.when(F.col("predicted") == c, F.col("n"))), F.lit(0)).alias(f"predicted_{c}") for c in both]
     kind = scored.schema[actual].dataType

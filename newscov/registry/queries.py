@@ -10,6 +10,7 @@ import json
 import uuid
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,15 +75,15 @@ def _coverage(period: str):
     return run
 
 
-def _round_trip(spark, sf_dir, name: str) -> str:
-    """A new folder of this query in the shared folder."""
+def _new_folder(spark, name: str) -> str:
+    """A name for a new folder in the shared folder."""
     use_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def coverage_incremental(spark, sf_dir):
     """Coverage per day from counts that two loads have stored, the second of which finds the first one's files counted."""
-    rows, folder = V.articles(spark, sf_dir).select("article_id", "date", "media", "label"), _round_trip(spark, sf_dir, "increments")
+    rows, folder = V.articles(spark, sf_dir).select("article_id", "date", "media", "label"), _new_folder(spark, "increments")
 
     def read(spark, files):
         return spark.read.schema(rows.schema).parquet(*files)
@@ -95,7 +96,7 @@ def coverage_incremental(spark, sf_dir):
 
 def stored_texts(spark, sf_dir):
     """Documents written as delimited text and as Parquet, read back by file type and compared, by outlet."""
-    folder = _round_trip(spark, sf_dir, "texts")
+    folder = _new_folder(spark, "texts")
     rows = V.documents(spark, sf_dir)
     write_result(rows, f"{folder}/texts", "csv")
     write_result(rows, f"{folder}/texts.parquet")
@@ -111,7 +112,7 @@ def stored_texts(spark, sf_dir):
 
 def stored_articles(spark, sf_dir):
     """Articles stored by month and read back for some days, per outlet."""
-    folder = _round_trip(spark, sf_dir, "articles")
+    folder = _new_folder(spark, "articles")
     store_articles(V.articles(spark, sf_dir).select("article_id", "date", "media", "label"), folder)
     weeks = coverage.in_dates(spark.read.parquet(folder), date(2024, 1, 10), date(2024, 1, 20))
     return weeks.groupBy("media").agg(F.count("*").alias("n"), F.sum("label").alias("on_topic"))
@@ -119,14 +120,14 @@ def stored_articles(spark, sf_dir):
 
 def stored_splits(spark, sf_dir):
     """Sizes of the three parts as they are stored."""
-    folder = _round_trip(spark, sf_dir, "splits")
+    folder = _new_folder(spark, "splits")
     write_splits(stratified_split(spark, sf_dir), folder)
     return splits.split_sizes(spark.read.parquet(folder))
 
 
 def stored_metrics(spark, sf_dir):
     """Metrics of every run, appended twice under one name: one copy stays."""
-    folder = _round_trip(spark, sf_dir, "metrics")
+    folder = _new_folder(spark, "metrics")
     for run in ("first", "first", "second"):
         append_metrics(metrics_by_run(spark, sf_dir), folder, run)
     return spark.read.parquet(folder).groupBy("source").agg(F.count("*").alias("copies"), F.max("f1").alias("f1"))
@@ -239,14 +240,11 @@ def explorer_filtered(spark, sf_dir):
 
 def _pages(spark, sf_dir):
     """The explorer's page index, built once per application."""
-    order = ["date", "doc_id"]
-    key = ("pages", spark.sparkContext.applicationId, sf_dir)
-    rows = _explorer(spark, sf_dir)
-    if key not in _STORED:
-        use_checkpoint_dir(spark)
-        _STORED[key] = f"{spark.sparkContext.getCheckpointDir()}/pages-{uuid.uuid4().hex}"
-        explore.page_index(rows, order, _STORED[key])
-    return PageIndex(spark, _STORED[key]), rows, order
+    order, rows = ["date", "doc_id"], _explorer(spark, sf_dir)
+    index = _model(
+        "pages", spark, sf_dir, lambda: rows, lambda found, _, folder: explore.page_index(found, order, folder), PageIndex
+    )
+    return index, rows, order
 
 
 def explorer_page(spark, sf_dir):
@@ -479,8 +477,7 @@ def frequent_lexicon(spark, sf_dir) -> str:
     lines = []
     for theme, subs in tree.items():
         lines += [f'["{theme}"]', *[f"{sub} = {json.dumps(terms, ensure_ascii=False)}" for sub, terms in subs.items()]]
-    use_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/lexicon-{uuid.uuid4().hex}"
+    folder = _new_folder(spark, "lexicon")
     spark.createDataFrame([("\n".join(lines),)], "value STRING").coalesce(1).write.text(folder)
     return folder
 
@@ -521,14 +518,18 @@ def salient_words(spark, sf_dir):
 
 
 def _model(kind: str, spark, sf_dir, fit, save, load):
-    """A model fitted and stored once per application; queries that score load it."""
+    """A model fitted and stored once per application; queries that score load it. One whose folder has gone is fitted anew."""
     key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORED:
-        use_checkpoint_dir(spark)
-        folder = f"{spark.sparkContext.getCheckpointDir()}/{kind}-{uuid.uuid4().hex}"
-        save(fit(), spark, folder)
-        _STORED[key] = folder
-    return load(spark, _STORED[key])
+    if key in _STORED:
+        try:
+            return load(spark, _STORED[key])
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    folder = _new_folder(spark, kind)
+    save(fit(), spark, folder)
+    _STORED[key] = folder
+    return load(spark, folder)
 
 
 def _parts(texts: DataFrame, label: str = "label") -> dict[str, DataFrame]:

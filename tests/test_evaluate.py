@@ -211,3 +211,11 @@ def test_codes_and_placeholders_are_not_invented(spark):
     df = spark.createDataFrame(rows, "prediction_label_1 STRING, prediction_label_2 STRING, prediction_label_3 STRING")
     assert E.hallucinations(df).first()[0] == 1
     assert {r[0] for r in df.collect()} & set(METRIC_CODES)
+
+
+def test_confusion_of_ids_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(E, "MOST_CLASSES", 4)
+    rows = spark.range(6).selectExpr("id AS label", "id AS predicted")
+    with pytest.raises(ValueError, match="more than 4"):
+        E.confusion(rows)
+    assert E.confusion(rows.where("label < 4")).count() == 4
