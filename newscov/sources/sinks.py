@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,13 +61,15 @@ def write_runs(predictions: DataFrame, path: str) -> None:
 
 
 def append_metrics(metrics: DataFrame, path: str, run: str | None = None) -> None:
-    """Add metric rows to a growing table, stored by ``run``.
+    """Add metric rows to a growing table.
 
-    A job that passes its run's name can be repeated: its rows replace those it wrote before. Without a
-    name every call is a run of its own.
+    With the name of a run rows are stored under it, in a column ``run``, and a job that is repeated
+    replaces what it wrote before. Without one every call adds its rows. A table takes either kind, not both.
     """
-    name = run or f"{run_id()}_{uuid.uuid4().hex[:8]}"
-    _replace_partitions(metrics.withColumn("run", F.lit(name)).coalesce(1), path, "run")
+    if run is None:
+        metrics.coalesce(1).write.mode("append").parquet(path)
+    else:
+        _replace_partitions(metrics.withColumn("run", F.lit(run)).coalesce(1), path, "run")
 
 
 def write_splits(split: DataFrame, path: str) -> None:
