@@ -11,12 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newscov.llm.common import components, numbered, stored, with_components, working_columns
+from newscov.llm.common import components, numbered, pieces, stored, with_components, working_columns
 
 #: Words of a shingle and the similarity from which documents are linked.
 WORDS = 5
 THRESHOLD = 0.8
-#: Prefix trees, the hashes of a tree's longest label, and the share of links to be found.
+#: Prefix trees, the hashes a tree's label may have at most, and the share of links to be found.
 TREES = 24
 LONGEST = 6
 TARGET_RECALL = 0.9999
@@ -28,6 +28,8 @@ BLOCK_SHINGLES = 2_000_000
 REMEMBERED = 300_000
 HASHED_AT_ONCE = 2_048
 COLUMNS_AT_ONCE = 4_096
+#: Text that a task turns into shingles at once; a longer one comes alone.
+BATCH_BYTES = 8 << 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,17 +61,37 @@ def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.nda
     return np.unique(value)
 
 
-def prefix_length(threshold: float, trees: int, longest: int, recall: float) -> int:
-    """The longest label prefix that finds pairs at the threshold with the target recall.
+def missed_share(similarity, length: int, trees: int):
+    """The chance that a pair shares no prefix of ``length`` hashes in any tree.
 
-    A pair with similarity t shares a prefix of k hashes in one tree with probability t ** k.
+    A pair with similarity t shares one in one tree with probability t ** length.
     """
+    return (1 - similarity**length) ** trees
+
+
+def label_length(threshold: float, trees: int, longest: int, recall: float) -> int:
+    """The longest label that finds a pair at the threshold with the target recall: where every class starts."""
     for k in range(longest, 0, -1):
-        if 1 - (1 - threshold**k) ** trees >= recall:
+        if 1 - missed_share(threshold, k, trees) >= recall:
             return k
     raise ValueError("too few trees for this recall")
 
 
+def prefix_lengths(found: DataFrame, threshold: float, trees: int, start: int, recall: float) -> DataFrame:
+    """``(node, length)``: how far the prefix of a class must be shortened, given its partners found so far.
+
+    For a partner found with probability p, (1 - p) / p like it are expected to be missed, and one at the
+    threshold is always reckoned with. The length is the longest at which no more than ``1 - recall``
+    partners are expected to be missed. ``found`` holds ``missed``, an array by length from 1; classes
+    without links keep the longest.
+    """
+    sums = [F.sum(F.element_at("missed", k)).alias(f"missed_{k}") for k in range(1, start + 1)]
+    met = [
+        F.when(F.col(f"missed_{k}") + missed_share(threshold, k, trees) <= 1 - recall, k) for k in range(start, 1, -1)
+    ]
+    return found.groupBy("node").agg(*sums).select("node", F.coalesce(*met, F.lit(1)).alias("length"))
+
+
 def _coefficients(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     random = np.random.default_rng(seed)
     return (random.integers(0, 1 << 63, n, np.uint64) << np.uint64(1)) | np.uint64(1), random.integers(0, 1 << 63, n, np.uint64)
@@ -92,7 +114,7 @@ def _sign(words: int, trees: int, longest: int, seed: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         factors, offsets = _coefficients(trees * longest, seed)
-        for batch in batches:
+        for batch in pieces(batches, "text", BATCH_BYTES):
             keys, counts, labels = [], [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py(), hashes, words)
@@ -185,7 +207,7 @@ def _shingled(words: int):
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in pieces(batches, "text", BATCH_BYTES):
             keep, data = [], []
             for i, (text, key) in enumerate(zip(batch.column("text"), batch.column("key").to_pylist())):
                 found = shingles(text.as_py(), hashes, words)
@@ -226,8 +248,17 @@ def common_shingles(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def _verify(threshold: float):
-    """Exact links between two blocks of a group, or within one: a row per linked class."""
+def _similarities(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    counts = common_shingles(a, b).astype(np.float64)
+    sizes = [np.array([len(r) for r in side], np.float64) for side in (a, b)]
+    return counts / (sizes[0][:, None] + sizes[1][None, :] - counts)
+
+
+def _verify(threshold: float, trees: int, start: int):
+    """Exact links between two blocks of a group, or within one: a row per linked class.
+
+    ``missed`` adds up over its partners what a search at each prefix length misses for one it finds.
+    """
 
     def verify(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
@@ -241,14 +272,19 @@ def _verify(threshold: float):
         left, right = sides[i], sides[j]
         empty = np.zeros(0, np.int64)
         if not left or not right or (i == j and len(left) < 2):
-            return pa.table({"node": empty, "links": empty, "root": empty})
-        counts = common_shingles([r[2] for r in left], [r[2] for r in right]).astype(np.float64)
-        sizes = [np.array([len(r[2]) for r in side], np.float64) for side in (left, right)]
-        links = counts / (sizes[0][:, None] + sizes[1][None, :] - counts) >= threshold
+            return pa.table({"node": empty, "links": empty, "root": empty, "missed": pa.array([], pa.list_(pa.float64()))})
+        near = _similarities([r[2] for r in left], [r[2] for r in right])
+        links = near >= threshold
         names = [np.array([r[0] for r in side], np.int64) for side in (left, right)]
         copies = [np.array([r[1] for r in side], np.int64) for side in (left, right)]
         if i == j:
             np.fill_diagonal(links, False)
+        missed = []
+        for k in range(1, start + 1):
+            share = missed_share(near, k, trees)
+            odds = np.divide(share, 1 - share, out=np.zeros_like(near), where=links)
+            missed.append(odds.sum(axis=1) if i == j else np.concatenate([odds.sum(axis=1), odds.sum(axis=0)]))
+        if i == j:
             linked, nodes = links @ copies[1], names[0]
             graph = links
         else:
@@ -269,11 +305,104 @@ def _verify(threshold: float):
         root = np.empty(len(nodes), np.int64)
         root[order] = nodes[order][roots]
         at = np.flatnonzero(linked)
-        return pa.table({"node": nodes[at], "links": linked[at], "root": root[at]})
+        missed = pa.array(list(np.array(missed).T[at]), pa.list_(pa.float64()))
+        return pa.table({"node": nodes[at], "links": linked[at], "root": root[at], "missed": missed})
 
     return verify
 
 
+def _meet(threshold: float, width: int, size: int):
+    """Links between two blocks of a prefix run, or within one: ``(a, b, similarity)``.
+
+    Compared are pairs of which one side still looks for partners. Pairs of one group were compared
+    before, and pairs that share a prefix in an earlier tree are that tree's.
+    """
+
+    def meet(group: pa.Table) -> pa.Table:
+        i, j, tree = (group[c][0].as_py() for c in ("i", "j", "tree"))
+        names = ("block", "node", "part", "copies", "looks", "labels", "shingles")
+        seen, sides = set(), {i: [], j: []}
+        for block, node, *more in zip(*[group[c].to_pylist() for c in names]):
+            if node not in seen:  # a row of the input may be there twice
+                seen.add(node)
+                sides[block].append((node, *more))
+        left, right = sides[i], sides[j]
+        if not left or not right:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
+        node, part = ([np.array([r[c] for r in side], np.int64) for side in (left, right)] for c in (0, 1))
+        looks = [np.array([r[3] for r in side], bool) for side in (left, right)]
+        wanted = (part[0][:, None] != part[1][None, :]) & (looks[0][:, None] | looks[1][None, :])
+        if i == j:
+            wanted = np.triu(wanted, 1)
+        for before in range(tree):
+            at = slice(before * size, before * size + width)
+            one, other = ([r[4][at] for r in side] for side in (left, right))
+            places = {prefix: n for n, prefix in enumerate(dict.fromkeys(one + other))}
+            wanted &= np.array([places[p] for p in one])[:, None] != np.array([places[p] for p in other])[None, :]
+        rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+        near = np.zeros((0, 0))
+        if len(rows):
+            data = ([np.frombuffer(side[n][5], np.uint64) for n in at] for side, at in ((left, rows), (right, columns)))
+            near = _similarities(*data) * wanted[np.ix_(rows, columns)]
+        a, b = np.nonzero(near >= threshold)
+        return pa.table({"a": node[0][rows[a]], "b": node[1][columns[b]], "similarity": near[a, b]})
+
+    return meet
+
+
+def shorter_links(
+    rows: DataFrame, classes: DataFrame, groups: DataFrame, looking: DataFrame, length: int, size: int,
+    trees: int, words: int, threshold: float,
+) -> DataFrame:
+    """Links ``(a, b, similarity)`` between groups that the nodes of ``looking`` find at a prefix of ``length`` hashes.
+
+    Only runs of a tree that hold such a node and more than one group are compared, large ones in blocks.
+    """
+    width = 2 * length
+
+    def leaves(nodes: DataFrame) -> DataFrame:
+        number = F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+        return nodes.select("*", number).withColumn("prefix", F.substring("labels", F.col("tree") * size + 1, F.lit(width)))
+
+    looking = stored(looking.select("node", F.lit(True).alias("looks")), "forest-looking")
+    known = classes.join(groups, "node", "left").join(looking, "node", "left").select(
+        "node", "key", "rep", "copies", "n", "labels", F.coalesce("component", "node").alias("part"),
+        F.coalesce("looks", F.lit(False)).alias("looks"),
+    )
+    # runs that hold a looking class: few, so that this join filters the leaves before they are shuffled
+    asked = leaves(classes.join(looking, "node")).select("tree", "prefix").distinct()
+    runs = stored(leaves(known).join(asked, ["tree", "prefix"]), "forest-runs")
+    sizes = runs.groupBy("tree", "prefix").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"),
+        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+    ).where("low < high").drop("low", "high")
+    members = runs.join(sizes, ["tree", "prefix"])
+    members = stored(members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "forest-mates")
+    nodes = members.select("key", "node", "rep").distinct()
+    texts = rows.join(nodes, rows["id"] == nodes["rep"]).select("text", "key", "node")
+    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, shingles BINARY").drop("key")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = members.drop("key", "rep", "n").join(texts, "node").withColumn("other", other).withColumns({
+        "i": F.least("block", "other"), "j": F.greatest("block", "other")
+    })
+    met = paired.drop("blocks", "other").groupBy("tree", "prefix", "i", "j").applyInArrow(
+        _meet(threshold, width, size), "a LONG, b LONG, similarity DOUBLE"
+    )
+    return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").distinct(), "forest-met")
+
+
+def _both_ways(met: DataFrame, classes: DataFrame, trees: int, start: int) -> DataFrame:
+    """Pairs ``met`` as the rows ``_verify`` gives: node, links, root and missed."""
+    share = lambda k: F.pow(1 - F.pow(F.col("similarity"), F.lit(k)), F.lit(trees))
+    ends = met.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "similarity")
+    ends = ends.select(F.col("p.a").alias("node"), F.col("p.b").alias("mate"), "similarity")
+    copies = classes.select(F.col("node").alias("mate"), F.col("copies").alias("links"))
+    return ends.join(copies, "mate").select(
+        "node", "links", F.least("node", "mate").alias("root"),
+        F.array(*[share(k) / (1 - share(k)) for k in range(1, start + 1)]).alias("missed"),
+    )
+
+
 def near_documents(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -292,18 +421,21 @@ def near_documents(
     other documents linked directly, copies included, ``component_id`` is the smallest id links
     lead to, and ``kept`` marks it.
 
-    Documents with equal sets are one class from the start. Classes that share a prefix of their
-    label in some tree of the forest form groups, the prefix shortened from the longest until
-    pairs at the threshold share one in some tree with ``target_recall``. In a group, every pair
-    is compared exactly, in blocks if it is large; a block returns a row per linked class.
+    Documents with equal sets are one class from the start. Labels are as long as a pair at the
+    threshold allows to be found with ``target_recall``. Classes that share a label in some tree of
+    the forest form groups; in a group, every pair is compared exactly, in blocks if it is large, and
+    a block returns a row per linked class. Then every class whose partners found so far let it expect
+    more than ``1 - target_recall`` missed ones (``prefix_lengths``) climbs its tries: its prefix is
+    shortened by a hash at a time, and it is compared with the other groups in the runs it falls into
+    (``shorter_links``), until its recall is met. Classes without links or with close ones stay.
 
     Null texts and texts without words have no shingles and link with nothing; a text with fewer
     words is one shingle. Rows with a null id link with nothing. Rows that share an id are separate
     documents. An empty table gives an empty result. Other columns are not read.
     """
-    width = 2 * prefix_length(threshold, trees, longest, target_recall)
+    start = label_length(threshold, trees, longest, target_recall)
     rows = working_columns(docs, id=id_column, text=text_column).withColumn("id", F.col("id").cast("long"))
-    signed = rows.mapInArrow(_sign(words, trees, longest, seed), "id LONG, key BINARY, n INT, labels BINARY")
+    signed = rows.mapInArrow(_sign(words, trees, start, seed), "id LONG, key BINARY, n INT, labels BINARY")
     signed = stored(signed, "forest-labels")
     known = signed.where("key IS NOT NULL AND id IS NOT NULL")
     classes = numbered(
@@ -313,7 +445,7 @@ def near_documents(
         ),
         "forest-classes",
     )
-    groups = components(candidate_links(classes, width, trees, longest), "forest-groups")
+    groups = components(candidate_links(classes, 2 * start, trees, start), "forest-groups")
     members = classes.select("node", "key", "rep", "copies", "n").join(groups, "node")
     sizes = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
@@ -333,9 +465,19 @@ def near_documents(
         "i": F.least("block", "other"), "j": F.greatest("block", "other")
     })
     found = paired.drop("blocks", "other").groupBy("component", "i", "j").applyInArrow(
-        _verify(threshold), "node LONG, links LONG, root LONG"
+        _verify(threshold, trees, start), "node LONG, links LONG, root LONG, missed ARRAY<DOUBLE>"
     )
     found = stored(found, "forest-verified")
+    every, met = found, None
+    for length in range(start - 1, 0, -1):
+        lengths = prefix_lengths(every, threshold, trees, start, target_recall)
+        looking = lengths.where(F.col("length") <= length)
+        if looking.isEmpty():
+            break
+        more = shorter_links(rows, classes, groups, looking, length, 2 * start, trees, words, threshold)
+        met = more if met is None else met.unionByName(more).distinct()
+        every = found.unionByName(_both_ways(met, classes, trees, start))
+    found = every.drop("missed")
 
     known = with_components(classes, found, "forest-components")
     key = F.when(F.col("id").isNotNull(), F.col("key"))
