@@ -320,7 +320,7 @@ def _meet(threshold: float, width: int, size: int):
 
     def meet(group: pa.Table) -> pa.Table:
         i, j, tree = (group[c][0].as_py() for c in ("i", "j", "tree"))
-        names = ("block", "node", "part", "copies", "looks", "labels", "shingles")
+        names = ("block", "node", "part", "looks", "labels", "shingles")
         seen, sides = set(), {i: [], j: []}
         for block, node, *more in zip(*[group[c].to_pylist() for c in names]):
             if node not in seen:  # a row of the input may be there twice
@@ -330,19 +330,19 @@ def _meet(threshold: float, width: int, size: int):
         if not left or not right:
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
         node, part = ([np.array([r[c] for r in side], np.int64) for side in (left, right)] for c in (0, 1))
-        looks = [np.array([r[3] for r in side], bool) for side in (left, right)]
+        looks = [np.array([r[2] for r in side], bool) for side in (left, right)]
         wanted = (part[0][:, None] != part[1][None, :]) & (looks[0][:, None] | looks[1][None, :])
         if i == j:
             wanted = np.triu(wanted, 1)
         for before in range(tree):
             at = slice(before * size, before * size + width)
-            one, other = ([r[4][at] for r in side] for side in (left, right))
+            one, other = ([r[3][at] for r in side] for side in (left, right))
             places = {prefix: n for n, prefix in enumerate(dict.fromkeys(one + other))}
             wanted &= np.array([places[p] for p in one])[:, None] != np.array([places[p] for p in other])[None, :]
         rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
         near = np.zeros((0, 0))
         if len(rows):
-            data = ([np.frombuffer(side[n][5], np.uint64) for n in at] for side, at in ((left, rows), (right, columns)))
+            data = ([np.frombuffer(side[n][4], np.uint64) for n in at] for side, at in ((left, rows), (right, columns)))
             near = _similarities(*data) * wanted[np.ix_(rows, columns)]
         a, b = np.nonzero(near >= threshold)
         return pa.table({"a": node[0][rows[a]], "b": node[1][columns[b]], "similarity": near[a, b]})
@@ -365,24 +365,25 @@ def shorter_links(
         return nodes.select("*", number).withColumn("prefix", F.substring("labels", F.col("tree") * size + 1, F.lit(width)))
 
     looking = stored(looking.select("node", F.lit(True).alias("looks")), "forest-looking")
-    known = classes.join(groups, "node", "left").join(looking, "node", "left").select(
-        "node", "key", "rep", "copies", "n", "labels", F.coalesce("component", "node").alias("part"),
-        F.coalesce("looks", F.lit(False)).alias("looks"),
+    known = classes.select("node", "n", "labels").join(groups, "node", "left").join(looking, "node", "left").select(
+        "node", "n", "labels", F.coalesce("component", "node").alias("part"), F.coalesce("looks", F.lit(False)).alias("looks")
     )
-    # runs that hold a looking class: few, so that this join filters the leaves before they are shuffled
-    asked = leaves(classes.join(looking, "node")).select("tree", "prefix").distinct()
-    runs = stored(leaves(known).join(asked, ["tree", "prefix"]), "forest-runs")
+    # runs that hold a looking class; written first, so that Spark knows their size and, where they are few,
+    # filters the leaves before it shuffles any
+    asked = stored(leaves(classes.join(looking, "node")).select("tree", "prefix").distinct(), "forest-asked")
+    runs = stored(leaves(known).drop("labels").join(asked, ["tree", "prefix"]), "forest-runs")
     sizes = runs.groupBy("tree", "prefix").agg(
         F.min("part").alias("low"), F.max("part").alias("high"),
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
     ).where("low < high").drop("low", "high")
-    members = runs.join(sizes, ["tree", "prefix"])
-    members = stored(members.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")), "forest-mates")
-    nodes = members.select("key", "node", "rep").distinct()
-    texts = rows.join(nodes, rows["id"] == nodes["rep"]).select("text", "key", "node")
-    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, shingles BINARY").drop("key")
+    members = runs.drop("n").join(sizes, ["tree", "prefix"])
+    members = stored(members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "forest-mates")
+    nodes = stored(members.select("node").distinct(), "forest-nodes")
+    nodes = stored(classes.select("node", "key", "rep", "labels").join(nodes, "node"), "forest-wanted")
+    texts = rows.join(nodes, rows["id"] == nodes["rep"]).select("text", "key", "node", "labels")
+    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, labels BINARY, shingles BINARY").drop("key")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = members.drop("key", "rep", "n").join(texts, "node").withColumn("other", other).withColumns({
+    paired = members.join(texts, "node").withColumn("other", other).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")
     })
     met = paired.drop("blocks", "other").groupBy("tree", "prefix", "i", "j").applyInArrow(
