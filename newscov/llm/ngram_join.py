@@ -379,9 +379,11 @@ def shorter_links(
     members = runs.drop("n").join(sizes, ["tree", "prefix"])
     members = stored(members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "forest-mates")
     nodes = stored(members.select("node").distinct(), "forest-nodes")
-    nodes = stored(classes.select("node", "key", "rep", "labels").join(nodes, "node"), "forest-wanted")
-    texts = rows.join(nodes, rows["id"] == nodes["rep"]).select("text", "key", "node", "labels")
-    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, labels BINARY, shingles BINARY").drop("key")
+    # narrow, so that few of them pick their texts without a shuffle of all texts
+    wanted = stored(classes.select("node", "key", "rep").join(nodes, "node"), "forest-wanted")
+    texts = rows.join(wanted, rows["id"] == wanted["rep"]).select("text", "key", "node")
+    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, shingles BINARY").drop("key")
+    texts = texts.join(classes.select("node", "labels").join(nodes, "node"), "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = members.join(texts, "node").withColumn("other", other).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")
