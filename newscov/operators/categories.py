@@ -37,7 +37,7 @@ def _features(texts: DataFrame, text: str, labels: Column, codes, language: str,
     """Counted words and one 0/1 target per code of every annotated text."""
     rows = drop_empty_text(texts.select(text, labels.alias("_truth")), text).where(F.size("_truth") > 0)
     targets = F.array(*[F.array_contains("_truth", code).cast("int") for code in codes])
-    return linear.with_features(rows.select(text, targets.alias("targets")), text, language, n_features)
+    return linear.with_bucket_counts(rows.select(text, targets.alias("targets")), text, language, n_features)
 
 
 def best_thresholds(scored: DataFrame, codes, bins: int = BINS) -> list[float | None]:
@@ -120,8 +120,8 @@ def predict_categories(model: CategoryModel, texts: DataFrame, text: str = "text
     The most probable code is always named, as every text put to the classifier is on topic; a null or empty text gets none.
     Ties go by the codes' order. Nothing is shuffled.
     """
-    counted = linear.with_features(texts, text, model.model.language, model.model.n_features)
-    margins = linear.margins(model.model, texts.sparkSession, F.col("_words"))
+    counted = texts.withColumn("_hashed", linear.hashed_words(F.col(text), model.model.language, model.model.n_features))
+    margins = linear.margins_of_counts(model.model, texts.sparkSession, F.col("_hashed"))
     counted = counted.withColumn("_margins", margins)
     usable = [c for c in range(len(model.codes)) if model.thresholds[c] is not None]
     entries = F.array(*[
@@ -134,7 +134,7 @@ def predict_categories(model: CategoryModel, texts: DataFrame, text: str = "text
     counted = counted.withColumn("_ranked", F.array_sort(entries))
     first = F.slice("_ranked", 1, 1)
     others = F.filter(F.slice("_ranked", 2, len(usable)), lambda e: e["reached"])
-    named = F.when(F.size("_words") > 0, F.transform(F.concat(first, others), lambda e: e["code"]))
+    named = F.when(F.size("_hashed") > 0, F.transform(F.concat(first, others), lambda e: e["code"]))
     counted = counted.withColumn("_named", named)
     out = [F.when(F.lit(i <= top), F.try_element_at("_named", F.lit(i))).alias(c) for i, c in enumerate(PREDICTION_COLUMNS, 1)]
     return counted.select(*[F.col(c) for c in texts.columns], *out)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens
 from newscov.operators import linear
-from newscov.operators.linear import ENTRIES, parts_of  # by name: tasks take functions along, not modules
+from newscov.operators.linear import ENTRIES, bucket_counts, parts_of  # by name: tasks take functions along, not modules
 from newscov.operators.topics import Lexicon
 from newscov.scale import written
 
@@ -91,8 +91,8 @@ def fit_topics(
 ) -> GuidedModel:
     """Learn the words of a lexicon's topics from texts."""
     topics, seeds = seed_table(texts.sparkSession, lexicon, language, n_features)
-    counted = linear.with_features(texts.select(text), text, language, n_features)
-    counted = written(counted.select(F.col("_buckets").alias("buckets"), linear.counts(F.col("_words")).alias("tfs")), "topic-counts")
+    counted = linear.with_bucket_counts(texts.select(text), text, language, n_features)
+    counted = written(counted.select(F.col("_buckets").alias("buckets"), F.col("_tfs").alias("tfs")), "topic-counts")
     total = counted.agg(F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     # a seed is closed to all topics but its own; any other word is open to all
     free = (seeds.sum(axis=1, keepdims=True) == 0) * BASE_COUNT
@@ -129,18 +129,17 @@ def guided_tags(
     n_topics = model.weights.shape[1]
 
     @F.arrow_udf("array<double>")
-    def mixtures(buckets: pa.Array, tfs: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([buckets, tfs], names=["buckets", "tfs"])
+    def mixtures(buckets: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([buckets], names=["buckets"])
         found = [np.zeros((0, n_topics))]
         for part in parts_of(iter([batch]), "buckets", max(ENTRIES // n_topics, 1)):
-            row, bucket, tf = _entries(part)
+            row, bucket, tf = bucket_counts(part.column("buckets"))
             counted, _ = _mixtures(row, bucket, tf, part.num_rows, shared.value, INNER_ROUNDS)
             found.append(counted / np.maximum(np.bincount(row, tf, part.num_rows), 1)[:, None])
         flat = np.concatenate(found)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, n_topics, dtype=np.int32)), pa.array(flat.ravel()))
 
-    counted = linear.with_features(texts.select(*keep, text), text, model.language, model.weights.shape[0])
-    shares = mixtures(F.col("_buckets"), linear.counts(F.col("_words")))
+    shares = mixtures.asNondeterministic()(linear.hashed_words(F.col(text), model.language, model.weights.shape[0]))
     names = F.array(*[F.struct(F.lit(a).alias("theme"), F.lit(b).alias("subtheme")) for a, b in model.topics])
     entries = F.zip_with(
         F.slice("_shares", 1, len(model.topics)), names,
@@ -148,7 +147,7 @@ def guided_tags(
     )
     best = F.slice(F.array_sort(F.filter(entries, lambda e: e["minus"] <= -least_share)), 1, top)
     return (
-        counted.select(*keep, shares.alias("_shares"))
+        texts.select(*keep, shares.alias("_shares"))
         .select(*keep, F.posexplode(best).alias("_rank", "_best"))
         .select(*keep, (F.col("_rank") + 1).alias("rank"), "_best.theme", "_best.subtheme", (-F.col("_best.minus")).alias("share"))
     )
