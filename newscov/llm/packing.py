@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import sys
@@ -14,18 +15,20 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers import Regex, Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
 from newscov.llm.common import stored, working_columns
 
 #: Tokens of a sequence, and the id that ends each document.
 CAPACITY = 4_096
 END_ID = 1
-#: Strings a worker process remembers, strings encoded at once, and pieces of one length ranked together.
-REMEMBERED = 500_000
+#: Strings encoded at once, strings that are encoded as one, and pieces of one length ranked together.
 ENCODED_AT_ONCE = 10_000
+JOINED = 200
 RANKED_TOGETHER = 50_000
+#: Characters of the texts whose different strings are encoded together.
+CHARS_AT_ONCE = 4 << 20
 
 # --- fixed values: how a lower-casing word vocabulary prepares texts ----------------
 WORDS_NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
@@ -33,29 +36,31 @@ WORDS_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 # --- end of fixed values ------------------------------------------------------------
 
 #: Texts of these characters are composed already, and lower case, letters and digits mean the same to
-#: Python and the tokenizer. The pattern then says what WORDS_SPLIT does.
+#: Python and the tokenizer.
 PLAIN = re.compile(r"[\t\n\r -~\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac]*")
-PLAIN_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class Encoder:
     """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers.
 
     For a lower-casing word vocabulary texts are cut at blanks, which none of its tokens reaches
-    across; what stands between them is encoded once, by its words where the text is plain. Texts
-    with the name of a special token and other kinds of vocabularies are encoded as they are.
+    across; what stands between them is encoded once for all texts of a call. Where the texts are plain, strings go
+    to the tokenizer joined by line ends, whose id then parts theirs. Texts with the name of a special token
+    and other kinds of vocabularies are encoded as they are. Nothing is kept from one call to the next.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         split = str(self.tokenizer.pre_tokenizer)
-        self.by_word = None
+        self.by_line = None
         if str(self.tokenizer.normalizer) == WORDS_NORMALIZER and f'Regex("{WORDS_SPLIT}")' in split:
-            self.by_word = Tokenizer(self.tokenizer.model)
-            self.by_word.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+            by_line = Tokenizer(self.tokenizer.model)
+            lines_too = Split(Regex(rf"\n|{WORDS_SPLIT}"), "removed", invert=True)
+            by_line.pre_tokenizer = Sequence([lines_too, ByteLevel(add_prefix_space=False, use_regex=False)])
+            line_end = by_line.encode("\n", add_special_tokens=False).ids
+            if len(line_end) == 1:
+                self.by_line, self.line_end = by_line, line_end[0]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}  # ids of what stands between blanks
-        self.words: dict[str, bytes] = {}  # ids of the words in that
 
     def _ids(self, encode: Callable, strings: list[str]) -> Iterator[bytes]:
         for at in range(0, len(strings), ENCODED_AT_ONCE):
@@ -64,7 +69,7 @@ class Encoder:
                 yield struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_word:
+        if not self.by_line:
             yield from self._ids(self.tokenizer.encode_batch_fast, texts)
             return
         found: list[bytes] = [b""] * len(texts)
@@ -85,17 +90,8 @@ class Encoder:
             return
         split = pa.compute.ascii_split_whitespace(pa.array(texts, pa.large_string()))
         strings = split.flatten().dictionary_encode()
-        different, at = strings.dictionary.to_pylist(), strings.indices.to_numpy()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.words.clear()
-        parts = {s: PLAIN_WORD.findall(s) for s in different if s not in self.known}
-        new = list({w for words in parts.values() for w in words}.difference(self.words))
-        self.words.update(zip(new, self._ids(self.by_word.encode_batch_fast, new)))
-        self.known.update((s, b"".join(map(self.words.__getitem__, words))) for s, words in parts.items())
-        codes = list(map(self.known.__getitem__, different))
-        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-        ids = np.frombuffer(b"".join(codes), "<u4")
+        at = strings.indices.to_numpy()
+        ids, sizes = self._joined(strings.dictionary.to_pylist())
         counts = sizes[at]
         ends = np.cumsum(counts)
         shift = (np.cumsum(sizes) - sizes)[at] - (ends - counts)
@@ -104,16 +100,30 @@ class Encoder:
         for k in range(len(texts)):
             yield every[borders[k] : borders[k + 1]].tobytes()
 
+    def _joined(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings without line ends, one string's after the other's, and how many each has."""
+        lines = ["\n".join([*strings[at : at + JOINED], ""]) for at in range(0, len(strings), JOINED)]
+        found = [np.zeros(0, "<u4")]
+        for at in range(0, len(lines), JOINED):
+            found += [np.array(line.ids, "<u4") for line in self.by_line.encode_batch_fast(lines[at : at + JOINED], add_special_tokens=False)]
+        ids = np.concatenate(found)
+        inside = ids != self.line_end
+        return ids[inside], np.diff(np.flatnonzero(~inside), prepend=-1) - 1
+
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker process, which keeps it and its words from one task to the next."""
+    """The encoder of this worker process, which keeps it from one task to the next.
+
+    A task has one core: threads of the tokenizer would share it and wait for each other.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
     if path not in kept:
         kept[path] = Encoder(path)
     return kept[path]
 
 
-def _pieces(path: str, capacity: int, end_id: int, chars_at_once: int = 2 << 20):
+def _pieces(path: str, capacity: int, end_id: int, chars_at_once: int = CHARS_AT_ONCE):
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

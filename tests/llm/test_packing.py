@@ -118,3 +118,17 @@ def test_plan_needs_no_more_sequences_than_best_fit_by_piece(seed):
     rows = P.plan(Counter(lengths), capacity)
     used = {s for _, _, pieces, first, _, each in rows for s in range(first, first - (-pieces // each))}
     assert len(used) <= len(rooms)
+
+
+def test_encoder_keeps_no_strings():
+    encoder = P.Encoder(PATH)
+    sizes = {name: len(kept) for name, kept in vars(encoder).items() if hasattr(kept, "__len__")}
+    texts = [f"mot{n} l'eau's\tw{n}.%%% 12été\r\n" * 3 for n in range(500)] + ["", " ", "\n", "'s\n't", "ċ Ċ Ċ"]
+    assert [list(np.frombuffer(x, "<u4")) for x in encoder.encode(texts)] == [ids_of(t)[:-1] for t in texts]
+    assert {name: len(kept) for name, kept in vars(encoder).items() if hasattr(kept, "__len__")} == sizes
+
+
+def test_workers_encode_without_threads(monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    P.encoder(PATH)
+    assert P.os.environ["TOKENIZERS_PARALLELISM"] == "false"
