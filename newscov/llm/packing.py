@@ -28,7 +28,7 @@ ENCODED_AT_ONCE = 10_000
 JOINED = 200
 RANKED_TOGETHER = 50_000
 #: Characters of the texts whose different strings are encoded together.
-CHARS_AT_ONCE = 4 << 20
+CHARS_AT_ONCE = 8 << 20
 
 # --- fixed values: how a lower-casing word vocabulary prepares texts ----------------
 WORDS_NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])'
