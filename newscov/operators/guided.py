@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newscov.functions.text import clean_tokens
@@ -86,13 +86,26 @@ def seed_table(spark: SparkSession, lexicon: Lexicon, language: str, n_features:
     return topics, seeds / np.maximum(seeds.sum(axis=0), 1e-300)
 
 
+def topic_counts(texts: DataFrame, *keep: str, text: str = "text", language: str = "french", n_features: int = N_FEATURES) -> DataFrame:
+    """``keep``, the different hashed words of each text, ``buckets``, and their counts, ``tfs``, held in the checkpoint folder.
+
+    For those who fit and tag the same texts, which are cut into words once then.
+    """
+    counted = linear.with_bucket_counts(texts.select(*keep, text), text, language, n_features)
+    return written(counted.select(*keep, F.col("_buckets").alias("buckets"), F.col("_tfs").alias("tfs")), "topic-counts")
+
+
 def fit_topics(
     texts: DataFrame, lexicon: Lexicon, text: str = "text", language: str = "french", n_features: int = N_FEATURES, rounds: int = ROUNDS
 ) -> GuidedModel:
     """Learn the words of a lexicon's topics from texts."""
-    topics, seeds = seed_table(texts.sparkSession, lexicon, language, n_features)
-    counted = linear.with_bucket_counts(texts.select(text), text, language, n_features)
-    counted = written(counted.select(F.col("_buckets").alias("buckets"), F.col("_tfs").alias("tfs")), "topic-counts")
+    return fit_counts(topic_counts(texts, text=text, language=language, n_features=n_features), lexicon, language, n_features, rounds)
+
+
+def fit_counts(counts: DataFrame, lexicon: Lexicon, language: str = "french", n_features: int = N_FEATURES, rounds: int = ROUNDS) -> GuidedModel:
+    """``fit_topics`` from ``topic_counts`` of the same language and number of features."""
+    topics, seeds = seed_table(counts.sparkSession, lexicon, language, n_features)
+    counted = counts.select("buckets", "tfs")
     total = counted.agg(F.sum(F.aggregate("tfs", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     # a seed is closed to all topics but its own; any other word is open to all
     free = (seeds.sum(axis=1, keepdims=True) == 0) * BASE_COUNT
@@ -100,7 +113,7 @@ def fit_topics(
     # to begin with, topics differ in their seeds alone
     spread = free / max(free.sum(), 1e-300)
     weights = np.hstack([SEED_START * seeds + (1 - SEED_START) * spread, (1 - SEED_START) * spread])
-    shape, context = weights.shape, texts.sparkSession.sparkContext
+    shape, context = weights.shape, counted.sparkSession.sparkContext
     for _ in range(rounds):
         shared = context.broadcast(weights)
 
@@ -111,11 +124,11 @@ def fit_topics(
                 for t in range(shape[1]):
                     out[:, t] += np.bincount(bucket, tf * shares[:, t], shape[0])
 
-        counts = linear.summed(counted, shape, run)
+        found = linear.summed(counted, shape, run)
         shared.unpersist()
-        weights = (counts + prior) / (counts + prior).sum(axis=0)
+        weights = (found + prior) / (found + prior).sum(axis=0)
     # words of no text and no seed tell nothing
-    return GuidedModel(topics, weights * ((counts.sum(axis=1) > 0) | (seeds.sum(axis=1) > 0))[:, None], language)
+    return GuidedModel(topics, weights * ((found.sum(axis=1) > 0) | (seeds.sum(axis=1) > 0))[:, None], language)
 
 
 def guided_tags(
@@ -125,21 +138,38 @@ def guided_tags(
 
     Topics below ``least_share`` are not named, nor is the one without seeds; a text without words has none. Nothing is shuffled.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(model.weights)
+    hashed = linear.hashed_words(F.col(text), model.language, model.weights.shape[0])
+    return _tags(model, texts, hashed, None, *keep, top=top, least_share=least_share)
+
+
+def tags_of_counts(model: GuidedModel, counts: DataFrame, *keep: str, top: int = 3, least_share: float = 0.1) -> DataFrame:
+    """``guided_tags`` from ``topic_counts`` of the model's language and number of features."""
+    return _tags(model, counts, F.col("buckets"), F.col("tfs"), *keep, top=top, least_share=least_share)
+
+
+def _tags(model: GuidedModel, rows: DataFrame, hashed: Column, tfs: Column | None, *keep: str, top: int, least_share: float) -> DataFrame:
+    """Tags from buckets and their counts, or from all buckets of a text."""
+    shared = rows.sparkSession.sparkContext.broadcast(model.weights)
     n_topics = model.weights.shape[1]
 
-    @F.arrow_udf("array<double>")
-    def mixtures(buckets: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([buckets], names=["buckets"])
+    def shares_of(batch: pa.RecordBatch) -> pa.Array:
         found = [np.zeros((0, n_topics))]
         for part in parts_of(iter([batch]), "buckets", max(ENTRIES // n_topics, 1)):
-            row, bucket, tf = bucket_counts(part.column("buckets"))
+            row, bucket, tf = _entries(part) if "tfs" in part.schema.names else bucket_counts(part.column("buckets"))
             counted, _ = _mixtures(row, bucket, tf, part.num_rows, shared.value, INNER_ROUNDS)
             found.append(counted / np.maximum(np.bincount(row, tf, part.num_rows), 1)[:, None])
         flat = np.concatenate(found)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, n_topics, dtype=np.int32)), pa.array(flat.ravel()))
 
-    shares = mixtures.asNondeterministic()(linear.hashed_words(F.col(text), model.language, model.weights.shape[0]))
+    @F.arrow_udf("array<double>")
+    def mixtures(buckets: pa.Array) -> pa.Array:
+        return shares_of(pa.RecordBatch.from_arrays([buckets], names=["buckets"]))
+
+    @F.arrow_udf("array<double>")
+    def counted_mixtures(buckets: pa.Array, tfs: pa.Array) -> pa.Array:
+        return shares_of(pa.RecordBatch.from_arrays([buckets, tfs], names=["buckets", "tfs"]))
+
+    shares = mixtures.asNondeterministic()(hashed) if tfs is None else counted_mixtures.asNondeterministic()(hashed, tfs)
     names = F.array(*[F.struct(F.lit(a).alias("theme"), F.lit(b).alias("subtheme")) for a, b in model.topics])
     entries = F.zip_with(
         F.slice("_shares", 1, len(model.topics)), names,
@@ -147,7 +177,7 @@ def guided_tags(
     )
     best = F.slice(F.array_sort(F.filter(entries, lambda e: e["minus"] <= -least_share)), 1, top)
     return (
-        texts.select(*keep, shares.alias("_shares"))
+        rows.select(*keep, shares.alias("_shares"))
         .select(*keep, F.posexplode(best).alias("_rank", "_best"))
         .select(*keep, (F.col("_rank") + 1).alias("rank"), "_best.theme", "_best.subtheme", (-F.col("_best.minus")).alias("share"))
     )

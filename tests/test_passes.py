@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from newscov.functions import text as T
-from newscov.operators import detect, linear, topics
+from newscov.operators import detect, guided, linear, topics
+from newscov.registry import queries
 
 
 def _scored(spark, texts):
@@ -68,3 +69,15 @@ def test_topics_of_words_between_unknown_ones(spark):
     rows = spark.createDataFrame(texts, "id INT, text STRING")
     got = {(r.id, r.subtheme, r.terms) for r in topics.topic_tags(rows, lexicon, "id").collect()}
     assert got == {(1, "b", 1), (2, "a", 1), (2, "b", 1), (5, "c", 1)}
+
+
+def test_seeded_topics_cut_texts_once(spark, plan, tmp_path):
+    texts = ["est sont avec energie", "the and with energy", None, "", "und nicht das", "the energy the energy"]
+    rows = [(n % 5, t, "en", "web") for n, t in enumerate(texts * 3)]
+    spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.seeded_topics(spark, str(tmp_path))
+    assert "regexp_extract_all" not in plan(found)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    alone = guided.guided_tags(guided.fit_topics(docs, queries.SEED_LEXICON), docs, "doc_id")
+    listed = [sorted((r.doc_id, r.rank, r.subtheme, round(r.share, 5)) for r in df.collect()) for df in (found, alone)]
+    assert listed[0] == listed[1]
