@@ -71,6 +71,18 @@ def test_topics_of_words_between_unknown_ones(spark):
     assert got == {(1, "b", 1), (2, "a", 1), (2, "b", 1), (5, "c", 1)}
 
 
+def test_scores_with_salient_words_cut_texts_once(spark, plan):
+    model = linear.LinearModel(np.linspace(1, 2, 16), np.linspace(-1, 1, 17)[:, None], "french")
+    rows = spark.createDataFrame([(1, "eau douce eau"), (2, "air et feu"), (2, "sol"), (3, None), (4, "12")], "id INT, text STRING")
+    detector = detect.Detector(model, {}, {})
+    scored = detect.predict(detector, rows, row_id="id")
+    assert "regexp_extract_all" not in plan(scored)  # cut when the lists were written
+    plain = sorted((r.id, r.climate_related, round(r.confidence, 9)) for r in detect.predict(detector, rows).collect())
+    assert sorted((r.id, r.climate_related, round(r.confidence, 9)) for r in scored.collect()) == plain
+    words = {r.id: r.top_words for r in scored.where("id <> 2").collect()}
+    assert set(words[1]) == {"eau", "douce"} and words[4] is None and set(words) == {1, 4}
+
+
 def test_seeded_topics_cut_texts_once(spark, plan, tmp_path):
     texts = ["est sont avec energie", "the and with energy", None, "", "und nicht das", "the energy the energy"]
     rows = [(n % 5, t, "en", "web") for n, t in enumerate(texts * 3)]
