@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newscov.llm.common import components, numbered, pieces, stored, with_components, working_columns
+from newscov.llm.common import components, freeing, give_back, numbered, pieces, stored, with_components, working_columns
 
 #: Words of a shingle and the similarity from which documents are linked.
 WORDS = 5
@@ -30,6 +30,8 @@ HASHED_AT_ONCE = 2_048
 COLUMNS_AT_ONCE = 4_096
 #: Text that a task turns into shingles at once; a longer one comes alone.
 BATCH_BYTES = 8 << 20
+#: Bytes of a block pair from which its memory is handed back before the next.
+LARGE_GROUP = 8 << 20
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,7 +192,7 @@ def candidate_links(classes: DataFrame, width: int, trees: int, longest: int) ->
     )
     order = ["tree", "label", "node"]
     leaves = leaves.repartitionByRange(*order).sortWithinPartitions(*order)
-    walked = leaves.mapInArrow(_walk(width), "a LONG, b LONG, tree INT, prefix BINARY")
+    walked = leaves.mapInArrow(freeing(_walk(width)), "a LONG, b LONG, tree INT, prefix BINARY")
     walked = stored(walked, "forest-links")
     # two rows per partition are left: where a run goes on in the next one
     along = Window.orderBy("tree", "prefix", "a")
@@ -350,6 +352,18 @@ def _meet(threshold: float, width: int, size: int):
     return meet
 
 
+def _freeing_groups(compare: Callable[[pa.Table], pa.Table]):
+    """``compare`` for applyInArrow, with the memory of large groups handed back after each."""
+
+    def run(group: pa.Table) -> pa.Table:
+        found = compare(group)
+        if group.nbytes >= LARGE_GROUP:
+            give_back()
+        return found
+
+    return run
+
+
 def shorter_links(
     rows: DataFrame, classes: DataFrame, groups: DataFrame, looking: DataFrame, length: int, size: int,
     trees: int, words: int, threshold: float,
@@ -382,14 +396,14 @@ def shorter_links(
     # narrow, so that few of them pick their texts without a shuffle of all texts
     wanted = stored(classes.select("node", "key", "rep").join(nodes, "node"), "forest-wanted")
     texts = rows.join(wanted, rows["id"] == wanted["rep"]).select("text", "key", "node")
-    texts = texts.mapInArrow(_shingled(words), "key BINARY, node LONG, shingles BINARY").drop("key")
+    texts = texts.mapInArrow(freeing(_shingled(words)), "key BINARY, node LONG, shingles BINARY").drop("key")
     texts = texts.join(classes.select("node", "labels").join(nodes, "node"), "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = members.join(texts, "node").withColumn("other", other).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")
     })
     met = paired.drop("blocks", "other").groupBy("tree", "prefix", "i", "j").applyInArrow(
-        _meet(threshold, width, size), "a LONG, b LONG, similarity DOUBLE"
+        _freeing_groups(_meet(threshold, width, size)), "a LONG, b LONG, similarity DOUBLE"
     )
     return stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").distinct(), "forest-met")
 
@@ -438,7 +452,7 @@ def near_documents(
     """
     start = label_length(threshold, trees, longest, target_recall)
     rows = working_columns(docs, id=id_column, text=text_column).withColumn("id", F.col("id").cast("long"))
-    signed = rows.mapInArrow(_sign(words, trees, start, seed), "id LONG, key BINARY, n INT, labels BINARY")
+    signed = rows.mapInArrow(freeing(_sign(words, trees, start, seed)), "id LONG, key BINARY, n INT, labels BINARY")
     signed = stored(signed, "forest-labels")
     known = signed.where("key IS NOT NULL AND id IS NOT NULL")
     classes = numbered(
@@ -461,14 +475,14 @@ def near_documents(
         "text", "key", "node", "copies", "component", "blocks", "block"
     )
     texts = texts.mapInArrow(
-        _shingled(words), "key BINARY, node LONG, copies LONG, component LONG, blocks INT, block INT, shingles BINARY"
+        freeing(_shingled(words)), "key BINARY, node LONG, copies LONG, component LONG, blocks INT, block INT, shingles BINARY"
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = texts.withColumn("other", other).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")
     })
     found = paired.drop("blocks", "other").groupBy("component", "i", "j").applyInArrow(
-        _verify(threshold, trees, start), "node LONG, links LONG, root LONG, missed ARRAY<DOUBLE>"
+        _freeing_groups(_verify(threshold, trees, start)), "node LONG, links LONG, root LONG, missed ARRAY<DOUBLE>"
     )
     found = stored(found, "forest-verified")
     every, met = found, None

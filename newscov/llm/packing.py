@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
-from newscov.llm.common import stored, working_columns
+from newscov.llm.common import freeing, stored, working_columns
 
 #: Tokens of a sequence, and the id that ends each document.
 CAPACITY = 4_096
@@ -217,7 +217,7 @@ def pack(
     rows = working_columns(docs, id=id_column, text=text_column)
     rows = rows.withColumn("id", F.col("id").cast("long"))
     schema = "id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
-    pieces = stored(rows.mapInArrow(_pieces(tokenizer, capacity, end_id), schema), "pack-pieces")
+    pieces = stored(rows.mapInArrow(freeing(_pieces(tokenizer, capacity, end_id)), schema), "pack-pieces")
     lengths = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = docs.sparkSession.createDataFrame(
         plan(lengths, capacity), "length LONG, rank LONG, pieces LONG, first LONG, begin LONG, each LONG"

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newscov.llm.common import stored
+from newscov.llm.common import freeing, stored
 
 #: Grades from worst to best: toxic, poor, good.
 GRADES = 3
@@ -167,9 +167,9 @@ def fit_grades(docs: DataFrame, rated: DataFrame, most: int = MOST_RATED) -> Dat
     rated = rated.where("grade IS NOT NULL AND id IS NOT NULL").groupBy("id").agg(F.min("grade").alias("grade"))
     rated = rated.orderBy(F.xxhash64("id"), "id").limit(most)
     rows = docs.join(F.broadcast(stored(rated, "quality-ratings")), "id")  # at most ``most`` rows
-    rows = stored(rows.select("id", "grade", "text").mapInArrow(_featured, "id LONG, grade INT, x BINARY"), "quality-features")
+    rows = stored(rows.select("id", "grade", "text").mapInArrow(freeing(_featured), "id LONG, grade INT, x BINARY"), "quality-features")
     rows = rows.orderBy(F.xxhash64("id"), F.xxhash64("x")).limit(most).coalesce(1)
-    return stored(rows.mapInArrow(_fitted, "buckets BINARY, weights BINARY, thresholds ARRAY<DOUBLE>"), "quality-model")
+    return stored(rows.mapInArrow(freeing(_fitted), "buckets BINARY, weights BINARY, thresholds ARRAY<DOUBLE>"), "quality-model")
 
 
 def _scored(text_column: str, buckets: bytes, values: bytes, thresholds: list[float]):
@@ -222,7 +222,7 @@ def grades(docs: DataFrame, model: DataFrame, text_column: str = "text") -> Data
     rows = docs.select(F.struct(*kept).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
     scored = rows.mapInArrow(
-        _scored(text_column, bytes(fitted.buckets), bytes(fitted.weights), list(fitted.thresholds)),
+        freeing(_scored(text_column, bytes(fitted.buckets), bytes(fitted.weights), list(fitted.thresholds))),
         f"row {kind}, grade DOUBLE, tails ARRAY<DOUBLE>",
     )
     return scored.select("row.*", F.struct("grade", "tails").alias("rated"))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newscov.llm.common import stored
+from newscov.llm.common import freeing, stored
 
 #: Bytes of a string that must not start twice, and of the string that anchors it.
 LENGTH = 200
@@ -420,7 +420,7 @@ def remove_repeats(
     )
     searched = rows.select("id", "tie", "text").where(F.octet_length("text") >= length)
     schema = "ah LONG, sh LONG, id LONG, tie INT, first LONG, anchor INT, windows INT, many BOOLEAN"
-    anchored = searched.mapInArrow(_anchored(length), schema)
+    anchored = searched.mapInArrow(freeing(_anchored(length)), schema)
     again = anchored.groupBy("ah").agg(F.count("*").alias("n"), (F.min("sh") == F.max("sh")).alias("alike"))
     again = stored(again.where("n > 1").drop("n"), "repeat-anchors")
     found = stored(anchored.join(again, "ah"), "repeat-segments")
@@ -442,16 +442,16 @@ def remove_repeats(
         F.collect_list(F.struct("ah", "known", "hot", "first", "anchor", "windows")).alias("wanted")
     )
     contents = searched.join(wanted, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie"))).mapInArrow(
-        _sliced(length),
+        freeing(_sliced(length)),
         "ah LONG, known BOOLEAN, hot BOOLEAN, id LONG, tie INT, first LONG, anchor INT, content BINARY",
     )
     if n_hot := hot.count():
         contents = stored(contents, "repeat-contents")
     cold = contents.where("NOT hot").drop("hot").repartition("ah").sortWithinPartitions("ah")
     span = "id LONG, tie INT, begin LONG, end LONG"
-    spans = spans.unionByName(stored(cold.mapInArrow(_compared(length, shallow), span), "repeat-spans"))
+    spans = spans.unionByName(stored(cold.mapInArrow(freeing(_compared(length, shallow)), span), "repeat-spans"))
     if n_hot:
-        windows = contents.where("hot").mapInArrow(_windowed(length), "window BINARY, id LONG, tie INT, begin LONG, known BOOLEAN")
+        windows = contents.where("hot").mapInArrow(freeing(_windowed(length)), "window BINARY, id LONG, tie INT, begin LONG, known BOOLEAN")
         windows = stored(windows, "repeat-windows")
         twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
         single = windows.where("NOT known").join(twice, "window")
@@ -462,5 +462,5 @@ def remove_repeats(
     )
     result = rows.join(spans, F.col("id").eqNullSafe(F.col("of")) & (F.col("tie") == F.col("of_tie")), "left").select("row", "text", "spans")
     kind = rows.schema["row"].dataType.simpleString()
-    result = result.mapInArrow(_cut(length), f"row {kind}, n_bytes LONG, n_removed LONG, n_spans LONG, kept BINARY, text STRING")
+    result = result.mapInArrow(freeing(_cut(length)), f"row {kind}, n_bytes LONG, n_removed LONG, n_spans LONG, kept BINARY, text STRING")
     return result.select("row.*", F.struct("n_bytes", "n_removed", "n_spans", "kept", "text").alias("repeats"))
