@@ -1,7 +1,11 @@
 import math
 from collections import Counter
+from random import Random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newscov.functions import text as T
@@ -111,3 +115,36 @@ def test_detector_learns_and_reports(spark, plan):
     weighted = detect.evaluate(scored, weights={0.0: 1.0, 1.0: 0.0})["loss"].first()["logloss"]
     of_zero = detect.evaluate(scored.where("label = 0"))["loss"].first()["logloss"]
     assert weighted == pytest.approx(of_zero)
+
+
+def _as_before(rows, row_id, top=3):
+    """Salient words by a plain join of all entries with all document counts."""
+    lists = topics.word_lists(rows, row_id)
+    entries = lists.select(row_id, F.inline("words"))
+    df = entries.groupBy("word").agg(F.count("*").alias("df"))
+    weight = F.round(F.col("tf") * F.log((F.lit(lists.count()) + 1) / (F.col("df") + 1)), 6)
+    best = Window.partitionBy(row_id).orderBy(F.desc("weight"), "word")
+    ranked = entries.join(df, "word").select(row_id, "word", weight.alias("weight")).withColumn("rank", F.row_number().over(best))
+    return sorted(map(tuple, ranked.where(F.col("rank") <= top).collect()), key=repr)
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 7, 100_000])
+def test_salient_words_with_any_share_of_frequent_words(spark, monkeypatch, frequent):
+    random = Random(5)
+    names = [a + b for a in "abcdefgh" for b in ("lune", "mer", "ciel")] + ["élan", "zz"]
+    rows = [(random.choice([*range(40), None]), " ".join(random.choices(names, weights=range(1, 27), k=random.randrange(30)))) for _ in range(90)]
+    rows += [(7, None), (8, ""), (9, "le la"), (3, "seul"), (3, "seul")]  # ids come again or are null
+    texts = spark.createDataFrame(rows, "id INT, text STRING")
+    monkeypatch.setattr(topics, "FREQUENT_WORDS", frequent)
+    assert sorted(map(tuple, topics.salient_words(texts, "id").collect()), key=repr) == _as_before(texts, "id")
+
+
+def test_few_entries_of_frequent_words_are_shuffled():
+    words = [[{"word": f"w{n:03d}", "tf": n} for n in range(1, 200)], None, [], [{"word": "w001", "tf": 1}, {"word": "selten", "tf": 1}]]
+    frequent = pa.array([f"w{n:03d}" for n in range(1, 200)])
+    kind = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int32())]))
+    for lists in (pa.array(words, kind), pa.array([[{"word": "x", "tf": 1}], *words], kind).slice(1)):
+        found = topics.leading_words(lists, frequent, np.full(199, 2), 9, 3).to_pylist()
+        assert found[0] == [{"word": f"w{n}", "tf": n, "known": 2} for n in (197, 198, 199)]
+        assert found[1:3] == [[], []]
+        assert found[3] == [{"word": "w001", "tf": 1, "known": 2}, {"word": "selten", "tf": 1, "known": None}]
