@@ -15,19 +15,19 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from newscov.llm.common import freeing, stored, working_columns
 
 #: Tokens of a sequence, and the id that ends each document.
 CAPACITY = 4_096
 END_ID = 1
-#: Strings encoded at once, strings that are encoded as one, and pieces of one length ranked together.
+#: Strings encoded at once, words that are encoded as one line, and pieces of one length ranked together.
 ENCODED_AT_ONCE = 10_000
 JOINED = 200
 RANKED_TOGETHER = 50_000
-#: Characters of the texts whose different strings are encoded together.
+#: Characters of the texts whose different words are encoded together.
 CHARS_AT_ONCE = 8 << 20
 
 # --- fixed values: how a lower-casing word vocabulary prepares texts ----------------
@@ -35,6 +35,8 @@ WORDS_NORMALIZER = r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"),
 WORDS_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 # --- end of fixed values ------------------------------------------------------------
 
+#: The words of a text that are no run of letters; blanks around them part the runs as well.
+NO_LETTERS = WORDS_SPLIT.replace(r"[\p{L}]+|", "")
 #: Texts of these characters are composed already, and lower case, letters and digits mean the same to
 #: Python and the tokenizer.
 PLAIN = re.compile(r"[\t\n\r -~\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f\u2010-\u2027\u20ac]*")
@@ -44,22 +46,24 @@ class Encoder:
     """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers.
 
     For a lower-casing word vocabulary texts are cut at blanks, which none of its tokens reaches
-    across; what stands between them is encoded once for all texts of a call. Where the texts are plain, strings go
-    to the tokenizer joined by line ends, whose id then parts theirs. Texts with the name of a special token
+    across; what stands between them is encoded once for all texts of a call. What is plain is cut into the words that
+    the vocabulary's own pattern finds, so that punctuation makes no new ones. Words go to the tokenizer joined by blanks;
+    the last token of each bears the end of a word, which parts the words' ids. Texts with the name of a special token
     and other kinds of vocabularies are encoded as they are. Nothing is kept from one call to the next.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        split = str(self.tokenizer.pre_tokenizer)
-        self.by_line = None
-        if str(self.tokenizer.normalizer) == WORDS_NORMALIZER and f'Regex("{WORDS_SPLIT}")' in split:
-            by_line = Tokenizer(self.tokenizer.model)
-            lines_too = Split(Regex(rf"\n|{WORDS_SPLIT}"), "removed", invert=True)
-            by_line.pre_tokenizer = Sequence([lines_too, ByteLevel(add_prefix_space=False, use_regex=False)])
-            line_end = by_line.encode("\n", add_special_tokens=False).ids
-            if len(line_end) == 1:
-                self.by_line, self.line_end = by_line, line_end[0]
+        split, model = str(self.tokenizer.pre_tokenizer), self.tokenizer.model
+        self.by_blank = str(self.tokenizer.normalizer) == WORDS_NORMALIZER and f'Regex("{WORDS_SPLIT}")' in split
+        self.by_word = None
+        end, vocabulary = getattr(model, "end_of_word_suffix", None), self.tokenizer.get_vocab(with_added_tokens=False)
+        # every byte has a token within and one at the end of a word: none is left out, and no word lacks its end
+        if self.by_blank and end and not model.ignore_merges and all({c, c + end} <= vocabulary.keys() for c in ByteLevel.alphabet()):
+            self.by_word = Tokenizer(model)
+            self.by_word.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[ident for token, ident in vocabulary.items() if token.endswith(end)]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, encode: Callable, strings: list[str]) -> Iterator[bytes]:
@@ -69,46 +73,53 @@ class Encoder:
                 yield struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if not self.by_line:
+        if not self.by_blank:
             yield from self._ids(self.tokenizer.encode_batch_fast, texts)
             return
         found: list[bytes] = [b""] * len(texts)
-        plain = [i for i, t in enumerate(texts) if PLAIN.fullmatch(t) and not any(name in t for name in self.special)]
+        plain = [i for i, t in enumerate(texts) if self._is_plain(t)]
         rest = sorted(set(range(len(texts))).difference(plain))
         for i, ids in zip(plain, self._plain([texts[i].lower() for i in plain])):
             found[i] = ids
         cut = [[texts[i]] if any(n in texts[i] for n in self.special) else texts[i].replace("\n", " ").split(" ") for i in rest]
-        new = list({s for strings in cut for s in strings})
-        known = dict(zip(new, self._ids(self.tokenizer.encode_batch_fast, new)))
+        new: dict[bool, list[str]] = {True: [], False: []}
+        for s in {s for strings in cut for s in strings}:
+            new[self._is_plain(s)].append(s)
+        known = dict(zip(new[True], self._plain([s.lower() for s in new[True]])))
+        known |= zip(new[False], self._ids(self.tokenizer.encode_batch_fast, new[False]))
         for i, strings in zip(rest, cut):
             found[i] = b"".join(map(known.__getitem__, strings))
         yield from found
 
+    def _is_plain(self, text: str) -> bool:
+        return bool(self.by_word and PLAIN.fullmatch(text)) and not any(name in text for name in self.special)
+
     def _plain(self, texts: list[str]) -> Iterator[bytes]:
-        """Looks each different string up once and copies its ids to all places by array operations."""
+        """Looks each different word up once and copies its ids to all places by array operations."""
         if not texts:
             return
-        split = pa.compute.ascii_split_whitespace(pa.array(texts, pa.large_string()))
-        strings = split.flatten().dictionary_encode()
-        at = strings.indices.to_numpy()
-        ids, sizes = self._joined(strings.dictionary.to_pylist())
-        counts = sizes[at]
-        ends = np.cumsum(counts)
-        shift = (np.cumsum(sizes) - sizes)[at] - (ends - counts)
-        every = ids[np.repeat(shift.astype(np.int32), counts) + np.arange(int(counts.sum()), dtype=np.int32)]
-        borders = np.concatenate([[0], ends])[np.asarray(split.offsets)]
-        for k in range(len(texts)):
-            yield every[borders[k] : borders[k + 1]].tobytes()
-
-    def _joined(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of strings without line ends, one string's after the other's, and how many each has."""
-        lines = ["\n".join([*strings[at : at + JOINED], ""]) for at in range(0, len(strings), JOINED)]
+        parted = pa.compute.replace_substring_regex(pa.array(texts, pa.large_string()), NO_LETTERS, r" \0 ")
+        split = pa.compute.ascii_split_whitespace(parted)
+        words = split.flatten().dictionary_encode()
+        every = self._joined(words.dictionary).take(words.indices)
+        _, ends, data = every.buffers()
+        ids = memoryview(data or b"")
+        borders = np.frombuffer(ends, np.int64)[np.asarray(split.offsets)].tolist()
+        for begin, end in zip(borders, borders[1:]):
+            yield ids[begin:end].tobytes()
+
+    def _joined(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of each word; the empty string has none."""
+        some = pa.compute.greater(pa.compute.binary_length(words), 0).to_numpy(zero_copy_only=False)
+        starts = np.append(np.arange(0, len(words), JOINED, np.int32), np.int32(len(words)))
+        lines = pa.compute.binary_join(pa.ListArray.from_arrays(starts, words.cast(pa.string())), " ").to_pylist()
         found = [np.zeros(0, "<u4")]
         for at in range(0, len(lines), JOINED):
-            found += [np.array(line.ids, "<u4") for line in self.by_line.encode_batch_fast(lines[at : at + JOINED], add_special_tokens=False)]
+            found += [np.array(line.ids, "<u4") for line in self.by_word.encode_batch_fast(lines[at : at + JOINED], add_special_tokens=False)]
         ids = np.concatenate(found)
-        inside = ids != self.line_end
-        return ids[inside], np.diff(np.flatnonzero(~inside), prepend=-1) - 1
+        sizes = np.zeros(len(words) + 1, np.int64)
+        sizes[1:][some] = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(4 * np.cumsum(sizes)), pa.py_buffer(ids)])
 
 
 def encoder(path: str) -> Encoder:

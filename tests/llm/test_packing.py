@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -132,3 +133,36 @@ def test_workers_encode_without_threads(monkeypatch):
     monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
     P.encoder(PATH)
     assert P.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them(monkeypatch):
+    seen, encode = [], P.Encoder._joined
+    monkeypatch.setattr(P.Encoder, "_joined", lambda self, words: seen.extend(map(str, words)) or encode(self, words))
+    texts = ['Word, word. (word) "WORD" word\'s 1234 !\'s word_word', "word\n\nword\t--- 4321 été,word''s 'tis 'word's'"]
+    assert [list(np.frombuffer(x, "<u4")) for x in P.Encoder(PATH).encode(texts)] == [ids_of(t)[:-1] for t in texts]
+    seen = [s for s in seen if s]
+    assert len(seen) == len(set(seen))
+    assert [s for s in seen if "word" in s] == ["word"] and [s for s in seen if "1" in s] == ["1"]
+
+
+def test_plain_words_of_other_texts_are_encoded_once_as_well(monkeypatch):
+    seen, encode = [], P.Encoder._joined
+    monkeypatch.setattr(P.Encoder, "_joined", lambda self, words: seen.extend(map(str, words)) or encode(self, words))
+    texts = ["Word, word. (word) \u2603 word\u2603", "word's\n\u0130 word!", "word <|endoftext|> word \u2603"]
+    assert [list(np.frombuffer(x, "<u4")) for x in P.Encoder(PATH).encode(texts)] == [ids_of(t)[:-1] for t in texts]
+    assert [s for s in seen if "word" in s] == ["word"]
+
+
+@pytest.mark.parametrize("change", [{"ignore_merges": True}, {"end_of_word_suffix": None}, "a</w>"])
+def test_word_vocabularies_without_an_end_for_each_word(tmp_path, change):
+    vocabulary = json.load(open(PATH))
+    if isinstance(change, dict):
+        vocabulary["model"] |= change
+    else:
+        del vocabulary["model"]["vocab"][change]
+        vocabulary["model"]["merges"] = [m for m in vocabulary["model"]["merges"] if change not in m and "".join(m) != change]
+    path = tmp_path / "words.json"
+    path.write_text(json.dumps(vocabulary))
+    texts = ["It's a word, 12 words!", "thea a", ""]
+    expected = [e.ids for e in Tokenizer.from_file(str(path)).encode_batch(texts, add_special_tokens=False)]
+    assert [list(np.frombuffer(x, "<u4")) for x in P.Encoder(str(path)).encode(texts)] == expected
